@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_format import OP3_SQL, op3_chat_format
+from .decontaminate import op8_benchmark_decontamination
 from .language_id import op4_language_id
+from .line_dedup import OP6_SQL, op6_line_dedup
+from .packing import op10_packed_tokens
+from .sentencepiece_codec import op9_sentencepiece
 from .simhash import op5_simhash_near_dedup
+from .token_counts import op1_token_counts
+from .topk import OP7_SQL, op7_exact_top_k
+from .toxicity import op2_toxicity
+
+QUERIES = (
+    op1_token_counts, op2_toxicity, op3_chat_format, op4_language_id, op5_simhash_near_dedup,
+    op6_line_dedup, op7_exact_top_k, op8_benchmark_decontamination, op9_sentencepiece, op10_packed_tokens,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_language_id, op5_simhash_near_dedup)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_chat_format": OP3_SQL, "op6_line_dedup": OP6_SQL, "op7_exact_top_k": OP7_SQL}
