@@ -1,13 +1,14 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is its words in lower case (runs of letters), read in overlapping windows of WINDOW words; the last
-window ends with the text. A word's input is a learned vector of the word and pooled (mean and maximum)
+A text is its words in lower case (runs of letters; one repeated in a row is read once), read in overlapping
+windows of WINDOW words; the last window ends with the text. A word's input is a learned vector of the word and pooled (mean and maximum)
 vectors of its character n-grams. A window's states are pooled by attention to one logit; a document's
 logit is that of its highest window, so its score covers the whole text.
 
-The vectors start from the log-odds of their word or n-gram between the classes, 0 if unseen. Which windows
-of a document stand for its label is found in turns: the highest window of each, by the log-odds first and
-then by the network trained so far.
+The words and n-grams with vectors are those of the sample whose log-odds between the classes are farthest
+from 0; their vectors start from these, and all others share a vector of zeros. Which windows of a document
+stand for its label is found in turns: the highest window of each, by the log-odds first and then by the
+network trained so far; the highest windows of clean documents, and some more, are learned as clean.
 
 Cases: null text and text without words score 0; rows without a doc_id or label are never learned from;
 without learned rows of both classes every score is 0; a document labelled more than once is learned as
@@ -17,7 +18,7 @@ often; repeated rows each get a row. Only doc_id, text and toxic are read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,12 @@ from .common import fold, short_batches, table
 
 WORD = re.compile(r"[^\W\d_]+")
 WINDOW, STRIDE = 48, 32
-#: Rows of the tables of word and n-gram vectors, their widths, units of a direction.
-ROWS, WORD_DIM, GRAM_DIM, UNITS, ATTENTION = 1 << 17, 4, 4, 8, 8
+#: Words and n-grams with vectors of their own, the vectors' widths, units of a direction and of the attention.
+ROWS, WORD_DIM, GRAM_DIM, UNITS, ATTENTION = 1 << 15, 4, 4, 8, 8
 GRAMS = (3, 4, 5)
 THRESHOLD = 0.7
+#: Documents of each class that log-odds count besides those seen.
+SMOOTH = 2.0
 #: Words whose projected inputs a worker remembers before it forgets all.
 REMEMBERED = 200_000
 
@@ -40,8 +43,13 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def once(ids: np.ndarray) -> np.ndarray:
+    """A word repeated in a row is read once."""
+    return ids[np.diff(ids, prepend=-1) != 0]
+
+
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of each word's vector, start of each word's n-grams, rows of the n-grams)."""
+    """(code of each word, start of each word's n-grams, codes of the n-grams: their bytes)."""
     raw = [f"<{w}>".encode() for w in words]
     data = np.frombuffer(b"".join(raw), "u1").astype("u8")
     sizes = np.array([len(x) for x in raw])
@@ -51,17 +59,16 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     power[0] = 1
     np.multiply.accumulate(power, out=power)
     whole = np.add.reduceat((data + 1) * power[np.arange(len(data)) - starts[word]], starts)
-    mix = lambda code: ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype("i8") % ROWS
     owners, grams, code = [], [], data
     for n in range(2, max(GRAMS) + 1):
         code = code[:-1] | data[n - 1 :] << np.uint64(8 * (n - 1))
         if n in GRAMS:
             inside = word[: len(code)] == word[n - 1 :]
             owners.append(word[: len(code)][inside])
-            grams.append(mix(code[inside] * np.uint64(2 * n + 1)))
+            grams.append(code[inside])
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    return mix(whole), np.searchsorted(owner[order], np.arange(len(words))), np.concatenate(grams)[order]
+    return whole, np.searchsorted(owner[order], np.arange(len(words))), np.concatenate(grams)[order]
 
 
 def window_starts(n: int) -> np.ndarray:
@@ -79,18 +86,23 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def gru(p: np.ndarray, u: np.ndarray, mask: np.ndarray, trace: list | None = None) -> np.ndarray:
-    """States (time, windows, units) from projected inputs; trace keeps what backward() needs."""
-    h = np.zeros(p.shape[1:2] + (UNITS,), "f4")
-    out = np.empty(p.shape[:2] + (UNITS,), "f4")
-    for t in range(len(p)):
-        hu = h @ u
-        gates = sigmoid(p[t, :, : 2 * UNITS] + hu[:, : 2 * UNITS])
+def gru(inputs: Callable[[int], np.ndarray], u: np.ndarray, mask: np.ndarray, trace: list | None = None) -> np.ndarray:
+    """States (time, windows, units) from the projected inputs of each time; trace keeps what gru_back() needs."""
+    h = np.zeros((mask.shape[1], UNITS), "f4")
+    out = np.empty(mask.shape[:2] + (UNITS,), "f4")
+    partial = (mask == 0).any(axis=(1, 2))
+    for t in range(len(out)):
+        p, hu = inputs(t), h @ u
+        gates = np.tanh(0.5 * (p[:, : 2 * UNITS] + hu[:, : 2 * UNITS]))
+        gates *= 0.5
+        gates += 0.5
         z, r = gates[:, :UNITS], gates[:, UNITS:]
-        c = np.tanh(p[t, :, 2 * UNITS :] + r * hu[:, 2 * UNITS :])
+        c = np.tanh(p[:, 2 * UNITS :] + r * hu[:, 2 * UNITS :])
         if trace is not None:
             trace.append((h, z, r, c, hu[:, 2 * UNITS :]))
-        h = ((1 - z) * h + z * c) * mask[t]
+        h = h + z * (c - h)
+        if partial[t]:
+            h *= mask[t]
         out[t] = h
     return out
 
@@ -119,15 +131,22 @@ class Network:
         rng = np.random.default_rng(seed)
         width = WORD_DIM + 2 * GRAM_DIM
         small = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype("f4")
-        self.tables = {"word": np.zeros((ROWS, WORD_DIM), "f4"), "gram": np.zeros((ROWS, 2 * GRAM_DIM), "f4")}
+        self.codes = {"word": np.zeros(0, "u8"), "gram": np.zeros(0, "u8")}
+        self.tables = {"word": np.zeros((1, WORD_DIM), "f4"), "gram": np.zeros((1, 2 * GRAM_DIM), "f4")}
         self.dense = {
             "w": small(width, 6 * UNITS), "b": np.zeros(6 * UNITS, "f4"), "u_fore": small(UNITS, 3 * UNITS), "u_back": small(UNITS, 3 * UNITS),
             "a": small(2 * UNITS, ATTENTION), "v": small(ATTENTION), "o": small(2 * UNITS), "bias": np.zeros(1, "f4"),
         }
         self.scale, self.shift = 1.0, 0.0
 
+    def rows(self, name: str, codes: np.ndarray) -> np.ndarray:
+        """The rows of codes in a table; 0 for those without their own."""
+        known = self.codes[name]
+        at = np.minimum(np.searchsorted(known, codes), len(known) - 1) if len(known) else np.zeros(len(codes), "i8")
+        return np.where(known[at] == codes, at + 1, 0) if len(known) else at
+
     def inputs(self, rows: np.ndarray, starts: np.ndarray, grams: np.ndarray) -> np.ndarray:
-        """Input vectors of words, from features()."""
+        """Input vectors of words, from the rows of their features."""
         g = self.tables["gram"][grams]
         counts = np.diff(np.append(starts, len(grams)))[:, None]
         return np.hstack([self.tables["word"][rows], np.add.reduceat(g[:, :GRAM_DIM], starts) / counts, np.maximum.reduceat(g[:, GRAM_DIM:], starts)])
@@ -137,9 +156,9 @@ class Network:
         d, at = self.dense, index.T
         mask = (at >= 0).astype("f4")[:, :, None]
         fore, back = ([], []) if trace is not None else (None, None)
-        seq = p[at]
-        h1 = gru(seq[:, :, : 3 * UNITS], d["u_fore"], mask, fore)
-        h2 = gru(seq[::-1, :, 3 * UNITS :], d["u_back"], mask[::-1], back)[::-1]
+        ahead, behind = p[:, : 3 * UNITS], p[:, 3 * UNITS :]
+        h1 = gru(lambda t: ahead[at[t]], d["u_fore"], mask, fore)
+        h2 = gru(lambda t: behind[at[-1 - t]], d["u_back"], mask[::-1], back)[::-1]
         h = np.concatenate([h1, h2], 2)
         k = np.tanh(h @ d["a"])
         e = np.where(mask[:, :, 0] > 0, k @ d["v"], -1e9)
@@ -172,13 +191,16 @@ class Trainer:
     def __init__(self, texts: list[str], labels: list[int], seed: int = 5) -> None:
         self.net, self.rng = Network(seed), np.random.default_rng(seed)
         number: dict[str, int] = {}
-        docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], "i8") for t in texts]
+        docs = [once(np.array([number.setdefault(w, len(number)) for w in words_of(t)], "i8")) for t in texts]
         held = [i for i, d in enumerate(docs) if len(d)]
         self.docs, self.y = [docs[i] for i in held], np.array([labels[i] for i in held], "f4")
-        self.rows, self.starts, self.grams = features(list(number))
+        words, self.starts, grams = features(list(number))
+        seen = {"word": np.unique(words, return_inverse=True), "gram": np.unique(grams, return_inverse=True)}
+        self.rows, self.grams = seen["word"][1], seen["gram"][1]
         self.ends = np.append(self.starts[1:], len(self.grams))
         self.index = np.vstack([windows(d) for d in self.docs])
         self.owner = np.repeat(np.arange(len(self.docs)), [len(window_starts(len(d))) for d in self.docs])
+        self.log_odds({name: codes for name, (codes, _) in seen.items()})
         self.squares = {k: np.full(v.shape, 1e-6, "f4") for k, v in (self.net.tables | self.net.dense).items()}
 
     def grams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,21 +209,25 @@ class Trainer:
         starts = np.cumsum(sizes) - sizes
         return starts, self.grams[np.arange(sizes.sum()) - np.repeat(starts - self.starts[words], sizes)]
 
-    def log_odds(self) -> None:
-        """Vectors from documents' counts in both classes; their first parts hold the log-odds."""
-        word_n, gram_n = np.zeros((2, ROWS)), np.zeros((2, ROWS))
+    def log_odds(self, codes: dict[str, np.ndarray]) -> None:
+        """The tables, from documents' counts in both classes; rows and grams become rows of these."""
+        counts = {name: np.zeros((2, len(c))) for name, c in codes.items()}
         for d, y in zip(self.docs, self.y.astype(int)):
             seen = np.unique(d)
-            word_n[y, np.unique(self.rows[seen])] += 1
-            gram_n[y, np.unique(self.grams_of(seen)[1])] += 1
+            counts["word"][y, np.unique(self.rows[seen])] += 1
+            counts["gram"][y, np.unique(self.grams_of(seen)[1])] += 1
         n = np.array([(self.y == 0).sum(), (self.y == 1).sum()])[:, None]
-        for name, seen in (("word", word_n), ("gram", gram_n)):
-            odds = np.log((seen[1] + 0.5) / (n[1] + 1)) - np.log((seen[0] + 0.5) / (n[0] + 1))
-            odds[seen.sum(0) < 3] = 0
-            t = self.net.tables[name]
-            t[:, 0] = odds / 4
-            if name == "gram":
-                t[:, GRAM_DIM] = odds / 4
+        for name, seen in counts.items():
+            share = np.log((seen + SMOOTH) / (n + 2 * SMOOTH))
+            odds = np.where(seen.sum(0) < 3, 0, share[1] - share[0])
+            kept = np.sort(np.argsort(-np.abs(odds), kind="stable")[:ROWS])
+            self.net.codes[name] = codes[name][kept]
+            table = np.zeros((len(kept) + 1, self.net.tables[name].shape[1]), "f4")
+            for j in (0,) if name == "word" else (0, GRAM_DIM):
+                table[1:, j] = odds[kept] / 4
+            self.net.tables[name] = table
+        self.rows = self.net.rows("word", codes["word"])[self.rows]
+        self.grams = self.net.rows("gram", codes["gram"])[self.grams]
 
     def all_inputs(self) -> np.ndarray:
         return self.net.inputs(self.rows, self.starts, self.grams)
@@ -213,7 +239,7 @@ class Trainer:
 
     def scores(self) -> np.ndarray:
         p = self.all_inputs() @ self.net.dense["w"] + self.net.dense["b"]
-        return np.concatenate([self.net.logits(p, self.index[at : at + 2048]) for at in range(0, len(self.index), 2048)])
+        return np.concatenate([self.net.logits(p, self.index[at : at + 512]) for at in range(0, len(self.index), 512)])
 
     def step(self, batch: np.ndarray, rate: float) -> None:
         net, y = self.net, self.y[self.owner[batch]]
@@ -236,21 +262,26 @@ class Trainer:
         counts = np.bincount(owner)[:, None]
         d_mean = (d_x[:, WORD_DIM : WORD_DIM + GRAM_DIM] / counts)[owner]
         d_most = d_x[:, WORD_DIM + GRAM_DIM :][owner] * (vectors[:, GRAM_DIM:] == x[:, WORD_DIM + GRAM_DIM :][owner])
-        spread = lambda to, d: np.stack([np.bincount(to, d[:, j], ROWS) for j in range(d.shape[1])], 1)
-        g["word"], g["gram"] = spread(self.rows[used], d_x[:, :WORD_DIM]), spread(grams, np.hstack([d_mean, d_most]))
-        for name, value in (net.tables | net.dense).items():
-            self.squares[name] = self.squares[name] * 0.98 + 0.02 * g[name] ** 2 if name in net.dense else self.squares[name] + g[name] ** 2
-            value -= (rate * (0.1 if name in net.dense else 0.3) * g[name] / np.sqrt(self.squares[name])).astype("f4")
-
-    def fit(self, turns: int = 4, epochs: int = 4, batch: int = 256) -> Network:
-        self.log_odds()
+        for name, value in net.dense.items():
+            self.squares[name] = self.squares[name] * 0.98 + 0.02 * g[name] ** 2
+            value -= (0.1 * rate * g[name] / np.sqrt(self.squares[name])).astype("f4")
+        for name, rows, d in (("word", self.rows[used], d_x[:, :WORD_DIM]), ("gram", grams, np.hstack([d_mean, d_most]))):
+            touched, to = np.unique(rows, return_inverse=True)
+            d = np.stack([np.bincount(to, d[:, j], len(touched)) for j in range(d.shape[1])], 1)
+            d[touched == 0] = 0
+            self.squares[name][touched] += (d**2).astype("f4")
+            net.tables[name][touched] -= (0.02 * rate * d / np.sqrt(self.squares[name][touched])).astype("f4")
+
+    def fit(self, turns: int = 3, epochs: int = 2, batch: int = 512) -> Network:
         x = self.all_inputs()
         of_word = np.maximum(x[:, 0], x[:, WORD_DIM + GRAM_DIM])
         top = self.highest(np.where(self.index >= 0, of_word[self.index], -99).max(1))
+        scores = np.where(self.index >= 0, of_word[self.index], -99).max(1)
         for turn in range(turns):
             clean = np.flatnonzero(self.y[self.owner] == 0)
+            hard = clean[np.argsort(-scores[clean], kind="stable")[: len(self.docs) // 2]]
             other = self.rng.choice(clean, min(len(clean), len(self.docs) // 2), replace=False) if len(clean) else clean
-            picked = np.concatenate([top, other])
+            picked = np.concatenate([top, hard, other])
             # both classes weigh about a third or more
             toxic = picked[self.y[self.owner[picked]] == 1]
             again = max(0, (len(picked) - len(toxic)) // (2 * max(1, len(toxic))) - 1)
@@ -288,20 +319,21 @@ class Scorer:
         new = list(dict.fromkeys(w for d in docs for w in d if w not in memory))
         for at in range(0, len(new), 50_000):
             some = new[at : at + 50_000]
-            p = self.net.inputs(*features(some)) @ self.net.dense["w"] + self.net.dense["b"]
+            words, starts, grams = features(some)
+            p = self.net.inputs(self.net.rows("word", words), starts, self.net.rows("gram", grams)) @ self.net.dense["w"] + self.net.dense["b"]
             first = len(memory)
             if first + len(some) > len(self.projected):
                 self.projected = np.vstack([self.projected[:first], np.empty((first + 2 * len(some), 6 * UNITS), "f4")])
             self.projected[first : first + len(some)] = p
             memory.update(zip(some, range(first, first + len(some))))
-        return [np.fromiter((memory[w] for w in d), "i8", len(d)) for d in docs]
+        return [once(np.fromiter((memory[w] for w in d), "i8", len(d))) for d in docs]
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(score, number of windows, first word of the highest window) of each text."""
         docs = self.ids([words_of(t) for t in texts])
         counts = np.array([len(window_starts(len(d))) for d in docs])
         index = np.vstack([np.zeros((0, WINDOW), "i8"), *map(windows, docs)]).astype("i8")
-        z = np.concatenate([np.zeros(0, "f4"), *(self.net.logits(self.projected, index[at : at + 1024]) for at in range(0, len(index), 1024))])
+        z = np.concatenate([np.zeros(0, "f4"), *(self.net.logits(self.projected, index[at : at + 512]) for at in range(0, len(index), 512))])
         score, top = np.zeros(len(texts)), np.zeros(len(texts), "i4")
         ends = np.cumsum(counts)
         for i in np.flatnonzero(counts):
