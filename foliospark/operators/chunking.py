@@ -5,7 +5,9 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from foliospark.functions.scans import Rows, scan_groups
 from foliospark.functions.textnorm import strip
 
 STRONG = ("chapter", "appendix", "bibliography", "index")
@@ -103,9 +105,9 @@ def pack_atoms(atoms: DataFrame, target: int = 14000, least: int = 3000) -> Data
     """
     most = int(target * 1.5)
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["start_char", "end_char"]).reset_index(drop=True)
-        rows = pdf[["section_id", "section_type", "start_char", "end_char", "is_weak"]].values.tolist()
+    def pack(atoms: Rows) -> Rows:
+        atoms.sort(key=lambda r: (r["start_char"], r["end_char"]))
+        rows = [[r[c] for c in ("section_id", "section_type", "start_char", "end_char", "is_weak")] for r in atoms]
         strong = lambda a, b: a[0] != b[0] and (a[1] in STRONG or b[1] in STRONG)
         packs: list[list[int]] = []
         for i, atom in enumerate(rows):
@@ -128,10 +130,9 @@ def pack_atoms(atoms: DataFrame, target: int = 14000, least: int = 3000) -> Data
                 joined.append(now)
                 i += 1
         number = {a: k for k, members in enumerate(joined) for a in members}
-        return pdf.assign(pack=[number[a] for a in range(len(rows))])
+        return [r | {"pack": number[i]} for i, r in enumerate(atoms)]
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in atoms.schema)
-    return atoms.groupBy("doc_id").applyInPandas(pack, f"{schema}, pack int")
+    return scan_groups(atoms, ["doc_id"], pack, StructType([*atoms.schema, StructField("pack", IntegerType())]))
 
 
 def chunk_records(packed: DataFrame, docs: DataFrame) -> DataFrame:

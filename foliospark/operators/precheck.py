@@ -76,7 +76,7 @@ def classify_chunk_type(scored: DataFrame) -> DataFrame:
     a, b = -first["neg"], -second["neg"]
     doctrine = (first["kind"] == "doctrinal_text") != (second["kind"] == "doctrinal_text")
     mixed = (a >= 0.50) & (b >= 0.50) & (F.abs(a - b) <= 0.15) & doctrine
-    text = lambda x, v: F.concat(x["kind"], F.lit(":"), F.format_string("%.2f", F.bround(v, 2)))
+    text = lambda x, v: F.concat(x["kind"], F.lit(":"), F.format_string("%.2f", F.rint(v * 100) / 100))
     conflict = F.when(mixed, b).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), b / F.greatest(F.lit(0.01), a))))
     return scored.withColumn("_r", ranked).withColumns({
         "chunk_type": F.when(mixed, F.lit("mixed")).otherwise(first["kind"]), "type_score": a, "mixed_reason": F.when(mixed, F.concat_ws("+", first["kind"], second["kind"])), "conflict_score": conflict,

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from foliospark.functions.lineage import cut
+from foliospark.functions.scans import Rows, scan_groups
 from foliospark.functions.textnorm import any_of, is_title_case, squeeze, strip
 
 MIN_SCORE = 0.55
@@ -168,19 +170,17 @@ def promote_by_context(headings: DataFrame) -> DataFrame:
     fit = (F.col("pattern") == "title_case_short") & ~text.isin("unknown", "section", "") & ~F.col("text").rlike(r"^\p{Lu}$") & ~is_reference_like(F.col("text"))
     ready = headings.withColumn("_ok", F.coalesce(fit, F.lit(False))).select(*names)
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["start_char", "end_char"]).reset_index(drop=True)
-        kinds, pages, sure = pdf["type"].tolist(), pdf["page"].tolist(), pdf["confidence"].tolist()
-        for i, ok in enumerate(pdf["_ok"]):
-            if ok and not isinstance(kinds[i], str):
-                near = [j for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < len(kinds) and kinds[j] in SUPPORTING]
-                near = [j for j in near if pd.isna(pages[i]) or pd.isna(pages[j]) or abs(pages[i] - pages[j]) <= 2]
+    def scan(rows: Rows) -> Rows:
+        rows.sort(key=lambda r: (r["start_char"], r["end_char"]))
+        for i, r in enumerate(rows):
+            if r.pop("_ok") and r["type"] is None:
+                near = [rows[j] for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < len(rows) and rows[j]["type"] in SUPPORTING]
+                near = [o for o in near if r["page"] is None or o["page"] is None or abs(r["page"] - o["page"]) <= 2]
                 if near:
-                    kinds[i], sure[i] = "section", 0.52 if len(near) == 1 else 0.6
-        return pdf.assign(type=kinds, confidence=sure).drop(columns="_ok")
+                    r["type"], r["confidence"] = "section", 0.52 if len(near) == 1 else 0.6
+        return rows
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ready.schema if f.name != "_ok")
-    return ready.groupBy("doc_id").applyInPandas(scan, schema)
+    return scan_groups(ready, ["doc_id"], scan, StructType([f for f in ready.schema if f.name != "_ok"]))
 
 
 def normalize_sections(segments: DataFrame, docs: DataFrame, max_size: int = 200_000) -> DataFrame:
@@ -212,7 +212,7 @@ def build_document_map(docs: DataFrame, units: DataFrame | None = None, response
     if responses is not None:
         found = apply_classifications(found, responses)
     paged = assign_pages(found, units) if units is not None else found.withColumn("page", F.lit(None).cast("long"))
-    headings = promote_by_context(paged)
+    headings = cut(promote_by_context(paged))
     named = headings.select("doc_id", F.col("index").alias("heading_index"), F.col("text").alias("label"), "type", "confidence")
     segments = segment_by_heading(headings, docs).join(named, ["doc_id", "heading_index"], "left")
     sections = normalize_sections(segments.drop("heading_index"), docs, max_size)
@@ -244,8 +244,8 @@ def clean_sections(sections: DataFrame) -> DataFrame:
     names = ["doc_id", "section_index", "id", "label", "type", "start_char", "end_char", "confidence", "start_page", "end_page", "_lone", "_entry"]
     marked = sections.withColumn("label", label).withColumns({"_lone": F.col("label").rlike("^[A-Z]$") & (F.col("type") == "unknown"), "_entry": (F.length("label") > 2) & F.col("label").rlike("^.+" + PAGE_REFS) & (F.col("type") == "unknown")}).select(*names)
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("start_char").astype(object).where(pdf.notna(), None).to_dict("records")
+    def scan(rows: Rows) -> Rows:
+        rows.sort(key=lambda r: r["start_char"])
         joined: list[dict] = []
         for r in rows:
             if r["_lone"] and joined and joined[-1]["type"] == "unknown":
@@ -268,11 +268,9 @@ def clean_sections(sections: DataFrame) -> DataFrame:
             if r["start_page"] is not None and r["end_page"] is not None:
                 r["end_page"] = max(r["end_page"], r["start_page"])
             r["section_index"], r["id"] = i, f"section_{r['start_char']}"
-        out = pd.DataFrame(kept, columns=[n for n in names if not n.startswith("_")])
-        return out.astype({"start_page": "Int64", "end_page": "Int64"})
+        return kept
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in marked.schema if not f.name.startswith("_"))
-    return marked.groupBy("doc_id").applyInPandas(scan, schema)
+    return scan_groups(marked, ["doc_id"], scan, StructType([f for f in marked.schema if not f.name.startswith("_")]))
 
 
 def validate_document_map(headings: DataFrame, sections: DataFrame, docs: DataFrame, max_size: int = 200_000) -> DataFrame:
