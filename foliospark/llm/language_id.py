@@ -146,7 +146,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_known_languages(docs: DataFrame) -> DataFrame:
     """docs without the documents that the classifier rejects."""
     model = fit(learnable(docs))
-    columns = docs.columns
-    tagged = docs.withColumn("_text", F.col("text"))
-    found = predict(tagged, model, tuple(c for c in tagged.columns if c not in ("doc_id", "text")))
-    return found.where("NOT rejected").select(*[F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in columns])
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    tagged = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    found = predict(tagged, model, tuple(names.values()))
+    return found.where("NOT rejected").select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -88,8 +88,8 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return covered.join(lines.select(*where, "j", "no"), [*where, "j"]).select(*where, "no").distinct()
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs without later copies, and deleted: the runs deleted from each text, as (first, last) line indices."""
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, deleted: str | None = "deleted") -> DataFrame:
+    """docs without later copies, and in a column named by `deleted` (instead of one of that name) the runs deleted from each text, as (first, last) line indices."""
     where = ["_doc", "_copy"]
     order = Window.partitionBy(*where).orderBy("no")
     runs = later_copies(docs, min_words).withColumn("_run", F.col("no") - F.row_number().over(order)).groupBy(*where, "_run").agg(F.min("no").alias("first"), F.max("no").alias("last"))
@@ -97,7 +97,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("_deleted", lambda r: i.between(r["first"], r["last"])))
     text = F.when(F.col("_deleted").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     out = keyed(docs).join(gone, where, "left")
-    return out.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.coalesce("_deleted", F.array().cast("array<struct<first:int,last:int>>")).alias("deleted"))
+    report = [F.coalesce("_deleted", F.array().cast("array<struct<first:int,last:int>>")).alias(deleted)] if deleted else []
+    return out.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != deleted], *report)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,7 +70,7 @@ def token_counts(docs: DataFrame, sections: DataFrame | None = None, rule: str =
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     kind, count = dict(docs.dtypes)["doc_id"], "double" if rule == "split" else "long"
-    texts = docs.select("doc_id", "text")
+    texts, by_lines = docs.select("doc_id", "text"), sections is None
     if sections is not None:
         some = sections.where("start_char IS NOT NULL AND end_char IS NOT NULL AND doc_id IS NOT NULL")
         own = some.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(F.col("start_char").cast("long").alias("s"), F.col("end_char").cast("long").alias("e")))).alias("_s"))
@@ -83,7 +83,7 @@ def token_counts(docs: DataFrame, sections: DataFrame | None = None, rule: str =
             for i, text in enumerate(b.column(1).to_pylist()):
                 data = np.frombuffer((text or "").encode("utf-8", "replace"), "u1")
                 first, end = spans(data, enc.widths[enc.ids(text or "")])
-                s, e = lines(data) if sections is None else (np.array(b.column(j)[i].as_py(), "i8") for j in (2, 3))
+                s, e = lines(data) if by_lines else (np.array(b.column(j)[i].as_py(), "i8") for j in (2, 3))
                 row.append(np.full(len(s), i))
                 number.append(np.arange(len(s)))
                 starts.append(s)

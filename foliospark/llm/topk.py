@@ -10,8 +10,8 @@ Queries and vectors meet block by block: every query block goes to every vector
 the block's number, and each meeting leaves k rows a query, so tasks are bounded however many rows there are.
 
 Cases: null vectors, or those holding a null or a value that isn't finite, and rows without an id, take no
-part; vectors of different lengths score over the components that both have; repeated rows of a query's own
-id are left out as the query's own, other repeated rows are each a candidate; ties go to the smaller vec_id.
+part; vectors of different lengths score over the components that both have; repeated rows count once; rows
+with a query's own id are no candidates of it, whatever their vectors; ties go to the smaller vec_id.
 """
 
 from __future__ import annotations
@@ -31,13 +31,16 @@ CELLS = 16
 BLOCK = 1024
 #: Below this, sums of products of doubles are exact.
 EXACT = 1 << 53
+#: The largest score; those beyond, or beyond its negative, are held there.
+LONGEST = (1 << 63) - 1
 
 
 def integers(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """vec_id, v: whole components as doubles, of the rows that take part."""
-    v = F.transform(F.col(vec_col), lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    scaled = lambda x: x.cast("double") * 256  # noqa: E731  whole already from 2^53 on
+    v = F.transform(F.col(vec_col), lambda x: F.when(F.abs(scaled(x)) >= float(EXACT), scaled(x)).otherwise(F.floor(scaled(x)).cast("double")))
     whole = ~F.exists(F.col(vec_col), lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
-    return vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & whole).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
+    return vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & whole).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).distinct()
 
 
 def blocks(rows: DataFrame, n: int, name: str) -> DataFrame:
@@ -89,7 +92,7 @@ def block_best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray,
             if not len(some) or (len(best) == k and bound[some[0]] < -best[-1][0]):
                 break
             best = sorted(best + [(-int(s), int(c)) for s, c in zip(product(q[i], x[some]), ids[some])])[:k]
-        out += [(int(q_ids[i]), c, -s) for s, c in best]
+        out += [(int(q_ids[i]), c, max(-LONGEST, min(LONGEST, -s))) for s, c in best]
     return out
 
 
