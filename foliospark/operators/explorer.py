@@ -135,3 +135,73 @@ def overview(concepts: DataFrame, families: DataFrame, blocks: DataFrame, scope:
     f = families.groupBy(*scope).agg(F.count_distinct("family_id").alias("families"))
     b = blocks.groupBy(*scope).agg(F.count_distinct("block_index").alias("blocks"))
     return c.join(n, [*scope], "left").join(f, [*scope], "left").join(b, [*scope], "left").na.fill(0)
+
+
+def family_map(families: DataFrame, concepts: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """scope, family_id, members: from the family table (family_id, members) and from the concepts' own lists (families), in order of name."""
+    given = families.select(*scope, "family_id", F.explode("members").alias("concept"))
+    own = concepts.select(*scope, F.explode("families").alias("family_id"), "concept")
+    return given.unionByName(own.select(given.columns)).groupBy(*scope, "family_id").agg(F.sort_array(F.collect_set("concept")).alias("members"))
+
+
+def frame_index(frames: DataFrame, concepts: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """scope, concept, frame_id: the last frame (by ord) that names a known concept as member."""
+    rows = frames.select(*scope, "ord", "frame_id", F.explode("members").alias("concept")).join(concepts.select(*scope, "concept"), [*scope, "concept"], "left_semi")
+    return rows.groupBy(*scope, "concept").agg(F.max_by("frame_id", "ord").alias("frame_id"))
+
+
+def family_tree_paths(edges: DataFrame, members: DataFrame, scope: Sequence[str] = ("doc_id",), max_depth: int = 16) -> DataFrame:
+    """scope, family_id, path, depth: every way down from the roots of a family, level by level.
+
+    Roots have no parent in the family (all are, if none is one); a concept that is on its path already ends
+    it as a leaf. edges: parent, child; members: family_id, concept.
+    """
+    fam = [*scope, "family_id"]
+    inside = members.select(*fam, F.col("concept").alias("parent")).join(edges, [*scope, "parent"]).join(members.select(*fam, F.col("concept").alias("child")), [*fam, "child"], "left_semi").where("parent <> child").select(*fam, "parent", "child").distinct()
+    below = inside.select(*fam, F.col("child").alias("concept")).distinct()
+    roots = members.join(below, [*fam, "concept"], "left_anti")
+    rootless = members.join(roots.select(*fam).distinct(), fam, "left_anti")
+    now = cut(roots.unionByName(rootless.select(roots.columns)).distinct().select(*fam, F.array("concept").alias("path"), F.lit(1).alias("depth"), F.lit(True).alias("_open")))
+    levels = [now]
+    for depth in range(2, max_depth + 1):
+        down = now.where("_open").withColumn("parent", F.element_at("path", -1)).join(inside, [*fam, "parent"])
+        now = cut(down.select(*fam, F.concat("path", F.array("child")).alias("path"), F.lit(depth).alias("depth"), (~F.array_contains("path", F.col("child"))).alias("_open")))
+        if now.isEmpty():
+            break
+        levels.append(now)
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out.drop("_open")
+
+
+def evidence_chunks(concepts: DataFrame, chunks: DataFrame, scope: Sequence[str] = ("doc_id",), missing: str = "Chunk summary unavailable.") -> DataFrame:
+    """scope, concept, chunk, text of each source chunk, or a placeholder."""
+    rows = concepts.select(*scope, "concept", F.explode("source_chunks").alias("chunk"))
+    return rows.join(chunks.select(*scope, "chunk", "text"), [*scope, "chunk"], "left").withColumn("text", F.coalesce("text", F.lit(missing))).select(*scope, "concept", "chunk", "text")
+
+
+def concept_pages(concepts: DataFrame, related: DataFrame, assigned: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """scope, concept, definition (the first), n_terms, n_chunks, families, related (by rank), n_direct."""
+    key = [*scope, "concept"]
+    near = related.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "other"))), lambda x: x["other"]).alias("related"), F.count(F.when(F.col("direct") > 0, 1)).alias("n_direct"))
+    fams = assigned.groupBy(*key).agg(F.sort_array(F.collect_set("family_id")).alias("families"))
+    none = F.array().cast("array<string>")
+    one = concepts.select(*key, F.get("definitions", F.lit(0)).alias("definition"), F.size("terminology").alias("n_terms"), F.size("source_chunks").alias("n_chunks"))
+    return one.join(fams, key, "left").join(near, key, "left").withColumns({"families": F.coalesce("families", none), "related": F.coalesce("related", none), "n_direct": F.coalesce("n_direct", F.lit(0))})
+
+
+def default_book(books: DataFrame) -> DataFrame:
+    """The title with the highest volume number, of equal ones the last by name."""
+    volume = F.coalesce(F.nullif(F.regexp_extract("title", r"(?i)vol(?:ume|\.)?\s*([0-9]+)", 1), F.lit("")).cast("int"), F.lit(-1))
+    return books.agg(F.max_by("title", F.struct(volume, "title")).alias("title"))
+
+
+def blocks_for_concepts(blocks: DataFrame, concepts: DataFrame, scope: Sequence[str] = ("doc_id",), max_words: int = 6) -> DataFrame:
+    """scope, concept, block_index: blocks of a concept's chunks, or whose text names it (its runs of words are joined by equality)."""
+    from foliospark.functions.textnorm import surface
+    from foliospark.operators.families import ngrams
+
+    said = blocks.select(*scope, "block_index", F.explode(ngrams(surface(F.col("text")), 1, max_words)).alias("_g"))
+    named = concepts.select(*scope, "concept", surface(F.col("concept")).alias("_g")).join(said, [*scope, "_g"]).select(*scope, "concept", "block_index")
+    return block_concepts(blocks, concepts, scope).select(*scope, "concept", "block_index").unionByName(named).distinct()

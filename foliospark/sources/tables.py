@@ -59,7 +59,7 @@ def resolve_chunk_index(loaded: DataFrame) -> DataFrame:
 
 def load_family_catalog(catalog: DataFrame) -> DataFrame:
     """family_id, label, aliases, controlled_patterns: trimmed, without blank ids, labels and entries."""
-    full = lambda c: F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), F.trim), lambda x: x != "")
+    full = lambda c: F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")
     rows = catalog.select(F.trim("id").alias("family_id"), F.trim("label").alias("label"), full("aliases").alias("aliases"), full("controlled_patterns").alias("controlled_patterns"))
     return rows.where("family_id <> '' AND label <> ''")
 

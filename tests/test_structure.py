@@ -14,11 +14,11 @@ def texts(spark, *rows):
 
 def test_page_rules(spark):
     raw = ["Book One 1\nThe sto-\nry goes\r\non and\n\n\n\nNew.  part\t here.\n12\nLast line.\nEnd.", "", None]
-    pages = spark.createDataFrame([("b", i, t) for i, t in enumerate(raw)] + [("b", 10 + i, f"BOOK  one {i}\nText {i} stands.\nMore.\nEven more.\nfoot") for i in range(6)], "doc_id string, page_index int, raw_text string")
+    pages = spark.createDataFrame([("b", i, t) for i, t in enumerate(raw)] + [("b", 10 + i, f"BOOK  one {i}\nText {chr(97 + i) * 3} stands.\n{chr(97 + i) * 3} more.\nMid {chr(97 + i) * 3}.\nfoot") for i in range(6)], "doc_id string, page_index int, raw_text string")
     got = {r["page_index"]: r for r in P.clean_pages(pages).collect()}
     assert got[0]["clean_text"] == "The story goes on and\n\nNew. part here.\nLast line.\nEnd." and got[0]["dehyphenation_count"] == 1 and got[0]["line_merge_count"] == 1
     assert got[0]["removed_header_lines"] == 1 and got[0]["removed_page_numbers"] == 1
-    assert got[12]["clean_text"] == "Text 2 stands.\nMore.\nEven more." and got[12]["removed_footer_lines"] == 1
+    assert got[12]["clean_text"] == "Text ccc stands.\nccc more.\nMid ccc." and got[12]["removed_footer_lines"] == 1
     assert got[1]["clean_text"] == got[2]["clean_text"] == ""
     usable = P.extraction_diagnostics(P.clean_pages(pages)).first()
     assert usable["is_usable"] and usable["empty_page_count"] == 2 and usable["page_count"] == 9
