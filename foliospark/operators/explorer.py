@@ -205,3 +205,18 @@ def blocks_for_concepts(blocks: DataFrame, concepts: DataFrame, scope: Sequence[
     said = blocks.select(*scope, "block_index", F.explode(ngrams(surface(F.col("text")), 1, max_words)).alias("_g"))
     named = concepts.select(*scope, "concept", surface(F.col("concept")).alias("_g")).join(said, [*scope, "_g"]).select(*scope, "concept", "block_index")
     return block_concepts(blocks, concepts, scope).select(*scope, "concept", "block_index").unionByName(named).distinct()
+
+
+def merge_concept_maps(concepts: DataFrame, ontology: DataFrame, lists: Sequence[str], scope: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """scope, concept, display_name, node_kind and the lists of both tables: those of concepts first, each value once.
+
+    The display name is the first that isn't empty; a node_kind other than `concept` from either side counts.
+    """
+    key = [*scope, "concept"]
+    none = F.array().cast("array<string>")
+    part = lambda df, n: df.select(*[squeeze(F.lower(c)).alias(c) if c == "concept" else F.col(c) for c in key], F.lit(n).alias("_src"), F.nullif(F.trim("display_name"), F.lit("")).alias("display_name"), "node_kind", *[F.coalesce(F.col(c), none).alias(c) for c in lists])
+    rows = part(concepts, 0).unionByName(part(ontology, 1)).where("concept <> ''")
+    ordered = lambda c: F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_src", F.col(c).alias("v")))), lambda x: x["v"]))).alias(c)
+    name = F.min_by("display_name", F.when(F.col("display_name").isNotNull(), F.col("_src")))
+    kind = F.max(F.when(F.col("node_kind") != "concept", F.col("node_kind")))
+    return rows.groupBy(*key).agg(F.coalesce(name, F.first("concept")).alias("display_name"), F.coalesce(kind, F.lit("concept")).alias("node_kind"), *[ordered(c) for c in lists])

@@ -218,3 +218,54 @@ def build_prompts(chunks: DataFrame, template: str, name: str = "prompt") -> Dat
         else:
             parts.append(F.coalesce(F.to_json(piece) if kinds[piece].startswith(("array", "struct", "map")) else F.col(piece).cast("string"), F.lit("")))
     return chunks.withColumn(name, F.concat(*parts))
+
+
+#: The lists of a front-matter outline and their keys.
+OUTLINE = {
+    "family_candidates": {"name": "text!", "aliases": "list", "evidence": "list", "confidence": "share", "status": ("candidate", "accepted", "rejected")},
+    "core_concepts_expected": {"name": "text!", "evidence": "list", "priority": ("medium", "high", "low")},
+    "provisional_taxonomy": {"parent": "text!", "child": "text!", "relation_type": "text!", "confidence": "share"},
+    "normalization_hints": {"canonical": "text!", "variants": "list"},
+}
+OUTLINE_VERSION = "1.0.0"
+
+
+def outline(reply: str | None) -> dict:
+    need(bool((reply or "").strip()), "Empty LLM output")
+    try:
+        record = json.loads(balanced(reply) or "")
+    except ValueError as e:
+        raise Wrong(f"invalid JSON: {e}") from None
+    need(isinstance(record, dict), "Root JSON value must be an object")
+    extra = sorted(record.keys() - {"schema_version", "book_title", "source", "confidence_notes", *OUTLINE})
+    need(not extra, f"unexpected keys: {extra}")
+    need(record.get("schema_version", OUTLINE_VERSION) == OUTLINE_VERSION, "schema_version is unknown")
+    made: dict = {"confidence_notes": text_list(record, "confidence_notes")}
+    for field, keys in OUTLINE.items():
+        rows = record.get(field, [])
+        need(isinstance(rows, list) and all(isinstance(x, dict) for x in rows), f"{field} must be an array of objects")
+        made[field] = []
+        for i, x in enumerate(rows):
+            row: dict = {}
+            for k, kind in keys.items():
+                v = x.get(k)
+                if kind == "list":
+                    row[k] = text_list(x, k)
+                elif kind == "share":
+                    row[k] = min(1.0, max(0.0, float(v))) if isinstance(v, (int, float)) and not isinstance(v, bool) else 0.0
+                elif isinstance(kind, tuple):
+                    row[k] = v if v in kind else kind[0]
+                else:
+                    need(isinstance(v, str) and bool(v.strip()), f"{field}[{i}].{k} must be a string")
+                    row[k] = v.strip()
+            made[field].append(row)
+    return made
+
+
+def parse_front_matter(replies: DataFrame, key: str = "doc_id", column: str = "response") -> DataFrame:
+    """key, the outline's lists, confidence_notes (with the error, if it can't be read), ok, error."""
+    kinds = {"text!": "string", "list": "array<string>", "share": "double"}
+    lists = ", ".join(f"{f} array<struct<{','.join(f'{k}:{kinds.get(v, 'string') if isinstance(v, str) else 'string'}' for k, v in keys.items())}>>" for f, keys in OUTLINE.items())
+    found = parsed(replies, outline, {f: [] for f in OUTLINE} | {"confidence_notes": []}, f"{lists}, confidence_notes array<string>", key, column)
+    note = F.array(F.concat(F.lit("parse_fallback: "), F.col("error")))
+    return found.withColumn("confidence_notes", F.when(F.col("ok"), F.col("confidence_notes")).otherwise(note))

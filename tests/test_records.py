@@ -97,3 +97,30 @@ def test_relations_that_begin_with_a_word(spark):
 def test_default_book(spark):
     df = spark.createDataFrame([("Vol 2",), ("Volume 11 x",), ("no number",), (None,)], "title string")
     assert E.default_book(df).first()["title"] == "Volume 11 x"
+
+
+def test_extract_knowledge_end_to_end(spark):
+    from foliospark.operators.knowledge import extract_knowledge
+
+    text = "The ruler of the sign shows the matter in question, and its strength depends on the house. " * 12
+    chunks = spark.createDataFrame([("a", text, []), ("b", "", []), ("c", text, [])], "chunk_id string, text string, section_refs array<struct<label:string,type:string>>")
+    reply = BASE | {"concepts": ["ruler", "Ruler "], "technical_rules": ["If the ruler is strong, then the matter succeeds.", "copyright of the publisher"], "definitions": ["ruler: a planet"]}
+    got = {r["chunk_id"]: r for r in extract_knowledge(chunks, spark.createDataFrame([("a", json.dumps(reply)), ("b", json.dumps(reply)), ("c", "broken")], "chunk_id string, response string")).collect()}
+    a = got["a"]
+    assert a["parse_ok"] and a["concepts"] == ["ruler"] and a["decision"] == "extract" and a["decision_rules"][0]["outcome"] == "the matter succeeds"
+    assert a["technical_rules"] == [] and a["definitions"] == [] and "clear_editorial_technical_rules" in a["filter_actions"]
+    assert got["b"]["decision"] == "skip" and got["b"]["concepts"] == [] and not got["c"]["parse_ok"]
+
+
+def test_front_matter_replies(spark):
+    good = {"family_candidates": [{"name": " f ", "confidence": 7, "status": "odd"}], "normalization_hints": [{"canonical": "c", "variants": ["v"]}]}
+    rows = G.parse_front_matter(replies(spark, "x " + json.dumps(good), "", json.dumps({"odd": 1}), json.dumps({"provisional_taxonomy": [{"parent": "p"}]})).withColumnRenamed("chunk_id_in", "doc_id")).orderBy("doc_id").collect()
+    assert rows[0]["ok"] and rows[0]["family_candidates"][0]["confidence"] == 1.0 and rows[0]["family_candidates"][0]["status"] == "candidate"
+    assert [r["ok"] for r in rows] == [True, False, False, False] and rows[2]["confidence_notes"][0].startswith("parse_fallback")
+
+
+def test_merged_concept_maps(spark):
+    schema = "doc_id long, concept string, display_name string, node_kind string, terms array<string>"
+    a = spark.createDataFrame([(1, " A ", "", "concept", ["x", "y"])], schema)
+    b = spark.createDataFrame([(1, "a", "Alpha", "classification", ["y", "z"]), (1, "", "n", "concept", [])], schema)
+    assert [tuple(r) for r in E.merge_concept_maps(a, b, ["terms"]).collect()] == [(1, "a", "Alpha", "classification", ["x", "y", "z"])]
