@@ -194,13 +194,19 @@ class Trainer:
         docs = [once(np.array([number.setdefault(w, len(number)) for w in words_of(t)], "i8")) for t in texts]
         held = [i for i, d in enumerate(docs) if len(d)]
         self.docs, self.y = [docs[i] for i in held], np.array([labels[i] for i in held], "f4")
-        words, self.starts, grams = features(list(number))
-        seen = {"word": np.unique(words, return_inverse=True), "gram": np.unique(grams, return_inverse=True)}
-        self.rows, self.grams = seen["word"][1], seen["gram"][1]
+        names = list(number)
+        parts = [features(names[at : at + 20_000]) for at in range(0, len(names), 20_000)]
+        before = np.cumsum([0, *(len(g) for _, _, g in parts)])
+        self.starts = np.concatenate([s + n for (_, s, _), n in zip(parts, before)])
+        codes = {}
+        codes["word"], self.rows = np.unique(np.concatenate([w for w, _, _ in parts]), return_inverse=True)
+        codes["gram"], grams = np.unique(np.concatenate([g for _, _, g in parts]), return_inverse=True)
+        self.grams = grams.astype("i4")
+        del parts, grams
         self.ends = np.append(self.starts[1:], len(self.grams))
-        self.index = np.vstack([windows(d) for d in self.docs])
+        self.index = np.vstack([windows(d).astype("i4") for d in self.docs])
         self.owner = np.repeat(np.arange(len(self.docs)), [len(window_starts(len(d))) for d in self.docs])
-        self.log_odds({name: codes for name, (codes, _) in seen.items()})
+        self.log_odds(codes)
         self.squares = {k: np.full(v.shape, 1e-6, "f4") for k, v in (self.net.tables | self.net.dense).items()}
 
     def grams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -343,17 +349,21 @@ class Scorer:
         return score, counts.astype("i4"), top
 
 
-def fit(labelled: DataFrame, sample: int = 3000, seed: int = 3) -> Network | None:
-    """A Network from about `sample` rows of each class of labelled (doc_id, text, toxic), chosen by hash."""
-    rows = labelled.where("doc_id IS NOT NULL AND toxic IN (0, 1)")
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, seed: int = 3) -> Network | None:
+    """A Network from about `sample` rows of each class of labels (doc_id, toxic), chosen by hash of their ids.
+
+    The chosen ids are so few by this bound that they are broadcast to the texts of docs (doc_id, text).
+    """
+    rows = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "toxic")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return None
     rate = F.when(F.col("toxic") == 1, F.lit(min(1.0, sample / sizes[1]))).otherwise(F.lit(min(1.0, sample / sizes[0])))
-    some = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) <= rate * (1 << 30)).orderBy("doc_id", "text").select("text", "toxic").collect()
-    if len({r["toxic"] for r in some if words_of(r["text"])}) < 2:
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) <= rate * (1 << 30))
+    some = sorted((r["doc_id"], r["text"] or "", r["toxic"]) for r in docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect())
+    if len({y for _, t, y in some if words_of(t)}) < 2:
         return None
-    return Trainer([r["text"] for r in some], [r["toxic"] for r in some]).fit()
+    return Trainer([t for _, t, _ in some], [y for _, _, y in some]).fit()
 
 
 def score(docs: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:
@@ -376,5 +386,5 @@ def score(docs: DataFrame, net: Network | None, threshold: float = THRESHOLD) ->
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold("doc_id", 3) != 1)
-    found = score(docs, fit(docs.join(labels, "doc_id")))
+    found = score(docs, fit(docs, labels))
     return found.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted", "n_windows", "top_window")

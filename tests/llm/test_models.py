@@ -52,7 +52,7 @@ def toxic_sample(seed, n):
 def test_toxicity_learns_and_scores_whole_texts(spark):
     rows = toxic_sample(3, 1200)
     table = spark.createDataFrame([(i, t, y, "score") for i, t, y in rows], "doc_id long, text string, toxic int, predicted string")
-    net = T.fit(table.where("doc_id % 3 <> 0"))
+    net = T.fit(table, table.where("doc_id % 3 <> 0"))
     odd = [(-1, None), (-2, ""), (-3, "12 !!"), (None, "taro mine"), (-4, "taro mine " * 30_000 + "zork"), (-4, "taro mine " * 30_000 + "zork")]
     more = spark.createDataFrame([(i, t, None, "x") for i, t in odd], table.schema)
     got = T.score(table.unionByName(more), net).collect()
@@ -62,8 +62,8 @@ def test_toxicity_learns_and_scores_whole_texts(spark):
     assert np.mean([r["predicted"] == y for r, y in held]) > 0.97
     assert all(by[i]["score"] == 0 and by[i]["predicted"] == 0 and by[i]["n_windows"] == 0 for i in (-1, -2, -3))
     assert by[-4]["predicted"] == 1 and by[-4]["n_windows"] > 1000
-    assert {r["score"] for r in T.score(table, T.fit(table.where("toxic = 0"))).collect()} == {0.0}
-    assert T.score(table.limit(0), net).count() == 0 and T.fit(table.limit(0)) is None
+    assert {r["score"] for r in T.score(table, T.fit(table, table.where("toxic = 0"))).collect()} == {0.0}
+    assert T.score(table.limit(0), net).count() == 0 and T.fit(table, table.limit(0)) is None
 
 
 def test_toxicity_gradients():
