@@ -16,7 +16,7 @@ from foliospark.llm.decontaminate import drop_contaminated
 from foliospark.llm.language_id import keep_known_languages
 from foliospark.llm.line_dedup import dedup_lines
 from foliospark.llm.sentencepiece_codec import encode
-from foliospark.llm.simhash import drop_near_duplicates
+from foliospark.llm.similar import drop_similar
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +31,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near copies (five-word shingles, similarity of 0.8 or more) stays."""
+    return drop_similar(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,18 +22,23 @@ from .components import connected_components
 SEED = 42
 
 
-def fingerprint(text: str | None, width: int = 3) -> int:
-    """64 bits: each is set if over half of the shingles' hashes have it."""
+def shingle_hashes(text: str | None, width: int = 3) -> np.ndarray:
+    """The hash of each run of `width` words, in their order; of the whole sequence if it is shorter."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     joined = b" ".join(words)
     if len(words) <= width:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], "<u8")
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends[:-width].tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())), "<u8", len(starts))
+    return np.fromiter((digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())), "<u8", len(starts))
+
+
+def fingerprint(text: str | None, width: int = 3) -> int:
+    """64 bits: each is set if over half of the shingles' hashes have it."""
+    hashes = shingle_hashes(text, width)
     ones = np.zeros(64, "i8")
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16)].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="i8")

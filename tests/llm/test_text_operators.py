@@ -9,7 +9,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from foliospark.llm import chat_format, decontaminate, language_id, line_dedup, packing, sentencepiece_codec, simhash, token_counts
+from foliospark.llm import chat_format, decontaminate, language_id, line_dedup, packing, sentencepiece_codec, similar, simhash, token_counts
 from foliospark.llm.bpe import encoder
 
 SCHEMA = "doc_id long, text string, lang string, score string, fp string, ids string"
@@ -106,6 +106,54 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+# near copies by similarity
+def test_similar_texts_go(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [r for r in ODD if r[1] and r[1].strip()] + [(20, "two words"), (21, "Two  WORDS"), (22, "other words")]
+    for i in range(10):
+        base = prose(rng, 400).split()
+        rows.append((100 * (i + 1), " ".join(base)))
+        for j in range(1, 7):  # a chain of edits: copies of copies are further from the first
+            for at in rng.sample(range(400), 2 * j):
+                base[at] = f"edit{rng.randrange(10**6)}"
+            rows.append((100 * (i + 1) + j, " ".join(base)))
+
+    def grams(t):
+        w = t.lower().split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+    sets = [grams(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    only_similar = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                only_similar += bin(plain_fingerprint(rows[i][1]) ^ plain_fingerprint(rows[j][1])).count("1") > 2
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    assert only_similar > 10
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(i)] = min(d, least.get(root(i), d))
+    want = sorted(least.values())
+    table = docs(spark, rows)
+    from corpus_pipeline import near_dedup
+
+    for kept in (similar.drop_similar(table), near_dedup(spark, table, str(tmp_path))):
+        assert kept.columns == table.columns
+        got = [r["doc_id"] for r in kept.collect()]
+        assert sorted(d for d in got if d is not None) == want and got.count(None) == 1
+    assert similar.drop_similar(docs(spark, [])).count() == 0
+    one_id = similar.drop_similar(docs(spark, [(7, prose(rng, 60)), (7, prose(rng, 60)), (8, None), (9, "")])).collect()
+    assert sorted(r["doc_id"] for r in one_id) == [7, 7, 8]
+
+
 # line dedup
 def plain_later_copies(rows, least):
     lines = {}
