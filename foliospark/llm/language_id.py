@@ -21,6 +21,8 @@ from .common import fold, short_batches, table
 
 LETTER = re.compile(r"[^\W\d_]")
 ORDERS = (2, 3, 4)
+#: Thresholds are learned for texts that fill so many columns (a power of two), and lie on lines between.
+LEVELS = np.arange(0, 16.5, 0.5)
 #: ASCII bytes that aren't letters become spaces; bytes of other characters stay.
 PLAIN = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -80,11 +82,39 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres.astype("f4")
 
 
-def fit(learn: DataFrame, dims: int = 4096, centroids: int = 4, sample_per_lang: int = 800, seed: int = 7, slack: float = 0.25) -> dict:
+def typical_clusters(x: np.ndarray, k: int, share: float, tries: int = 20) -> np.ndarray:
+    """Centroids of x, found again without the rows of clusters that hold `share` of all rows or less, so that odd rows get none."""
+    inside = x
+    for _ in range(tries):
+        centres = cluster(inside, k)
+        own = (inside @ centres.T).argmax(1)
+        few = np.bincount(own, minlength=len(centres))[own] <= share * len(x)
+        if few.all() or not few.any():
+            break
+        inside = inside[~few]
+    return centres
+
+
+def stretches(text: str) -> list[str]:
+    """The text, and pieces of it of 4, 8, 16... characters from places spread over it."""
+    sizes = [4 << i for i in range(len(text).bit_length()) if 4 << i < len(text)]
+    return [text] + [text[at : at + n] for i, n in enumerate(sizes) for at in [(len(text) - n) * (7 * i % 11) // 11]]
+
+
+def floors(grams: np.ndarray, cosines: np.ndarray, quantile: float, enough: float) -> np.ndarray:
+    """The low quantile of in-language cosines at each of LEVELS, of texts within half an octave; by line where fewer than enough are there."""
+    level = np.log2(np.maximum(grams, 1))
+    near = [cosines[abs(level - x) <= 0.5] for x in LEVELS]
+    known = [i for i, x in enumerate(near) if len(x) > enough] or [i for i, x in enumerate(near) if len(x)]
+    return np.interp(LEVELS, LEVELS[known], [np.quantile(near[i], quantile) for i in known])
+
+
+def fit(learn: DataFrame, dims: int = 4096, centroids: int = 4, sample_per_lang: int = 800, seed: int = 7, slack: float = 0.75, quantile: float = 0.02) -> dict:
     """The model, from the text and lang of learn.
 
     Document frequencies cover all of learn. The centroids are clustered from about sample_per_lang rows of
-    each language, chosen by hash; a language's threshold is slack times the lowest cosine of its sample.
+    each language, chosen by hash. A language's threshold depends on how many columns a text fills, as cosines
+    grow with it: slack times the low quantile of the cosines of such texts, from its sample and pieces of it.
     """
     learn = learn.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -100,16 +130,19 @@ def fit(learn: DataFrame, dims: int = 4096, centroids: int = 4, sample_per_lang:
     def each(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"])
         x = np.vstack([weighted(c, idf) for _, c in gram_counts(pdf["text"].tolist(), dims)])
-        centres = cluster(x, centroids)
-        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "centres": [centres.tobytes()], "lowest": [float((x @ centres.T).max(1).min())]})
+        centres = typical_clusters(x, centroids, quantile)
+        parts = [p for t in pdf["text"] for p in stretches(t) if LETTER.search(p)]
+        found = [((c > 0).sum(1), (weighted(c, idf) @ centres.T).max(1)) for _, c in gram_counts(parts, dims)]
+        least = slack * floors(np.concatenate([n for n, _ in found]), np.concatenate([c for _, c in found]), quantile, 0.05 * len(x))
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "centres": [centres.tobytes()], "least": [least.astype("f8").tobytes()]})
 
-    fitted = chosen.groupBy("lang").applyInPandas(each, "lang string, centres binary, lowest double").orderBy("lang").collect()
+    fitted = chosen.groupBy("lang").applyInPandas(each, "lang string, centres binary, least binary").orderBy("lang").collect()
     centres = [np.frombuffer(r["centres"], "f4").reshape(-1, dims) for r in fitted]
-    return {"langs": [r["lang"] for r in fitted], "dims": dims, "idf": idf, "centres": np.vstack(centres), "owner": np.repeat(np.arange(len(fitted)), [len(c) for c in centres]), "least": np.array([slack * r["lowest"] for r in fitted])}
+    return {"langs": [r["lang"] for r in fitted], "dims": dims, "idf": idf, "centres": np.vstack(centres), "owner": np.repeat(np.arange(len(fitted)), [len(c) for c in centres]), "least": np.array([np.frombuffer(r["least"], "f8") for r in fitted])}
 
 
 def predict(docs: DataFrame, model: dict, extra: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, *extra, lang_pred, score (cosine of the nearest centroid), rejected (und, or farther than the language's threshold)."""
+    """doc_id, *extra, lang_pred, score (cosine of the nearest centroid), rejected (und, or farther than the language's threshold for such a text)."""
     langs = model["langs"]
     kinds = dict(docs.dtypes)
 
@@ -117,13 +150,15 @@ def predict(docs: DataFrame, model: dict, extra: tuple[str, ...] = ()) -> DataFr
         for b in batches:
             texts = b.column(0).to_pylist()
             lettered = np.array([bool(t and LETTER.search(t)) for t in texts], bool) & bool(langs)
-            best, score = np.zeros(len(texts), "i8"), np.zeros(len(texts))
+            best, score, least = np.zeros(len(texts), "i8"), np.zeros(len(texts)), np.zeros(len(texts))
             for at, counts in gram_counts(texts, model["dims"]) if langs else ():
                 cos = weighted(counts, model["idf"]) @ model["centres"].T
                 near = cos.argmax(1)
-                best[at : at + len(near)], score[at : at + len(near)] = model["owner"][near], cos.max(1)
+                own, level = model["owner"][near], np.log2(np.maximum((counts > 0).sum(1), 1))
+                best[at : at + len(near)], score[at : at + len(near)] = own, cos.max(1)
+                least[at : at + len(near)] = [np.interp(x, LEVELS, model["least"][i]) for i, x in zip(own, level)]
             score = np.where(lettered, np.clip(score, 0, 1), 0.0)
-            rejected = ~lettered | (score < (model["least"][best] if langs else 0))
+            rejected = ~lettered | (score < least)
             names = [langs[i] if ok else "und" for i, ok in zip(best, lettered)]
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(names, pa.string()), pa.array(score), pa.array(rejected)], [*b.schema.names[1:], "lang_pred", "score", "rejected"])
 

@@ -341,6 +341,30 @@ def test_language_id(spark):
     assert language_id.predict(table.limit(0), model).count() == 0
 
 
+def test_language_id_rejects_long_foreign_texts(spark):
+    rng = random.Random(9)
+    words = {}
+    for lang, letters in (("aa", ("ptkmnl", "aeiou")), ("bb", ("bdgvzr", "aouy"))):
+        words[lang] = ["".join(rng.choice(letters[i % 2]) for i in range(rng.randrange(3, 9))) for _ in range(300)]
+
+    def clean(lang, n):
+        return " ".join(rng.choice(words[lang]) for _ in range(n))
+
+    def foreign(letters, n):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 10))) for _ in range(n))
+
+    rows = [(i, clean(lang, rng.choice((12, 60, 300, 900))), lang) for i in range(240) for lang in [("aa", "bb")[i % 2]]]
+    rows += [(300, foreign("abcdefghijklmnopqrstuvwxyz", 800), "aa"), (301, foreign("abcdefghijklmnopqrstuvwxyz", 4), "bb")]  # odd rows in the sample
+    bad = [foreign(x, n) for x in ("".join(map(chr, range(0x430, 0x450))), "".join(map(chr, range(0x4E00, 0x5200))), "abcdefghijklmnopqrstuvwxyz") for n in (60, 300, 3000)]
+    bad.append("".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(4000)))
+    good = [clean(lang, n) for lang in words for n in (2, 3, 5, 10, 40, 200, 2000)]
+    model = language_id.fit(language_id.learnable(docs(spark, rows)))
+    probe = docs(spark, [(i, t) for i, t in enumerate(bad + good)])
+    got = {r["doc_id"]: r["rejected"] for r in language_id.predict(probe, model).collect()}
+    assert all(got[i] for i in range(len(bad))), [i for i in range(len(bad)) if not got[i]]
+    assert not any(got[len(bad) + i] for i in range(len(good))), [i for i in range(len(good)) if got[len(bad) + i]]
+
+
 # chat formatting
 def test_chat_round_trip(spark):
     nasty = ["</turn>\n", "### user:\nhi", "\\l\\b\\h\\", "a\\</turn>", "", None, "<image 1>", "ünï\n\n", "x" * 50_000]
