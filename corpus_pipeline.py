@@ -25,8 +25,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs go; n_chars follows the text."""
-    out = dedup_lines(docs, deleted=None)
+    """Later copies of repeated runs of sentences go; n_chars follows the text."""
+    out = dedup_lines(docs, deleted=None, sentences=True)
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else out
 
 

@@ -10,6 +10,9 @@ a part of m lines, 2^k <= m < 2^(k+1), is named by the ranks of its first and it
 2^k lines come from sorting the pairs of ranks of 2^(k-1) lines, so they order the suffixes to that depth:
 the parts with the same name are one interval of the suffix array, whose common prefix is that part.
 
+With `sentences` the same holds for the sentences of each line instead of whole lines, so a passage within
+lines is found as far as it consists of whole sentences; a line that keeps a sentence keeps its break.
+
 Cases: null text gives null, text that loses all its lines an empty text; null doc_ids come first; rows
 with the same id and text are one document, so none is the other's copy; an empty table gives no rows.
 Columns of docs are kept, and may have any name that doesn't begin with an underscore.
@@ -27,6 +30,14 @@ MIN_WORDS = 30
 NO_ID = -(1 << 63)
 
 
+#: Sentences keep the space or the newline after them.
+SENTENCE_ENDS = r"(?<=\n)|(?<=[.!?] )(?! *\n)|(?<=[。！？])(?!\n)"
+
+
+def units(sentences: bool) -> Column:
+    return F.split("text", SENTENCE_ENDS if sentences else "\n")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_copy": F.xxhash64("text")})
 
@@ -41,9 +52,9 @@ def shortest(words: str, at: Column, least: int, forward: bool) -> Column:
     return F.when(F.get(w, at) >= least, F.lit(1)).otherwise(many).cast("int")
 
 
-def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
+def line_rows(docs: DataFrame, min_words: int, sentences: bool = False) -> DataFrame:
     """_doc, _copy, j (index among lines that aren't blank), no (index among all lines), two hashes of the line, fore and back (lines of the shortest parts)."""
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("no"), F.trim(x).alias("line"))), lambda s: s["line"] != "")
+    lines = F.filter(F.transform(units(sentences), lambda x, i: F.struct(i.alias("no"), F.trim(x, F.lit(" \n")).alias("line"))), lambda s: s["line"] != "")
     one = keyed(docs.select("doc_id", "text")).select("_doc", "_copy", lines.alias("lines"))
     counted = one.withColumn("w", F.transform("lines", lambda s: F.length(s["line"]) - F.length(F.replace(s["line"], F.lit(" "), F.lit(""))) + 1))
     parts = F.transform(
@@ -62,9 +73,9 @@ def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(cut(names.withColumn("r", F.monotonically_increasing_id())), keys).drop(*keys)
 
 
-def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, sentences: bool = False) -> DataFrame:
     """_doc, _copy, no: the lines that a later copy of a repeated run covers."""
-    lines = cut(ranked(line_rows(docs, min_words), ["h1", "h2"]))
+    lines = cut(ranked(line_rows(docs, min_words, sentences), ["h1", "h2"]))
     where = ["_doc", "_copy"]
     parts = lines.where("fore > 0").select(*where, F.col("j").alias("s"), F.col("fore").alias("m"))
     parts = parts.unionByName(lines.where("back > 1").select(*where, (F.col("j") - F.col("back") + 1).alias("s"), F.col("back").alias("m")))
@@ -88,14 +99,27 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return covered.join(lines.select(*where, "j", "no"), [*where, "j"]).select(*where, "no").distinct()
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, deleted: str | None = "deleted") -> DataFrame:
-    """docs without later copies, and in a column named by `deleted` (instead of one of that name) the runs deleted from each text, as (first, last) line indices."""
+def kept_text(sentences: bool) -> Column:
+    """The text without the units in _deleted."""
+    if not sentences:
+        kept = F.filter(units(False), lambda x, i: ~F.exists("_deleted", lambda r: i.between(r["first"], r["last"])))
+        return F.array_join(kept, "\n")
+    pieces = units(True)
+    before = lambda r: F.get(pieces, r["first"] - 1)
+    inside = lambda r: F.exists(F.slice(pieces, r["first"] + 1, r["last"] - r["first"] + 1), lambda x: F.endswith(x, F.lit("\n")))
+    # a run that ends the line of a sentence before it leaves one newline
+    breaks = F.transform(F.filter("_deleted", lambda r: F.coalesce(~F.endswith(before(r), F.lit("\n")), F.lit(False)) & inside(r)), lambda r: r["first"])
+    gone = lambda i: F.exists("_deleted", lambda r: i.between(r["first"], r["last"]))
+    return F.array_join(F.transform(pieces, lambda x, i: F.when(~gone(i), x).when(F.array_contains(breaks, i), F.lit("\n")).otherwise(F.lit(""))), "")
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, deleted: str | None = "deleted", sentences: bool = False) -> DataFrame:
+    """docs without later copies, and in a column named by `deleted` (instead of one of that name) the runs deleted from each text, as (first, last) indices of lines or sentences."""
     where = ["_doc", "_copy"]
     order = Window.partitionBy(*where).orderBy("no")
-    runs = later_copies(docs, min_words).withColumn("_run", F.col("no") - F.row_number().over(order)).groupBy(*where, "_run").agg(F.min("no").alias("first"), F.max("no").alias("last"))
+    runs = later_copies(docs, min_words, sentences).withColumn("_run", F.col("no") - F.row_number().over(order)).groupBy(*where, "_run").agg(F.min("no").alias("first"), F.max("no").alias("last"))
     gone = runs.groupBy(*where).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("_deleted"))
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("_deleted", lambda r: i.between(r["first"], r["last"])))
-    text = F.when(F.col("_deleted").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.col("_deleted").isNull(), F.col("text")).otherwise(kept_text(sentences))
     out = keyed(docs).join(gone, where, "left")
     report = [F.coalesce("_deleted", F.array().cast("array<struct<first:int,last:int>>")).alias(deleted)] if deleted else []
     return out.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != deleted], *report)
