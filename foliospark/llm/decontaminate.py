@@ -6,7 +6,7 @@ with under t edits, and the first that doesn't ends the search for that hit. Tex
 lower case with single spaces.
 
 Cases: null or empty texts and items match nothing; items of under min_chars characters (after the spaces)
-are left out, as they'd be found by chance; an item found several times in a document is one row, for its
+match only unchanged and as whole words, as they'd be found by chance with edits; an item found several times in a document is one row, for its
 first place found; repeated rows of either table give repeated rows; an empty table gives no rows. Only
 doc_id, text and item_id, text are read.
 """
@@ -77,12 +77,17 @@ def upward(pieces: int, leaf: int) -> list[tuple[int, int]]:
     return path[::-1]
 
 
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Neither end of the stretch is within a word."""
+    return not any(0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum() for at in (start, end))
+
+
 class Matcher:
     """Finds items in texts; built in each task from the items' texts."""
 
-    def __init__(self, items: list[str], error_rate: float) -> None:
-        self.items = items
-        self.budget = [int(error_rate * len(x) + 1e-9) for x in items]
+    def __init__(self, items: list[str], error_rate: float, min_chars: int = MIN_CHARS) -> None:
+        self.items, self.min_chars = items, min_chars
+        self.budget = [int(error_rate * len(x) + 1e-9) if len(x) >= min_chars else 0 for x in items]
         self.places = [cuts(len(x), k) for x, k in zip(items, self.budget)]
         found: dict[str, list[tuple[int, int]]] = {}
         for i, at in enumerate(self.places):
@@ -96,6 +101,8 @@ class Matcher:
 
     def verify(self, text: str, start: int, i: int, leaf: int) -> tuple[int, int] | None:
         """(edits, end in text) of item i around its piece `leaf`, which begins at start."""
+        if len(self.items[i]) < self.min_chars and not whole_words(text, start, start + len(self.items[i])):
+            return None
         at, k = self.places[i], self.budget[i]
         offset, found = at[leaf], (0, start + at[leaf + 1] - at[leaf])
         for low, high in upward(k + 1, leaf):
@@ -122,17 +129,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERRO
     The items are split by hash into passes of about pass_chars characters, so that no task holds more,
     whatever the benchmark's size; each pass reads the documents once.
     """
-    tests = benchmark.where(F.length("text") >= min_chars).select("item_id", "text")
+    tests = benchmark.where(F.length("text") > 0).select("item_id", "text")
     total = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = -(-total // pass_chars) or 1
     kind = dict(benchmark.dtypes)["item_id"]
     out: DataFrame | None = None
     texts = short_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     for n in range(passes):
-        rows = [(r["item_id"], t) for r in tests.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == n).collect() if len(t := plain(r["text"])) >= min_chars]
+        rows = [(r["item_id"], t) for r in tests.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == n).collect() if (t := plain(r["text"]))]
 
         def each(batches: Iterator[pa.RecordBatch], rows: list = rows) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher([t for _, t in rows], error_rate)
+            matcher = Matcher([t for _, t in rows], error_rate, min_chars)
             for b in batches:
                 got = [(d, rows[i][0], e, end) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for i, (e, end) in matcher.matches(plain(t)).items()]
                 yield pa.RecordBatch.from_pydict({c: [g[j] for g in got] for j, c in enumerate(schema.names)}, schema)

@@ -252,6 +252,13 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_short_items_match_as_whole_words(spark):
+    bench = spark.createDataFrame([(1, "Blue whale"), (2, " 42 "), (3, ""), (4, None), (5, "(e = mc)")], "item_id long, text string")
+    rows = [(1, "It is a blue\n WHALE."), (2, "blue whales"), (3, "blue whale"), (4, "blue wale"), (5, "142 and 423"), (6, "so 42, then 42"), (7, "with (E = mc)!"), (8, None), (9, "")]
+    got = decontaminate.contaminated(docs(spark, rows), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in got) == [(1, 1, 0), (3, 1, 0), (6, 2, 0), (7, 5, 0)]
+
+
 def test_edit_end_is_the_least_distance():
     rng = random.Random(5)
     for _ in range(300):
