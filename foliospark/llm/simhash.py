@@ -45,15 +45,17 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, fp (64 bits as a signed long) of each row, from whole texts."""
+def fingerprints(docs: DataFrame, width: int = 3, copies: bool = False) -> DataFrame:
+    """doc_id, fp (64 bits as a signed long) of each row, from whole texts; with copies, _copy too: a hash of the text."""
+    more = ["_copy"] if copies else []
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, width) for t in b.column(1).to_pylist()], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], ["doc_id", "fp", *more])
 
-    return short_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(each, "doc_id long, fp long")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.xxhash64("text").alias(c) for c in more])
+    return short_batches(picked).mapInArrow(each, "doc_id long, fp long" + ", _copy long" * copies)
 
 
 def near_links(prints: DataFrame, segments: int = 2) -> DataFrame:
@@ -74,15 +76,19 @@ def near_links(prints: DataFrame, segments: int = 2) -> DataFrame:
     return met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("least"))) <= 2).select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id reachable by links of 2 bits or fewer."""
-    prints = cut(fingerprints(docs, width))
+def components_of(prints: DataFrame) -> DataFrame:
+    """fp, component (a fingerprint of its own), component_id (the smallest doc_id reachable) for each fingerprint."""
     each = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
     groups = connected_components(near_links(each))
     named = each.join(groups, each.fp == groups.node, "left").select("fp", "least_id", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    known = cut(named.join(least, "component").select("fp", "component_id"))
-    return prints.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return cut(named.join(least, "component").select("fp", "component", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id reachable by links of 2 bits or fewer."""
+    prints = cut(fingerprints(docs, width))
+    return prints.join(components_of(prints), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +100,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
 
     Rows without doc_id stay, as none of them can be named.
     """
-    found = near_duplicates(docs, width)
-    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    some = docs.join(ids, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return some.unionByName(docs.where("doc_id IS NULL"))
+    prints = cut(fingerprints(docs, width, True))
+    found = prints.where("doc_id IS NOT NULL").join(components_of(prints), "fp")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "_copy")).alias("_row")).select(F.col("_row.doc_id").alias("_kept"), F.col("_row._copy").alias("_hash"))
+    some = docs.withColumn("_copy", F.xxhash64("text")).join(first, (F.col("doc_id") == F.col("_kept")) & (F.col("_copy") == F.col("_hash")), "left_semi")
+    return some.dropDuplicates(["doc_id", "_copy"]).drop("_copy").unionByName(docs.where("doc_id IS NULL"))

@@ -106,6 +106,13 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_texts_that_share_an_id_stay(spark):
+    rng = random.Random(14)
+    one, two = prose(rng, 60), prose(rng, 60)
+    kept = simhash.drop_near_duplicates(docs(spark, [(7, one), (7, two), (8, two), (7, two)])).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(7, one), (7, two)])
+
+
 # near copies by similarity
 def test_similar_texts_go(spark, tmp_path):
     rng = random.Random(12)
