@@ -198,24 +198,6 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
 
 
-def test_passages_within_lines_go(spark, tmp_path):
-    rng = random.Random(13)
-    said = [prose(rng, 12) + ". " for _ in range(5)]
-    passage = "".join(said[:3]) + "\n" + said[3] + said[4]
-    rows = [
-        (1, "First. " + passage + "End.\nLast line"), (2, "Own start! " + passage + "Own end.\nMore"), (3, "Top\n" + passage + "\nfoot"), (4, "Lead. " + "".join(said[:3]) + "\nnext"),
-        (5, "Few. " + said[0] + "words"), (6, None), (7, ""), (8, passage),
-    ]
-    from corpus_pipeline import line_dedup as stage
-
-    table = docs(spark, rows)
-    for out in (line_dedup.dedup_lines(table, sentences=True), stage(spark, table, str(tmp_path))):
-        got = {r["doc_id"]: r["text"] for r in out.collect()}
-        assert got == {1: rows[0][1], 2: "Own start! \nOwn end.\nMore", 3: "Top\nfoot", 4: "Lead. \nnext", 5: rows[4][1], 6: None, 7: "", 8: ""}, got
-    whole = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(table).collect()}
-    assert whole[2] == rows[1][1]
-
-
 def test_line_dedup_is_native(spark):
     plan = line_dedup.dedup_lines(docs(spark, ODD))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
