@@ -1,14 +1,16 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is its words in lower case (runs of letters; one repeated in a row is read once), read in overlapping
-windows of WINDOW words; the last window ends with the text. A word's input is a learned vector of the word and pooled (mean and maximum)
+A text is its words in lower case (runs of letters), read in overlapping windows of WINDOW words; the last window ends with the text. A word's input is a learned vector of the word and pooled (mean and maximum)
 vectors of its character n-grams. A window's states are pooled by attention to one logit; a document's
 logit is that of its highest window, so its score covers the whole text.
 
 The words and n-grams with vectors are those of the sample whose log-odds between the classes are farthest
-from 0; their vectors start from these, and all others share a vector of zeros. Which windows of a document
-stand for its label is found in turns: the highest window of each, by the log-odds first and then by the
-network trained so far; the highest windows of clean documents, and some more, are learned as clean.
+from 0; all others share a vector of zeros. A vector's first component is its log-odds, the others are learned.
+The sample is split by hash into PARTS, and while the network learns, the log-odds in a document's input come
+from the other parts, so that no document shows its own label. Which windows of a document stand for its
+label is found in turns: the highest window of each, by the log-odds first and then by the network trained so
+far; the highest windows of clean documents, and some more, are learned as clean. One part isn't learned from
+but by its log-odds: on its documents the logits' scale and shift are fitted, which make them probabilities.
 
 Cases: null text and text without words score 0; rows without a doc_id or label are never learned from;
 without learned rows of both classes every score is 0; a document labelled more than once is learned as
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,10 @@ WINDOW, STRIDE = 48, 32
 ROWS, WORD_DIM, GRAM_DIM, UNITS, ATTENTION = 1 << 15, 4, 4, 8, 8
 GRAMS = (3, 4, 5)
 THRESHOLD = 0.7
-#: Documents of each class that log-odds count besides those seen.
-SMOOTH = 2.0
+#: Documents, in the proportion of the classes, that log-odds count besides those seen.
+SMOOTH = 4.0
+#: Parts of the sample; a turn takes at least so many steps; documents that halve the rate of a rare feature.
+PARTS, STEPS, RARE = 4, 24, 8
 #: Words whose projected inputs a worker remembers before it forgets all.
 REMEMBERED = 200_000
 
@@ -43,11 +48,6 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def once(ids: np.ndarray) -> np.ndarray:
-    """A word repeated in a row is read once."""
-    return ids[np.diff(ids, prepend=-1) != 0]
-
-
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code of each word, start of each word's n-grams, codes of the n-grams: their bytes)."""
     raw = [f"<{w}>".encode() for w in words]
@@ -145,11 +145,13 @@ class Network:
         at = np.minimum(np.searchsorted(known, codes), len(known) - 1) if len(known) else np.zeros(len(codes), "i8")
         return np.where(known[at] == codes, at + 1, 0) if len(known) else at
 
-    def inputs(self, rows: np.ndarray, starts: np.ndarray, grams: np.ndarray) -> np.ndarray:
-        """Input vectors of words, from the rows of their features."""
-        g = self.tables["gram"][grams]
-        counts = np.diff(np.append(starts, len(grams)))[:, None]
-        return np.hstack([self.tables["word"][rows], np.add.reduceat(g[:, :GRAM_DIM], starts) / counts, np.maximum.reduceat(g[:, GRAM_DIM:], starts)])
+    def inputs(self, rows: np.ndarray, starts: np.ndarray, grams: np.ndarray, odds: dict | None = None) -> np.ndarray:
+        """Input vectors of words, from the rows of their features; odds: other log-odds for these words and n-grams."""
+        g, counts = self.tables["gram"][grams], np.diff(np.append(starts, len(grams)))[:, None]
+        w = self.tables["word"][rows]
+        if odds is not None:
+            w[:, 0], g[:, 0], g[:, GRAM_DIM] = odds["word"], odds["gram"], odds["gram"]
+        return np.hstack([w, np.add.reduceat(g[:, :GRAM_DIM], starts) / counts, np.maximum.reduceat(g[:, GRAM_DIM:], starts)])
 
     def logits(self, p: np.ndarray, index: np.ndarray, trace: dict | None = None) -> np.ndarray:
         """A logit for each window; p: projected inputs of words, index: (windows, WINDOW) of its rows, -1 for none."""
@@ -186,27 +188,32 @@ class Network:
 
 
 class Trainer:
-    """Fits a Network to labelled texts (a bounded sample, in memory)."""
+    """Fits a Network to labelled texts (a bounded sample, in memory), each in one of PARTS parts."""
 
-    def __init__(self, texts: list[str], labels: list[int], seed: int = 5) -> None:
+    def __init__(self, texts: list[str], labels: list[int], parts: np.ndarray, seed: int = 5) -> None:
         self.net, self.rng = Network(seed), np.random.default_rng(seed)
         number: dict[str, int] = {}
-        docs = [once(np.array([number.setdefault(w, len(number)) for w in words_of(t)], "i8")) for t in texts]
+        docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], "i8") for t in texts]
         held = [i for i, d in enumerate(docs) if len(d)]
-        self.docs, self.y = [docs[i] for i in held], np.array([labels[i] for i in held], "f4")
+        self.y, self.part = np.array([labels[i] for i in held], "f4"), np.asarray(parts)[held]
         names = list(number)
-        parts = [features(names[at : at + 20_000]) for at in range(0, len(names), 20_000)]
-        before = np.cumsum([0, *(len(g) for _, _, g in parts)])
-        self.starts = np.concatenate([s + n for (_, s, _), n in zip(parts, before)])
-        codes = {}
-        codes["word"], self.rows = np.unique(np.concatenate([w for w, _, _ in parts]), return_inverse=True)
-        codes["gram"], grams = np.unique(np.concatenate([g for _, _, g in parts]), return_inverse=True)
-        self.grams = grams.astype("i4")
-        del parts, grams
-        self.ends = np.append(self.starts[1:], len(self.grams))
-        self.index = np.vstack([windows(d).astype("i4") for d in self.docs])
-        self.owner = np.repeat(np.arange(len(self.docs)), [len(window_starts(len(d))) for d in self.docs])
-        self.log_odds(codes)
+        some = [features(names[at : at + 20_000]) for at in range(0, len(names), 20_000)]
+        before = np.cumsum([0, *(len(g) for _, _, g in some)])
+        starts = np.concatenate([s + n for (_, s, _), n in zip(some, before)])
+        codes, rows = {}, {}
+        codes["word"], rows["word"] = np.unique(np.concatenate([w for w, _, _ in some]), return_inverse=True)
+        codes["gram"], rows["gram"] = np.unique(np.concatenate([g for _, _, g in some]), return_inverse=True)
+        del some
+        self.starts, self.ends = starts, np.append(starts[1:], len(rows["gram"]))
+        self.rows, self.grams = rows["word"], rows["gram"].astype("i4")
+        self.log_odds([docs[i] for i in held], codes)
+        # a kind is a word in a part: its log-odds are those of the other parts
+        kinds, inverse = np.unique(np.concatenate([docs[i] * PARTS + p for i, p in zip(held, self.part)]), return_inverse=True)
+        self.word, self.of_part = kinds // PARTS, kinds % PARTS
+        ends = np.cumsum([len(docs[i]) for i in held])
+        own = np.split(inverse, ends[:-1])
+        self.index = np.vstack([windows(d).astype("i4") for d in own])
+        self.owner = np.repeat(np.arange(len(own)), [len(window_starts(len(d))) for d in own])
         self.squares = {k: np.full(v.shape, 1e-6, "f4") for k, v in (self.net.tables | self.net.dense).items()}
 
     def grams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,33 +222,52 @@ class Trainer:
         starts = np.cumsum(sizes) - sizes
         return starts, self.grams[np.arange(sizes.sum()) - np.repeat(starts - self.starts[words], sizes)]
 
-    def log_odds(self, codes: dict[str, np.ndarray]) -> None:
-        """The tables, from documents' counts in both classes; rows and grams become rows of these."""
-        counts = {name: np.zeros((2, len(c))) for name, c in codes.items()}
-        for d, y in zip(self.docs, self.y.astype(int)):
+    def log_odds(self, docs: list[np.ndarray], codes: dict[str, np.ndarray]) -> None:
+        """The rows with vectors, their log-odds from all parts and from all but each; rows and grams become rows of these."""
+        counts = {name: np.zeros((PARTS, 2, len(c)), "f4") for name, c in codes.items()}
+        for d, part, y in zip(docs, self.part, self.y.astype(int)):
             seen = np.unique(d)
-            counts["word"][y, np.unique(self.rows[seen])] += 1
-            counts["gram"][y, np.unique(self.grams_of(seen)[1])] += 1
-        n = np.array([(self.y == 0).sum(), (self.y == 1).sum()])[:, None]
+            counts["word"][part, y, np.unique(self.rows[seen])] += 1
+            counts["gram"][part, y, np.unique(self.grams_of(seen)[1])] += 1
+        n = np.array([[((self.y == y) & (self.part == part)).sum() for y in (0, 1)] for part in range(PARTS)])
+
+        def odds(seen: np.ndarray, of: np.ndarray) -> np.ndarray:
+            share = np.log(seen / np.maximum(of, 1)[:, None] * of.sum() + SMOOTH)
+            return (share[1] - share[0]) / 4
+
+        self.odds, self.rates = {}, {}
         for name, seen in counts.items():
-            share = np.log((seen + SMOOTH) / (n + 2 * SMOOTH))
-            odds = np.where(seen.sum(0) < 3, 0, share[1] - share[0])
-            kept = np.sort(np.argsort(-np.abs(odds), kind="stable")[:ROWS])
+            every = odds(seen.sum(0), n.sum(0))
+            kept = np.sort(np.argsort(-np.abs(every), kind="stable")[:ROWS])
             self.net.codes[name] = codes[name][kept]
             table = np.zeros((len(kept) + 1, self.net.tables[name].shape[1]), "f4")
             for j in (0,) if name == "word" else (0, GRAM_DIM):
-                table[1:, j] = odds[kept] / 4
+                table[1:, j] = every[kept]
             self.net.tables[name] = table
+            self.odds[name] = np.zeros((PARTS, len(kept) + 1), "f4")
+            for part in range(PARTS):
+                self.odds[name][part, 1:] = odds(seen.sum(0)[:, kept] - seen[part][:, kept], n.sum(0) - n[part])
+            many = np.append(0, seen.sum((0, 1))[kept])
+            self.rates[name] = (many / (many + RARE)).astype("f4")[:, None]
         self.rows = self.net.rows("word", codes["word"])[self.rows]
         self.grams = self.net.rows("gram", codes["gram"])[self.grams]
 
+    def inputs_of(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(input vectors, starts of n-grams, rows of n-grams) of some kinds."""
+        words, parts = self.word[kinds], self.of_part[kinds]
+        starts, grams = self.grams_of(words)
+        sizes = np.diff(np.append(starts, len(grams)))
+        odds = {"word": self.odds["word"][parts, self.rows[words]], "gram": self.odds["gram"][np.repeat(parts, sizes), grams]}
+        return self.net.inputs(self.rows[words], starts, grams, odds), starts, grams
+
     def all_inputs(self) -> np.ndarray:
-        return self.net.inputs(self.rows, self.starts, self.grams)
+        every = np.arange(len(self.word))
+        return np.concatenate([self.inputs_of(every[at : at + 50_000])[0] for at in range(0, len(every), 50_000)])
 
     def highest(self, scores: np.ndarray) -> np.ndarray:
         """The window of each document with the highest score."""
         order = np.lexsort((np.arange(len(scores)), -scores, self.owner))
-        return order[np.searchsorted(self.owner[order], np.arange(len(self.docs)))]
+        return order[np.searchsorted(self.owner[order], np.arange(len(self.y)))]
 
     def scores(self) -> np.ndarray:
         p = self.all_inputs() @ self.net.dense["w"] + self.net.dense["b"]
@@ -252,8 +278,7 @@ class Trainer:
         used, at = np.unique(self.index[batch], return_inverse=True)
         at = at.reshape(len(batch), WINDOW) - (used[0] < 0)
         used = used[used >= 0]
-        starts, grams = self.grams_of(used)
-        x = net.inputs(self.rows[used], starts, grams)
+        x, starts, grams = self.inputs_of(used)
         trace: dict = {}
         logit = net.logits(x @ net.dense["w"] + net.dense["b"], at, trace)
         g, d_p = net.gradients(((sigmoid(logit) - y) / len(batch)).astype("f4"), trace)
@@ -271,44 +296,55 @@ class Trainer:
         for name, value in net.dense.items():
             self.squares[name] = self.squares[name] * 0.98 + 0.02 * g[name] ** 2
             value -= (0.1 * rate * g[name] / np.sqrt(self.squares[name])).astype("f4")
-        for name, rows, d in (("word", self.rows[used], d_x[:, :WORD_DIM]), ("gram", grams, np.hstack([d_mean, d_most]))):
+        for name, rows, d in (("word", self.rows[self.word[used]], d_x[:, :WORD_DIM]), ("gram", grams, np.hstack([d_mean, d_most]))):
             touched, to = np.unique(rows, return_inverse=True)
             d = np.stack([np.bincount(to, d[:, j], len(touched)) for j in range(d.shape[1])], 1)
             d[touched == 0] = 0
+            d[:, [0] if name == "word" else [0, GRAM_DIM]] = 0
             self.squares[name][touched] += (d**2).astype("f4")
-            net.tables[name][touched] -= (0.02 * rate * d / np.sqrt(self.squares[name][touched])).astype("f4")
+            net.tables[name][touched] -= self.rates[name][touched] * (0.02 * rate * d / np.sqrt(self.squares[name][touched])).astype("f4")
 
-    def fit(self, turns: int = 3, epochs: int = 2, batch: int = 512) -> Network:
+    def fit(self, turns: int = 4, epochs: int = 2, batch: int = 96) -> Network:
         x = self.all_inputs()
         of_word = np.maximum(x[:, 0], x[:, WORD_DIM + GRAM_DIM])
-        top = self.highest(np.where(self.index >= 0, of_word[self.index], -99).max(1))
         scores = np.where(self.index >= 0, of_word[self.index], -99).max(1)
+        # the last part is for calibration, if the others have both classes
+        apart = self.part == PARTS - 1
+        if len(set(self.y[~apart])) < 2 or len(set(self.y[apart])) < 2:
+            apart = np.zeros(len(self.y), bool)
+        n = int((~apart).sum())
+        top = self.highest(scores)
         for turn in range(turns):
-            clean = np.flatnonzero(self.y[self.owner] == 0)
-            hard = clean[np.argsort(-scores[clean], kind="stable")[: len(self.docs) // 2]]
-            other = self.rng.choice(clean, min(len(clean), len(self.docs) // 2), replace=False) if len(clean) else clean
-            picked = np.concatenate([top, hard, other])
+            clean = np.flatnonzero((self.y[self.owner] == 0) & ~apart[self.owner])
+            hard = clean[np.argsort(-scores[clean], kind="stable")[: n // 2]]
+            other = self.rng.choice(clean, min(len(clean), n // 2), replace=False) if len(clean) else clean
+            picked = np.concatenate([top[~apart], hard, other])
             # both classes weigh about a third or more
             toxic = picked[self.y[self.owner[picked]] == 1]
             again = max(0, (len(picked) - len(toxic)) // (2 * max(1, len(toxic))) - 1)
             picked = np.concatenate([picked, *[toxic] * again])
-            for _ in range(epochs):
+            size = min(batch, max(32, len(picked) // 16))
+            for _ in range(max(epochs, -(-STEPS * size // len(picked)))):
                 self.rng.shuffle(picked)
-                for at in range(0, len(picked), batch):
-                    self.step(picked[at : at + batch], 0.1 if turn < turns - 1 else 0.03)
+                for at in range(0, len(picked), size):
+                    self.step(picked[at : at + size], 0.1 if turn < turns - 1 else 0.03)
             scores = self.scores()
             top = self.highest(scores)
-        self.calibrate(scores[top])
+        some = apart if apart.any() else ~apart
+        self.net.scale, self.net.shift = calibrated(scores[top][some], self.y[some])
         return self.net
 
-    def calibrate(self, z: np.ndarray, rounds: int = 30) -> None:
-        """Scale and shift of documents' logits, by a ridge logistic fit."""
-        x, w = np.stack([z, np.ones_like(z)], 1).astype("f8"), np.array([1.0, 0.0])
-        for _ in range(rounds):
-            p = sigmoid(x @ w)
-            hessian = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2)
-            w = w - np.linalg.solve(hessian, x.T @ (p - self.y) + w - [1.0, 0.0])
-        self.net.scale, self.net.shift = max(float(w[0]), 0.05), float(w[1])
+
+def calibrated(z: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[float, float]:
+    """Scale and shift that make logits z probabilities of y: a logistic fit to targets that keep off 0 and 1 by the classes' sizes."""
+    mean, spread = z.mean(), max(float(z.std()), 1e-6)
+    x, w = np.stack([(z - mean) / spread, np.ones_like(z)], 1).astype("f8"), np.array([1.0, 0.0])
+    n = np.array([(y == 0).sum(), (y == 1).sum()])
+    target = np.where(y == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2))
+    for _ in range(rounds):
+        # the logistic curve is never steeper than a quarter, so these steps can't overshoot
+        w = w - np.linalg.solve(0.25 * x.T @ x + 1e-3 * np.eye(2), x.T @ (sigmoid(x @ w) - target))
+    return max(float(w[0]), 0.05) / spread, float(w[1] - w[0] * mean / spread)
 
 
 class Scorer:
@@ -329,41 +365,55 @@ class Scorer:
             p = self.net.inputs(self.net.rows("word", words), starts, self.net.rows("gram", grams)) @ self.net.dense["w"] + self.net.dense["b"]
             first = len(memory)
             if first + len(some) > len(self.projected):
-                self.projected = np.vstack([self.projected[:first], np.empty((first + 2 * len(some), 6 * UNITS), "f4")])
+                self.projected = np.vstack([self.projected[:first], np.zeros((first + 2 * len(some), 6 * UNITS), "f4")])
             self.projected[first : first + len(some)] = p
             memory.update(zip(some, range(first, first + len(some))))
-        return [once(np.fromiter((memory[w] for w in d), "i8", len(d))) for d in docs]
+        return [np.fromiter((memory[w] for w in d), "i8", len(d)) for d in docs]
 
-    def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(score, number of windows, first word of the highest window) of each text."""
+    def top_logits(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(logit of the highest window, NaN without words; number of windows; first word of that window) of each text."""
         docs = self.ids([words_of(t) for t in texts])
-        counts = np.array([len(window_starts(len(d))) for d in docs])
+        counts = np.array([len(window_starts(len(d))) for d in docs], "i4")
         index = np.vstack([np.zeros((0, WINDOW), "i8"), *map(windows, docs)]).astype("i8")
         z = np.concatenate([np.zeros(0, "f4"), *(self.net.logits(self.projected, index[at : at + 512]) for at in range(0, len(index), 512))])
-        score, top = np.zeros(len(texts)), np.zeros(len(texts), "i4")
+        logit, top = np.full(len(texts), np.nan), np.zeros(len(texts), "i4")
         ends = np.cumsum(counts)
         for i in np.flatnonzero(counts):
             own = z[ends[i] - counts[i] : ends[i]]
             best = int(own.argmax())
-            score[i], top[i] = sigmoid(self.net.scale * own[best] + self.net.shift), window_starts(len(docs[i]))[best]
-        return score, counts.astype("i4"), top
+            logit[i], top[i] = own[best], window_starts(len(docs[i]))[best]
+        return logit, counts, top
+
+    def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(score, number of windows, first word of the highest window) of each text."""
+        logit, counts, top = self.top_logits(texts)
+        return np.where(counts > 0, sigmoid(self.net.scale * np.nan_to_num(logit) + self.net.shift), 0.0), counts, top
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, seed: int = 3) -> Network | None:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, chars: int = 40_000_000, longest: int = 400_000, seed: int = 3) -> Network | None:
     """A Network from about `sample` rows of each class of labels (doc_id, toxic), chosen by hash of their ids.
 
-    The chosen ids are so few by this bound that they are broadcast to the texts of docs (doc_id, text).
+    The sample is what comes to the driver, so it is bounded: fewer are chosen if the texts of the chosen
+    ids have over `chars` characters together, and none of over `longest`. The chosen ids are so few by
+    this bound that they are broadcast to the texts of docs (doc_id, text).
     """
     rows = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "toxic")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return None
-    rate = F.when(F.col("toxic") == 1, F.lit(min(1.0, sample / sizes[1]))).otherwise(F.lit(min(1.0, sample / sizes[0])))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) <= rate * (1 << 30))
-    some = sorted((r["doc_id"], r["text"] or "", r["toxic"]) for r in docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect())
+
+    def texts(share: float) -> DataFrame:
+        rate = F.when(F.col("toxic") == 1, F.lit(share * min(1.0, sample / sizes[1]))).otherwise(F.lit(share * min(1.0, sample / sizes[0])))
+        chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) <= rate * (1 << 30))
+        return docs.where(F.length("text") <= longest).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+    got = texts(1.0).agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("n")).first()
+    share = min(1.0, chars / max(1, got["chars"] or 0), 3 * sample / max(1, got["n"]))
+    some = sorted((r["doc_id"], r["text"], r["toxic"]) for r in texts(share).collect())
     if len({y for _, t, y in some if words_of(t)}) < 2:
         return None
-    return Trainer([t for _, t, _ in some], [y for _, _, y in some]).fit()
+    parts = np.array([crc32(f"part {i}".encode()) % PARTS for i, _, _ in some])
+    return Trainer([t for _, t, _ in some], [y for _, _, y in some], parts).fit()
 
 
 def score(docs: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:

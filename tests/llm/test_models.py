@@ -2,6 +2,7 @@
 
 import importlib.util
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -66,6 +67,21 @@ def test_toxicity_learns_and_scores_whole_texts(spark):
     assert T.score(table.limit(0), net).count() == 0 and T.fit(table, table.limit(0)) is None
 
 
+@pytest.mark.parametrize(("sf", "recall", "wrong"), [("sf0.01", 0.75, 2), ("sf0.1", 0.85, 8)])
+def test_toxicity_finds_held_out_labels(spark, sf, recall, wrong):
+    # at sf0.01 4 of 18 toxic held-out documents hold none of the words or endings that make the others toxic
+    folder = f"/root/testdata/{sf}"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = T.op2_toxicity(spark, folder)
+    assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert set(rows) == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for i, r in rows.items())
+    held = [(rows[r["doc_id"]]["predicted"], r["toxic"]) for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if rows[r["doc_id"]]["held_out"]]
+    assert np.mean([p for p, y in held if y == 1]) >= recall
+    assert sum(p for p, y in held if y == 0) <= wrong
+
+
 def test_toxicity_gradients():
     rng = np.random.default_rng(4)
     net = T.Network(1)
