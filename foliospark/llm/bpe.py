@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -13,6 +14,24 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words that a worker remembers before it forgets all.
 REMEMBERED = 400_000
+#: White space but for the space and the newline.
+OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+
+
+class Remembered(dict):
+    """What `make` gives for a word; kept for short words, up to REMEMBERED."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.make(word)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(word) <= 64:
+            self[word] = found
+        return found
 
 
 class Encoder:
@@ -24,30 +43,24 @@ class Encoder:
         self.widths = np.zeros(self.size, "i8")
         for word, rank in ranks.items():
             self.widths[rank] = len(word)
-        self.memory: dict[str, bytes] = {}
+        # a word after a space, or with the newline that it begins with
+        self.memory = Remembered(lambda w: self.plain(w if w[:1] == "\n" else " " + w).tobytes())
+
+    def plain(self, text: str) -> np.ndarray:
+        return np.array(self.encoding.encode_ordinary(text), "u4")
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of the whole text as uint32, the same as encoding it at once.
 
-        A space before a character that isn't white space begins a new piece of the pattern, so a text
-        without other spaces is encoded word by word.
+        A space before a character that isn't white space begins a new piece of the pattern, and a newline
+        between such characters is a piece of its own, so a text without other spaces is encoded word by word.
         """
         if not text:
             return np.zeros(0, "u4")
-        words = text.split(" ")
-        if not all(w and not w[0].isspace() and not w[-1].isspace() for w in words):
-            return np.array(self.encoding.encode_ordinary(text), "u4")
-        memory, out = self.memory, []
-        words[1:] = [" " + w for w in words[1:]]
-        for w in words:
-            if (ids := memory.get(w)) is None:
-                ids = np.array(self.encoding.encode_ordinary(w), "u4").tobytes()
-                if len(memory) >= REMEMBERED:
-                    memory.clear()
-                if len(w) <= 64:
-                    memory[w] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), "u4")
+        if text[0] in " \n" or text[-1] in " \n" or any(two in text for two in ("  ", "\n\n", " \n", "\n ")) or any(c in text for c in OTHER_SPACES):
+            return self.plain(text)
+        first, *words = text.replace("\n", " \n").split(" ")
+        return np.frombuffer(self.plain(first).tobytes() + b"".join(map(self.memory.__getitem__, words)), "u4")
 
 
 @lru_cache(2)

@@ -1,10 +1,17 @@
 """SentencePiece ids of texts and back: an Aho-Corasick automaton over the pieces drives a Viterbi pass.
 
-A text is its characters with spaces as ▁ and one ▁ before it. Of all ways to cut it into pieces the ids
-are those with the highest sum of scores; of equal ones, at each position, that with the longest last
-piece. A character without a piece becomes the byte pieces of its UTF-8 form, at a score below any piece's.
-This is the unigram search. The shipped model was made for merging pairs, which may cut elsewhere: the ids
-here have a score as high as the merged ones or higher, and decode to the same text.
+A text is its characters with spaces as ▁ and one ▁ before it. Characters are read once; at each position the
+automaton's output links give the pieces that end there, and each relaxes the best score of that position.
+
+- A unigram model's scores are log probabilities: of all ways to cut the text the ids are those with the
+  highest sum; of equal ones, at each position, that with the longest last piece.
+- A model made by merging has ranks for scores: pairs of pieces are merged, the best rank first, so a sum of
+  ranks isn't what it maximises. A cut is the merged one exactly if each two neighbours would also be left
+  as they are if merged alone: merges within a stretch don't depend on what follows it. So a piece relaxes a
+  position only if it agrees with the last piece before it, which is one at most, and the ids are the
+  library's. Whether two pieces agree is found by merging their characters, and remembered.
+
+A character without a piece becomes the byte pieces of its UTF-8 form, at a score below any piece's.
 
 No piece holds ▁ after another character (this is checked when a model is read), so each stretch of ▁ and
 what follows it is cut on its own, and stretches seen before come from a bounded memory.
@@ -26,13 +33,12 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import REMEMBERED, Remembered
 from .common import short_batches, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*")
-#: Stretches that a worker remembers before it forgets all.
-REMEMBERED = 400_000
 
 
 class Codec:
@@ -63,7 +69,59 @@ class Codec:
             self.raw[i] = piece.replace(SPACE, " ").encode()
         for byte, i in self.byte_ids.items():
             self.raw[i] = bytes([byte])
-        self.memory: dict[str, bytes] = {}
+        self.stretches = Remembered(self.ids_of)
+        self.words = Remembered(lambda w: self.ids_of(SPACE + w))
+        self.number = {p: i for i, p in enumerate(self.pieces) if self.raw[i] == p.replace(SPACE, " ").encode() and p}
+        # ranks are the whole numbers 0, -1, -2...: a model made by merging
+        normal = [self.scores[i] for i in self.number.values() if i not in self.byte_ids.values() and self.scores[i]]
+        self.merging = bool(normal) and all(x == int(x) and x < 0 for x in normal)
+        self.agreeing: dict[tuple[int, int], bool] = {}
+
+    def merged(self, text: str) -> list[str]:
+        """The pieces that merging leaves of a short text: the best pair first, of equal ones the first."""
+        parts = list(text)
+        while True:
+            ranks = [(-self.scores[self.number[a + b]], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.number]
+            if not ranks:
+                return parts
+            _, at = min(ranks)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    def agree(self, one: int, two: int) -> bool:
+        """Whether merging the characters of two pieces together leaves these two; of the second alone after none (-1)."""
+        if (found := self.agreeing.get((one, two))) is None:
+            if len(self.agreeing) >= 4 * REMEMBERED:  # as bounded as the words
+                self.agreeing.clear()
+            pair = [self.pieces[i] for i in (one, two) if i >= 0]
+            found = self.agreeing[one, two] = self.merged("".join(pair)) == pair
+        return found
+
+    def best_merged(self, stretch: str) -> list[int]:
+        """The ids that merging gives: at each position the one piece that agrees with the last one before it."""
+        n = len(stretch)
+        back: list[tuple[int, int] | None] = [(0, -1)] + [None] * n
+        ends: list[list] = [[] for _ in range(n + 1)]
+        for last, hit in self.automaton.iter(stretch):
+            ends[last + 1].append(hit)
+        for end in range(1, n + 1):
+            for size, _, i in ends[end]:
+                before = back[end - size]
+                if before is not None and self.agree(before[1], i):
+                    back[end] = (size, i)
+                    break
+            else:
+                if stretch[end - 1] not in self.single:
+                    back[end] = (1, -1)
+        ids: list[int] = []
+        at = n
+        while at:
+            size, i = back[at]
+            if i >= 0:
+                ids.append(i)
+            else:
+                ids.extend(self.byte_ids.get(b, self.unknown) for b in reversed(stretch[at - 1].encode("utf-8", "replace")))
+            at -= size
+        return ids[::-1]
 
     def best(self, stretch: str) -> tuple[float, list[int]]:
         """The highest sum of scores and its ids."""
@@ -94,23 +152,15 @@ class Codec:
             at -= size
         return score[n], ids[::-1]
 
+    def ids_of(self, stretch: str) -> bytes:
+        return np.array(self.best_merged(stretch) if self.merging else self.best(stretch)[1], "<i4").tobytes()
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, "i4")
-        if "  " in text or SPACE in text or text[0] == " ":
-            stretches = STRETCH.findall(SPACE + text.replace(" ", SPACE))
-        else:
-            stretches = [SPACE + w for w in text.split(" ")]
-        out, memory = [], self.memory
-        for s in stretches:
-            if (ids := memory.get(s)) is None:
-                ids = np.array(self.best(s)[1], "<i4").tobytes()
-                if len(memory) >= REMEMBERED:
-                    memory.clear()
-                if len(s) <= 64:
-                    memory[s] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), "<i4")
+        if "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
+            return np.frombuffer(b"".join(map(self.stretches.__getitem__, STRETCH.findall(SPACE + text.replace(" ", SPACE)))), "<i4")
+        return np.frombuffer(b"".join(map(self.words.__getitem__, text.split(" "))), "<i4")
 
     def decode(self, ids: np.ndarray) -> str:
         raw = self.raw
@@ -131,14 +181,14 @@ def lists(parts: list[np.ndarray | None]) -> pa.ListArray:
 
 
 def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """doc_id, ids, n_tokens, restored: whether decoding the ids gives the text back (spaces stand for any ▁ in it)."""
+    """doc_id, ids, n_tokens, restored: whether decoding the ids gives the text back (not if it holds ▁, which decodes to a space)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for b in batches:
             texts = b.column(1).to_pylist()
             ids = [None if t is None else c.encode(t) for t in texts]
-            same = [None if t is None else c.decode(i) == t.replace(SPACE, " ") for t, i in zip(texts, ids)]
+            same = [None if t is None else c.decode(i) == t for t, i in zip(texts, ids)]
             counts = pa.array([None if i is None else len(i) for i in ids], pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0), lists(ids), counts, pa.array(same, pa.bool_())], ["doc_id", "ids", "n_tokens", "restored"])
 
