@@ -1,9 +1,11 @@
-"""Documents whose word shingles overlap by a given share: MinHash bands find candidates, the whole texts decide.
+"""SimHash near-dedup by similarity: fingerprints of five-word shingles find candidates, the whole texts decide.
 
 Two texts are near copies if the Jaccard similarity of their sets of five-word shingles is `least` or more.
-At 0.8 the SimHashes of two texts differ in about ten of 64 bits, often in more, so balls around a
-fingerprint don't reach such pairs; one band of `rows` minima is equal with a chance of 0.8 ** rows, and
-with 32 bands of 4 a pair at 0.8 is missed once in about 20 million.
+Candidates come from the multi-index of the SimHashes (simhash.near_links) first. At 0.8 the SimHashes of two
+texts differ in about ten of 64 bits, though, often in more, and balls that reach so far would meet most of
+the corpus. So that no such pair is lost, bands of minima of the shingle sets find further candidates: one
+band of `rows` minima is equal with a chance of 0.8 ** rows, and with 32 bands of 4 a pair at 0.8 is missed
+once in about 20 million.
 
 Texts with the same set are one node from the start. In a band's bucket each node is first compared with
 the smallest; then nodes of a bucket which aren't in one component yet are all compared with each other,
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, short_batches
 from .components import connected_components
-from .simhash import SEED, shingle_hashes
+from .simhash import SEED, kept_rows, majority, near_links, shingle_hashes
 
 WIDTH, LEAST, BANDS, ROWS = 5, 0.8, 32, 4
 
@@ -54,19 +56,20 @@ def band_keys(shingles: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.
 
 
 def sets_of(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, _copy (hash of the text), node (hash of its shingle set), keys (one a band) of each row."""
+    """doc_id, _copy (hash of the text), node (hash of its shingle set), fp (its SimHash), keys (one a band) of each row."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, keys = [], []
+            nodes, prints, keys = [], [], []
             for text in b.column(2).to_pylist():
                 found = shingle_set(text, width)
+                prints.append(majority(found))
                 nodes.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
                 keys.append(band_keys(found, bands, rows).tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(nodes, "<u8").view("<i8")), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "_copy", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(nodes, "<u8").view("<i8")), pa.array(np.array(prints, "<u8").view("<i8")), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "_copy", "node", "fp", "keys"])
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_copy"), "text")
-    return short_batches(picked).mapInArrow(each, "doc_id long, _copy long, node long, keys array<long>")
+    return short_batches(picked).mapInArrow(each, "doc_id long, _copy long, node long, fp long, keys array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
@@ -92,16 +95,23 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, least: float = LEAST, ba
     """doc_id, _copy, component of each row: rows that links of similarity `least` or more connect have one component."""
     sets = cut(sets_of(docs, width, bands, rows))
     # any row of a node stands for its text
-    row = sets.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_copy")).alias("row"), F.first("keys").alias("keys"))
-    single = row.select("node", "row.doc_id", "row._copy", "keys")
+    row = sets.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_copy")).alias("row"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
+    single = cut(row.select("node", "row.doc_id", "row._copy", "fp", "keys"))
+    # of the nodes with one fingerprint, the smallest meets the others, and the fingerprints near it
+    least_node = cut(single.groupBy("fp").agg(F.min("node").alias("least")))
+    same = single.join(least_node, "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    close = near_links(least_node).join(least_node.select(F.col("fp").alias("a"), F.col("least").alias("na")), "a").join(least_node.select(F.col("fp").alias("b"), F.col("least").alias("nb")), "b")
+    simhashed = same.unionByName(close.select(F.col("na").alias("a"), F.col("nb").alias("b")))
     entries = single.select("node", F.posexplode("keys").alias("band", "key"))
     shared = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1").drop("n")
     met = cut(entries.join(shared, ["band", "key"]))
-    ids = met.select("node").distinct().join(single.drop("keys"), "node")
+    simhashed = cut(simhashed.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    reached = met.select("node").unionByName(simhashed.select(F.col("a").alias("node"))).unionByName(simhashed.select(F.col("b").alias("node")))
+    ids = reached.distinct().join(single.drop("keys", "fp"), "node")
     keyed = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
     texts = cut(ids.join(keyed, ids.doc_id.eqNullSafe(F.col("_id")) & (ids._copy == F.col("_hash"))).select("node", "text").dropDuplicates(["node"]))
 
-    stars = met.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    stars = met.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).unionByName(simhashed).distinct()
     links = cut(verified(stars, texts, width, least))
     found = cut(connected_components(links))
     named = met.select("band", "key", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -112,7 +122,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, least: float = LEAST, ba
     more = cut(verified(rest, texts, width, least))
     if not more.isEmpty():
         found = connected_components(links.unionByName(more))
-    return sets.drop("keys").join(found, "node", "left").select("doc_id", "_copy", F.coalesce("component", "node").alias("component"))
+    return sets.drop("keys", "fp").join(found, "node", "left").select("doc_id", "_copy", F.coalesce("component", "node").alias("component"))
 
 
 def drop_similar(docs: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataFrame:
@@ -121,6 +131,5 @@ def drop_similar(docs: DataFrame, width: int = WIDTH, least: float = LEAST) -> D
     Rows without doc_id stay, as none of them can be named.
     """
     groups = similar_groups(docs, width, least).where("doc_id IS NOT NULL")
-    first = groups.groupBy("component").agg(F.min(F.struct("doc_id", "_copy")).alias("_row")).select(F.col("_row.doc_id").alias("_kept"), F.col("_row._copy").alias("_hash"))
-    some = docs.withColumn("_copy", F.xxhash64("text")).join(first, (F.col("doc_id") == F.col("_kept")) & (F.col("_copy") == F.col("_hash")), "left_semi")
-    return some.dropDuplicates(["doc_id", "_copy"]).drop("_copy").unionByName(docs.where("doc_id IS NULL"))
+    first = groups.groupBy("component").agg(F.min(F.struct("doc_id", "_copy")).alias("row"))
+    return kept_rows(docs, first.select(F.col("row.doc_id").alias("kept"), F.col("row._copy").alias("copy")))
