@@ -1,7 +1,8 @@
 """Token ids packed into rows of fixed length, best fit first in decreasing order.
 
 Documents are encoded whole; those over the row's length are split into full rows and a rest, without
-loss. Pieces are spread by hash over shards of bounded size; in a shard the longest piece goes first, each
+loss. Pieces are spread by hash over shards of about SHARD_CHARS characters; equal pieces of repeated rows are
+numbered, and spread by their numbers too; in a shard the longest piece goes first, each
 into the row with the least room that still holds it. Room is searched in a segment tree over the numbers
 of free tokens: the smallest number that is enough and has a row. A row's output is its ids (with padding),
 cumulative lengths of its segments, positions that begin anew at each segment, and its segments' origins.
@@ -14,10 +15,12 @@ doc_id and text are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +28,8 @@ from .bpe import VOCABULARY, encoder
 from .common import short_batches, table
 
 LENGTH = 2048
-#: Documents to a shard, on average.
-SHARD_DOCS = 4096
+#: Characters of texts to a shard, on average.
+SHARD_CHARS = 8_000_000
 
 
 class Rooms:
@@ -82,28 +85,34 @@ def pieces(docs: DataFrame, length: int, shards: int, path: str = VOCABULARY) ->
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
+        met: dict[int, int] = {}
         for b in batches:
-            row, piece, size, ids = [], [], [], []
-            for i, text in enumerate(b.column(1).to_pylist()):
+            row, piece, size, ids, key = [], [], [], [], []
+            for i, (doc, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 all_ids = enc.ids(text or "")
+                # the how manyth row of this task with this id and text: equal rows may be told apart in any order
+                name = xxhash.xxh64_intdigest(all_ids.tobytes(), crc32(str(doc).encode()))
+                nth = met[name] = met.get(name, -1) + 1
                 for k, at in enumerate(range(0, len(all_ids), length)):
                     part = all_ids[at : at + length]
                     row.append(i)
                     piece.append(k)
                     size.append(len(part))
                     ids.append((part.astype("<u2") if enc.size <= 1 << 16 else part.astype("<u4")).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(size, pa.int32()), pa.array(ids, pa.binary())], ["doc_id", "piece", "n", "ids"])
+                    key.append((name + nth * 0x9E3779B97F4A7C15 + k) & 0x7FFFFFFFFFFFFFFF)
+            out = [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(size, pa.int32()), pa.array(ids, pa.binary()), pa.array(key, pa.int64())]
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "piece", "n", "ids", "key"])
 
-    cut = short_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(each, "doc_id long, piece int, n int, ids binary")
-    return cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids"), F.lit(shards)).cast("int"))
+    cut = short_batches(docs.select("doc_id", "text")).mapInArrow(each, f"doc_id {dict(docs.dtypes)['doc_id']}, piece int, n int, ids binary, key long")
+    return cut.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")).drop("key")
 
 
-PACKED = "shard int, row int, ids binary, cu_seqlens array<int>, position_ids binary, doc_ids array<long>, pieces array<int>, n_tokens int"
+PACKED = "shard int, row int, ids binary, cu_seqlens array<int>, position_ids binary, doc_ids array<{}>, pieces array<int>, n_tokens int"
 
 
-def pack(docs: DataFrame, length: int = LENGTH, pad: int = 50256, shard_docs: int = SHARD_DOCS, path: str = VOCABULARY) -> DataFrame:
+def pack(docs: DataFrame, length: int = LENGTH, pad: int = 50256, shard_chars: int = SHARD_CHARS, path: str = VOCABULARY) -> DataFrame:
     """shard, row, ids (length little-endian numbers: uint16, or uint32 for larger vocabularies), cu_seqlens (from 0), position_ids (uint16 or uint32 likewise), doc_ids and pieces of the segments, n_tokens."""
-    shards = -(-docs.count() // shard_docs) or 1
+    shards = -(-(docs.agg(F.sum(F.length("text"))).first()[0] or 0) // shard_chars) or 1
 
     def each(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n", "doc_id", "piece"], ascending=[False, True, True], na_position="first")
@@ -112,7 +121,7 @@ def pack(docs: DataFrame, length: int = LENGTH, pad: int = 50256, shard_docs: in
         own = np.array(best_fit(pdf["n"].tolist(), length))
         order = np.argsort(own, kind="stable")
         sizes, ids, piece = (pdf[c].to_numpy()[order] for c in ("n", "ids", "piece"))
-        doc_ids = [None if pd.isna(d) else int(d) for d in pdf["doc_id"].to_numpy()[order]]
+        doc_ids = [None if pd.isna(d) else whole(d) for d in pdf["doc_id"].to_numpy()[order]]
         counting, padding = np.arange(length).astype(wide).tobytes(), np.full(length, pad, wide).tobytes()
         starts = np.flatnonzero(np.diff(own[order], prepend=-1)).tolist()
         out = []
@@ -125,7 +134,9 @@ def pack(docs: DataFrame, length: int = LENGTH, pad: int = 50256, shard_docs: in
         made.insert(0, "shard", pdf["shard"].iloc[0])
         return made
 
-    return pieces(docs, length, shards, path).groupBy("shard").applyInPandas(each, PACKED)
+    kind = dict(docs.dtypes)["doc_id"]
+    whole = str if kind == "string" else int
+    return pieces(docs, length, shards, path).groupBy("shard").applyInPandas(each, PACKED.format(kind))
 
 
 def op10_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
