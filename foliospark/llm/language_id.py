@@ -8,21 +8,23 @@ are read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import regex
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, short_batches, table
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 ORDERS = (2, 3, 4)
 #: Thresholds are learned for texts that fill so many columns (a power of two), and lie on lines between.
 LEVELS = np.arange(0, 16.5, 0.5)
+#: A model's centroids of so many languages fit into every task; more are an error.
+MOST_LANGS = 1000
 #: ASCII bytes that aren't letters become spaces; bytes of other characters stay.
 PLAIN = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -117,15 +119,17 @@ def fit(learn: DataFrame, dims: int = 4096, centroids: int = 4, sample_per_lang:
     grow with it: slack times the low quantile of the cosines of such texts, from its sample and pieces of it.
     """
     learn = learn.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sizes = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    named = [(r["lang"], min(1.0, sample_per_lang / r["n"])) for r in sizes.limit(MOST_LANGS + 1).collect()]
+    if len(named) > MOST_LANGS:
+        raise ValueError(f"over {MOST_LANGS} languages: a model of so many wouldn't fit into every task")
+    rates = learn.sparkSession.createDataFrame(named, "lang string, rate double")
     found = {r["bucket"]: r["n"] for r in document_frequencies(learn, dims).collect()}
-    if not sizes:
+    if not found.get(-1):
         return {"langs": [], "dims": dims}
     idf = np.log((1 + found[-1]) / (1 + np.array([found[i] for i in range(dims)]))).astype("f4") + 1
-    rate: Column = F.lit(0.0)
-    for lang, n in sizes.items():
-        rate = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_per_lang / n))).otherwise(rate)
-    chosen = learn.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) <= rate * (1 << 30)).select("lang", "doc_id", "text")
+    rated = learn.select("lang", "doc_id", "text").join(F.broadcast(rates), "lang")
+    chosen = rated.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) <= F.col("rate") * (1 << 30)).drop("rate")
 
     def each(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"])
