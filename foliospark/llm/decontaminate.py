@@ -14,14 +14,14 @@ doc_id, text and item_id, text are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import short_batches, table
+from .common import cut, short_batches, table
 
 ERROR_RATE = 0.1
 MIN_CHARS = 20
@@ -124,7 +124,7 @@ class Matcher:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, pass_chars: int = PASS_CHARS) -> DataFrame:
-    """doc_id, item_id, edits, end_char (in the compared text): each item in each document.
+    """doc_id, item_id, edits, end_char (in the document's text): each item in each document.
 
     The items are split by hash into passes of about pass_chars characters, so that no task holds more,
     whatever the benchmark's size; each pass reads the documents once.
@@ -133,20 +133,47 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERRO
     total = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = -(-total // pass_chars) or 1
     kind = dict(benchmark.dtypes)["item_id"]
-    out: DataFrame | None = None
     texts = short_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    for n in range(passes):
-        rows = [(r["item_id"], t) for r in tests.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == n).collect() if (t := plain(r["text"]))]
-
-        def each(batches: Iterator[pa.RecordBatch], rows: list = rows) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher([t for _, t in rows], error_rate, min_chars)
-            for b in batches:
-                got = [(d, rows[i][0], e, end) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for i, (e, end) in matcher.matches(plain(t)).items()]
-                yield pa.RecordBatch.from_pydict({c: [g[j] for g in got] for j, c in enumerate(schema.names)}, schema)
-
-        schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.string() if kind == "string" else pa.int64()), ("edits", pa.int32()), ("end_char", pa.int64())])
-        found = texts.mapInArrow(each, f"doc_id long, item_id {'string' if kind == 'string' else 'long'}, edits int, end_char long")
-        out = found if out is None else out.unionByName(found)
+    if passes == 1:
+        return found_by(texts, tests, kind, error_rate, min_chars)
+    # one pass at a time: its items leave the driver before the next ones come
+    parts = (tests.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == n) for n in range(passes))
+    return reduce(DataFrame.unionByName, [cut(found_by(texts, part, kind, error_rate, min_chars)) for part in parts])
+
+
+def found_by(texts: DataFrame, tests: DataFrame, kind: str, error_rate: float, min_chars: int) -> DataFrame:
+    """doc_id, item_id, edits, end_char of the items of one pass."""
+    rows = [(r["item_id"], t) for r in tests.collect() if (t := plain(r["text"]))]
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.string() if kind == "string" else pa.int64()), ("edits", pa.int32()), ("end_char", pa.int64())])
+    shared = texts.sparkSession.sparkContext.broadcast(rows)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = shared.value
+        matcher = Matcher([t for _, t in items], error_rate, min_chars)
+        for b in batches:
+            got = []
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                hits = matcher.matches(plain(text))
+                ends = places_in(text, [end for _, end in hits.values()]) if hits else {}
+                got += [(doc, items[i][0], e, ends[end]) for i, (e, end) in hits.items()]
+            yield pa.RecordBatch.from_pydict({c: [g[j] for g in got] for j, c in enumerate(schema.names)}, schema)
+
+    return texts.mapInArrow(each, f"doc_id long, item_id {'string' if kind == 'string' else 'long'}, edits int, end_char long")
+
+
+def places_in(text: str, ends: list[int]) -> dict[int, int]:
+    """Where stretches of plain(text) that end at `ends` end in the text itself."""
+    out: dict[int, int] = {}
+    todo, at, upto = sorted(set(ends), reverse=True), 0, 0
+    for word in text.split():
+        begin = text.index(word, at)
+        at, width = begin + len(word), len(word.lower())
+        while todo and todo[-1] <= upto + width + 1:
+            end = todo.pop()
+            # a letter's lower case may be longer than the letter
+            size = next((n for n in range(len(word) + 1) if len(word[:n].lower()) >= end - upto), len(word) + 1)
+            out[end] = begin + size
+        upto += width + 1
     return out
 
 
@@ -155,6 +182,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
-    """docs without the documents that hold an item; a row without doc_id stays if it can't be named."""
-    ids = contaminated(docs, benchmark, error_rate).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(ids, F.col("doc_id") == F.col("_found"), "left_anti")
+    """docs without the rows whose text holds an item, whatever their ids; columns may have any name."""
+    inner = [f"_c{i}" for i in range(len(docs.columns))]
+    named = docs.toDF(*inner).withColumn("_hash", F.xxhash64(inner[docs.columns.index("text")]))
+    # rows are told apart by their texts: a text holds an item or not
+    texts = named.select(F.col("_hash").alias("doc_id"), F.col(inner[docs.columns.index("text")]).alias("text"))
+    found = contaminated(texts, benchmark, error_rate).select(F.col("doc_id").alias("_found")).distinct()
+    return named.join(found, F.col("_hash") == F.col("_found"), "left_anti").select(*inner).toDF(*docs.columns)
