@@ -106,6 +106,35 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(("segments", "crowd"), [(2, 32), (2, 1), (3, 32), (4, 32), (4, 0), (7, 3)])
+def test_links_connect_all_pairs_within_two_bits(spark, segments, crowd):
+    rng = random.Random(16)
+    prints = {rng.getrandbits(64) for _ in range(300)} | {0, (1 << 64) - 1, 1 << 63, 1}
+    for base in list(prints)[:40]:
+        for _ in range(6):  # near ones, in chains
+            base ^= 1 << rng.randrange(64)
+            base ^= 1 << rng.randrange(64)
+            prints.add(base)
+    table = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long")
+    links = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.near_links(table, segments, crowd).collect()]
+    assert all(bin(a ^ b).count("1") <= 2 for a, b in links)
+
+    def groups(pairs):
+        parent = {p: p for p in prints}
+
+        def root(p):
+            while parent[p] != p:
+                p = parent[p]
+            return p
+
+        for a, b in pairs:
+            parent[root(a)] = root(b)
+        return {frozenset(p for p in prints if root(p) == r) for r in set(map(root, prints))}
+
+    every = [(a, b) for a in prints for b in prints if a < b and bin(a ^ b).count("1") <= 2]
+    assert groups(links) == groups(every)
+
+
 def test_texts_that_share_an_id_stay(spark):
     rng = random.Random(14)
     one, two = prose(rng, 60), prose(rng, 60)
@@ -214,6 +243,25 @@ def best_substring(pattern, text):
     return min(row)
 
 
+def best_suffix(pattern, text):
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(pattern, 1):
+        new = [i]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j - 1] + (p != t), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return row[-1]
+
+
+def test_rows_are_told_apart_by_text(spark):
+    item = "the quick brown fox jumps over the lazy dog"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    table = spark.createDataFrame([(5, "clean text of its own", 1, "x", 1), (5, f"so {item} went", 2, "y", 2), (None, item, 3, "z", 3)], "doc_id long, text string, _found int, _kept string, _hash int")
+    assert [r["_found"] for r in decontaminate.drop_contaminated(table, bench).collect()] == [1]
+    assert sorted(r["_found"] for r in simhash.drop_near_duplicates(table).collect()) == [1, 2, 3]
+    assert sorted(r["_found"] for r in similar.drop_similar(table).collect()) == [1, 2, 3]
+
+
 def test_decontamination(spark):
     rng = random.Random(4)
     items = [(i, prose(rng, rng.randrange(6, 30))) for i in range(12)] + [(50, None), (51, ""), (52, "short one"), (0, "again " + prose(rng, 8))]
@@ -234,7 +282,15 @@ def test_decontamination(spark):
                 if (e := best_substring(p, decontaminate.plain(t))) <= int(0.1 * len(p) + 1e-9):
                     want[(d, i, len(p))] = e
     assert len(want) > 20
-    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(d, i) for d, i, _ in want}
+    rows_got, text_of, item_of = got.collect(), dict(rows), {(i, len(decontaminate.plain(x))): decontaminate.plain(x) for i, x in items if x}
+    assert {(r["doc_id"], r["item_id"]) for r in rows_got} == {(d, i) for d, i, _ in want}
+    best = {}
+    for (d, i, n), e in want.items():
+        best.setdefault((d, i), []).append((e, item_of[i, n]))
+    for r in rows_got:
+        text, found = text_of[r["doc_id"]], best[r["doc_id"], r["item_id"]]
+        # the stretch that ends there is within these edits of the item
+        assert any(e <= r["edits"] <= int(0.1 * len(x) + 1e-9) and best_suffix(x, decontaminate.plain(text[: r["end_char"]])) <= r["edits"] for e, x in found)
     kept = {r["doc_id"] for r in decontaminate.drop_contaminated(docs(spark, rows), bench).collect()}
     assert kept == {d for d, _ in rows} - {d for d, _, _ in want}
     assert decontaminate.contaminated(docs(spark, []), bench).count() == 0
@@ -263,8 +319,9 @@ def test_sentencepiece_round_trip_and_best_score(spark):
     got = sentencepiece_codec.encode(docs(spark, rows)).collect()
     codec = sentencepiece_codec.codec()
     assert len(got) == len(rows)
-    for r in got:
-        assert r["restored"] in (None, True) and (r["ids"] is None) == (r["restored"] is None)
+    text_of = dict(rows)
+    for r in got:  # ▁ in a text decodes to a space, so such a text isn't restored
+        assert r["restored"] == (None if text_of[r["doc_id"]] is None else "▁" not in text_of[r["doc_id"]]) and (r["ids"] is None) == (r["restored"] is None)
     back = {r["doc_id"]: r["text"] for r in sentencepiece_codec.decode(sentencepiece_codec.encode(docs(spark, rows))).collect()}
     assert back[10] == rows[-1][1] and back[1] is None and back[2] == ""
     value = {p: codec.scores[i] for i, p in enumerate(codec.pieces) if i not in codec.byte_ids.values() and i > 2}
@@ -293,12 +350,25 @@ def test_sentencepiece_scores_reach_the_library(spark):
         assert sum(codec.scores[i] for i in ours) >= sum(codec.scores[i] for i in theirs)
 
 
+def test_sentencepiece_ids_are_the_library_s(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.MODEL)
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    rows = [(r["doc_id"], r["text"]) for r in rows] + [(-1, "a  b   c "), (-2, " lead"), (-3, "a" * 5000), (-4, "日本語 テキスト \U0001f600"), (-5, "\tq\n\nz ①x"), (-6, "▁▁ x ▁"), (-7, "xyzzy" * 900)]
+    rng = random.Random(15)
+    rows += [(-100 - i, "".join(rng.choice("abcdeinrst  ") for _ in range(200))) for i in range(50)]
+    got = {r["doc_id"]: r["ids"] for r in sentencepiece_codec.encode(docs(spark, rows)).collect()}
+    for d, t in rows:
+        assert got[d] == (None if t is None else model.encode(t)), d
+
+
 # packing
 def test_packing_is_lossless_and_best_fit(spark):
     rng = random.Random(6)
     rows = [*ODD, (7, prose(rng, 900))] + [(i, prose(rng, rng.randrange(1, 60))) for i in range(10, 80)]
     length = 64
-    got = packing.pack(docs(spark, rows), length, shard_docs=20).collect()
+    got = packing.pack(docs(spark, rows), length, shard_chars=4000).collect()
     parts, enc = {}, encoder()
     for r in got:
         ids, at, cu = np.frombuffer(r["ids"], "<u2"), np.frombuffer(r["position_ids"], "<u2"), r["cu_seqlens"]
@@ -315,6 +385,17 @@ def test_packing_is_lossless_and_best_fit(spark):
     assert packing.pack(docs(spark, [])).count() == 0
 
 
+def test_repeated_rows_are_packed_in_several_shards(spark):
+    rows = [(9, "one text that is repeated many times")] * 4000
+    got = packing.pack(docs(spark, rows).repartition(3), 64, shard_chars=20_000).collect()
+    shards = {}
+    for r in got:
+        shards[r["shard"]] = shards.get(r["shard"], 0) + len(r["doc_ids"])
+    assert sum(shards.values()) == 4000 and len(shards) == 8 and max(shards.values()) < 1000
+    named = packing.pack(docs(spark, [(1, "a b"), (2, "c")]).withColumn("doc_id", F.concat(F.lit("doc "), "doc_id"))).collect()
+    assert sorted(d for r in named for d in r["doc_ids"]) == ["doc 1", "doc 2"]
+
+
 def test_best_fit_equals_a_plain_search():
     rng = random.Random(7)
     for _ in range(200):
@@ -336,7 +417,7 @@ def test_language_id(spark):
     rng = random.Random(8)
     bags = {"aa": "kala mika tavo rilu sepo".split(), "bb": "schtum grolz pfandt wrix klotz".split(), "cc": "ouille eauxeur gnoir triste oiseau".split()}
     rows = [(i, " ".join(rng.choice(bags[lang]) for _ in range(30)), lang) for i in range(150) for lang in [sorted(bags)[i % 3]]]
-    rows += [(900, None, "aa"), (901, "", "bb"), (902, "12 34 !!", "cc"), (None, "kala mika", "aa"), (903, "tavo rilu sepo kala", None), (904, "漢字仮名交文 漢字仮名交文", None), (905, "kala " * 20_000, "aa"), (906, "kala mika", "aa"), (906, "kala mika", "aa")]
+    rows += [(900, None, "aa"), (901, "", "bb"), (902, "12 34 ²½ ① !!", "cc"), (None, "kala mika", "aa"), (903, "tavo rilu sepo kala", None), (904, "漢字仮名交文 漢字仮名交文", None), (905, "kala " * 20_000, "aa"), (906, "kala mika", "aa"), (906, "kala mika", "aa")]
     table = docs(spark, rows)
     model = language_id.fit(language_id.learnable(table), sample_per_lang=30)
     got = language_id.predict(table, model, ("lang",)).collect()
@@ -400,3 +481,18 @@ def test_chat_parts(spark):
     row = chat_format.format_chats(turns).first()
     assert row["formatted"] == "### assistant:\nsee \\lthis><image 1><audio 2><document 3></turn>\n### user:\n</turn>\n"
     assert [(a["kind"], a["ref"], a["tokens"]) for a in row["attachments"]] == [("image", "img://1", 1024), ("audio", "snd://2", 25), ("document", None, 1200)]
+
+
+def test_placeholders_are_numbered_through_the_conversation(spark):
+    image = lambda ref: ("image", None, ref, 1)
+    rows = [(1, 0, "user", [image("img://1"), ("text", "<image 1> as text", None, None)]), (1, 1, "user", [("text", "a", None, None), image("img://2"), image("img://3")])]
+    # equal turns and roles go by their texts as given, not as escaped
+    rows += [(2, 0, "user", [("text", t, None, None)]) for t in ("Za", "<a", "a")] + [(2, None, None, None)]
+    turns = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat_format.PARTS}")
+    chats = chat_format.format_chats(turns)
+    got = {r["conv_id"]: r for r in chats.collect()}
+    assert [(a["turn"], a["number"], a["ref"]) for a in got[1]["attachments"]] == [(0, 1, "img://1"), (1, 2, "img://2"), (1, 3, "img://3")]
+    back = {r["conv_id"]: r for r in chat_format.read_back(chats).collect()}
+    parts = [[(p["kind"], p["text"] if p["kind"] == "text" else p["number"]) for p in t["parts"]] for t in back[1]["turns"]]
+    assert parts == [[("image", 1), ("text", "<image 1> as text")], [("text", "a"), ("image", 2), ("image", 3)]]
+    assert [t["text"] for t in back[2]["turns"]] == ["", "<a", "Za", "a"]
