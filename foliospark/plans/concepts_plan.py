@@ -107,30 +107,67 @@ def concepts_without_family(spark: SparkSession, d: str) -> DataFrame:
     return J.unassigned_concepts(corpus_concepts(spark, d), family_assignments(spark, d))
 
 
+#: Vocabulary for the parts' names, given as data.
+TAXONOMY = T.TaxonomyRules(unsafe_heads=("rod",), groups=("ring",), axis_head="gear", axes=(("hot", "cold"), ("old", "new")))
+
+
 def taxonomy_concepts(spark: SparkSession, d: str) -> DataFrame:
-    """In each customer's book: a class `types of x` for the last word of its parts, with a relationship for each, and the parts."""
-    o = occurrences(spark, d).select("doc_id", "p_name").distinct().withColumn("head", F.element_at(F.split("p_name", " "), -1))
+    """In each customer's book the parts, and three kinds of classes over them: `types of x` and `lore of x` for the last word, `divisions of stock` for all."""
+    o = occurrences(spark, d).select("doc_id", "p_name", "chunk_index").distinct().withColumn("head", F.element_at(F.split("p_name", " "), -1))
+    none, zero = F.array().cast("array<string>"), F.array(F.lit(0).cast("long"))
+    texts = lambda *parts: F.sort_array(F.collect_set(F.concat(*parts)))
     parent = F.concat(F.lit("types of "), "head")
-    classes = o.groupBy("doc_id", parent.alias("concept")).agg(F.array(F.concat(F.min("p_name"), F.lit(": the first"))).alias("definitions"), F.sort_array(F.collect_set(F.concat(parent, F.lit(" include "), "p_name"))).alias("relationships"))
-    none = F.array().cast("array<string>")
-    return classes.unionByName(o.select("doc_id", F.col("p_name").alias("concept"), none.alias("definitions"), none.alias("relationships")))
+    chunks_ = F.sort_array(F.collect_set("chunk_index")).alias("source_chunks")
+    types = o.groupBy("doc_id", parent.alias("concept")).agg(
+        F.array(F.concat(F.min("p_name"), F.lit(": the first"))).alias("definitions"), texts(F.concat(F.lit("types of "), "head"), F.lit(" include "), "p_name").alias("relationships"), texts(F.lit("known "), "p_name").alias("terminology"), chunks_,
+    )
+    lore = o.groupBy("doc_id", F.concat(F.lit("lore of "), "head").alias("concept")).agg(texts("p_name", F.lit(": told")).alias("definitions"))
+    stock = o.groupBy("doc_id", F.lit("divisions of stock").alias("concept")).agg(texts(F.lit("divisions of stock comprise "), "p_name").alias("relationships"))
+    parts = o.groupBy("doc_id", F.col("p_name").alias("concept")).agg(chunks_)
+    full = [df.withColumns({c: none for c in ("definitions", "relationships", "terminology") if c not in df.columns} | ({} if "source_chunks" in df.columns else {"source_chunks": zero})) for df in (types, lore, stock, parts)]
+    return full[0].unionByName(full[1]).unionByName(full[2]).unionByName(full[3])
+
+
+def taxonomy_specs(spark: SparkSession, d: str) -> DataFrame:
+    """All plates may be types of plate, three at least; all rods types of rod."""
+    p = read_table(spark, d, "part").select("p_name").distinct().withColumn("head", F.element_at(F.split("p_name", " "), -1)).where("head IN ('plate', 'rod')")
+    return p.groupBy(F.concat(F.lit("types of "), "head").alias("parent")).agg(F.sort_array(F.collect_set("p_name")).alias("children"), F.when(F.first("head") == "plate", 3).otherwise(2).alias("min_children"))
 
 
 def taxonomy(spark: SparkSession, d: str) -> DataFrame:
-    c = taxonomy_concepts(spark, d)
-    return T.select_taxonomy(T.merge_candidates(T.definition_candidates(c), T.relationship_candidates(c)))
+    return T.infer_taxonomy(taxonomy_concepts(spark, d), taxonomy_specs(spark, d), rules=TAXONOMY)
 
 
 def taxonomy_decisions(spark: SparkSession, d: str) -> DataFrame:
-    return taxonomy(spark, d).select("doc_id", "parent", "child", joined("signals"), F.size("evidence").cast("long").alias("n_evidence"), "decision", "reason")
+    return taxonomy(spark, d).select("doc_id", "parent", "child", joined("signals"), joined("evidence"), joined("source_chunks"), "decision", "rejection_reason", "acceptance_reason")
+
+
+def structural_children(spark: SparkSession, d: str) -> DataFrame:
+    """Children that a spec allows, with the chunks shared and the terms that name them."""
+    found = T.structural_candidates(taxonomy_concepts(spark, d), taxonomy_specs(spark, d))
+    return found.select("doc_id", "parent", "child", "signal", "evidence", joined("source_chunks"))
+
+
+def equivalences(spark: SparkSession, d: str) -> DataFrame:
+    """`new x` is `small x`."""
+    return read_table(spark, d, "part").select(F.col("p_name").alias("name")).distinct().where("name LIKE 'new %'").select("name", F.regexp_replace("name", "^new", "small").alias("canonical"))
 
 
 def ontology_edges(spark: SparkSession, d: str) -> DataFrame:
     """Accepted links between nodes after `new x` became `small x`."""
+    same = equivalences(spark, d)
+    nodes = T.resolve_equivalences(taxonomy_concepts(spark, d), same)
+    return T.canonical_links(nodes, T.taxonomy_links(taxonomy(spark, d)), same)
+
+
+def ontology_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """The whole ontology: merged nodes, links, and two families, of which one has the name of a concept."""
     c = taxonomy_concepts(spark, d)
-    same = read_table(spark, d, "part").select(F.col("p_name").alias("name")).distinct().where("name LIKE 'new %'").select("name", F.regexp_replace("name", "^new", "small").alias("canonical"))
-    nodes = T.resolve_equivalences(c.withColumn("source_chunks", F.array(F.lit(1))), same)
-    return T.apply_taxonomy_links(nodes, T.taxonomy_links(taxonomy(spark, d)), same)
+    first = F.split("concept", " ")[0]
+    own = c.where("concept LIKE 'hot %' OR concept LIKE 'cold %'").groupBy("doc_id", F.concat(F.lit("f_"), first).alias("family_id")).agg(F.concat(F.sort_array(F.collect_set("concept")), F.array(F.lit("nobody"))).alias("members"))
+    families = own.withColumn("label", F.when(F.col("family_id") == "f_hot", "Hot things").otherwise("lore of ring"))
+    made = T.build_ontology(c, equivalences(spark, d), families, ("terminology",), True, taxonomy_specs(spark, d), rules=TAXONOMY)
+    return made.select("doc_id", "node", "node_kind", *[joined(f) for f in ("aliases", "terminology", "source_chunks", "parent_concepts", "child_concepts", "family_ids", "belongs_to_families", "family_members")])
 
 
 def block_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -185,7 +222,25 @@ part3 AS (SELECT *, row_number() OVER (PARTITION BY concept ORDER BY confidence
 hits AS (SELECT * FROM exact UNION ALL SELECT concept, family_id, source, confidence, 0 FROM part3 WHERE m <= 2 UNION ALL SELECT concept, 'fresh', 'hybrid_rule', CAST(0.95 AS DOUBLE), 1 FROM p WHERE a IN ('new', 'large')),
 ranked AS (SELECT concept, family_id, source, confidence, CAST(row_number() OVER (PARTITION BY concept ORDER BY confidence DESC, family_id) AS INTEGER) AS rank FROM hits),
 fam AS (SELECT * FROM ranked WHERE rank <= 2)"""
-TAX = OCC + """, o AS (SELECT DISTINCT doc_id, p_name AS child, split_part(p_name, ' ', 2) AS head FROM occ), f AS (SELECT *, 'types of ' || head AS parent, count(*) OVER (PARTITION BY doc_id, head) AS n, min(child) OVER (PARTITION BY doc_id, head) AS first FROM o)"""
+TAX = OCC + """, o AS (SELECT doc_id, p_name AS child, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS head, list_sort(list(DISTINCT chunk_index)) AS chunks FROM occ GROUP BY ALL),
+h AS (SELECT doc_id, head, count(*) AS n, min(child) AS first, list_sort(list_distinct(flatten(list(chunks)))) AS chunks,
+  max(CASE WHEN a IN ('hot', 'cold') THEN 1 ELSE 0 END) + max(CASE WHEN a IN ('old', 'new') THEN 1 ELSE 0 END) > 1 AS mixed FROM o GROUP BY ALL),
+b AS (SELECT o.*, h.n, h.first, h.chunks AS up, CASE WHEN h.n < 2 THEN 'family_single_child' WHEN head = 'rod' THEN 'family_unsafe_head' WHEN head = 'gear' AND h.mixed THEN 'family_mixed_axes' END AS why FROM o JOIN h USING (doc_id, head)),
+top AS (SELECT doc_id, head FROM (SELECT doc_id, head, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, head) AS k FROM (SELECT DISTINCT doc_id, head, n FROM b WHERE why IS NULL)) WHERE k = 1),
+t AS (SELECT doc_id, 'types of ' || head AS parent, child, list_filter([CASE WHEN child = first THEN 'definition_head' END, 'relationship_pattern', CASE WHEN head IN ('plate', 'rod') THEN 'structural_family_pattern' END], lambda x: x IS NOT NULL) AS signals,
+    list_filter([CASE WHEN child = first THEN child || ': the first' END, 'types of ' || head || ' include ' || child, CASE WHEN head IN ('plate', 'rod') THEN 'known ' || child END], lambda x: x IS NOT NULL) AS evidence, up AS chunks,
+    CASE WHEN head = 'plate' AND n >= 3 THEN NULL WHEN head = 'rod' AND n >= 2 THEN 'family_not_selected' ELSE why END AS rejection_reason, CASE WHEN head = 'plate' AND n >= 3 THEN 'structural_family_pattern' END AS acceptance_reason FROM b
+  UNION ALL SELECT doc_id, 'lore of ' || head, child, ['definition_head'], [child || ': told'], [0], CASE WHEN head = 'ring' AND n >= 2 THEN NULL ELSE 'parent_not_taxonomic' END, NULL FROM b
+  UNION ALL SELECT b.doc_id, 'divisions of stock', child, ['relationship_pattern'], ['divisions of stock comprise ' || child], [0], CASE WHEN why IS NOT NULL THEN why WHEN top.head IS NULL THEN 'family_not_selected' END, NULL FROM b LEFT JOIN top ON b.doc_id = top.doc_id AND b.head = top.head),
+link AS (SELECT DISTINCT doc_id, parent, regexp_replace(child, '^new', 'small') AS child FROM t WHERE rejection_reason IS NULL)"""
+ONT = TAX + """, c AS (SELECT doc_id, child AS concept, chunks, CAST([] AS VARCHAR[]) AS terms FROM o UNION ALL SELECT doc_id, 'types of ' || head, list_sort(list_distinct(flatten(list(chunks)))), list_sort(list('known ' || child)) FROM o GROUP BY doc_id, head
+  UNION ALL SELECT DISTINCT doc_id, 'lore of ' || head, [0], CAST([] AS VARCHAR[]) FROM o UNION ALL SELECT DISTINCT doc_id, 'divisions of stock', [0], CAST([] AS VARCHAR[]) FROM o),
+m AS (SELECT doc_id, regexp_replace(concept, '^new', 'small') AS node, list_sort(list(concept) FILTER (concept LIKE 'new %')) AS aliases, list_sort(list_distinct(flatten(list(chunks)))) AS chunks, flatten(list(terms)) AS terms FROM c GROUP BY ALL),
+down AS (SELECT link.doc_id, parent AS node, list_sort(list(child)) AS kids, flatten(list(m.chunks)) AS more FROM link JOIN m ON link.doc_id = m.doc_id AND link.child = m.node GROUP BY ALL),
+up AS (SELECT doc_id, child AS node, list_sort(list(parent)) AS parents FROM link GROUP BY ALL),
+fam AS (SELECT o.doc_id, CASE a WHEN 'hot' THEN 'Hot things' ELSE 'lore of ring' END AS node, 'f_' || a AS family_id, list_sort(list(child)) AS members, flatten(list(o.chunks)) AS more FROM o WHERE a IN ('hot', 'cold') GROUP BY ALL),
+x AS (SELECT coalesce(m.doc_id, fam.doc_id) AS doc_id, coalesce(m.node, fam.node) AS node, aliases, terms, list_sort(list_distinct(list_concat(coalesce(m.chunks, []), coalesce(down.more, []), coalesce(fam.more, [])))) AS chunks, parents, kids, fam.family_id, fam.members
+  FROM m FULL JOIN fam ON m.doc_id = fam.doc_id AND m.node = fam.node LEFT JOIN down ON down.doc_id = m.doc_id AND down.node = m.node LEFT JOIN up ON up.doc_id = m.doc_id AND up.node = m.node)"""
 REL = OCC + """, c AS (SELECT DISTINCT doc_id, p_name AS concept FROM occ), terms AS (SELECT DISTINCT doc_id, concept, unnest([concept, CASE WHEN concept LIKE '%s' THEN left(concept, -1) END]) AS term FROM c
   UNION SELECT DISTINCT doc_id, p_name, unnest([lower(p_type), CASE WHEN lower(p_type) LIKE '%s' THEN left(lower(p_type), -1) END]) FROM occ),
 blk AS (SELECT DISTINCT doc_id, (dense_rank() OVER (PARTITION BY doc_id ORDER BY chunk_index) - 1) // 8 AS b, p_name AS concept FROM occ),
@@ -217,8 +272,12 @@ SQL = {
     "family_assignments": CAT + "SELECT CAST(0 AS BIGINT) AS doc_id, concept, family_id, source, confidence, rank FROM fam",
     "families_with_members": CAT + "SELECT CAST(0 AS BIGINT) AS doc_id, family_id, CASE WHEN family_id LIKE 'head_%' THEN substr(family_id, 6) WHEN family_id = 'warmth' THEN 'Warmth' ELSE family_id END AS label, string_agg(concept, '|' ORDER BY concept) AS members FROM fam GROUP BY ALL",
     "concepts_without_family": CAT + "SELECT CAST(0 AS BIGINT) AS doc_id, concept FROM p WHERE concept NOT IN (SELECT concept FROM fam)",
-    "taxonomy_decisions": TAX + "SELECT doc_id, parent, child, CASE WHEN child = first THEN 'definition_head|relationship' ELSE 'relationship' END AS signals, CAST(CASE WHEN child = first THEN 2 ELSE 1 END AS BIGINT) AS n_evidence, CASE WHEN n > 1 THEN 'accepted' ELSE 'rejected' END AS decision, CASE WHEN n > 1 THEN NULL ELSE 'no_parallel_family' END AS reason FROM f",
-    "ontology_edges": TAX + "SELECT DISTINCT doc_id, parent, regexp_replace(child, '^new', 'small') AS child, 'taxonomy' AS kind FROM f WHERE n > 1",
+    "taxonomy_decisions": TAX + "SELECT doc_id, parent, child, array_to_string(signals, '|') AS signals, array_to_string(evidence, '|') AS evidence, array_to_string(chunks, '|') AS source_chunks, CASE WHEN rejection_reason IS NULL THEN 'accepted' ELSE 'rejected' END AS decision, rejection_reason, acceptance_reason FROM t",
+    "structural_children": TAX + "SELECT doc_id, 'types of ' || head AS parent, child, 'structural_family_pattern' AS signal, 'known ' || child AS evidence, array_to_string(chunks, '|') AS source_chunks FROM o WHERE head IN ('plate', 'rod')",
+    "ontology_edges": TAX + "SELECT doc_id, parent, child, 'taxonomy' AS kind FROM link",
+    "ontology_nodes": ONT + "SELECT doc_id, node, CASE WHEN family_id IS NOT NULL THEN 'family' WHEN kids IS NOT NULL THEN 'classification' WHEN parents IS NOT NULL THEN 'subconcept' ELSE 'topic' END AS node_kind, coalesce(array_to_string(aliases, '|'), '') AS aliases, coalesce(array_to_string(terms, '|'), '') AS terminology, array_to_string(chunks, '|') AS source_chunks,"
+    " array_to_string(list_concat(coalesce(parents, []), list_filter(CASE WHEN node LIKE 'hot %' THEN ['Hot things'] WHEN node LIKE 'cold %' THEN ['lore of ring'] ELSE [] END, lambda y: NOT list_contains(coalesce(parents, []), y))), '|') AS parent_concepts, array_to_string(list_concat(coalesce(kids, []), list_filter(coalesce(members, []), lambda y: NOT list_contains(coalesce(kids, []), y))), '|') AS child_concepts,"
+    " CASE WHEN family_id IS NOT NULL THEN family_id WHEN node LIKE 'hot %' THEN 'f_hot' WHEN node LIKE 'cold %' THEN 'f_cold' ELSE '' END AS family_ids, CASE WHEN node LIKE 'hot %' THEN 'Hot things' WHEN node LIKE 'cold %' THEN 'lore of ring' ELSE '' END AS belongs_to_families, coalesce(array_to_string(members, '|'), '') AS family_members FROM x",
     "related_concepts": REL + "SELECT doc_id, concept, other, direct, cooccurrence, terminology, rank FROM r WHERE rank <= 10",
     "chunk_concepts": OCC + "SELECT doc_id, chunk_index, string_agg(p_name, '|' ORDER BY p_name) AS concepts FROM (SELECT DISTINCT doc_id, chunk_index, p_name FROM occ) GROUP BY ALL",
     "signal_terms": "WITH v AS (SELECT DISTINCT p_name AS concept, unnest([p_name, 'o''' || p_name || 's', lower(p_type)]) AS t FROM part), w AS (SELECT concept, unnest([t, replace(t, '''', '')]) AS t FROM v) SELECT DISTINCT concept, unnest([t, CASE WHEN t LIKE '%s' AND length(t) > 3 THEN left(t, -1) ELSE t END]) AS term FROM w",
@@ -226,5 +285,5 @@ SQL = {
 }
 QUERIES = {f.__name__: f for f in (
     concept_names, concept_index, concept_mentions, merged_concepts, concept_table, family_assignments, families_with_members, concepts_without_family,
-    taxonomy_decisions, ontology_edges, related_concepts, chunk_concepts, signal_terms, concept_search,
+    taxonomy_decisions, structural_children, ontology_edges, ontology_nodes, related_concepts, chunk_concepts, signal_terms, concept_search,
 )}
