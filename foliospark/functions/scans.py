@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from foliospark.functions.lineage import small_batches
+
 Rows = list[dict]
 
 
@@ -29,4 +31,4 @@ def scan_groups(rows: DataFrame, keys: Sequence[str], scan: Callable[[Rows], Row
             out = [r for group in b.column(0).to_pylist() for r in scan(group)]
             yield pa.RecordBatch.from_pydict({f.name: pa.array([r[f.name] for r in out], f.type) for f in target}, target)
 
-    return packed.mapInArrow(each, kind)
+    return small_batches(packed).mapInArrow(each, kind)

@@ -203,14 +203,37 @@ def structure_quality(sections: DataFrame, stats: DataFrame, docs: DataFrame) ->
     return both.select("doc_id", "sections_generated", "unknown_ratio", "chunk_useful_type_ratio", "index_like_ratio", density.alias("section_density"), classified.alias("classified_heading_ratio"), reason.alias("reason"))
 
 
-def choose_chunking(quality: DataFrame, structural: DataFrame, windows: DataFrame, least: int = 3000) -> DataFrame:
-    """doc_id, mode (structural or legacy), reason: which chunks of a document to use, and why not the structural ones."""
+def choose_chunking(quality: DataFrame, structural: DataFrame, windows: DataFrame, least: int = 3000, problems: DataFrame | None = None) -> DataFrame:
+    """doc_id, mode (structural or legacy), reason: which chunks of a document to use, and why not the structural ones.
+
+    problems (doc_id): documents whose map isn't sound.
+    """
     small = F.greatest(F.lit(400), F.lit(least // 2))
     s = structural.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_s"), F.avg((F.length("text") < small).cast("double")).alias("_small"))
     w = windows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_w"))
-    both = quality.join(s, "doc_id", "left").join(w, "doc_id", "left").na.fill(0, ["_s", "_w", "_small"])
+    both = quality.join(s, "doc_id", "left").join(w, "doc_id", "left").na.fill(0, ["_s", "_w", "_small"]).withColumn("_bad", F.lit(False))
+    if problems is not None:
+        both = both.drop("_bad").join(problems.select("doc_id").distinct().withColumn("_bad", F.lit(True)), "doc_id", "left")
     reason = (
-        F.when(F.col("sections_generated") <= 1, "structural_map_insufficient_sections").when(F.col("reason").isNotNull(), F.col("reason"))
+        F.when(F.col("_bad"), "structural_map_invalid").when(F.col("sections_generated") <= 1, "structural_map_insufficient_sections").when(F.col("reason").isNotNull(), F.col("reason"))
         .when(F.col("_s") > 1.75 * F.greatest("_w", F.lit(1)), "postcheck_chunk_count").when(F.col("_small") > 0.35, "postcheck_small_chunk_ratio")
     )
     return both.select("doc_id", F.when(reason.isNull(), "structural").otherwise("legacy").alias("mode"), reason.alias("reason"))
+
+
+def chosen_chunks(choice: DataFrame, structural: DataFrame, windows: DataFrame) -> DataFrame:
+    """doc_id, mode, chunk_index (from 1), chunk_id, section_id, start_char, end_char, text: the chunks that choose_chunking() chose; documents it doesn't name have windows.
+
+    Structural chunks keep their ids, windows are `legacy_chunk_<n>`.
+    """
+    mode = F.coalesce("mode", F.lit("legacy"))
+    first = structural.join(choice.where("mode = 'structural'").select("doc_id"), "doc_id", "left_semi")
+    first = first.select("doc_id", F.lit("structural").alias("mode"), (F.col("chunk_index") + 1).alias("chunk_index"), "chunk_id", "section_id", "start_char", "end_char", "text")
+    other = windows.join(choice.select("doc_id", "mode"), "doc_id", "left").where(mode == "legacy")
+    other = other.select("doc_id", F.lit("legacy").alias("mode"), "chunk_index", F.concat(F.lit("legacy_chunk_"), F.col("chunk_index").cast("string")).alias("chunk_id"), F.lit(None).cast("string").alias("section_id"), "start_char", "end_char", "text")
+    return first.unionByName(other)
+
+
+def is_garbage_label(label: Column) -> Column:
+    text = strip(label)
+    return (text == "") | index_like(text) | text.rlike(r"[\^£®§¤¢¥©]")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,17 +45,17 @@ def family_list(members: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataF
     return sized.withColumn("rank", F.row_number().over(Window.partitionBy(*scope).orderBy(F.desc("n"), "label")))
 
 
-def breadcrumbs(edges: DataFrame, scope: Sequence[str] = ("doc_id",), max_depth: int = 16) -> DataFrame:
-    """scope, concept, path: from each child up by its first parent in order of name, until none or a cycle."""
+def breadcrumbs(edges: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """scope, concept, path: from each child up by its first parent in order of name, until none or a cycle, however far."""
     first = edges.groupBy(*scope, F.col("child").alias("_c")).agg(F.min("parent").alias("_p"))
     now = edges.select(*scope, F.col("child").alias("concept")).distinct().withColumns({"path": F.array("concept"), "_top": F.col("concept"), "_go": F.lit(True)})
-    for _ in range(max_depth):
+    going = True
+    while going:
         up = now.join(first.withColumnRenamed("_c", "_top"), [*scope, "_top"], "left")
         go = F.col("_go") & F.col("_p").isNotNull() & ~F.array_contains("path", F.col("_p"))
         now = up.select(*scope, "concept", F.when(go, F.concat(F.array("_p"), "path")).otherwise(F.col("path")).alias("path"), F.when(go, F.col("_p")).otherwise(F.col("_top")).alias("_top"), go.alias("_go"))
         now = cut(now)
-        if now.where("_go").isEmpty():
-            break
+        going = not now.where("_go").isEmpty()
     return now.select(*scope, "concept", "path")
 
 
@@ -105,25 +107,55 @@ def related_concepts(concepts: DataFrame, hierarchy: DataFrame, families: DataFr
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
+#: The form of a relation's text, and what its type says of the bucket; the first that fits counts.
+RELATION = r"(?i)^(?:details:\s*)?(?:from:\s*([^;]+);\s*)?(?:to:\s*([^;]+);\s*)?(?:type:\s*([^;]+))?"
+BUCKETS = (("contrasts_with", ("contrast", "oppos")), ("depends_on", ("depend", "criteria", "require")), ("used_in", ("use", "application", "assignment")))
+
+
 def parse_relations(relations: DataFrame) -> DataFrame:
-    """relations (…, text) with bucket and counterpart, of texts that begin with a relation's word."""
-    text = F.lower(F.trim("text"))
-    words = r"^(contrast\p{L}*|oppos\p{L}*|depend\p{L}*|criteria|requir\p{L}*|us(?:e|ed|age)|application|assign\p{L}*)\s+(?:with|to|on|by|in|of|for|as)?\s*(.*)$"
-    stem = F.regexp_extract(text, words, 1)
-    bucket = F.when(stem.rlike("^(contrast|oppos)"), "contrasts_with").when(stem.rlike("^(depend|criteria|requir)"), "depends_on").when(stem != "", "used_in")
-    return relations.withColumns({"bucket": bucket, "counterpart": F.nullif(F.regexp_replace(F.regexp_extract(text, words, 2), r"[.;,\s]+$", ""), F.lit(""))})
+    """relations (…, concept, text) with bucket and counterpart.
+
+    A text begins with `from: x; to: y; type: z`, each of which may be missing. The counterpart is the one
+    that isn't the concept; with neither, or in any other text, the text itself is what it is related to.
+    """
+    part = lambda n: squeeze(F.lower(F.regexp_extract("text", RELATION, n)))
+    source, target, kind = part(1), part(2), F.trim(F.lower(F.regexp_extract("text", RELATION, 3)))
+    other = F.when((source == F.col("concept")) & (target != ""), target).when(target == F.col("concept"), source).when(target != "", target).otherwise(source)
+    bucket = F.lit("related_to")
+    for name, words in reversed(BUCKETS):
+        bucket = F.when(reduce(lambda found, w: found | F.contains(kind, F.lit(w)), words, F.lit(False)), name).otherwise(bucket)
+    parsed = other != ""
+    return relations.withColumns({"bucket": F.when(parsed, bucket).otherwise("related_to"), "counterpart": F.when(parsed, other).otherwise(F.col("text"))})
+
+
+def relation_buckets(concepts: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """scope, concept, bucket, counterparts: related_concepts of the record, then its relationships by bucket, each once in order."""
+    none = F.array().cast("array<string>")
+    given = F.coalesce(F.col("related_concepts"), none) if "related_concepts" in concepts.columns else none
+    known = concepts.select(*scope, "concept", F.posexplode(F.filter(given, lambda x: x != "")).alias("at", "counterpart")).select(*scope, "concept", F.lit("related_to").alias("bucket"), F.lit(0).alias("of"), "at", "counterpart")
+    said = parse_relations(concepts.select(*scope, "concept", F.posexplode("relationships").alias("at", "text"))).select(*scope, "concept", "bucket", F.lit(1).alias("of"), "at", "counterpart")
+    key = [*scope, "concept", "bucket"]
+    once = known.unionByName(said).groupBy(*key, "counterpart").agg(F.min(F.struct("of", "at")).alias("p"))
+    own = once.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("p", "counterpart"))).alias("c"))
+    return own.select(*key, F.transform("c", lambda x: x["counterpart"]).alias("counterparts"))
+
+
+def pieces(text: Column, n: int) -> Column:
+    """The stretches of n characters of a text."""
+    return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
 
 
 def search(concepts: DataFrame, families: DataFrame, queries: DataFrame, limit: int = 25) -> DataFrame:
     """query, kind, name, rank: concepts, then families, whose names hold the query, in order of name.
 
-    queries (query) is a batch of a known size; up to 1000 are broadcast against the names.
+    Any number of queries: names meet those that begin with one of their stretches of up to three characters
+    by equality, and the whole query is looked for in what meets.
     """
-    asked = queries.select("query", squeeze(F.lower("query")).alias("_q")).where("_q <> ''").distinct()
-    if asked.count() > 1000:
-        raise ValueError("search takes batches of 1000 queries or fewer")
+    asked = queries.select("query", squeeze(F.lower("query")).alias("_q")).where("_q <> ''").distinct().withColumn("_p", F.substring("_q", 1, 3))
     names = concepts.select(F.lit(0).alias("_k"), F.col("concept").alias("name")).unionByName(families.select(F.lit(1).alias("_k"), F.col("label").alias("name"))).distinct()
-    hits = names.join(F.broadcast(asked), F.contains(F.lower("name"), F.col("_q")))
+    low = F.lower("name")
+    parts = names.withColumn("_p", F.explode(F.array_distinct(F.concat(pieces(low, 1), pieces(low, 2), pieces(low, 3)))))
+    hits = parts.join(asked, "_p").where(F.contains(F.lower("name"), F.col("_q")))
     ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("_k", "name"))).where(F.col("rank") <= limit)
     return ranked.select("query", F.when(F.col("_k") == 0, "concept").otherwise("family").alias("kind"), "name", "rank")
 
@@ -150,7 +182,7 @@ def frame_index(frames: DataFrame, concepts: DataFrame, scope: Sequence[str] = (
     return rows.groupBy(*scope, "concept").agg(F.max_by("frame_id", "ord").alias("frame_id"))
 
 
-def family_tree_paths(edges: DataFrame, members: DataFrame, scope: Sequence[str] = ("doc_id",), max_depth: int = 16) -> DataFrame:
+def family_tree_paths(edges: DataFrame, members: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
     """scope, family_id, path, depth: every way down from the roots of a family, level by level.
 
     Roots have no parent in the family (all are, if none is one); a concept that is on its path already ends
@@ -163,7 +195,7 @@ def family_tree_paths(edges: DataFrame, members: DataFrame, scope: Sequence[str]
     rootless = members.join(roots.select(*fam).distinct(), fam, "left_anti")
     now = cut(roots.unionByName(rootless.select(roots.columns)).distinct().select(*fam, F.array("concept").alias("path"), F.lit(1).alias("depth"), F.lit(True).alias("_open")))
     levels = [now]
-    for depth in range(2, max_depth + 1):
+    for depth in count(2):  # a path holds a concept once, so it ends
         down = now.where("_open").withColumn("parent", F.element_at("path", -1)).join(inside, [*fam, "parent"])
         now = cut(down.select(*fam, F.concat("path", F.array("child")).alias("path"), F.lit(depth).alias("depth"), (~F.array_contains("path", F.col("child"))).alias("_open")))
         if now.isEmpty():
@@ -182,13 +214,23 @@ def evidence_chunks(concepts: DataFrame, chunks: DataFrame, scope: Sequence[str]
 
 
 def concept_pages(concepts: DataFrame, related: DataFrame, assigned: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """scope, concept, definition (the first), n_terms, n_chunks, families, related (by rank), n_direct."""
+    """scope, concept, definition (the first), variants (the others), n_terms, n_chunks, families, related (by rank), relations by bucket (related_to, contrasts_with, depends_on, used_in), n_direct.
+
+    n_direct counts families, parents and children (parent_concepts, child_concepts if there) and all relations.
+    """
     key = [*scope, "concept"]
-    near = related.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "other"))), lambda x: x["other"]).alias("related"), F.count(F.when(F.col("direct") > 0, 1)).alias("n_direct"))
+    near = related.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "other"))), lambda x: x["other"]).alias("related"))
     fams = assigned.groupBy(*key).agg(F.sort_array(F.collect_set("family_id")).alias("families"))
+    names = ("related_to", *[b for b, _ in BUCKETS])
+    buckets = relation_buckets(concepts, scope).groupBy(*key).agg(*[F.first(F.when(F.col("bucket") == b, F.col("counterparts")), ignorenulls=True).alias(b) for b in names])
     none = F.array().cast("array<string>")
-    one = concepts.select(*key, F.get("definitions", F.lit(0)).alias("definition"), F.size("terminology").alias("n_terms"), F.size("source_chunks").alias("n_chunks"))
-    return one.join(fams, key, "left").join(near, key, "left").withColumns({"families": F.coalesce("families", none), "related": F.coalesce("related", none), "n_direct": F.coalesce("n_direct", F.lit(0))})
+    lists = lambda c: F.coalesce(F.col(c), none) if c in concepts.columns else none
+    one = concepts.select(
+        *key, F.get("definitions", F.lit(0)).alias("definition"), F.slice("definitions", 2, F.greatest(F.size("definitions"), F.lit(1))).alias("variants"),
+        F.size("terminology").alias("n_terms"), F.size("source_chunks").alias("n_chunks"), (F.size(lists("parent_concepts")) + F.size(lists("child_concepts"))).alias("_n"),
+    )
+    full = one.join(fams, key, "left").join(near, key, "left").join(buckets, key, "left").withColumns({c: F.coalesce(c, none) for c in ("families", "related", *names)})
+    return full.withColumn("n_direct", F.col("_n") + F.size("families") + sum((F.size(b) for b in names), F.lit(0))).drop("_n")
 
 
 def default_book(books: DataFrame) -> DataFrame:
@@ -197,13 +239,15 @@ def default_book(books: DataFrame) -> DataFrame:
     return books.agg(F.max_by("title", F.struct(volume, "title")).alias("title"))
 
 
-def blocks_for_concepts(blocks: DataFrame, concepts: DataFrame, scope: Sequence[str] = ("doc_id",), max_words: int = 6) -> DataFrame:
+def blocks_for_concepts(blocks: DataFrame, concepts: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
     """scope, concept, block_index: blocks of a concept's chunks, or whose text names it (its runs of words are joined by equality)."""
     from foliospark.functions.textnorm import surface
     from foliospark.operators.families import ngrams
 
-    said = blocks.select(*scope, "block_index", F.explode(ngrams(surface(F.col("text")), 1, max_words)).alias("_g"))
-    named = concepts.select(*scope, "concept", surface(F.col("concept")).alias("_g")).join(said, [*scope, "_g"]).select(*scope, "concept", "block_index")
+    names = concepts.select(*scope, "concept", surface(F.col("concept")).alias("_g")).where("_g <> ''")
+    longest = names.agg(F.max(F.size(F.split("_g", " ")))).first()[0] or 1
+    said = blocks.select(*scope, "block_index", F.explode(ngrams(surface(F.col("text")), 1, longest)).alias("_g"))
+    named = names.join(said, [*scope, "_g"]).select(*scope, "concept", "block_index")
     return block_concepts(blocks, concepts, scope).select(*scope, "concept", "block_index").unionByName(named).distinct()
 
 

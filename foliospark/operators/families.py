@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,9 +54,11 @@ def assign_families(concepts: DataFrame, catalog: DataFrame, rules: DataFrame |
     partial = ranked(ranked(phrase.unionByName(controlled).withColumn("_first", F.lit(0)), ["family_id"], 1), [], 2)
     found = exact.withColumn("_first", F.lit(0)).unionByName(partial)
     if rules is not None:
-        hits = names.select(*key, "_s").join(maybe_broadcast(rules, 1000), F.expr("_s RLIKE pattern")) if rules.limit(1001).count() <= 1000 else None
-        if hits is None:
-            raise ValueError("more than 1000 rules: give patterns as aliases instead")
+        # a rule table is a short list of patterns; each batch of them is tested inside the row, so no join is needed
+        given = [(r["pattern"], r["family_id"]) for r in rules.select("pattern", "family_id").distinct().orderBy("family_id", "pattern").toLocalIterator()]
+        tests = [F.array(*[F.when(F.col("_s").rlike(p), F.lit(f)) for p, f in given[at : at + 200]]) for at in range(0, len(given), 200)]
+        parts = [names.select(*key, F.explode(F.array_distinct(F.array_compact(t))).alias("family_id")) for t in tests]
+        hits = reduce(DataFrame.unionByName, parts) if parts else names.select(*key, F.lit("").alias("family_id")).limit(0)
         found = found.unionByName(hits.select(*key, "family_id", F.lit("hybrid_rule").alias("source"), F.lit(0.95).alias("confidence"), F.lit(1).alias("_first")))
     once = found.withColumn("_n", F.row_number().over(Window.partitionBy(*key, "family_id").orderBy("_first", F.desc("confidence")))).where("_n = 1").drop("_n")
     out = once.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("confidence"), "family_id")))

@@ -5,7 +5,7 @@ A record is a row with eight arrays of text and six of structs. All rules are co
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -247,6 +247,19 @@ def render_knowledge_text(records: DataFrame, headers: dict[str, str] = HEADERS)
     return records.withColumn("rendered", F.array_join(parts, "\n\n"))
 
 
-def knowledge_audit(records: DataFrame) -> DataFrame:
-    """The audit row of each record."""
-    return records.select("chunk_id", "chunk_type", "precheck_decision", "decision", "support_level", "decision_reasons", "confidence_profile", "semantic_items")
+#: What an audit row says of a record, and what it says if a column isn't there.
+AUDIT = {
+    "chunk_index": None, "chunk_id": None, "chunk_type": "doctrinal_text", "type_score": 0.0, "signals": None, "precheck_decision": "extract", "decision": "extract", "decision_reasons": (), "support_level": "none",
+    "weak_support": False, "confidence_profile": "medium", "reason_codes": (), "dominant_signals": None, "mixed_reason": None, "semantic_filter_actions": (), "clamp_actions": (),
+}
+
+
+def knowledge_audit(records: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """The audit row of each record: scope and the columns of AUDIT, then the number of items of each list."""
+    none = F.array().cast("array<string>")
+
+    def one(name: str, missing: object) -> Column:
+        other = none if missing == () else F.lit(missing)
+        return (F.coalesce(F.col(name), other) if missing is not None else F.col(name)).alias(name) if name in records.columns else (other.cast("string") if missing is None else other).alias(name)
+
+    return records.select(*scope, *[one(c, v) for c, v in AUDIT.items()], *[F.size(F.coalesce(F.col(c), none)).alias(f"n_{c}") for c in TEXTS if c in records.columns])

@@ -6,7 +6,7 @@ sections are ever shuffled, by doc_id. Offsets count code points from 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -273,29 +273,67 @@ def clean_sections(sections: DataFrame) -> DataFrame:
     return scan_groups(marked, ["doc_id"], scan, StructType([f for f in marked.schema if not f.name.startswith("_")]))
 
 
-def validate_document_map(headings: DataFrame, sections: DataFrame, docs: DataFrame, max_size: int = 200_000) -> DataFrame:
-    """doc_id, rule, detail: what breaks the map's rules; no rows if it is sound."""
+def validate_document_map(headings: DataFrame, sections: DataFrame, docs: DataFrame, max_size: int = 200_000, maps: DataFrame | None = None) -> DataFrame:
+    """doc_id, rule, detail: what breaks the map's rules; no rows if it is sound. maps (doc_id, text_hash): the hashes that the maps were made with."""
     n = docs.select("doc_id", F.length("text").alias("_n"))
     s, h = sections.join(n, "doc_id"), headings.join(n, "doc_id")
-    order = Window.partitionBy("doc_id").orderBy("section_index")
+    order = Window.partitionBy("doc_id").orderBy("start_char", "section_index")
     seq = s.withColumns({"_no": F.row_number().over(order) - 1, "_before": F.lag("end_char", 1, 0).over(order)})
-    last = s.groupBy("doc_id").agg(F.max("end_char").alias("_end"), F.first("_n").alias("_n"))
+    last = s.groupBy("doc_id").agg(F.max_by("end_char", "start_char").alias("_end"), F.first("_n").alias("_n"))
     broken = lambda df, rule, when, detail: df.where(when).select("doc_id", F.lit(rule).alias("rule"), F.expr(detail).cast("string").alias("detail"))
-    parts: Iterator[DataFrame] = iter((
-        broken(h, "heading_offsets", "start_char < 0 OR end_char > _n OR end_char < start_char", "index"),
+    parts = [
+        broken(h, "heading_offsets", "start_char < 0 OR end_char > _n OR end_char <= start_char", "index"),
         broken(h, "heading_score", "score < 0 OR score > 1", "index"),
         broken(h.groupBy("doc_id", "index").count(), "heading_repeated", "count > 1", "index"),
         broken(seq, "section_index", "section_index <> _no", "section_index"),
         broken(seq, "section_coverage", "start_char <> _before", "section_index"),
-        broken(seq, "section_offsets", "end_char <= start_char OR end_char > _n", "section_index"),
+        broken(seq, "section_offsets", "start_char < 0 OR end_char <= start_char OR end_char > _n", "section_index"),
         broken(seq, "section_size", f"end_char - start_char > {max_size}", "section_index"),
         broken(seq, "section_confidence", "confidence < 0 OR confidence > 1", "section_index"),
         broken(seq, "section_id", "id <> concat('section_', start_char)", "section_index"),
+        broken(seq, "section_label", "coalesce(label, '') = ''", "section_index"),
         broken(seq, "section_pages", "start_page > end_page", "section_index"),
         broken(last, "section_end", "_end <> _n", "_end"),
         broken(n.join(sections.select("doc_id").distinct(), "doc_id", "left_anti"), "section_missing", "_n > 0", "_n"),
-    ))
-    out = next(parts)
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+    ]
+    if maps is not None:
+        hashed = docs.select("doc_id", text_hash(F.col("text")).alias("_own")).join(maps.select("doc_id", "text_hash"), "doc_id", "left")
+        parts.append(broken(hashed, "text_hash", "text_hash IS NULL OR text_hash <> _own", "text_hash"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+#: What a map says of the way it was made.
+VERSION, GENERATOR = "1.0", "foliospark"
+
+
+def document_maps(docs: DataFrame, headings: DataFrame, sections: DataFrame, version: str = VERSION, generator: str = GENERATOR) -> DataFrame:
+    """doc_id, version, generator, text_hash, normalized_text_length, sections, headings, stats: one row a document; docs may have source_fingerprint.
+
+    Sections are in the order of their places, headings in that of their index; a document without any has empty arrays.
+    """
+    gather = lambda df, first: df.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(first, *[c for c in df.columns if c not in ("doc_id", first)]))).alias("x"))
+    own, told = gather(sections, "section_index").withColumnRenamed("x", "sections"), gather(headings, "index").withColumnRenamed("x", "headings")
+    fingerprint = F.col("source_fingerprint") if "source_fingerprint" in docs.columns else F.lit(None).cast("string")
+    one = docs.select("doc_id", F.lit(version).alias("version"), F.lit(generator).alias("generator"), text_hash(F.coalesce("text", F.lit(""))).alias("text_hash"), fingerprint.alias("source_fingerprint"), F.length(F.coalesce("text", F.lit(""))).alias("normalized_text_length"))
+    full = one.join(own, "doc_id", "left").join(told, "doc_id", "left")
+    full = full.withColumns({c: F.coalesce(c, F.array().cast(dict(full.dtypes)[c])) for c in ("sections", "headings")})
+    return full.withColumn("stats", map_stats(F.col("headings"), F.col("sections")))
+
+
+def map_stats(headings: Column, sections: Column) -> Column:
+    return F.struct(
+        F.size(headings).alias("heading_candidates"), F.size(F.filter(headings, lambda h: h["type"].isNotNull())).alias("classified_headings"),
+        F.size(sections).alias("sections_generated"), F.size(F.filter(sections, lambda s: s["type"] == "unknown")).alias("unknown_sections"),
+    )
+
+
+def clean_maps(maps: DataFrame) -> DataFrame:
+    """maps with their sections cleaned (clean_sections) and counted anew."""
+    flat = maps.select("doc_id", F.inline("sections"))
+    cleaned = clean_sections(flat)
+    kind = dict(maps.dtypes)["sections"]
+    columns = [c for c in flat.columns if c != "doc_id"]
+    own = cleaned.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("_s"))
+    out = maps.join(own, "doc_id", "left").withColumn("sections", F.coalesce(F.col("_s").cast(kind), F.array().cast(kind))).drop("_s")
+    counted = F.struct(F.col("stats.heading_candidates").alias("heading_candidates"), F.col("stats.classified_headings").alias("classified_headings"), *[map_stats(F.col("headings"), F.col("sections"))[c].alias(c) for c in ("sections_generated", "unknown_sections")])
+    return out.withColumn("stats", counted)

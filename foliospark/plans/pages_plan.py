@@ -73,7 +73,7 @@ def top_headings(spark: SparkSession, d: str) -> DataFrame:
 def normalized_sections(spark: SparkSession, d: str) -> DataFrame:
     """Overlapping segments of classified headings, put in order; 700 characters at most."""
     docs = books(spark, d)
-    found = S.classify_headings(S.detect_headings(docs)).where("type IS NOT NULL AND index % 2 = 0")
+    found = S.classify_headings(S.detect_headings(docs)).where("type IS NOT NULL")
     spans = found.select("doc_id", F.col("text").alias("label"), "type", "start_char", (F.col("start_char") + 400).alias("end_char"), "confidence")
     return S.normalize_sections(spans, docs, 700).withColumns({c: F.col(c).cast("long") for c in ("section_index", "start_char", "end_char")})
 
@@ -219,7 +219,7 @@ SELECT * EXCLUDE (alpha), unusable_reason IS NULL AS is_usable FROM q""".replace
     "heading_classes": BOOK_SQL + "SELECT doc_id, index, type, CAST(confidence AS DOUBLE) AS confidence FROM t",
     "top_headings": BOOK_SQL + "SELECT doc_id, index, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, index) AS r FROM h) WHERE r <= 3",
     "normalized_sections": BOOK_SQL
-    + """, v AS (SELECT t.doc_id, t.text AS label, type, start_char AS s0, least(start_char + 400, length(docs.text)) AS e, confidence FROM t JOIN docs USING (doc_id) WHERE type IS NOT NULL AND index % 2 = 0),
+    + """, v AS (SELECT t.doc_id, t.text AS label, type, start_char AS s0, least(start_char + 400, length(docs.text)) AS e, confidence FROM t JOIN docs USING (doc_id) WHERE type IS NOT NULL),
 o AS (SELECT *, greatest(s0, coalesce(max(e) OVER (PARTITION BY doc_id ORDER BY s0, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS s FROM v),
 f AS (SELECT * FROM o WHERE e > s),
 gaps AS (SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS a, s AS b FROM f UNION ALL SELECT docs.doc_id, coalesce(m, 0), length(text) FROM docs LEFT JOIN (SELECT doc_id, max(e) AS m FROM f GROUP BY 1) USING (doc_id)),

@@ -50,6 +50,16 @@ def record_decisions(spark: SparkSession, d: str) -> DataFrame:
     return r.select("chunk_id", "decision", "support_level", joined("decision_reasons"))
 
 
+def audit_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Audit rows of the decided records; what isn't there has its default."""
+    a = H.knowledge_audit(H.decision_policy(records(spark, d)))
+    return a.select("chunk_id", "chunk_type", "precheck_decision", "decision", "support_level", joined("decision_reasons"), "confidence_profile", "weak_support", joined("clamp_actions"), *[F.col(f"n_{c}").cast("long").alias(f"n_{c}") for c in ("concepts", "definitions", "technical_rules", "terminology")])
+
+
+def rendered_records(spark: SparkSession, d: str) -> DataFrame:
+    return H.render_knowledge_text(records(spark, d)).select("chunk_id", "rendered")
+
+
 def normalized_records(spark: SparkSession, d: str) -> DataFrame:
     """The whole normalisation; its steps are tested one by one."""
     r = H.normalize_records(records(spark, d))
@@ -77,6 +87,13 @@ R = r"""WITH r AS (SELECT p_partkey AS chunk_id, p_partkey AS k, p_name, [p_name
   ['If ' || p_type || ', then ' || p_name || '.', 'si ' || p_brand || ', the hen ' || p_name, 'IF ' || p_type || ' , THEN ' || p_name, p_name || ' is of license ' || p_brand, 'contemporary use of ' || p_name, 'modern house of ' || p_name][1:p_partkey % 7] AS technical_rules,
   ['all rights reserved by ' || p_brand][1:p_partkey % 2] AS procedures, p_type, p_brand, least(p_partkey % 11, 10) AS n_terms, ['some doubt of ' || p_name, 'Some  Doubt of ' || p_name][1:p_partkey % 3] AS ambiguities,
   CASE WHEN p_partkey % 6 = 0 THEN 'extract_degraded' WHEN p_partkey % 13 = 0 THEN 'skip' ELSE 'extract' END AS precheck_decision, CASE WHEN p_partkey % 5 = 1 THEN 'glossary' ELSE 'doctrinal_text' END AS chunk_type FROM part)"""
+DECIDED = R + r""", c AS (SELECT *, len(technical_rules) + len(procedures) AS ops, len([t FOR t IN definitions IF regexp_matches(t, '(?i)\b(applies|indicates)\b')]) AS od, len(concepts) + len(definitions) + len(technical_rules) + len(procedures) + n_terms + len(ambiguities) AS items FROM r),
+s AS (SELECT *, CASE WHEN ops > 0 THEN 'strong' WHEN od >= 2 AND len(concepts) > 0 THEN 'minimal' ELSE 'none' END AS support, items = 0 OR (items <= 2 AND ops = 0 AND od = 0 AND len(concepts) <= 1 AND n_terms <= 1) AS small,
+  n_terms >= 6 AND ops = 0 AND od = 0 AND n_terms / greatest(1, len(concepts) + len(definitions)) >= 2 AS dominant, len(concepts) > 0 AND ops = 0 AND od = 0 AS heavy, len(definitions) > 0 AND ops = 0 AND od = 0 AS gloss, od = 1 AND ops = 0 AS few, precheck_decision = 'skip' AS sk FROM c),
+b AS (SELECT *, heavy OR gloss OR dominant OR few AS bad FROM s)
+SELECT chunk_id, CASE WHEN sk THEN 'skip' WHEN small AND chunk_type = 'doctrinal_text' THEN 'extract_degraded' WHEN small THEN 'skip' WHEN support <> 'none' AND NOT bad THEN 'extract' ELSE 'extract_degraded' END AS decision, CASE WHEN sk OR small THEN 'none' ELSE support END AS support_level,
+  concat_ws('|', CASE support WHEN 'strong' THEN 'strong_doctrinal_support' WHEN 'minimal' THEN 'minimal_doctrinal_support' END, CASE WHEN sk OR small THEN 'semantic_payload_empty_or_near_empty' END, CASE WHEN NOT sk AND NOT small AND heavy THEN 'concept_heavy_no_operations' END, CASE WHEN NOT sk AND NOT small AND gloss THEN 'glossary_like_semantics' END,
+    CASE WHEN NOT sk AND NOT small AND dominant THEN 'terminology_dominant_no_operations' END, CASE WHEN NOT sk AND ((small AND chunk_type = 'doctrinal_text') OR (NOT small AND (few OR CASE WHEN precheck_decision = 'extract_degraded' THEN support = 'none' ELSE support = 'none' OR bad END))) THEN 'insufficient_operational_support' END) AS decision_reasons FROM b"""
 SQL = {
     "derived_rules": R + """SELECT chunk_id, concat_ws('|', CASE WHEN k % 7 >= 1 THEN p_type || '=>' || p_name END, CASE WHEN k % 7 >= 2 THEN p_brand || '=>' || trim(ltrim(ltrim('the hen ' || p_name, 'then '), 'entonces ')) END, CASE WHEN k % 7 >= 3 AND false THEN '' END) AS decision_rules,
   concat_ws('|', CASE WHEN k % 7 >= 4 THEN technical_rules[4] END, CASE WHEN k % 7 >= 5 THEN technical_rules[5] END, CASE WHEN k % 7 >= 6 THEN technical_rules[6] END) AS technical_rules FROM r""",
@@ -86,13 +103,11 @@ SELECT chunk_id, array_to_string([c FOR c IN concepts IF NOT starts_with(c, 'mod
   array_to_string(ambiguities[1:1] || moved, '|') AS ambiguities,
   concat_ws('|', CASE WHEN len(tr) < len(technical_rules) THEN 'clear_editorial_technical_rules' END, CASE WHEN len(procedures) > 0 THEN 'clear_editorial_procedures' END, CASE WHEN len(df) < len(definitions) THEN 'drop_generic_definitions' END, CASE WHEN k % 4 >= 2 THEN 'relocate_modern_concepts' END,
     CASE WHEN k % 5 >= 3 THEN 'mark_modern_embedded_preserved_core' END, CASE WHEN k % 7 >= 5 THEN 'relocate_modern_technical_rules' END, CASE WHEN k % 7 = 6 AND k % 5 < 3 THEN 'mark_modern_embedded_preserved_core' END, CASE WHEN len(moved) > 0 THEN 'relocate_modern_to_ambiguities' END) AS actions FROM m""",
-    "record_decisions": R + r""", c AS (SELECT *, len(technical_rules) + len(procedures) AS ops, len([t FOR t IN definitions IF regexp_matches(t, '(?i)\b(applies|indicates)\b')]) AS od, len(concepts) + len(definitions) + len(technical_rules) + len(procedures) + n_terms + len(ambiguities) AS items FROM r),
-s AS (SELECT *, CASE WHEN ops > 0 THEN 'strong' WHEN od >= 2 AND len(concepts) > 0 THEN 'minimal' ELSE 'none' END AS support, items = 0 OR (items <= 2 AND ops = 0 AND od = 0 AND len(concepts) <= 1 AND n_terms <= 1) AS small,
-  n_terms >= 6 AND ops = 0 AND od = 0 AND n_terms / greatest(1, len(concepts) + len(definitions)) >= 2 AS dominant, len(concepts) > 0 AND ops = 0 AND od = 0 AS heavy, len(definitions) > 0 AND ops = 0 AND od = 0 AS gloss, od = 1 AND ops = 0 AS few, precheck_decision = 'skip' AS sk FROM c),
-b AS (SELECT *, heavy OR gloss OR dominant OR few AS bad FROM s)
-SELECT chunk_id, CASE WHEN sk THEN 'skip' WHEN small AND chunk_type = 'doctrinal_text' THEN 'extract_degraded' WHEN small THEN 'skip' WHEN support <> 'none' AND NOT bad THEN 'extract' ELSE 'extract_degraded' END AS decision, CASE WHEN sk OR small THEN 'none' ELSE support END AS support_level,
-  concat_ws('|', CASE support WHEN 'strong' THEN 'strong_doctrinal_support' WHEN 'minimal' THEN 'minimal_doctrinal_support' END, CASE WHEN sk OR small THEN 'semantic_payload_empty_or_near_empty' END, CASE WHEN NOT sk AND NOT small AND heavy THEN 'concept_heavy_no_operations' END, CASE WHEN NOT sk AND NOT small AND gloss THEN 'glossary_like_semantics' END,
-    CASE WHEN NOT sk AND NOT small AND dominant THEN 'terminology_dominant_no_operations' END, CASE WHEN NOT sk AND ((small AND chunk_type = 'doctrinal_text') OR (NOT small AND (few OR CASE WHEN precheck_decision = 'extract_degraded' THEN support = 'none' ELSE support = 'none' OR bad END))) THEN 'insufficient_operational_support' END) AS decision_reasons FROM b""",
+    "record_decisions": DECIDED,
+    "audit_rows": DECIDED.replace("SELECT chunk_id, CASE WHEN sk", "SELECT chunk_id, chunk_type, precheck_decision, 'medium' AS confidence_profile, false AS weak_support, '' AS clamp_actions, CAST(len(concepts) AS BIGINT) AS n_concepts, CAST(len(definitions) AS BIGINT) AS n_definitions, CAST(len(technical_rules) AS BIGINT) AS n_technical_rules, CAST(n_terms AS BIGINT) AS n_terminology, CASE WHEN sk", 1),
+    "rendered_records": R + """SELECT chunk_id, concat_ws(chr(10) || chr(10), CASE WHEN len(concepts) > 0 THEN 'CONCEPTS' || chr(10) || '- ' || array_to_string(concepts, chr(10) || '- ') END, CASE WHEN len(definitions) > 0 THEN 'DEFINITIONS' || chr(10) || '- ' || array_to_string(definitions, chr(10) || '- ') END,
+  CASE WHEN len(technical_rules) > 0 THEN 'TECHNICAL RULES' || chr(10) || '- ' || array_to_string(technical_rules, chr(10) || '- ') END, CASE WHEN len(procedures) > 0 THEN 'PROCEDURES' || chr(10) || '- ' || array_to_string(procedures, chr(10) || '- ') END,
+  CASE WHEN n_terms > 0 THEN 'TERMINOLOGY' || chr(10) || '- ' || array_to_string([p_name || ' ' || CAST(i // 2 AS VARCHAR) FOR i IN generate_series(1, n_terms)], chr(10) || '- ') END, CASE WHEN len(ambiguities) > 0 THEN 'AMBIGUITIES' || chr(10) || '- ' || array_to_string(ambiguities, chr(10) || '- ') END) AS rendered FROM r""",
     "parsed_knowledge": "WITH p AS (SELECT *, p_partkey % 7 <> 0 AND p_partkey % 11 <> 0 AND p_partkey % 5 <> 0 AS ok FROM part) SELECT p_partkey AS chunk_id_in, ok, CASE WHEN ok THEN CAST(p_partkey AS VARCHAR) END AS chunk_id, CASE WHEN ok THEN 'f' END AS source_fingerprint, CASE WHEN ok THEN p_name ELSE '' END AS concepts, CASE WHEN ok THEN p_name || ': ' || p_type ELSE '' END AS definitions, CASE WHEN ok THEN CAST(p_size AS VARCHAR) || '. ' || p_type ELSE '' END AS steps FROM p",
 }
-QUERIES = {f.__name__: f for f in (derived_rules, filtered_records, record_decisions, normalized_records, parsed_knowledge)}
+QUERIES = {f.__name__: f for f in (derived_rules, filtered_records, record_decisions, audit_rows, rendered_records, normalized_records, parsed_knowledge)}

@@ -14,23 +14,55 @@ from foliospark.sources.tables import read_table
 
 
 def names(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "part").select(F.lit(0).cast("long").alias("doc_id"), F.col("p_name").alias("concept"), F.element_at(F.split("p_name", " "), -1).alias("family_id")).distinct()
+    """Each customer's parts, in families by their last word."""
+    return occurrences(spark, d).select("doc_id", F.col("p_name").alias("concept"), F.element_at(F.split("p_name", " "), -1).alias("family_id")).distinct()
+
+
+#: First words of parts that are above others: a chain, a cycle and a self link.
+ABOVE = {"red": ("blue",), "blue": ("cold", "old"), "cold": ("blue",), "hot": ("hot", "old")}
 
 
 def tree_edges(spark: SparkSession, d: str) -> DataFrame:
-    """red → blue → cold → blue, hot → hot and hot → old: a chain, a cycle and a self link in each family."""
-    pairs = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in (("red", "blue"), ("blue", "cold"), ("cold", "blue"), ("hot", "hot"), ("hot", "old"), ("blue", "old"))])))
-    n = names(spark, d).select("doc_id", "family_id").distinct().join(F.broadcast(pairs), F.lit(True))
-    return n.select("doc_id", F.concat_ws(" ", "a", "family_id").alias("parent"), F.concat_ws(" ", "b", "family_id").alias("child"))
+    """doc_id, parent, child: from each part of a customer to those of the same last word that ABOVE puts below it."""
+    below = F.create_map(*[x for a, bs in ABOVE.items() for x in (F.lit(a), F.array(*map(F.lit, bs)))])
+    n = names(spark, d).select("doc_id", F.col("concept").alias("parent"), "family_id", F.explode(below[F.split("concept", " ")[0]]).alias("b"))
+    return n.select("doc_id", "parent", F.concat_ws(" ", "b", "family_id").alias("child"))
 
 
 def family_tree(spark: SparkSession, d: str) -> DataFrame:
     t = E.family_tree_paths(tree_edges(spark, d), names(spark, d))
-    return t.select("family_id", F.array_join("path", ">").alias("path"), "depth")
+    return t.select("doc_id", "family_id", F.array_join("path", ">").alias("path"), "depth")
 
 
 def breadcrumb_paths(spark: SparkSession, d: str) -> DataFrame:
-    return E.breadcrumbs(tree_edges(spark, d).where("parent <> child")).select("concept", F.array_join("path", ">").alias("path"))
+    return E.breadcrumbs(tree_edges(spark, d).where("parent <> child")).select("doc_id", "concept", F.array_join("path", ">").alias("path"))
+
+
+def families_of_concepts(spark: SparkSession, d: str) -> DataFrame:
+    """Families of red and hot parts as given, and of old parts by their own lists."""
+    n = names(spark, d)
+    given = n.where("concept RLIKE '^(red|hot) '").groupBy("doc_id", "family_id").agg(F.sort_array(F.collect_set("concept")).alias("members"))
+    own = n.select("doc_id", "concept", F.when(F.startswith("concept", F.lit("old ")), F.array("family_id", F.lit("aged"))).otherwise(F.array().cast("array<string>")).alias("families"))
+    return E.family_map(given, own).select("doc_id", "family_id", joined("members"))
+
+
+def frame_of_concepts(spark: SparkSession, d: str) -> DataFrame:
+    """Two frames a customer, which share a part: the last one counts."""
+    word = lambda *ws: F.array(*map(F.lit, ws))
+    both = F.array(F.struct(F.lit(1).alias("ord"), F.lit("first").alias("frame_id"), word("red ring", "hot ring").alias("members")), F.struct(F.lit(2).alias("ord"), F.lit("second").alias("frame_id"), word("red ring", "old gear").alias("members")))
+    n = names(spark, d)
+    return E.frame_index(n.select("doc_id").distinct().select("doc_id", F.inline(both)), n)
+
+
+def relation_lists(spark: SparkSession, d: str) -> DataFrame:
+    """Relations of each part in text, of every form, by bucket."""
+    head, name = F.col("family_id"), F.col("concept")
+    said = F.array(
+        F.concat(F.lit("from: "), name, F.lit("; to: Old "), head, F.lit("; type: contrast")), F.concat(F.lit("to: new "), head, F.lit("; type: Requires")), F.concat(F.lit("Details: from: hot "), head, F.lit("; type: used in")),
+        F.concat(F.lit("from: red "), head, F.lit("; to: "), name, F.lit("; type: near")), F.lit("as told of old"), F.lit("type: contrast"), F.concat(F.lit("from: "), name, F.lit("; to: old  "), head, F.lit("; type: opposite of")),
+    )
+    c = names(spark, d).select("doc_id", "concept", F.array(F.concat(F.lit("red "), head), F.lit("")).alias("related_concepts"), said.alias("relationships"))
+    return E.relation_buckets(c).select("doc_id", "concept", "bucket", joined("counterparts"))
 
 
 def evidence_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -57,26 +89,59 @@ def procedural_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def frame_concepts(spark: SparkSession, d: str) -> DataFrame:
-    """Each customer's parts with a rule and, for some, a step."""
-    o = occurrences(spark, d).groupBy("doc_id", F.col("p_name").alias("concept")).agg(F.sort_array(F.collect_set("p_type")).alias("t"), F.sort_array(F.collect_set(F.col("chunk_index").cast("int"))).alias("source_chunks"))
-    none = F.array()
-    rules = F.transform("t", lambda t: F.struct(F.concat(F.lit("if "), t).alias("condition"), F.concat(F.lit("take the "), F.col("concept"), F.lit(".")).alias("outcome")))
-    given = {"rules": rules, "steps": F.when(F.col("concept").rlike("^old"), F.array(F.struct(F.lit(1).alias("order"), F.lit("look up").alias("text")))).otherwise(none.cast(L.STEPS)), "source_chunks": F.col("source_chunks")}
-    return o.select("doc_id", "concept", *[given.get(c, none.cast(t)).alias(c) for c, t in L.FIELDS.items()])
+    """Each customer's parts with rules of every kind, and for some a step, an output, variants and technical rules."""
+    o = occurrences(spark, d).groupBy("doc_id", F.col("p_name").alias("concept")).agg(F.sort_array(F.collect_set("p_type")).alias("t"), F.min("p_brand").alias("brand"), F.sort_array(F.collect_set(F.col("chunk_index").cast("int"))).alias("source_chunks"))
+    first = F.split("concept", " ")[0]
+    tail = F.when(first == "small", ", strong.").otherwise(".")
+    rules = F.transform("t", lambda t: F.struct(F.concat(F.lit("if "), t).alias("condition"), F.concat(F.lit("take the "), F.col("concept"), tail).alias("outcome")))
+    variant = lambda kind, *text: F.struct(F.col("brand").alias("author"), F.lit(kind).alias("kind"), F.concat(*text).alias("text"))
+    some = lambda when, items, c: F.when(when, items).otherwise(F.array().cast(L.FIELDS[c]))
+    given = {
+        "rules": some(~first.isin("new", "cold"), rules, "rules"), "steps": some(first == "old", F.array(F.struct(F.lit(1).alias("order"), F.lit("look up").alias("text"))), "steps"), "source_chunks": F.col("source_chunks"),
+        "outputs": some(first == "new", F.array(F.concat(F.lit("note  the "), F.col("concept"), F.lit("."))), "outputs"), "definitions": some(first == "large", F.array(F.lit("timing of it")), "definitions"),
+        "variants": some(first == "cold", F.array(variant("rule", F.lit("Assigns the "), F.col("concept")), variant("rule", F.lit("whole set of "), F.col("concept")), variant("other", F.lit("leave "), F.col("concept")), variant("Other", F.lit("Leave "), F.col("concept"))), "variants"),
+        "technical_rules": some(first == "blue", F.array(F.concat(F.lit("When it is old, keep the "), F.col("concept"), F.lit(".")), F.lit("Consider if it is whole, new"), F.lit("in good order always"), F.lit("If so")), "technical_rules"),
+        "related": F.array(F.lit("red ring"), F.concat(F.lit("kin of "), F.col("concept"))),
+    }
+    return o.select("doc_id", "concept", *[given.get(c, F.array().cast(t)).alias(c) for c, t in L.FIELDS.items()])
+
+
+#: Rule tables for the parts' frames, given as data.
+FRAME_RULES = L.FrameRules(fallback=("hot ring",), note=("whole set",), selects=(("assigns the cold rod", "select the cold rod"),), preludes=(L.Prelude("consider if", 12),), conditions=("in good order",), scope="use")
+
+
+def frame_specs(spark: SparkSession) -> DataFrame:
+    strings = lambda *xs: F.array(*map(F.lit, xs)).cast("array<string>")
+    given = (
+        ("rings", "selection", "Rings", strings("red ring", "hot ring"), strings("old ring", "red ring"), strings("economy")), ("gears", "evaluation", "Gears", strings("blue gear"), strings(), strings()), ("rods", "selection", "Rods", strings("cold rod"), strings("new rod"), strings()),
+    )
+    rows = [F.struct(F.lit(i).alias("frame_id"), F.lit(t).alias("frame_type"), F.lit(n).alias("label"), F.lit("Pick").alias("goal"), a.alias("anchors"), s.alias("supports"), strings().alias("include"), x.alias("exclude")) for i, t, n, a, s, x in given]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def shown(frames: DataFrame) -> DataFrame:
+    rule = lambda c: F.array_join(F.transform(c, lambda r: F.concat_ws("=>", r["condition"], r["outcome"])), "|").alias(c)
+    text = lambda c: F.array_join(F.transform(c, lambda r: r["text"]), "|").alias(c)
+    return frames.select("doc_id", "frame_id", "frame_type", "label", joined("anchor_concepts"), joined("supporting_concepts"), rule("rules"), rule("fallback_rules"), text("steps"), text("preconditions"), text("author_methods"), text("author_overrides"), text("methodological_notes"), joined("outputs"), joined("related_concepts"), joined("source_chunks"))
 
 
 def procedure_frames(spark: SparkSession, d: str) -> DataFrame:
-    strings = lambda *xs: F.array(*map(F.lit, xs)).cast("array<string>")
-    specs = spark.range(1).select(F.lit("rings").alias("frame_id"), F.lit("selection").alias("frame_type"), F.lit("Rings").alias("label"), F.lit("Pick").alias("goal"), strings("red ring", "hot ring").alias("anchors"), strings("old ring", "red ring").alias("supports"), strings().alias("include"), strings("economy").alias("exclude"))
-    f = L.build_procedure_frames(frame_concepts(spark, d), specs)
-    text = lambda c: F.array_join(F.transform(c, lambda r: F.concat_ws("=>", r["condition"], r["outcome"])), "|").alias(c)
-    return f.select("doc_id", joined("anchor_concepts"), joined("supporting_concepts"), text("rules"), F.size("steps").cast("long").alias("n_steps"), joined("source_chunks"))
+    return shown(L.build_procedure_frames(frame_concepts(spark, d), frame_specs(spark), FRAME_RULES))
 
 
 def automatic_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Frames of the parts that aren't rings."""
     c = frame_concepts(spark, d)
     covered = c.where("concept LIKE '% ring'").select("doc_id", F.array("concept").alias("anchor_concepts"), F.array().cast("array<string>").alias("supporting_concepts"))
-    return L.auto_frames(c, covered)
+    return L.auto_frames(c, covered, FRAME_RULES).select("doc_id", "frame_id", "frame_type", "label", "goal", F.array_join(F.transform("steps", lambda s: F.concat_ws(". ", s["order"].cast("string"), s["text"])), "|").alias("steps"), joined("outputs"))
+
+
+def localized_frames(spark: SparkSession, d: str) -> DataFrame:
+    """The frames of rods in other words."""
+    f = L.build_procedure_frames(frame_concepts(spark, d), frame_specs(spark).where("frame_id = 'rods'"), FRAME_RULES)
+    f = L.localize_frames(f, {"note the new rod.": "señala la barra nueva"}, [("leave", "deja"), ("cold rod", "barra fría")], [(r"^Assigns\b", "Asigna")], {"rods": "Barras"}, {"rods": "Elegir"})
+    text = lambda c: F.array_join(F.transform(c, lambda r: r["text"]), "|").alias(c)
+    return f.select("doc_id", "label", "goal", text("author_methods"), text("author_overrides"), joined("outputs"))
 
 
 def discovered_families(spark: SparkSession, d: str) -> DataFrame:
@@ -97,15 +162,37 @@ def checked_families(spark: SparkSession, d: str) -> DataFrame:
 
 
 O = "WITH occ AS (SELECT o_custkey AS doc_id, l_orderkey AS chunk_index, p_name, p_type FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"  # noqa: E741
-N = "WITH RECURSIVE n AS (SELECT DISTINCT p_name AS concept, split_part(p_name, ' ', 2) AS f FROM part), e AS (SELECT DISTINCT f, a || ' ' || f AS parent, b || ' ' || f AS child FROM n, (VALUES ('red', 'blue'), ('blue', 'cold'), ('cold', 'blue'), ('hot', 'old'), ('blue', 'old')) AS v(a, b))"
+N = "WITH RECURSIVE n AS (SELECT DISTINCT o_custkey AS doc_id, p_name AS concept, split_part(p_name, ' ', 2) AS f FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey), e AS (SELECT doc_id, f, concept AS parent, b || ' ' || f AS child FROM n JOIN (VALUES ('red', 'blue'), ('blue', 'cold'), ('cold', 'blue'), ('hot', 'old'), ('blue', 'old')) AS v(a, b) ON a = split_part(concept, ' ', 1))"
+FR = O + """, m AS (SELECT doc_id, p_name, split_part(p_name, ' ', 1) AS a, list_sort(list(DISTINCT p_type)) AS t, list_sort(list(DISTINCT chunk_index)) AS chunks FROM occ GROUP BY ALL),
+c AS (SELECT doc_id, max(CASE p_name WHEN 'red ring' THEN t END) AS rr, max(CASE p_name WHEN 'hot ring' THEN t END) AS hr, max(CASE p_name WHEN 'old ring' THEN t END) AS orr, max(CASE p_name WHEN 'blue gear' THEN t END) AS bg,
+  max(CASE p_name WHEN 'red ring' THEN chunks END) AS rrc, max(CASE p_name WHEN 'hot ring' THEN chunks END) AS hrc, max(CASE p_name WHEN 'old ring' THEN chunks END) AS orc, max(CASE p_name WHEN 'blue gear' THEN chunks END) AS bgc,
+  max(CASE p_name WHEN 'cold rod' THEN chunks END) AS crc, max(CASE p_name WHEN 'new rod' THEN chunks END) AS nrc FROM m GROUP BY 1),
+g AS (SELECT *, list_filter(list_concat(list_transform(coalesce(rr, []), lambda x: [x, 'take the red ring']), list_transform(coalesce(hr, []), lambda x: [x, 'take the hot ring']), list_transform(coalesce(orr, []), lambda x: [x, 'take the old ring'])), lambda x: x[1] <> 'ECONOMY') AS rings,
+  list_concat(list_transform(coalesce(bg, []), lambda x: [x, 'take the blue gear']), [['it is old', 'keep the blue gear']]) AS gears FROM c)"""
 SQL = {
-    "family_tree": N + ", i AS (SELECT e.* FROM e WHERE parent IN (SELECT concept FROM n) AND child IN (SELECT concept FROM n)), t AS (SELECT f, [concept] AS path, 1 AS depth, true AS o FROM n WHERE concept NOT IN (SELECT child FROM i) UNION ALL SELECT t.f, list_append(path, child), depth + 1, NOT list_contains(path, child) FROM t JOIN i ON i.parent = path[len(path)] AND i.f = t.f WHERE o AND depth < 16) SELECT f AS family_id, array_to_string(path, '>') AS path, depth FROM t",
-    "breadcrumb_paths": N + ", up AS (SELECT child, min(parent) AS p FROM e GROUP BY 1), t AS (SELECT DISTINCT child AS concept, [child] AS path, child AS top FROM e UNION ALL SELECT concept, list_prepend(p, path), p FROM t JOIN up ON up.child = top WHERE NOT list_contains(path, p)) SELECT concept, array_to_string(max_by(path, len(path)), '>') AS path FROM t GROUP BY 1",
+    "localized_frames": FR + " SELECT doc_id, 'Barras' AS label, 'Elegir' AS goal, CASE WHEN crc IS NOT NULL THEN 'Asigna the barra fría' ELSE '' END AS author_methods, CASE WHEN crc IS NOT NULL THEN 'deja barra fría' ELSE '' END AS author_overrides, CASE WHEN nrc IS NOT NULL THEN 'señala la barra nueva' ELSE '' END AS outputs FROM g WHERE crc IS NOT NULL OR nrc IS NOT NULL",
+    "families_of_concepts": N.replace(" RECURSIVE", "") + " SELECT doc_id, f AS family_id, string_agg(concept, '|' ORDER BY concept) AS members FROM (SELECT doc_id, f, concept FROM n WHERE split_part(concept, ' ', 1) IN ('red', 'hot', 'old') UNION ALL SELECT doc_id, 'aged', concept FROM n WHERE concept LIKE 'old %') GROUP BY ALL",
+    "frame_of_concepts": N.replace(" RECURSIVE", "") + " SELECT doc_id, concept, CASE concept WHEN 'hot ring' THEN 'first' ELSE 'second' END AS frame_id FROM n WHERE concept IN ('red ring', 'hot ring', 'old gear')",
+    "relation_lists": N.replace(" RECURSIVE", "") + ", x AS (SELECT doc_id, concept, unnest([{'b': 'related_to', 'c': 'red ' || f || CASE WHEN concept = 'new ' || f THEN '|to: ' || concept || '; type: Requires' ELSE '' END || '|as told of old|type: contrast'}, {'b': 'contrasts_with', 'c': 'old ' || f}, {'b': 'depends_on', 'c': CASE WHEN concept <> 'new ' || f THEN 'new ' || f END}, {'b': 'used_in', 'c': 'hot ' || f}]) AS u FROM n) SELECT doc_id, concept, u.b AS bucket, u.c AS counterparts FROM x WHERE u.c IS NOT NULL",
+    "family_tree": N + ", i AS (SELECT e.* FROM e WHERE (doc_id, child) IN (SELECT doc_id, concept FROM n)), roots AS (SELECT n.* FROM n WHERE (doc_id, concept) NOT IN (SELECT doc_id, child FROM i)), t AS (SELECT doc_id, f, [concept] AS path, 1 AS depth, true AS o FROM (SELECT * FROM roots UNION ALL SELECT * FROM n WHERE (doc_id, f) NOT IN (SELECT doc_id, f FROM roots)) UNION ALL SELECT t.doc_id, t.f, list_append(path, child), depth + 1, NOT list_contains(path, child) FROM t JOIN i ON i.doc_id = t.doc_id AND i.parent = path[len(path)] AND i.f = t.f WHERE o) SELECT doc_id, f AS family_id, array_to_string(path, '>') AS path, depth FROM t",
+    "breadcrumb_paths": N + ", up AS (SELECT doc_id, child, min(parent) AS p FROM e GROUP BY ALL), t AS (SELECT DISTINCT doc_id, child AS concept, [child] AS path, child AS top FROM e UNION ALL SELECT t.doc_id, concept, list_prepend(p, path), p FROM t JOIN up ON up.doc_id = t.doc_id AND up.child = top WHERE NOT list_contains(path, p)) SELECT doc_id, concept, array_to_string(max_by(path, len(path)), '>') AS path FROM t GROUP BY ALL",
     "evidence_texts": O + "SELECT DISTINCT doc_id, p_name AS concept, chunk_index AS chunk, CASE WHEN chunk_index % 2 = 0 THEN min(p_type) OVER (PARTITION BY doc_id, chunk_index) ELSE 'Chunk summary unavailable.' END AS text FROM occ",
     "structural_parents": O + "SELECT doc_id, 'red ring' AS parent, chunk_index AS chunk, string_agg(p_name, '|' ORDER BY p_name) AS children FROM (SELECT DISTINCT doc_id, chunk_index, p_name FROM occ WHERE p_name IN ('red ring', 'hot ring', 'old ring')) WHERE doc_id IN (SELECT doc_id FROM occ WHERE p_name = 'red ring') GROUP BY ALL HAVING count(*) >= 2",
     "procedural_items": "WITH occ AS (SELECT o_custkey AS doc_id, l_orderkey AS chunk_index, p_name, p_brand FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey) SELECT doc_id, p_name AS concept, count(DISTINCT p_brand) AS n_items, count(DISTINCT (chunk_index, p_brand)) AS n_evidence FROM occ GROUP BY ALL",
-    "procedure_frames": O + ", m AS (SELECT DISTINCT doc_id, p_name, p_type, CASE p_name WHEN 'red ring' THEN 0 WHEN 'hot ring' THEN 1 ELSE 2 END AS ord FROM occ WHERE p_name IN ('red ring', 'hot ring', 'old ring')), r AS (SELECT doc_id, string_agg(p_type || '=>take the ' || p_name, '|' ORDER BY ord, p_type) AS rules, count(*) AS n FROM m WHERE p_type <> 'ECONOMY' GROUP BY 1), c AS (SELECT doc_id, string_agg(p_name, '|' ORDER BY ord) FILTER (ord < 2) AS a, string_agg(p_name, '|') FILTER (ord = 2) AS s FROM (SELECT DISTINCT doc_id, p_name, ord FROM m) GROUP BY 1), k AS (SELECT doc_id, array_to_string(list(chunk_index ORDER BY o, chunk_index), '|') AS source_chunks FROM (SELECT doc_id, chunk_index, min(ord) AS o FROM occ JOIN (SELECT DISTINCT p_name, ord FROM m) USING (p_name) GROUP BY ALL) GROUP BY 1) SELECT c.doc_id, coalesce(a, '') AS anchor_concepts, coalesce(s, '') AS supporting_concepts, coalesce(rules, '') AS rules, CASE WHEN coalesce(n, 0) >= 2 THEN least(4, n) WHEN s IS NOT NULL THEN 1 ELSE 0 END AS n_steps, source_chunks FROM c JOIN k USING (doc_id) LEFT JOIN r USING (doc_id) WHERE coalesce(n, 0) > 0 OR s IS NOT NULL",
-    "automatic_frames": O + "SELECT DISTINCT doc_id, 'auto_' || replace(p_name, ' ', '_') AS frame_id, 'selection' AS frame_type, p_name AS concept FROM occ WHERE p_name NOT LIKE '% ring'",
+    "procedure_frames": FR + """ SELECT doc_id, 'rings' AS frame_id, 'selection' AS frame_type, 'Rings' AS label, concat_ws('|', CASE WHEN rr IS NOT NULL THEN 'red ring' END, CASE WHEN hr IS NOT NULL THEN 'hot ring' END) AS anchor_concepts, CASE WHEN orr IS NOT NULL THEN 'old ring' ELSE '' END AS supporting_concepts,
+  array_to_string(list_transform(rings, lambda x: x[1] || '=>' || x[2]), '|') AS rules, array_to_string(list_transform(list_filter(rings, lambda x: x[2] = 'take the hot ring'), lambda x: x[1] || '=>' || x[2]), '|') AS fallback_rules,
+  CASE WHEN len(rings) > 1 THEN array_to_string(list_transform(list_sort(rings)[1:4], lambda x: 'If ' || x[1] || ', then ' || x[2]), '|') WHEN orr IS NOT NULL THEN 'look up' ELSE '' END AS steps, '' AS preconditions, '' AS author_methods, '' AS author_overrides, '' AS methodological_notes, '' AS outputs,
+  concat_ws('|', CASE WHEN rr IS NULL THEN 'red ring' END, CASE WHEN rr IS NOT NULL THEN 'kin of red ring' END, CASE WHEN hr IS NOT NULL THEN 'kin of hot ring' END, CASE WHEN orr IS NOT NULL THEN 'kin of old ring' END) AS related_concepts, array_to_string(every, '|') AS source_chunks
+  FROM (SELECT *, list_concat(list_concat(coalesce(rrc, []), list_filter(coalesce(hrc, []), lambda x: NOT list_contains(coalesce(rrc, []), x))), list_filter(coalesce(orc, []), lambda x: NOT list_contains(coalesce(rrc, []), x) AND NOT list_contains(coalesce(hrc, []), x))) AS every FROM g) WHERE len(rings) > 0 OR orr IS NOT NULL
+UNION ALL SELECT doc_id, 'gears', 'evaluation', 'Gears', 'blue gear', '', array_to_string(list_transform(gears, lambda x: x[1] || '=>' || x[2]), '|'), '', array_to_string(list_transform(list_sort(list_transform(gears, lambda x: [lower(x[1]), x[1], x[2]]))[1:3], lambda x: 'If ' || x[2] || ', then ' || x[3]), '|'), 'it is whole|new|in good order always', '', '', '', '', 'red ring|kin of blue gear', array_to_string(bgc, '|') FROM g WHERE bg IS NOT NULL
+UNION ALL SELECT doc_id, 'rods', 'selection', 'Rods', CASE WHEN crc IS NOT NULL THEN 'cold rod' ELSE '' END, CASE WHEN nrc IS NOT NULL THEN 'new rod' ELSE '' END, CASE WHEN crc IS NOT NULL THEN b || chr(39) || 's method is followed=>select the cold rod' ELSE '' END, '', '', '', CASE WHEN crc IS NOT NULL THEN 'Assigns the cold rod' ELSE '' END, CASE WHEN crc IS NOT NULL THEN 'leave cold rod' ELSE '' END, CASE WHEN crc IS NOT NULL THEN 'whole set of cold rod' ELSE '' END,
+  CASE WHEN nrc IS NOT NULL THEN 'note the new rod.' ELSE '' END, concat_ws('|', 'red ring', CASE WHEN crc IS NOT NULL THEN 'kin of cold rod' END, CASE WHEN nrc IS NOT NULL THEN 'kin of new rod' END), array_to_string(list_concat(coalesce(crc, []), list_filter(coalesce(nrc, []), lambda x: NOT list_contains(coalesce(crc, []), x))), '|')
+  FROM g LEFT JOIN (SELECT o_custkey AS doc_id, min(p_brand) AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE p_name = 'cold rod' GROUP BY 1) USING (doc_id) WHERE crc IS NOT NULL OR nrc IS NOT NULL""",
+    "automatic_frames": FR + """, k AS (SELECT *, CASE a WHEN 'new' THEN 'analysis' WHEN 'large' THEN 'timing' WHEN 'small' THEN 'evaluation' ELSE 'selection' END AS kind FROM m WHERE p_name NOT LIKE '% ring' AND a <> 'cold')
+SELECT doc_id, 'auto_' || replace(p_name, ' ', '_') AS frame_id, kind AS frame_type, upper(a[1]) || a[2:] || ' ' || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] AS label,
+  CASE kind WHEN 'selection' THEN 'Identify the procedure of ' WHEN 'evaluation' THEN 'Evaluate the condition of ' WHEN 'timing' THEN 'Apply the timing of ' ELSE 'Analyse the procedure of ' END || p_name || '.' AS goal,
+  CASE WHEN kind IN ('selection', 'evaluation') AND len(t) > 1 THEN array_to_string(list_transform(t[1:CASE kind WHEN 'selection' THEN 4 ELSE 3 END], lambda x, i: CAST(i AS VARCHAR) || '. If ' || x || ', then take the ' || p_name || CASE WHEN a = 'small' THEN ', strong' ELSE '' END), '|') WHEN a = 'old' THEN '1. look up' ELSE '' END AS steps,
+  CASE WHEN a = 'new' THEN 'note the ' || p_name || '.' ELSE '' END AS outputs FROM k""",
     "discovered_families": O + ", h AS (SELECT doc_id, list(DISTINCT replace(p_name, ' ring', '')) AS w FROM occ WHERE p_name LIKE '% ring' GROUP BY 1), a AS (SELECT *, [x FOR x IN ['red', 'blue', 'old', 'odd'] IF list_contains(w, x)] AS one FROM h), b AS (SELECT *, CASE WHEN len(one) >= 3 THEN one ELSE [] END AS t1, [x FOR x IN ['hot', 'red', 'blue', 'cold'] IF list_contains(w, x)] AS two FROM a), c AS (SELECT *, [x FOR x IN two IF NOT list_contains(t1, x)] AS two2 FROM b), e AS (SELECT *, CASE WHEN len(two2) >= 3 THEN t1 || two2 ELSE t1 END AS t2 FROM c), g AS (SELECT *, [x FOR x IN ['small', 'large', 'red', 'new'] IF list_contains(w, x) AND NOT list_contains(t2, x)] AS three FROM e) SELECT doc_id, family_label, array_to_string([x || ' ring' FOR x IN m], '|') AS members FROM (SELECT doc_id, 'plain' AS family_label, one AS m FROM g UNION ALL SELECT doc_id, 'warm', two2 FROM g UNION ALL SELECT doc_id, 'size', three FROM g) WHERE len(m) >= 3",
 }
-QUERIES = {f.__name__: f for f in (family_tree, breadcrumb_paths, evidence_texts, structural_parents, procedural_items, procedure_frames, automatic_frames, discovered_families, checked_families)}
+QUERIES = {f.__name__: f for f in (localized_frames, families_of_concepts, frame_of_concepts, relation_lists, family_tree, breadcrumb_paths, evidence_texts, structural_parents, procedural_items, procedure_frames, automatic_frames, discovered_families, checked_families)}

@@ -92,14 +92,23 @@ def parse_block_artifacts(artifacts: DataFrame) -> DataFrame:
     return rows.select("doc_id", *[F.get("h", F.lit(i)).cast("int").alias(c) for i, c in enumerate(("block_id", "start_chunk", "end_chunk"))], F.regexp_replace(F.substring_index("p", "\u0002", -1), r"^\s+|\s+$", "").alias("text"))
 
 
-def to_sidecar(sections: DataFrame, generator: str, source: str) -> DataFrame:
-    """doc_id, sidecar: the sections of a document as JSON, with where they come from."""
-    names = [c for c in sections.columns if c != "doc_id"]
-    own = sections.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("section_index", *[c for c in names if c != "section_index"]))).alias("sections"))
-    return own.select("doc_id", F.to_json(F.struct(F.struct(F.lit(generator).alias("generator"), F.lit(source).alias("source")).alias("metadata"), "sections")).alias("sidecar"))
+def to_sidecar(maps: DataFrame, pipeline_version: str = "1.0") -> DataFrame:
+    """doc_id, sidecar: each document map (structure.document_maps) as JSON, with how it was made."""
+    made = F.struct(F.lit(pipeline_version).alias("pipeline_version"), F.col("version").alias("structure_version"), "generator")
+    return maps.select("doc_id", F.to_json(F.struct(made.alias("metadata"), F.struct(*[c for c in maps.columns if c != "doc_id"]).alias("document_map"))).alias("sidecar"))
 
 
 def from_sidecar(sidecars: DataFrame, schema: str) -> DataFrame:
-    """The sections of to_sidecar(); schema: the columns of a section as DDL."""
-    read = F.from_json("sidecar", f"struct<sections:array<struct<{schema}>>>")
-    return sidecars.select("doc_id", F.inline(read["sections"]))
+    """doc_id, metadata, and the map's columns of to_sidecar(); schema: those columns as DDL. JSON that can't be read gives nulls."""
+    kinds = f"struct<metadata:struct<pipeline_version:string,structure_version:string,generator:string,postprocess:string>,document_map:struct<{schema}>>"
+    return sidecars.select("doc_id", F.from_json("sidecar", kinds).alias("_j")).select("doc_id", "_j.metadata", "_j.document_map.*")
+
+
+def clean_sidecar(sidecars: DataFrame, schema: str, postprocess: str = "document_map_cleaner_v1") -> DataFrame:
+    """doc_id, sidecar: the same with the map's sections cleaned, and the cleaning named in the metadata."""
+    from foliospark.operators.structure import clean_maps
+
+    read = from_sidecar(sidecars, schema).where("metadata IS NOT NULL AND sections IS NOT NULL")
+    cleaned = clean_maps(read.drop("metadata")).join(read.select("doc_id", "metadata"), "doc_id")
+    noted = F.col("metadata").withField("postprocess", F.lit(postprocess))
+    return cleaned.select("doc_id", F.to_json(F.struct(noted.alias("metadata"), F.struct(*[c for c in read.columns if c not in ("doc_id", "metadata")]).alias("document_map"))).alias("sidecar"))

@@ -1,14 +1,19 @@
 """Replies, frames, discovery, front matter and sources on small tables."""
 
+import hashlib
 import json
+import random
 
 from pyspark.sql import functions as F
 
+from foliospark.operators import chunking as K
 from foliospark.operators import discovery as D
 from foliospark.operators import explorer as E
 from foliospark.operators import frontmatter as W
 from foliospark.operators import records as H
 from foliospark.operators import responses as G
+from foliospark.operators import structure as S
+from foliospark.operators import taxonomy as T
 from foliospark.sources import tables as A
 
 BASE = {"schema_version": "2.0.0", "chunk_id": " c ", "source_fingerprint": "f"}
@@ -80,18 +85,70 @@ def test_sources_and_sidecars(spark, tmp_path):
     (tmp_path / "b.rtf").write_text("x")
     rows = {r["source_path"].rsplit("/", 1)[1]: r for r in A.read_text_books(spark, str(tmp_path)).collect()}
     assert rows["a.txt"]["text"] == "böok\ntext" and rows["b.rtf"]["error"] and rows["b.rtf"]["text"] is None
-    sections = spark.createDataFrame([(1, 1, "b"), (1, 0, "a")], "doc_id long, section_index int, label string")
-    back = A.from_sidecar(A.to_sidecar(sections, "g", "s"), "section_index int, label string").collect()
-    assert [tuple(r) for r in back] == [(1, 0, "a"), (1, 1, "b")]
+    sections = spark.createDataFrame([(1, 1, "section_5", "b", "unknown", 5, 9, 0.0, None, None), (1, 0, "section_0", " A  x", "section", 0, 5, 1.0, 2, 1)], "doc_id long, section_index int, id string, label string, type string, start_char int, end_char int, confidence double, start_page long, end_page long")
+    headings = spark.createDataFrame([(1, 0, "A x", "section")], "doc_id long, index int, text string, type string")
+    maps = S.document_maps(spark.createDataFrame([(1, "A x\ny bb"), (2, None)], "doc_id long, text string"), headings, sections)
+    schema = ", ".join(f"`{c}` {t}" for c, t in maps.dtypes if c != "doc_id")
+    sidecars = A.to_sidecar(maps, "3")
+    back = {r["doc_id"]: r for r in A.from_sidecar(sidecars, schema).collect()}
+    assert [x["label"] for x in back[1]["sections"]] == [" A  x", "b"] and back[1]["metadata"]["generator"] == S.GENERATOR and back[1]["stats"]["unknown_sections"] == 1
+    assert back[1]["text_hash"] == hashlib.sha256(b"A x\ny bb").hexdigest() and back[1]["normalized_text_length"] == 8 and back[2]["sections"] == []
+    cleaned = {r["doc_id"]: r for r in A.from_sidecar(A.clean_sidecar(sidecars, schema), schema).collect()}
+    assert cleaned[1]["metadata"]["postprocess"] == "document_map_cleaner_v1" and [(x["label"], x["end_page"]) for x in cleaned[1]["sections"]] == [("A x", 2), ("b", 2)]
+    assert A.from_sidecar(spark.createDataFrame([(5, "{")], "doc_id long, sidecar string"), schema).first()["sections"] is None
     A.write_artifact(sections, str(tmp_path / "out"), "json", 2)
     assert spark.read.json(str(tmp_path / "out")).count() == 2
     catalog = spark.createDataFrame([(" f ", "L ", [" a ", " "], None), ("", "x", [], [])], "id string, label string, aliases array<string>, controlled_patterns array<string>")
     assert [tuple(r) for r in A.load_family_catalog(catalog).collect()] == [("f", "L", ["a"], [])]
 
 
-def test_relations_that_begin_with_a_word(spark):
-    df = spark.createDataFrame([("Contrasts with day.",), ("depends on the Moon",), ("it depends on x",), ("used in charts",)], "text string")
-    assert [(r["bucket"], r["counterpart"]) for r in E.parse_relations(df).collect()] == [("contrasts_with", "day"), ("depends_on", "the moon"), (None, None), ("used_in", "charts")]
+def test_relations_by_bucket(spark):
+    rows = [("a", "from: A; to: Day; type: Contrasts"), ("a", "details: from: moon; to: a; type: depends on"), ("a", "it depends on x"), ("a", "type: use"), ("a", "to:  the  Sun; type: near"), ("a", "to: a; type: use")]
+    df = spark.createDataFrame(rows, "concept string, text string")
+    want = [("contrasts_with", "day"), ("depends_on", "moon"), ("related_to", "it depends on x"), ("related_to", "type: use"), ("related_to", "the sun"), ("related_to", "to: a; type: use")]
+    assert [(r["bucket"], r["counterpart"]) for r in E.parse_relations(df).collect()] == want
+
+
+def test_absorbed_chunks_equal_a_replay(spark):
+    rng = random.Random(4)
+    names = "abcdefgh"
+    edges = spark.createDataFrame([(doc, *rng.sample(names, 2)) for doc in range(40) for _ in range(rng.randrange(1, 9))], "doc_id long, parent string, child string").distinct()
+    nodes = spark.createDataFrame([(doc, n, [ord(n)]) for doc in range(40) for n in names], "doc_id long, node string, source_chunks array<int>")
+    want = {(r["doc_id"], r["node"]): (r["source_chunks"], {"concept": "topic"}.get(r["node_kind"], r["node_kind"])) for r in D.absorb_chunks(edges, nodes).collect()}
+    got = {(r["doc_id"], r["node"]): (r["source_chunks"], r["node_kind"]) for r in T.apply_taxonomy_links(nodes, edges).collect()}
+    assert got == want
+
+
+def test_legacy_children(spark):
+    nodes = spark.createDataFrame([(1, n, [i]) for i, n in enumerate(("x", "y", "kin"))], "doc_id long, node string, source_chunks array<int>")
+    none = nodes.selectExpr("doc_id", "node AS parent", "node AS child").limit(0)
+    legacy = spark.createDataFrame([("up", ["y", "x", "z"], ["kin"])], "parent string, children array<string>, related array<string>")
+    got = {r["node"]: r for r in T.apply_legacy_children(T.apply_taxonomy_links(nodes, none), legacy).collect()}
+    assert got["up"]["child_concepts"] == ["x", "y"] and got["up"]["source_chunks"] == [0, 1] and got["up"]["node_kind"] == "classification"
+    assert got["x"]["parent_concepts"] == ["up"] and got["kin"]["related_concepts"] == ["up"] and got["up"]["related_concepts"] == ["kin"]
+
+
+def test_names_are_found_whole(spark):
+    df = spark.createDataFrame([("the c++ and o'x", "c++"), ("abc", "b"), ("a.b.c", "b"), ("x\\E y", "x\\e"), ("x\\e y", "x\\e")], "t string, n string")
+    assert [r[0] for r in df.select(T.names_exactly(F.col("t"), F.col("n"))).collect()] == [True, False, True, False, True]
+
+
+def test_chosen_chunks(spark):
+    choice = spark.createDataFrame([(1, "structural", None), (2, "legacy", "x")], "doc_id long, mode string, reason string")
+    windows = spark.createDataFrame([(d, i, 0, 5, f"w{d}{i}") for d in (1, 2, 3) for i in (1, 2)], "doc_id long, chunk_index int, start_char int, end_char int, text string")
+    made = spark.createDataFrame([(d, 0, f"chunk_0_0_{d}", "s", 0, 5, "t") for d in (1, 2)], "doc_id long, chunk_index int, chunk_id string, section_id string, start_char int, end_char int, text string")
+    got = sorted((r["doc_id"], r["chunk_index"], r["chunk_id"], r["text"]) for r in K.chosen_chunks(choice, made, windows).collect())
+    assert got == [(1, 1, "chunk_0_0_1", "t"), (2, 1, "legacy_chunk_1", "w21"), (2, 2, "legacy_chunk_2", "w22"), (3, 1, "legacy_chunk_1", "w31"), (3, 2, "legacy_chunk_2", "w32")]
+
+
+def test_broken_maps_are_named(spark):
+    docs = spark.createDataFrame([(1, "0123456789"), (2, "x")], "doc_id long, text string")
+    headings = spark.createDataFrame([(1, 0, 0, 0, 0.5), (1, 0, 2, 4, 1.5)], "doc_id long, index int, start_char int, end_char int, score double")
+    sections = spark.createDataFrame([(1, 0, "section_0", "a", "x", 0, 4, 1.0, 1, 1), (1, 2, "section_9", "", "x", 5, 12, 1.0, 3, 2)], "doc_id long, section_index int, id string, label string, type string, start_char int, end_char int, confidence double, start_page int, end_page int")
+    maps = spark.createDataFrame([(1, "0"), (2, hashlib.sha256(b"x").hexdigest())], "doc_id long, text_hash string")
+    got = sorted((r["doc_id"], r["rule"]) for r in S.validate_document_map(headings, sections, docs, 6, maps).collect())
+    want = ["heading_offsets", "heading_repeated", "heading_score", "section_coverage", "section_end", "section_id", "section_index", "section_label", "section_offsets", "section_pages", "section_size", "text_hash"]
+    assert got == sorted([(1, r) for r in want] + [(2, "section_missing")])
 
 
 def test_default_book(spark):
