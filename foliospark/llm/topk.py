@@ -5,6 +5,8 @@ component: the number of its cell on a grid of CELLS equal cells between the com
 value of all vectors. It is written once, in blocks of BLOCK vectors. A query scores a vector by the middles
 of its cells; the true score is within half a cell of each component of that, the same width for all vectors.
 
+Equal vectors score alike, so only the k + 1 first of them, by vec_id, are in the file.
+
 1. Scan: each block of queries meets each block of the file, by an equality join on the block's number. A
    meeting leaves, for each query, the vectors whose bound reaches the kth bound of that block.
 2. Filter: of all meetings, the kth best lower bound of a query is certain to be reached; vectors whose upper
@@ -142,9 +144,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     """(query_row, query_id, rank, vec_id, score: the k best other rows of each row where is_query holds; query_row, row: the exact vectors read for it)."""
     rows = cut(integers(vectors, id_col, vec_col))
     low, step = grid(rows)
-    n_blocks, n_asked = -(-rows.count() // block) or 1, rows.where(is_query).count()
+    # of equal vectors only the k first, and one that may be the query, can be among the k best of any query
+    equal = Window.partitionBy("v").orderBy("vec_id", "row")
+    offered = cut(rows.withColumn("_n", F.row_number().over(equal)).where(F.col("_n") <= k + 1).drop("_n"))
+    n_blocks, n_asked = -(-offered.count() // block) or 1, rows.where(is_query).count()
     number = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
-    file = cut(approximation_file(rows, low, step).groupBy(number(n_blocks).alias("block")).agg(F.collect_list(F.struct("row", "cells")).alias("file")))
+    file = cut(approximation_file(offered, low, step).groupBy(number(n_blocks).alias("block")).agg(F.collect_list(F.struct("row", "cells")).alias("file")))
     asked = rows.where(is_query).groupBy(number(-(-n_asked // QUERIES) or 1).alias("_q")).agg(F.collect_list(F.struct("row", "v")).alias("asked")).drop("_q")
     order = Window.partitionBy("query").orderBy(F.desc("near"), "row")
     seen = cut(scan(file, asked, n_blocks, step, k).withColumn("nth", F.row_number().over(order)))
@@ -152,7 +157,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     left = cut(seen.join(kth, "query", "left").where(F.col("reach").isNull() | (F.col("near") >= F.col("reach"))).select("query", "row", "near", "slack", "nth"))
 
     query = rows.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("v").alias("one"))
-    with_vectors = lambda some: products(some.withColumnRenamed("query", "query_row").join(query, "query_row").join(rows.withColumnRenamed("v", "two"), "row").select("query_row", "query_id", "row", "vec_id", "one", "two"))
+    with_vectors = lambda some: products(some.withColumnRenamed("query", "query_row").join(query, "query_row").join(offered.withColumnRenamed("v", "two"), "row").select("query_row", "query_id", "row", "vec_id", "one", "two"))
     first = cut(with_vectors(left.where(F.col("nth") <= k)))
     # the kth exact score in the query's units: a vector read scores within its slack of near, the others within theirs
     exact = first.join(left.select(F.col("query").alias("query_row"), "row", "near", "slack"), ["query_row", "row"])
