@@ -10,9 +10,13 @@ SPACES = r"[\s\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\u001
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 
 
+#: The same characters, for trimming without a pattern.
+SPACE_CHARS = " \t\n\x0b\f\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, (*range(0x2000, 0x200B), *range(0x1C, 0x20))))
+
+
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(text, rf"^{SPACES}|{SPACES}$", "")
+    return F.trim(text, F.lit(SPACE_CHARS))
 
 
 def squeeze(text: Column) -> Column:

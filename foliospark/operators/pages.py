@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliospark.functions.lineage import cut
 from foliospark.functions.textnorm import LETTERS, strip
 
 SPACE_RUN = r"[ \t\f\x0B]+"
@@ -89,7 +90,7 @@ def remove_running_lines(pages: DataFrame, keys: DataFrame, zone_depth: int = ZO
 
 def clean_pages(pages: DataFrame) -> DataFrame:
     """All page rules, in their order."""
-    first = clean_page_text(pages)
+    first = cut(clean_page_text(pages))  # read twice: for the keys, and to remove their lines
     return remove_running_lines(first, detect_running_lines(first))
 
 

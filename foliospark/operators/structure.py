@@ -81,12 +81,13 @@ def explode_lines(docs: DataFrame) -> DataFrame:
 def detect_headings(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """doc_id, index, text, start_char, end_char, score, pattern: the lines that score min_score or more, in order.
 
-    Lines are scored inside the document's row, and offsets are sums over the lines before in the row.
+    Lines are scored before anything is shuffled. A line's offset is the length of the text before it, found
+    for the few lines that are headings.
     """
-    raw = docs.select("doc_id", F.split("text", "\n").alias("_ls")).withColumn("_len", F.transform("_ls", lambda x: F.length(x) + 1))
-    scored = raw.select("doc_id", "_len", F.posexplode("_ls").alias("_no", "_raw")).withColumn("text", strip(F.col("_raw")))
-    scored = scored.where((F.length("text") <= 120) & (F.col("text") != "")).withColumn("_s", heading_score(F.col("text"))).where(F.col("_s.score") >= min_score)
-    start = F.aggregate(F.slice("_len", 1, F.col("_no")), F.lit(0), lambda a, x: a + x)
+    raw = docs.select("doc_id", F.col("text").alias("_all"), F.posexplode(F.split("text", "\n")).alias("_no", "_raw"))
+    short = raw.where((F.length(strip(F.col("_raw"))) <= 120) & (strip(F.col("_raw")) != "")).withColumn("text", strip(F.col("_raw")))
+    scored = short.withColumn("_s", heading_score(F.col("text"))).where(F.col("_s.score") >= min_score)
+    start = F.when(F.col("_no") == 0, 0).otherwise(F.length(F.call_function("substring_index", F.col("_all"), F.lit("\n"), F.col("_no"))) + 1)
     order = Window.partitionBy("doc_id").orderBy("start_char")
     found = scored.select("doc_id", "text", start.alias("start_char"), (start + F.length("_raw")).alias("end_char"), F.bround("_s.score", 4).alias("score"), F.col("_s.pattern").alias("pattern"))
     return found.withColumn("index", F.row_number().over(order) - 1).select("doc_id", "index", "text", "start_char", "end_char", "score", "pattern")

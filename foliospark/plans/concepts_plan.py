@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.operators import concepts as C
+from foliospark.operators import consolidation as B
 from foliospark.operators import explorer as E
 from foliospark.operators import families as J
 from foliospark.operators import taxonomy as T
@@ -55,7 +56,7 @@ def concept_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def concept_index(spark: SparkSession, d: str) -> DataFrame:
-    return C.concept_index(named(spark, d)).select("doc_id", "concept", joined("chunks"))
+    return C.concept_index(chunks(spark, d)).select("doc_id", "concept", joined("chunks"))
 
 
 def concept_mentions(spark: SparkSession, d: str) -> DataFrame:
@@ -70,9 +71,26 @@ def merged_concepts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def concept_table(spark: SparkSession, d: str) -> DataFrame:
-    """Chunks to concepts, canonical names and all."""
-    made = C.build_concepts(chunks(spark, d))
-    return made.select("doc_id", "concept", F.size("definitions").cast("long").alias("definitions"), F.size("terminology").cast("long").alias("terms"), joined("source_chunks"))
+    """Chunks to concepts, canonical names, evidence and all."""
+    made = B.build_concepts(chunks(spark, d))
+    evidence = F.array_join(F.transform("concept_evidence", lambda e: F.concat_ws("=", e["field"], e["chunk_index"].cast("string"), e["value"])), "|").alias("evidence")
+    return made.select("doc_id", "concept", joined("definitions"), joined("terminology"), evidence, joined("source_chunks"))
+
+
+#: Sub-concepts and a parent for the parts' texts below, given as data.
+PROMOTION = B.ConceptRules(allowed=("ring kind", "hot sort"), aliases={"gear kind": "ring kind", "ring kind": "ring kind"}, parents=(B.Parent("all of it", ("all of it",), ("anvil",), ("ring kind", "hot sort"), 1),))
+
+
+def promoted_concepts(spark: SparkSession, d: str) -> DataFrame:
+    """Parts with texts about kinds and sorts; those that are allowed become concepts, and a parent of these."""
+    first, head = F.split("p_name", " ")[0], F.element_at(F.split("p_name", " "), -1)
+    one = occurrences(spark, d).groupBy("doc_id", "p_name").agg(F.sort_array(F.collect_set("chunk_index")).alias("source_chunks"))
+    text = lambda *xs: F.array(F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs]))
+    none = F.array().cast("array<string>")
+    given = {"definitions": text(head, " kind: as ", F.col("p_name")), "terminology": text(first, " sort (", F.col("p_name"), ")"), "relationships": text("the ", head, " kind near ", F.col("p_name"))}
+    c = one.select("doc_id", F.col("p_name").alias("concept"), *[given.get(f, none).alias(f) for f in C.TEXT_FIELDS], "source_chunks")
+    made = B.with_promoted(c, PROMOTION)
+    return made.select("doc_id", "concept", *[joined(f) for f in ("definitions", "terminology", "relationships", "source_chunks")], "promoted", "promotion_reason")
 
 
 def catalog(spark: SparkSession, d: str) -> DataFrame:
@@ -268,7 +286,13 @@ SQL = {
     "concept_index": OCC + "SELECT doc_id, p_name AS concept, string_agg(CAST(chunk_index AS VARCHAR), '|' ORDER BY chunk_index) AS chunks FROM (SELECT DISTINCT doc_id, chunk_index, p_name FROM occ) GROUP BY ALL",
     "concept_mentions": OCC + "SELECT 'The ' || p_name AS concept, count(*) AS mentions, count(DISTINCT chunk_index) AS n_chunks, min(chunk_index) AS first_chunk FROM occ GROUP BY 1",
     "merged_concepts": ITEMS + "SELECT doc_id, concept, field, i.items, e.evidence FROM (SELECT doc_id, concept, field, string_agg(value, '|' ORDER BY fst) AS items FROM firsts GROUP BY ALL) i JOIN (SELECT doc_id, concept, field, string_agg(CAST(chunk_index AS VARCHAR) || '=' || value, '|' ORDER BY chunk_index, pos) AS evidence FROM items GROUP BY ALL) e USING (doc_id, concept, field)",
-    "concept_table": ITEMS + "SELECT doc_id, concept, count(DISTINCT value) FILTER (field = 'definitions') AS definitions, count(DISTINCT value) FILTER (field = 'terminology') AS terms, s.c AS source_chunks FROM items JOIN (SELECT doc_id, p_name AS concept, string_agg(DISTINCT CAST(chunk_index AS VARCHAR), '|' ORDER BY CAST(chunk_index AS VARCHAR)) AS x, array_to_string(list_sort(list(DISTINCT chunk_index)), '|') AS c FROM occ GROUP BY ALL) s USING (doc_id, concept) GROUP BY ALL",
+    "concept_table": ITEMS + "SELECT doc_id, concept, string_agg(value, '|' ORDER BY fst) FILTER (field = 'definitions') AS definitions, string_agg(value, '|' ORDER BY fst) FILTER (field = 'terminology') AS terminology, e.x AS evidence, s.x AS source_chunks FROM firsts JOIN (SELECT doc_id, concept, string_agg(field || '=' || CAST(chunk_index AS VARCHAR) || '=' || value, '|' ORDER BY field, chunk_index, value) AS x FROM items GROUP BY ALL) e USING (doc_id, concept) JOIN (SELECT doc_id, p_name AS concept, array_to_string(list_sort(list(DISTINCT chunk_index)), '|') AS x FROM occ GROUP BY ALL) s USING (doc_id, concept) GROUP BY ALL",
+    "promoted_concepts": OCC + """, c AS (SELECT doc_id, p_name AS concept, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS h, list_sort(list(DISTINCT chunk_index)) AS chunks FROM occ GROUP BY ALL),
+r AS (SELECT doc_id, concept, h || ' kind: as ' || concept AS definitions, a || ' sort (' || concept || ')' AS terminology, 'the ' || h || ' kind near ' || concept AS relationships, chunks, false AS promoted, NULL AS promotion_reason FROM c
+UNION ALL SELECT doc_id, 'ring kind', string_agg(h || ' kind: as ' || concept, '|' ORDER BY concept), '', string_agg('the ' || h || ' kind near ' || concept, '|' ORDER BY concept), list_sort(list_distinct(flatten(list(chunks)))), true, NULL FROM c WHERE h IN ('ring', 'gear') GROUP BY doc_id
+UNION ALL SELECT doc_id, 'hot sort', '', string_agg('hot sort (' || concept || ')', '|' ORDER BY concept), '', list_sort(list_distinct(flatten(list(chunks)))), true, NULL FROM c WHERE a = 'hot' GROUP BY doc_id
+UNION ALL SELECT doc_id, 'all of it', '', 'Hot sort', '', chunks, true, 'family_child_support_parent' FROM c WHERE concept = 'hot anvil')
+SELECT doc_id, concept, definitions, terminology, relationships, array_to_string(chunks, '|') AS source_chunks, promoted, promotion_reason FROM r""",
     "family_assignments": CAT + "SELECT CAST(0 AS BIGINT) AS doc_id, concept, family_id, source, confidence, rank FROM fam",
     "families_with_members": CAT + "SELECT CAST(0 AS BIGINT) AS doc_id, family_id, CASE WHEN family_id LIKE 'head_%' THEN substr(family_id, 6) WHEN family_id = 'warmth' THEN 'Warmth' ELSE family_id END AS label, string_agg(concept, '|' ORDER BY concept) AS members FROM fam GROUP BY ALL",
     "concepts_without_family": CAT + "SELECT CAST(0 AS BIGINT) AS doc_id, concept FROM p WHERE concept NOT IN (SELECT concept FROM fam)",
@@ -284,6 +308,6 @@ SQL = {
     "concept_search": "WITH q AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS query FROM part UNION SELECT unnest(['OL', 'in', 'arm'])), n AS (SELECT DISTINCT 0 AS k, p_name AS name FROM part UNION SELECT 1, split_part(p_name, ' ', 2) FROM part UNION SELECT 1, 'Warmth'), r AS (SELECT query, k, name, CAST(row_number() OVER (PARTITION BY query ORDER BY k, name) AS INTEGER) AS rank FROM q JOIN n ON contains(lower(name), lower(query))) SELECT query, CASE k WHEN 0 THEN 'concept' ELSE 'family' END AS kind, name, rank FROM r WHERE rank <= 25",
 }
 QUERIES = {f.__name__: f for f in (
-    concept_names, concept_index, concept_mentions, merged_concepts, concept_table, family_assignments, families_with_members, concepts_without_family,
+    concept_names, concept_index, concept_mentions, merged_concepts, concept_table, promoted_concepts, family_assignments, families_with_members, concepts_without_family,
     taxonomy_decisions, structural_children, ontology_edges, ontology_nodes, related_concepts, chunk_concepts, signal_terms, concept_search,
 )}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foliospark.operators import chunking as K
 from foliospark.operators import pages as P
 from foliospark.operators import structure as S
-from foliospark.sources.tables import read_table
+from foliospark.sources.tables import read_table, spread
 
 
 def raw_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -16,7 +16,8 @@ def raw_pages(spark: SparkSession, d: str) -> DataFrame:
     noisy = F.replace(F.replace("text", F.lit("tion"), F.lit("ti-\non")), F.lit(". "), F.lit(".\r\n\n\n\n"))
     wrapped = F.regexp_replace(noisy, " th", " \t\nth")
     raw = F.concat(F.lit("Volume "), "source", F.lit("\n"), wrapped, F.lit("\n"), (F.col("doc_id") % 10000).cast("string"))
-    return read_table(spark, d, "documents").select(F.col("source").alias("doc_id"), F.col("doc_id").alias("page_index"), raw.alias("raw_text"))
+    docs = spread(read_table(spark, d, "documents").select("doc_id", "source", "text"))
+    return docs.select(F.col("source").alias("doc_id"), F.col("doc_id").alias("page_index"), raw.alias("raw_text"))
 
 
 def page_text(spark: SparkSession, d: str) -> DataFrame:
@@ -48,7 +49,7 @@ def books(spark: SparkSession, d: str) -> DataFrame:
     """Documents with headings of every kind around their text."""
     n = (F.col("doc_id") % 9 + 1).cast("string")
     text = F.concat(F.lit("Preface\nCHAPTER "), n, F.lit(" Opening\n"), "text", F.lit("\nII. Second Part\n2.1 Details here\nStars ..... 12\nmoon, 12, 15\nX\nAppendix A\nThe Long Summary\n"), F.substring("text", 1, 200), F.lit("\nReferences"))
-    return read_table(spark, d, "documents").select("doc_id", text.alias("text"))
+    return spread(read_table(spark, d, "documents").select("doc_id", "text")).select("doc_id", text.alias("text"))
 
 
 def heading_candidates(spark: SparkSession, d: str) -> DataFrame:
@@ -84,9 +85,33 @@ def document_map(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_map_problems(spark: SparkSession, d: str) -> DataFrame:
-    docs = books(spark, d)
-    headings, sections = S.build_document_map(docs)
-    return S.validate_document_map(headings, sections, docs)
+    """Maps of two sections and a heading for each document, of which many break a rule by their document's number."""
+    docs = read_table(spark, d, "documents").select("doc_id", "text").where("length(text) > 20")
+    k, n = F.col("doc_id"), F.length("text")
+    odd = lambda m, bad, good: F.when(k % m == 0, bad).otherwise(good)
+    half = F.floor(n / 2).cast("int")
+    first = F.struct(F.lit(0).alias("section_index"), F.lit("section_0").alias("id"), odd(7, F.lit(""), F.lit("a")).alias("label"), F.lit("section").alias("type"), F.lit(0).alias("start_char"), half.alias("end_char"), odd(11, F.lit(2.0), F.lit(1.0)).alias("confidence"), odd(23, F.lit(3), F.lit(1)).alias("start_page"), F.lit(2).alias("end_page"))
+    start = (half + odd(3, F.lit(1), F.lit(0))).cast("int")
+    second = F.struct(odd(29, F.lit(2), F.lit(1)).alias("section_index"), F.concat(F.lit("section_"), start + odd(31, F.lit(1), F.lit(0))).alias("id"), F.lit("b").alias("label"), F.lit("section").alias("type"), start.alias("start_char"), (n - odd(5, F.lit(1), F.lit(0))).cast("int").alias("end_char"), F.lit(1.0).alias("confidence"), F.lit(None).cast("int").alias("start_page"), F.lit(None).cast("int").alias("end_page"))
+    sections = docs.where("doc_id % 37 > 0").select("doc_id", F.inline(F.array(first, second)))
+    heading = F.struct(F.lit(0).alias("index"), F.lit(2).alias("start_char"), odd(13, F.lit(2), F.lit(9)).alias("end_char"), odd(17, F.lit(1.5), F.lit(1.0)).alias("score"))
+    headings = docs.select("doc_id", F.inline(F.when(k % 41 == 0, F.array(heading, heading)).otherwise(F.array(heading))))
+    maps = docs.select("doc_id", odd(19, F.lit("0"), S.text_hash(F.col("text"))).alias("text_hash"))
+    return S.validate_document_map(headings, sections, docs, 20_000, maps)
+
+
+def text_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of every document, with their places."""
+    lines = S.explode_lines(read_table(spark, d, "documents").select("doc_id", "text"))
+    return lines.select("doc_id", *[F.col(c).cast("long").alias(c) for c in ("line_no", "start_char", "end_char")], "line")
+
+
+def usable_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Every document as a book of one page: those of few letters have an empty text."""
+    docs = read_table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 9 == 0, F.regexp_replace("text", "[^ .,]", "-")).when(F.col("doc_id") % 10 == 0, F.substring("text", 1, 19)).otherwise(F.col("text")).alias("text"))
+    zero = {c: F.lit(0) for c in ("dehyphenation_count", "line_merge_count", "removed_header_lines", "removed_footer_lines", "removed_page_numbers")}
+    pages = docs.select("doc_id", F.col("text").alias("raw_text"), F.col("text").alias("clean_text")).withColumns(zero)
+    return P.filter_usable(docs, P.extraction_diagnostics(pages))
 
 
 def cleaned_sections(spark: SparkSession, d: str) -> DataFrame:
@@ -200,7 +225,16 @@ ENDS = f"(CASE WHEN whole IS NOT NULL THEN n WHEN s + 1800 >= n AND {_CUT} < n A
 WINDOWS = WINDOW_SQL.replace("ENDS", ENDS).replace("LOW", LOW)
 SPANS = f"SELECT doc_id, chunk_index, s AS start_char, {ENDS} AS end_char, txt FROM (SELECT *, {LOW} AS low FROM w)"
 
+MAP_SQL = """WITH k AS (SELECT doc_id, text, length(text) AS n, length(text) // 2 AS half FROM documents WHERE length(text) > 20), s AS (SELECT *, half + CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS a, n - CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS b FROM k WHERE doc_id % 37 > 0)
+SELECT doc_id, 'heading_offsets' AS rule, unnest(CASE WHEN doc_id % 41 = 0 THEN ['0', '0'] ELSE ['0'] END) AS detail FROM k WHERE doc_id % 13 = 0 UNION ALL SELECT doc_id, 'heading_score', unnest(CASE WHEN doc_id % 41 = 0 THEN ['0', '0'] ELSE ['0'] END) FROM k WHERE doc_id % 17 = 0
+UNION ALL SELECT doc_id, 'heading_repeated', '0' FROM k WHERE doc_id % 41 = 0 UNION ALL SELECT doc_id, 'section_index', '2' FROM s WHERE doc_id % 29 = 0 UNION ALL SELECT doc_id, 'section_coverage', CASE WHEN doc_id % 29 = 0 THEN '2' ELSE '1' END FROM s WHERE doc_id % 3 = 0
+UNION ALL SELECT doc_id, 'section_size', '0' FROM s WHERE half > 20000 UNION ALL SELECT doc_id, 'section_size', CASE WHEN doc_id % 29 = 0 THEN '2' ELSE '1' END FROM s WHERE b - a > 20000 UNION ALL SELECT doc_id, 'section_confidence', '0' FROM s WHERE doc_id % 11 = 0
+UNION ALL SELECT doc_id, 'section_id', CASE WHEN doc_id % 29 = 0 THEN '2' ELSE '1' END FROM s WHERE doc_id % 31 = 0 UNION ALL SELECT doc_id, 'section_label', '0' FROM s WHERE doc_id % 7 = 0 UNION ALL SELECT doc_id, 'section_pages', '0' FROM s WHERE doc_id % 23 = 0
+UNION ALL SELECT doc_id, 'section_end', CAST(b AS VARCHAR) FROM s WHERE b <> n UNION ALL SELECT doc_id, 'section_missing', CAST(n AS VARCHAR) FROM k WHERE doc_id % 37 = 0 UNION ALL SELECT doc_id, 'text_hash', '0' FROM k WHERE doc_id % 19 = 0"""
 SQL = {
+    "document_map_problems": MAP_SQL,
+    "text_lines": "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents), p AS (SELECT *, CAST(coalesce(sum(length(raw) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_char FROM l) SELECT doc_id, line_no, start_char, start_char + length(raw) AS end_char, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS line FROM p WHERE regexp_replace(raw, '^\\s+|\\s+$', '', 'g') <> ''",
+    "usable_texts": "WITH t AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN regexp_replace(text, '[^ .,]', '-', 'g') WHEN doc_id % 10 = 0 THEN substr(text, 1, 19) ELSE text END AS text FROM documents) SELECT doc_id, CASE WHEN length(text) < 20 OR len(regexp_extract_all(text, '[LETTERS]')) / length(text) < 0.05 THEN '' ELSE text END AS text FROM t".replace("LETTERS", L),
     "page_text": RAW_SQL + "SELECT doc_id, page_index, clean_text, dehyphenation_count, line_merge_count FROM pages",
     "running_lines": RAW_SQL + "SELECT doc_id, key, place, pages FROM keys",
     "clean_pages": RAW_SQL + "SELECT doc_id, page_index, clean_text, removed_header_lines, removed_footer_lines, removed_page_numbers FROM clean",
@@ -236,5 +270,5 @@ WHERE NOT (type = 'index' OR regexp_matches(label, '^[^\\p{{L}}\\p{{N}}]{{1,8}}$
 
 QUERIES = {f.__name__: f for f in (
     page_text, running_lines, clean_pages, assembled_books, page_units, extraction_diagnostics, heading_candidates, heading_segments, heading_classes, top_headings, normalized_sections,
-    document_map, document_map_problems, cleaned_sections, overlap_chunks, structural_chunks, structural_chunk_stats, chosen_chunking, section_refs,
+    text_lines, usable_texts, document_map, document_map_problems, cleaned_sections, overlap_chunks, structural_chunks, structural_chunk_stats, chosen_chunking, section_refs,
 )}

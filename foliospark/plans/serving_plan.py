@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.operators import discovery as D
 from foliospark.operators import explorer as E
 from foliospark.operators import frames as L
 from foliospark.operators import procedural as P
-from foliospark.plans.concepts_plan import catalog, corpus_concepts, joined, named, occurrences
+from foliospark.plans.concepts_plan import OCC, catalog, corpus_concepts, joined, named, occurrences
 from foliospark.sources.tables import read_table
 
 
@@ -80,12 +80,34 @@ def structural_parents(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "parent", "chunk", joined("children"))
 
 
+def procedures(spark: SparkSession, d: str) -> DataFrame:
+    """Rules and outputs of an order's parts, given to the concepts that they name."""
+    none = F.array().cast("array<string>")
+    rules = F.transform("definitions", lambda t: F.struct(F.concat(F.lit("If "), t).alias("condition"), F.lit(" keep  it.").alias("outcome"), none.alias("related_steps")))
+    outputs = F.transform("terminology", lambda t: F.struct(t.alias("text")))
+    return P.procedure_table(P.project_procedural_items(named(spark, d).withColumns({"decision_rules": rules, "procedure_outputs": outputs}), ["decision_rules", "procedure_outputs"]))
+
+
+def shown_rules(column: str = "decision_rules") -> Column:
+    return F.array_join(F.transform(column, lambda r: F.concat_ws("=>", r["condition"], r["outcome"])), "|").alias("rules")
+
+
 def procedural_items(spark: SparkSession, d: str) -> DataFrame:
-    """Rules of an order's parts, given to the concepts that they name."""
-    rules = F.transform("definitions", lambda t: F.struct(t.alias("condition"), F.lit("keep it").alias("outcome")))
-    found = P.project_procedural_items(named(spark, d).withColumn("rules", rules), ["rules"])
-    merged = P.merge_procedural_fields(found)
-    return merged.select("doc_id", "concept", F.size("items").cast("long").alias("n_items"), F.size("evidence").cast("long").alias("n_evidence"))
+    evidence = F.array_join(F.transform(F.filter("procedure_evidence", lambda e: e["field"] == "decision_rules"), lambda e: F.concat_ws("=", e["chunk_index"].cast("string"), F.get_json_object(e["value"], "$.condition"))), "|").alias("evidence")
+    outputs = F.array_join(F.transform("procedure_outputs", lambda o: o["text"]), "|").alias("outputs")
+    return procedures(spark, d).select("doc_id", "concept", shown_rules(), outputs, evidence)
+
+
+def final_procedures(spark: SparkSession, d: str) -> DataFrame:
+    """Steps from rules, and the procedures as text."""
+    p = P.finalize_procedures(procedures(spark, d))
+    return p.select("doc_id", "concept", F.array_join(F.transform("procedure_steps", lambda s: F.concat_ws(". ", s["order"].cast("string"), s["text"])), "|").alias("steps"), joined("procedures"))
+
+
+def audited_procedures(spark: SparkSession, d: str) -> DataFrame:
+    """The concepts with procedural items."""
+    p = P.procedural_audit(procedures(spark, d))
+    return p.select("doc_id", "concept", shown_rules(), F.size("procedure_evidence").cast("long").alias("n_evidence"))
 
 
 def frame_concepts(spark: SparkSession, d: str) -> DataFrame:
@@ -169,6 +191,9 @@ c AS (SELECT doc_id, max(CASE p_name WHEN 'red ring' THEN t END) AS rr, max(CASE
   max(CASE p_name WHEN 'cold rod' THEN chunks END) AS crc, max(CASE p_name WHEN 'new rod' THEN chunks END) AS nrc FROM m GROUP BY 1),
 g AS (SELECT *, list_filter(list_concat(list_transform(coalesce(rr, []), lambda x: [x, 'take the red ring']), list_transform(coalesce(hr, []), lambda x: [x, 'take the hot ring']), list_transform(coalesce(orr, []), lambda x: [x, 'take the old ring'])), lambda x: x[1] <> 'ECONOMY') AS rings,
   list_concat(list_transform(coalesce(bg, []), lambda x: [x, 'take the blue gear']), [['it is old', 'keep the blue gear']]) AS gears FROM c)"""
+PR = OCC + """, v AS (SELECT doc_id, p_name AS concept, p_name || ': of ' || p_brand AS v, p_type || ' ' || p_name AS o, (chunk_index, pos) AS place FROM occ),
+r AS (SELECT doc_id, concept, v, min(place) AS fst FROM v GROUP BY ALL), q AS (SELECT doc_id, concept, o, min(place) AS fst FROM v GROUP BY ALL),
+t AS (SELECT doc_id, concept, string_agg(o, '|' ORDER BY fst) AS x, string_agg('Output: ' || o, '|' ORDER BY fst) AS o, count(*) AS n FROM q GROUP BY ALL)"""
 SQL = {
     "localized_frames": FR + " SELECT doc_id, 'Barras' AS label, 'Elegir' AS goal, CASE WHEN crc IS NOT NULL THEN 'Asigna the barra fría' ELSE '' END AS author_methods, CASE WHEN crc IS NOT NULL THEN 'deja barra fría' ELSE '' END AS author_overrides, CASE WHEN nrc IS NOT NULL THEN 'señala la barra nueva' ELSE '' END AS outputs FROM g WHERE crc IS NOT NULL OR nrc IS NOT NULL",
     "families_of_concepts": N.replace(" RECURSIVE", "") + " SELECT doc_id, f AS family_id, string_agg(concept, '|' ORDER BY concept) AS members FROM (SELECT doc_id, f, concept FROM n WHERE split_part(concept, ' ', 1) IN ('red', 'hot', 'old') UNION ALL SELECT doc_id, 'aged', concept FROM n WHERE concept LIKE 'old %') GROUP BY ALL",
@@ -178,7 +203,10 @@ SQL = {
     "breadcrumb_paths": N + ", up AS (SELECT doc_id, child, min(parent) AS p FROM e GROUP BY ALL), t AS (SELECT DISTINCT doc_id, child AS concept, [child] AS path, child AS top FROM e UNION ALL SELECT t.doc_id, concept, list_prepend(p, path), p FROM t JOIN up ON up.doc_id = t.doc_id AND up.child = top WHERE NOT list_contains(path, p)) SELECT doc_id, concept, array_to_string(max_by(path, len(path)), '>') AS path FROM t GROUP BY ALL",
     "evidence_texts": O + "SELECT DISTINCT doc_id, p_name AS concept, chunk_index AS chunk, CASE WHEN chunk_index % 2 = 0 THEN min(p_type) OVER (PARTITION BY doc_id, chunk_index) ELSE 'Chunk summary unavailable.' END AS text FROM occ",
     "structural_parents": O + "SELECT doc_id, 'red ring' AS parent, chunk_index AS chunk, string_agg(p_name, '|' ORDER BY p_name) AS children FROM (SELECT DISTINCT doc_id, chunk_index, p_name FROM occ WHERE p_name IN ('red ring', 'hot ring', 'old ring')) WHERE doc_id IN (SELECT doc_id FROM occ WHERE p_name = 'red ring') GROUP BY ALL HAVING count(*) >= 2",
-    "procedural_items": "WITH occ AS (SELECT o_custkey AS doc_id, l_orderkey AS chunk_index, p_name, p_brand FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey) SELECT doc_id, p_name AS concept, count(DISTINCT p_brand) AS n_items, count(DISTINCT (chunk_index, p_brand)) AS n_evidence FROM occ GROUP BY ALL",
+    "procedural_items": PR + "SELECT doc_id, concept, string_agg('If ' || v || '=>keep it.', '|' ORDER BY fst) AS rules, t.x AS outputs, string_agg(CAST(fst[1] AS VARCHAR) || '=If ' || v, '|' ORDER BY fst) AS evidence FROM r JOIN t USING (doc_id, concept) GROUP BY ALL",
+    "final_procedures": PR + """SELECT doc_id, concept, CASE WHEN count(*) > 1 THEN string_agg(CAST(k AS VARCHAR) || '. If ' || v || ', then keep it', '|' ORDER BY k) ELSE '' END AS steps,
+  CASE WHEN count(*) > 1 THEN string_agg(CAST(k AS VARCHAR) || '. If ' || v || ', then keep it', '|' ORDER BY k) || '|' ELSE '' END || string_agg('If ' || v || ', then keep it.', '|' ORDER BY k) || '|' || t.o AS procedures FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, concept ORDER BY fst) AS k FROM r) AS y JOIN t USING (doc_id, concept) GROUP BY doc_id, concept, t.o""",
+    "audited_procedures": PR + "SELECT doc_id, concept, string_agg('If ' || v || '=>keep it.', '|' ORDER BY fst) AS rules, count(*) + t.n AS n_evidence FROM r JOIN t USING (doc_id, concept) GROUP BY doc_id, concept, t.n",
     "procedure_frames": FR + """ SELECT doc_id, 'rings' AS frame_id, 'selection' AS frame_type, 'Rings' AS label, concat_ws('|', CASE WHEN rr IS NOT NULL THEN 'red ring' END, CASE WHEN hr IS NOT NULL THEN 'hot ring' END) AS anchor_concepts, CASE WHEN orr IS NOT NULL THEN 'old ring' ELSE '' END AS supporting_concepts,
   array_to_string(list_transform(rings, lambda x: x[1] || '=>' || x[2]), '|') AS rules, array_to_string(list_transform(list_filter(rings, lambda x: x[2] = 'take the hot ring'), lambda x: x[1] || '=>' || x[2]), '|') AS fallback_rules,
   CASE WHEN len(rings) > 1 THEN array_to_string(list_transform(list_sort(rings)[1:4], lambda x: 'If ' || x[1] || ', then ' || x[2]), '|') WHEN orr IS NOT NULL THEN 'look up' ELSE '' END AS steps, '' AS preconditions, '' AS author_methods, '' AS author_overrides, '' AS methodological_notes, '' AS outputs,
@@ -195,4 +223,4 @@ SELECT doc_id, 'auto_' || replace(p_name, ' ', '_') AS frame_id, kind AS frame_t
   CASE WHEN a = 'new' THEN 'note the ' || p_name || '.' ELSE '' END AS outputs FROM k""",
     "discovered_families": O + ", h AS (SELECT doc_id, list(DISTINCT replace(p_name, ' ring', '')) AS w FROM occ WHERE p_name LIKE '% ring' GROUP BY 1), a AS (SELECT *, [x FOR x IN ['red', 'blue', 'old', 'odd'] IF list_contains(w, x)] AS one FROM h), b AS (SELECT *, CASE WHEN len(one) >= 3 THEN one ELSE [] END AS t1, [x FOR x IN ['hot', 'red', 'blue', 'cold'] IF list_contains(w, x)] AS two FROM a), c AS (SELECT *, [x FOR x IN two IF NOT list_contains(t1, x)] AS two2 FROM b), e AS (SELECT *, CASE WHEN len(two2) >= 3 THEN t1 || two2 ELSE t1 END AS t2 FROM c), g AS (SELECT *, [x FOR x IN ['small', 'large', 'red', 'new'] IF list_contains(w, x) AND NOT list_contains(t2, x)] AS three FROM e) SELECT doc_id, family_label, array_to_string([x || ' ring' FOR x IN m], '|') AS members FROM (SELECT doc_id, 'plain' AS family_label, one AS m FROM g UNION ALL SELECT doc_id, 'warm', two2 FROM g UNION ALL SELECT doc_id, 'size', three FROM g) WHERE len(m) >= 3",
 }
-QUERIES = {f.__name__: f for f in (localized_frames, families_of_concepts, frame_of_concepts, relation_lists, family_tree, breadcrumb_paths, evidence_texts, structural_parents, procedural_items, procedure_frames, automatic_frames, discovered_families, checked_families)}
+QUERIES = {f.__name__: f for f in (localized_frames, families_of_concepts, frame_of_concepts, relation_lists, family_tree, breadcrumb_paths, evidence_texts, structural_parents, procedural_items, final_procedures, audited_procedures, procedure_frames, automatic_frames, discovered_families, checked_families)}

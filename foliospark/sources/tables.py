@@ -10,6 +10,12 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if it comes in fewer than half as many parts, as one file with one row group does; large inputs aren't shuffled."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if 2 * df.rdd.getNumPartitions() <= want else df
+
+
 def read_text_books(spark: SparkSession, path: str) -> DataFrame:
     """doc_id (a hash of the path), source_path, text, error of each file: UTF-8 text, or an error for other suffixes."""
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("text"))

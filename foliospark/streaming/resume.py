@@ -1,7 +1,9 @@
 """Chunks that arrive as files, planned against a growing cache: the resume rule in a stream.
 
-The stream only brings the rows; each micro-batch is planned by the same batch operator, and what was planned
-is added to the cache, so a restarted or repeated batch plans nothing twice.
+The stream only brings the rows; each micro-batch is planned by the same batch operator. What a batch plans is
+written to the cache under its number before it is handled, and a batch is planned against the batches before
+it alone. So a batch that is repeated after a crash plans the same rows again under the same number: rows are
+handled at least once, none is lost, and a handler that writes by batch number has each once.
 """
 
 from __future__ import annotations
@@ -21,20 +23,20 @@ def read_chunk_stream(spark: SparkSession, folder: str, schema: str, max_files:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(folder)
 
 
-def plan_stream(chunks: DataFrame, cache_path: str, checkpoint: str, handle: Callable[[DataFrame], None], max_chunks: int | None = None) -> StreamingQuery:
-    """Runs handle(planned rows) on each micro-batch, then appends their keys to the cache table; stops when the files are done."""
+def plan_stream(chunks: DataFrame, cache_path: str, checkpoint: str, handle: Callable[[DataFrame, int], None], max_chunks: int | None = None) -> StreamingQuery:
+    """Adds each micro-batch's planned keys to the cache table, then runs handle(planned rows, batch number); stops when the files are done."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         try:
-            cache = spark.read.parquet(cache_path)
+            cache = spark.read.parquet(cache_path).where(F.col("batch") < batch_id)
         except Exception as e:  # the first batch has no cache yet
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             cache = batch.select(*KEY).limit(0)
-        planned = pending_chunks(batch.dropDuplicates(list(KEY)), cache, max_chunks).where(F.col("status") == "planned").persist()
-        handle(planned)
-        planned.select(*KEY).write.mode("append").parquet(cache_path)
+        planned = pending_chunks(batch.dropDuplicates(list(KEY)), cache.select(*KEY), max_chunks).where(F.col("status") == "planned").persist()
+        planned.select(*KEY).write.mode("overwrite").parquet(f"{cache_path}/batch={batch_id}")
+        handle(planned, batch_id)
         planned.unpersist()
 
     return chunks.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

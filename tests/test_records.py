@@ -96,6 +96,11 @@ def test_sources_and_sidecars(spark, tmp_path):
     cleaned = {r["doc_id"]: r for r in A.from_sidecar(A.clean_sidecar(sidecars, schema), schema).collect()}
     assert cleaned[1]["metadata"]["postprocess"] == "document_map_cleaner_v1" and [(x["label"], x["end_page"]) for x in cleaned[1]["sections"]] == [("A x", 2), ("b", 2)]
     assert A.from_sidecar(spark.createDataFrame([(5, "{")], "doc_id long, sidecar string"), schema).first()["sections"] is None
+    pages = spark.createDataFrame([(1, 2, None), (1, 1, "x")], "doc_id long, page_index int, raw_text string")
+    pages.write.parquet(str(tmp_path / "pages"))
+    pages.write.json(str(tmp_path / "pages.json"))
+    for path in ("pages", "pages.json"):
+        assert sorted(tuple(r) for r in A.read_pages(spark, str(tmp_path / path)).collect()) == [(1, 1, "x"), (1, 2, "")]
     A.write_artifact(sections, str(tmp_path / "out"), "json", 2)
     assert spark.read.json(str(tmp_path / "out")).count() == 2
     catalog = spark.createDataFrame([(" f ", "L ", [" a ", " "], None), ("", "x", [], [])], "id string, label string, aliases array<string>, controlled_patterns array<string>")

@@ -15,7 +15,7 @@ def test_stream_resumes(spark, tmp_path):
         (folder / name).write_text("\n".join(json.dumps({"doc_id": 1, "text_hash": "h", "mode": "m", "fingerprint": "f", "chunk_index": i}) for i in indices))
 
     def run():
-        query = plan_stream(read_chunk_stream(spark, str(folder), SCHEMA, 1), str(tmp_path / "cache"), str(tmp_path / "check"), lambda df: seen.extend(r["chunk_index"] for r in df.collect()))
+        query = plan_stream(read_chunk_stream(spark, str(folder), SCHEMA, 1), str(tmp_path / "cache"), str(tmp_path / "check"), lambda df, _: seen.extend(r["chunk_index"] for r in df.collect()))
         assert query.awaitTermination(120)
 
     put("a.json", [1, 2, 2])
@@ -23,3 +23,22 @@ def test_stream_resumes(spark, tmp_path):
     put("b.json", [2, 3])
     run()
     assert sorted(seen) == [1, 2, 3]
+
+
+def test_a_crash_while_handling_loses_nothing(spark, tmp_path):
+    folder, seen, broken = tmp_path / "in", [], [True]
+    folder.mkdir()
+    (folder / "a.json").write_text("\n".join(json.dumps({"doc_id": 1, "text_hash": "h", "mode": "m", "fingerprint": "f", "chunk_index": i}) for i in (1, 2)))
+
+    def handle(df, batch):
+        if broken.pop() if broken else False:
+            raise RuntimeError("lost")
+        seen.extend((batch, r["chunk_index"]) for r in df.collect())
+
+    for _ in range(2):
+        query = plan_stream(read_chunk_stream(spark, str(folder), SCHEMA, 1), str(tmp_path / "cache"), str(tmp_path / "check"), handle)
+        try:
+            query.awaitTermination(120)
+        except Exception as e:
+            assert "lost" in str(e)
+    assert sorted(seen) == [(0, 1), (0, 2)]
