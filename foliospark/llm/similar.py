@@ -8,8 +8,9 @@ band of `rows` minima is equal with a chance of 0.8 ** rows, and with 32 bands o
 once in about 20 million.
 
 Texts with the same set are one node from the start. In a band's bucket each node is first compared with
-the smallest; then nodes of a bucket which aren't in one component yet are all compared with each other,
-so no link that a bucket shows is lost, and a large group of near copies isn't compared in pairs.
+the smallest; the nodes of a bucket which aren't in one component yet are compared with each other in
+blocks, which give only the links that join components. So no link that a bucket shows is lost, and a large
+group of near copies is never spelled out in pairs.
 
 Cases: null or empty text, or text without words, has the empty set, and is a copy of any other such text;
 shorter texts than one shingle have their whole word sequence as the only one; rows without doc_id stay;
@@ -31,6 +32,8 @@ from .components import connected_components
 from .simhash import SEED, kept_rows, majority, near_links, shingle_hashes
 
 WIDTH, LEAST, BANDS, ROWS = 5, 0.8, 32, 4
+#: Nodes of a bucket that are compared with as many others at a time.
+BLOCK = 64
 
 
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -91,6 +94,73 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> Da
     return short_batches(ends.select("a", "b", "_one", "_two")).mapInArrow(each, "a long, b long")
 
 
+def links_of_blocks(members: DataFrame, texts: DataFrame, width: int, least: float, block: int = BLOCK) -> DataFrame:
+    """(a, b): links that join the components (node, component) of each bucket (band, key; of n nodes) whose nodes are similar enough.
+
+    A bucket's nodes are dealt over blocks of about `block`, and each two blocks of it meet in one row, with
+    their shingle sets, which are compared as matrices. Of the pairs only those are given that join components
+    that weren't joined in this meeting yet, so that neither pairs nor links are made row by row.
+    """
+    wanted = members.select("node").distinct()
+    held = shingle_sets(texts.join(wanted, "node"), width)
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / block)).cast("int")).join(held, "node")
+    packed = cut(dealt.groupBy("band", "key", "n", "block").agg(F.collect_list(F.struct("node", "component", "shingles")).alias("x")))
+    other = packed.select("band", "key", F.col("block").alias("other"), F.col("x").alias("y"))
+    # by block, so that a large bucket's meetings are spread
+    dealt_to = packed.withColumn("other", F.explode(F.sequence(F.col("block"), (F.ceil(F.col("n") / block) - 1).cast("int"))))
+    meet = dealt_to.join(other, ["band", "key", "other"]).select("x", F.when(F.col("block") != F.col("other"), F.col("y")).alias("y"))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found += joining_pairs(x, y or x, least)
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return short_batches(meet).mapInArrow(each, "a long, b long")
+
+
+def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
+    """node, shingles (sorted hashes, 8 bytes each) of each text."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, width).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["node", "shingles"])
+
+    return short_batches(texts.select("node", "text")).mapInArrow(each, "node long, shingles binary")
+
+
+def joining_pairs(x: list[dict], y: list[dict], least: float, columns: int = 1 << 14) -> list[tuple[int, int]]:
+    """Of two lists of (node, component, shingles): pairs of similar nodes that join components, as few as do."""
+    one, two = ([np.frombuffer(r["shingles"], "<u8") for r in rows] for rows in (x, y))
+    size_1, size_2 = (np.array([len(s) for s in sets], "f8") for sets in (one, two))
+    shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    both = np.zeros((len(one), len(two)))
+    places = [[at[shared[np.minimum(at, len(shared) - 1)] == s] for s in sets for at in [np.searchsorted(shared, s)]] if len(shared) else [] for sets in (one, two)]
+    for at in range(0, len(shared), columns):
+        held = [np.zeros((len(rows), columns), "f4") for rows in places]
+        for matrix, rows in zip(held, places):
+            for i, place in enumerate(rows):
+                matrix[i, place[np.searchsorted(place, at) : np.searchsorted(place, at + columns)] - at] = 1
+        both += held[0] @ held[1].T
+    total = size_1[:, None] + size_2[None, :] - both
+    alike = np.where(total > 0, both >= least * total, True)
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    out = []
+    for i, j in np.argwhere(alike).tolist():
+        a, b = root(x[i]["component"]), root(y[j]["component"])
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((x[i]["node"], y[j]["node"]))
+    return out
+
+
 def similar_groups(docs: DataFrame, width: int = WIDTH, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, _copy, component of each row: rows that links of similarity `least` or more connect have one component."""
     sets = cut(sets_of(docs, width, bands, rows))
@@ -115,11 +185,9 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, least: float = LEAST, ba
     links = cut(verified(stars, texts, width, least))
     found = cut(connected_components(links))
     named = met.select("band", "key", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = named.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band", "key")
+    mixed = named.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band", "key", "n")
     open_ = cut(named.join(mixed, ["band", "key"]))
-    one, two = open_.select("band", "key", F.col("node").alias("a"), F.col("component").alias("ca")), open_.select("band", "key", F.col("node").alias("b"), F.col("component").alias("cb"))
-    rest = one.join(two, ["band", "key"]).where("a > b AND ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = cut(verified(rest, texts, width, least))
+    more = cut(links_of_blocks(open_, texts, width, least).distinct())
     if not more.isEmpty():
         found = connected_components(links.unionByName(more))
     return sets.drop("keys", "fp").join(found, "node", "left").select("doc_id", "_copy", F.coalesce("component", "node").alias("component"))
