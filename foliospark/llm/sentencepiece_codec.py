@@ -9,7 +9,7 @@ automaton's output links give the pieces that end there, and each relaxes the be
   ranks isn't what it maximises. A cut is the merged one exactly if each two neighbours would also be left
   as they are if merged alone: merges within a stretch don't depend on what follows it. So a piece relaxes a
   position only if it agrees with the last piece before it, which is one at most, and the ids are the
-  library's. Whether two pieces agree is found by merging their characters, and remembered.
+  library's. Whether two pieces agree is found from the order in which their characters merge, and remembered.
 
 A character without a piece becomes the byte pieces of its UTF-8 form, at a score below any piece's.
 
@@ -75,54 +75,78 @@ class Codec:
         # ranks are the whole numbers 0, -1, -2...: a model made by merging
         normal = [self.scores[i] for i in self.number.values() if i not in self.byte_ids.values() and self.scores[i]]
         self.merging = bool(normal) and all(x == int(x) and x < 0 for x in normal)
+        self.rank = {p: -self.scores[i] for p, i in self.number.items()} if self.merging else {}
         self.agreeing: dict[tuple[int, int], bool] = {}
-
-    def merged(self, text: str) -> list[str]:
-        """The pieces that merging leaves of a short text: the best pair first, of equal ones the first."""
-        parts = list(text)
-        while True:
-            ranks = [(-self.scores[self.number[a + b]], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.number]
-            if not ranks:
-                return parts
-            _, at = min(ranks)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        self.spines: dict[int, tuple[list, list] | None] = {}
+
+    def ends_of(self, piece: int) -> tuple[list, list] | None:
+        """(what begins, what ends the piece while it is merged from its characters, each with the rank of the merge that consumes it); None if merging doesn't give the piece."""
+        if (found := self.spines.get(piece, False)) is False:
+            parts, first, last = list(self.pieces[piece]), [], []
+            while len(parts) > 1:
+                ranks = [(self.rank[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.rank]
+                if not ranks:
+                    break
+                rank, at = min(ranks)
+                if at == 0:
+                    first.append((parts[0], rank))
+                if at == len(parts) - 2:
+                    last.append((parts[-1], rank))
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            whole = (self.pieces[piece], float("inf"))
+            found = self.spines[piece] = ([*first, whole], [*last, whole]) if len(parts) == 1 else None
+        return found
 
     def agree(self, one: int, two: int) -> bool:
-        """Whether merging the characters of two pieces together leaves these two; of the second alone after none (-1)."""
+        """Whether merging the characters of two pieces together leaves these two; of the second alone after none (-1).
+
+        A piece's rank is behind those of its parts, so merges go in the order of ranks, and a merge over the
+        boundary happens if its rank comes before those that consume its two sides (of equal ones the left one first).
+        """
         if (found := self.agreeing.get((one, two))) is None:
             if len(self.agreeing) >= 4 * REMEMBERED:  # as bounded as the words
                 self.agreeing.clear()
-            pair = [self.pieces[i] for i in (one, two) if i >= 0]
-            found = self.agreeing[one, two] = self.merged("".join(pair)) == pair
+            left, right = self.ends_of(one) if one >= 0 else ([], []), self.ends_of(two)
+            found = left is not None and right is not None
+            if found:
+                rank, last = self.rank, float("inf")
+                found = not any((r := rank.get(x + y, last)) < gone and r <= taken and r < last for x, gone in left[1] for y, taken in right[0])
+            self.agreeing[one, two] = found
         return found
 
     def best_merged(self, stretch: str) -> list[int]:
         """The ids that merging gives: at each position the one piece that agrees with the last one before it."""
-        n = len(stretch)
-        back: list[tuple[int, int] | None] = [(0, -1)] + [None] * n
-        ends: list[list] = [[] for _ in range(n + 1)]
-        for last, hit in self.automaton.iter(stretch):
-            ends[last + 1].append(hit)
-        for end in range(1, n + 1):
-            for size, _, i in ends[end]:
-                before = back[end - size]
-                if before is not None and self.agree(before[1], i):
-                    back[end] = (size, i)
-                    break
-            else:
-                if stretch[end - 1] not in self.single:
-                    back[end] = (1, -1)
+        n, agreeing = len(stretch), self.agreeing
+        # the last piece of each position's cut: -1 for none, or for a character without a piece
+        last, unset = [-1] + [None] * n, None
+        size_of = [1] * (n + 1)
+        known = self.single.issuperset(stretch)
+        upto = 0
+        for at, (size, _, i) in self.automaton.iter(stretch):
+            end = at + 1
+            if not known:
+                upto = self.pass_unknown(stretch, last, upto, end)
+            if last[end] is unset and (before := last[end - size]) is not unset and ((ok := agreeing.get((before, i))) or (ok is None and self.agree(before, i))):
+                last[end], size_of[end] = i, size
+        if not known:
+            self.pass_unknown(stretch, last, upto, n + 1)
         ids: list[int] = []
         at = n
         while at:
-            size, i = back[at]
-            if i >= 0:
+            if (i := last[at]) >= 0:
                 ids.append(i)
             else:
                 ids.extend(self.byte_ids.get(b, self.unknown) for b in reversed(stretch[at - 1].encode("utf-8", "replace")))
-            at -= size
+            at -= size_of[at]
         return ids[::-1]
 
+    def pass_unknown(self, stretch: str, last: list, upto: int, end: int) -> int:
+        """Characters without a piece that end before `end`, and that no piece has taken, stand alone."""
+        for at in range(upto + 1, end):
+            if last[at] is None and stretch[at - 1] not in self.single:
+                last[at] = -1
+        return end - 1
+
     def best(self, stretch: str) -> tuple[float, list[int]]:
         """The highest sum of scores and its ids."""
         n = len(stretch)
