@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,3 +52,10 @@ def any_of(text: Column, words: tuple[str, ...]) -> Column:
 def ordered_distinct(items: Column) -> Column:
     """An array of (order…, value) structs as its distinct values, each at its first place."""
     return F.array_distinct(F.transform(F.array_sort(items), lambda x: x["value"]))
+
+
+def first_of_each(items: Column, kind: str, key: Callable[[Column], Column]) -> Column:
+    """The items (of type `kind`) whose key, a text, hasn't come before, in order: one fold, so that items and keys are made once."""
+    keyed = F.transform(items, lambda x: F.struct(key(x).alias("k"), x.alias("x")))
+    fold = lambda kept, s: F.when(F.exists(kept, lambda o: o["k"] == s["k"]), kept).otherwise(F.array_append(kept, s))
+    return F.aggregate(keyed, F.array().cast(f"array<struct<k:string,x:{kind}>>"), fold, lambda kept: F.transform(kept, lambda s: s["x"]))
