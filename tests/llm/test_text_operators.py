@@ -190,6 +190,36 @@ def test_similar_texts_go(spark, tmp_path):
     assert sorted(r["doc_id"] for r in one_id) == [7, 7, 8]
 
 
+def test_blocks_give_the_links_that_join_components():
+    rng = random.Random(1)
+    for _ in range(60):
+        base = [set(rng.sample(range(300), 60)) for _ in range(3)]
+        rows = []
+        for i in range(20):
+            own = set(rng.choice(base)) if rng.random() > 0.05 else set()
+            for _ in range(rng.randrange(0, 14) if own else 0):
+                own.discard(rng.choice(sorted(own)))
+                own.add(rng.randrange(300, 400))
+            rows.append({"node": i, "component": rng.randrange(8) if rng.random() < 0.5 else 100 + i, "shingles": np.array(sorted(own), "<u8").tobytes()})
+        sets = [np.frombuffer(r["shingles"], "<u8") for r in rows]
+        every = [(i, j) for i in range(20) for j in range(i) if similar.jaccard(sets[i], sets[j]) >= 0.8]
+
+        def joined(pairs, rows=rows):
+            parent = {r["component"]: r["component"] for r in rows}
+
+            def root(c):
+                while parent[c] != c:
+                    c = parent[c]
+                return c
+
+            for a, b in pairs:
+                parent[root(rows[a]["component"])] = root(rows[b]["component"])
+            return {frozenset(c for c in parent if root(c) == r) for r in set(map(root, parent))}
+
+        assert joined(similar.joining_pairs(rows, rows, 0.8, 64)) == joined(every)
+        assert joined(similar.joining_pairs(rows[:9], rows[9:], 0.8)) == joined([(i, j) for i, j in every if (i < 9) != (j < 9)])
+
+
 # line dedup
 def plain_later_copies(rows, least):
     lines = {}
