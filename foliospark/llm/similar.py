@@ -8,8 +8,8 @@ band of `rows` minima is equal with a chance of 0.8 ** rows, and with 32 bands o
 once in about 20 million.
 
 Texts with the same set are one node from the start. In a band's bucket each node is first compared with
-the smallest; the nodes of a bucket which aren't in one component yet are compared with each other in
-blocks, which give only the links that join components. So no link that a bucket shows is lost, and a large
+the smallest; the nodes of a bucket which aren't in one component yet are compared with each other, in large
+buckets in blocks, which give only the links that join components. So no link that a bucket shows is lost, and a large
 group of near copies is never spelled out in pairs.
 
 Cases: null or empty text, or text without words, has the empty set, and is a copy of any other such text;
@@ -32,8 +32,8 @@ from .components import connected_components
 from .simhash import SEED, kept_rows, majority, near_links, shingle_hashes
 
 WIDTH, LEAST, BANDS, ROWS = 5, 0.8, 32, 4
-#: Nodes of a bucket that are compared with as many others at a time.
-BLOCK = 64
+#: Buckets of up to so many nodes are met in pairs, larger ones in blocks of so many nodes.
+PAIRED, BLOCK = 8, 64
 
 
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -187,7 +187,10 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, least: float = LEAST, ba
     named = met.select("band", "key", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = named.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band", "key", "n")
     open_ = cut(named.join(mixed, ["band", "key"]))
-    more = cut(links_of_blocks(open_, texts, width, least).distinct())
+    # small buckets in pairs, of which many buckets share one; large ones in blocks
+    one, two = (open_.where(F.col("n") <= PAIRED).select("band", "key", F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in ("a", "b"))
+    rest = one.join(two, ["band", "key"]).where("a > b AND ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    more = cut(verified(rest, texts, width, least).unionByName(links_of_blocks(open_.where(F.col("n") > PAIRED), texts, width, least)).distinct())
     if not more.isEmpty():
         found = connected_components(links.unionByName(more))
     return sets.drop("keys", "fp").join(found, "node", "left").select("doc_id", "_copy", F.coalesce("component", "node").alias("component"))
