@@ -42,13 +42,13 @@ EXACT = 1 << 53
 LONGEST = (1 << 63) - 1
 
 
-def integers(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """row (a number of its own), vec_id, v: whole components as doubles, of the rows that take part."""
+def integers(vectors: DataFrame, id_col: str, vec_col: str, *more: Column) -> DataFrame:
+    """row (a number of its own), vec_id, v: whole components as doubles, of the rows that take part; and more columns."""
     scaled = lambda x: x.cast("double") * 256  # noqa: E731  whole already from 2^53 on
     v = F.transform(F.col(vec_col), lambda x: F.when(F.abs(scaled(x)) >= float(EXACT), scaled(x)).otherwise(F.floor(scaled(x)).cast("double")))
     whole = ~F.exists(F.col(vec_col), lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & whole)
-    return rows.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), *more)
 
 
 def grid(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
