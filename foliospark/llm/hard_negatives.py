@@ -56,7 +56,7 @@ def unit_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def references(rows: DataFrame, width: int, n: int = REFERENCES) -> np.ndarray:
     """Unit directions, at most n: means of groups of a bounded sample by hash of id."""
     sample = padded([r["v"] for r in rows.select("v").orderBy(F.xxhash64("vec_id", "row"), "row").limit(SAMPLE).collect()], width)
-    x = unit_rows(sample)[0]
+    x = unit_rows(sample)[0] if len(sample) else np.zeros((1, width))
     means = x[:: max(1, len(x) // n)][:n]
     for _ in range(ROUNDS):
         near = (x @ means.T).argmax(1)
@@ -201,7 +201,7 @@ def mine(vectors: DataFrame, is_anchor: Column, n_positive: int = 5, n_negative:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score of each anchor (rows where is_anchor holds, a column of ids) and positive."""
     labelled = vectors.where(F.col(label_col).isNotNull())
     rows = cut(integers(labelled, id_col, vec_col, F.col(label_col).cast("long").alias("label")))
-    width = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    width = rows.agg(F.max(F.size("v"))).first()[0] or 1
     directions = references(rows, width)
     n_angles = len(directions)
     equal = Window.partitionBy("label", "v").orderBy("vec_id", "row")

@@ -203,7 +203,7 @@ def visits_needed(file: DataFrame, asked: list, tree: Tree, k: int, target: floa
 def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", sample: int = SAMPLE, leaf: int = LEAF, target: float = TARGET, block: int = BLOCK) -> tuple[DataFrame, int, int]:
     """(query_row, query_id, rank, vec_id, score of the nearest rows found for each row where is_query holds; leaves visited; leaves)."""
     rows = cut(vectors_of(vectors, id_col, vec_col))
-    n, width = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    n, width = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     drawn = padded([r["v"] for r in rows.select("v").orderBy(F.xxhash64("vec_id", "row"), "row").limit(sample).collect()], width)
     tree = grow(unit_rows(drawn), n / max(1, len(drawn)), leaf=leaf)
     equal = Window.partitionBy("v").orderBy("vec_id", "row")
