@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import count
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from foliospark.functions.lineage import cut
@@ -75,36 +75,101 @@ def signal_terms(concepts: DataFrame, scope: Sequence[str] = ("doc_id",)) -> Dat
     return concepts.select(*scope, "concept", F.explode(F.array_distinct(F.flatten(F.transform(values, forms)))).alias("term"))
 
 
-def shared(rows: DataFrame, on: str, scope: Sequence[str]) -> DataFrame:
-    """scope, concept, other, n: how many values of `on` two concepts share."""
-    other = rows.withColumnRenamed("concept", "other")
-    return rows.join(other, [*scope, on]).where("concept <> other").groupBy(*scope, "concept", "other").agg(F.count(F.lit(1)).alias("n"))
+#: What two concepts can share, in lists of concepts by key: a term, a block, a family, a parent. The last two are direct links of that strength.
+TERM, BLOCK, FAMILY, PARENT = 0, 1, 2, 3
+
+
+def posting_lists(concepts: DataFrame, up: DataFrame, families: DataFrame, in_blocks: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """scope, kind, key, concept: the concepts of each term, block, family and parent, once."""
+    row = lambda df, kind, key: df.select(*scope, F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), "concept")
+    parts = (row(signal_terms(concepts, scope), TERM, "term"), row(in_blocks, BLOCK, "block_index"), row(families, FAMILY, "family_id"), row(up.withColumnRenamed("child", "concept"), PARENT, "parent"))
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def pair_scores(pairs: DataFrame, edges: DataFrame, lists: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """scope, concept, other, direct, cooccurrence, terminology of given pairs.
+
+    Of each pair the concept that is in fewer lists is spelled out, and its lists are looked up for the other one by equality.
+    """
+    pair = [*scope, "concept", "other"]
+    counts = lists.groupBy(*scope, "concept").agg(F.count(F.lit(1)).alias("_n"))
+    sized = pairs.join(counts, [*scope, "concept"], "left").join(counts.withColumnsRenamed({"concept": "other", "_n": "_m"}), [*scope, "other"], "left")
+    own = F.col("_n") <= F.col("_m")
+    ends = sized.where("_n IS NOT NULL AND _m IS NOT NULL").select(*pair, F.when(own, F.col("concept")).otherwise(F.col("other")).alias("_few"), F.when(own, F.col("other")).otherwise(F.col("concept")).alias("_many"))
+    few, many = (lists.withColumnRenamed("concept", c) for c in ("_few", "_many"))
+    met = ends.join(few, [*scope, "_few"]).join(many, [*scope, "_many", "kind", "key"]).select(*pair, "kind")
+    direct = edges.select(*pair, F.col("direct").alias("kind")).join(pairs, pair, "left_semi")
+    found = met.unionByName(direct).unionByName(pairs.select(*pair, F.lit(None).cast("int").alias("kind")))
+    strength = F.coalesce(F.max(F.when(F.col("kind") >= FAMILY, F.col("kind"))), F.lit(0))
+    return found.groupBy(*pair).agg(strength.alias("direct"), F.count_if(F.col("kind") == BLOCK).alias("cooccurrence"), F.count_if(F.col("kind") == TERM).alias("terminology"))
+
+
+def lists_to_read(open_lists: DataFrame, last: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """The lists (scope, concept, kind, key) that a concept has to read to its end, so that no concept that it hasn't met can be among its closest.
+
+    open_lists: the lists longer than their first names, with size and the last of these (end); last: the score and name of each concept's last
+    candidate so far. A concept that isn't met yet is in lists left open only, behind their first names. With T, C and W the last candidate's direct
+    link, blocks and terms, it can't come before that one if
+    1. no list of direct links of strength T is left open; or fewer than C blocks are; or
+    2. C blocks and fewer than W terms are left open; or C blocks and W terms, and the last candidate's name isn't behind the first names of all
+       lists that such a concept must be in.
+    Stronger links than T are never open, as a list with more than its first names has candidates enough. Of these ways the one with the fewest rows to read is
+    taken; the longest lists are left open.
+    """
+    key = [*scope, "concept"]
+    nth = F.row_number().over(Window.partitionBy(*key, "kind").orderBy(F.desc("size"), "key"))
+    met = open_lists.withColumn("_r", nth).join(last.select(*key, F.col("direct").alias("_t"), F.col("cooccurrence").alias("_c"), F.col("terminology").alias("_w"), F.col("other").alias("_name")), key)
+    t, c, w = F.col("_t"), F.col("_c"), F.col("_w")
+    link, block, term = (F.col("kind") == t) & (t >= FAMILY), F.col("kind") == BLOCK, F.col("kind") == TERM
+    ways = (link, block & (F.col("_r") >= c), (block & (F.col("_r") > c)) | (term & (F.col("_r") >= w)), (block & (F.col("_r") > c)) | (term & (F.col("_r") > w)))
+    rows = [F.coalesce(F.sum(F.when(way, F.col("size"))), F.lit(0)) for way in ways]
+    behind = F.greatest(F.max(F.when((block & (F.col("_r") <= c)) | (term & (F.col("_r") <= w)), F.col("end"))), F.min(F.when(link, F.col("end"))))
+    first = lambda name: F.first(name)  # noqa: E731  the same for all rows of a concept
+    allowed = (first("_t") > 0, first("_c") > 0, first("_w") > 0, first("_name") <= behind)
+    cost = met.groupBy(*key).agg(*[F.when(ok, n).alias(f"_{i}") for i, (ok, n) in enumerate(zip(allowed, rows))])
+    least = F.least(*[F.col(f"_{i}") for i in range(len(ways))])
+    chosen = F.coalesce(*[F.when(F.col(f"_{i}") == least, i) for i in range(len(ways))])
+    read = reduce(lambda so_far, i: F.when(F.col("_way") == i, ways[i]).otherwise(so_far), range(len(ways)), F.lit(False))
+    return met.join(cost.select(*key, chosen.alias("_way")), key).where(read).select(*key, "kind", "key")
+
+
+def related_candidates(lists: DataFrame, edges: DataFrame, limit: int, scope: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(scores of the pairs met first, further pairs): together they hold the `limit` closest of each concept.
+
+    Parents and children are met, and the first limit + 1 names of each list. Then only such lists are read to their end as
+    may hide a closer concept (lists_to_read); a list that many concepts are in is mostly not.
+    """
+    pair, of = [*scope, "concept", "other"], [*scope, "kind", "key"]
+    order = Window.partitionBy(*of).orderBy("concept")
+    firsts = lists.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= limit + 1).groupBy(*of).agg(F.sort_array(F.collect_list("concept")).alias("names"))
+    heads = lists.groupBy(*of).agg(F.count(F.lit(1)).alias("size")).join(firsts, of)
+    begun = cut(lists.join(heads, of))
+    met = cut(begun.select(*scope, "concept", F.explode("names").alias("other")).where("concept <> other").unionByName(edges.select(*pair)).distinct())
+    scored = cut(pair_scores(met, edges, lists, scope))
+    last = scored.withColumn("rank", F.row_number().over(closest(scope))).where(F.col("rank") == limit)
+    open_ = begun.where(F.col("size") > limit + 1).select(*scope, "concept", "kind", "key", "size", F.element_at("names", -1).alias("end"))
+    read = lists_to_read(open_, last, scope).join(lists.withColumnRenamed("concept", "other"), of).where("concept <> other")
+    return scored, cut(read.select(*pair).distinct().join(met, pair, "left_anti"))
+
+
+def closest(scope: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*scope, "concept").orderBy(F.desc("direct"), F.desc("cooccurrence"), F.desc("terminology"), "other")
 
 
 def related_concepts(concepts: DataFrame, hierarchy: DataFrame, families: DataFrame, in_blocks: DataFrame, limit: int = 10, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
     """scope, concept, other, direct, cooccurrence, terminology, rank: the closest concepts of each.
 
     direct is the best of: parent 5, child or related 4, sibling 3, same family 2. Blocks and terms count those
-    shared. Ranked by direct, blocks, terms, name. All candidates come from equality joins within a scope.
+    shared. Ranked by direct, blocks, terms, name. Pairs that can't be among the closest aren't formed (related_candidates).
     hierarchy: parent, child; families: concept, family_id; in_blocks: block_index, concept.
     """
-    key = [*scope, "concept", "other"]
-    tie = lambda df, a, b, score: df.select(*scope, F.col(a).alias("concept"), F.col(b).alias("other"), F.lit(score).alias("direct"))
-    up = hierarchy.select(*scope, "parent", "child").distinct()
-    siblings = up.join(up.withColumnRenamed("child", "other"), [*scope, "parent"]).where("child <> other")
-    kin = families.select(*scope, "concept", "family_id").distinct()
-    peers = kin.join(kin.withColumnRenamed("concept", "other"), [*scope, "family_id"]).where("concept <> other")
-    direct = tie(up, "child", "parent", 5).unionByName(tie(up, "parent", "child", 4)).unionByName(tie(siblings, "child", "other", 3)).unionByName(tie(peers, "concept", "other", 2))
-    zero = {"direct": F.lit(0), "cooccurrence": F.lit(0).cast("long"), "terminology": F.lit(0).cast("long")}
-    parts = (
-        direct.withColumns({k: v for k, v in zero.items() if k != "direct"}),
-        shared(in_blocks.select(*scope, "block_index", "concept").distinct(), "block_index", scope).withColumnRenamed("n", "cooccurrence").withColumns({k: v for k, v in zero.items() if k != "cooccurrence"}),
-        shared(signal_terms(concepts, scope), "term", scope).withColumnRenamed("n", "terminology").withColumns({k: v for k, v in zero.items() if k != "terminology"}),
-    )
-    all_ = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    scores = all_.groupBy(*key).agg(F.max("direct").alias("direct"), F.sum("cooccurrence").alias("cooccurrence"), F.sum("terminology").alias("terminology"))
-    order = Window.partitionBy(*scope, "concept").orderBy(F.desc("direct"), F.desc("cooccurrence"), F.desc("terminology"), "other")
-    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+    up = hierarchy.where("parent <> child").select(*scope, "parent", "child").distinct()
+    tie = lambda a, b, score: up.select(*scope, F.col(a).alias("concept"), F.col(b).alias("other"), F.lit(score).alias("direct"))
+    edges = cut(tie("child", "parent", 5).unionByName(tie("parent", "child", 4)).groupBy(*scope, "concept", "other").agg(F.max("direct").alias("direct")))
+    lists = cut(posting_lists(concepts, up, families, in_blocks, scope))
+    scored, more = related_candidates(lists, edges, limit, scope)
+    scores = scored.unionByName(pair_scores(more, edges, lists, scope))
+    return scores.withColumn("rank", F.row_number().over(closest(scope))).where(F.col("rank") <= limit)
 
 
 #: The form of a relation's text, and what its type says of the bucket; the first that fits counts.
