@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
-from foliospark.functions.scans import Rows, scan_groups
+from foliospark.functions.lineage import cut
+from foliospark.functions.pointers import on_chain
 from foliospark.functions.textnorm import strip
 
 STRONG = ("chapter", "appendix", "bibliography", "index")
@@ -97,42 +99,68 @@ def section_atoms(docs: DataFrame, sections: DataFrame, target: int = 14000, lea
     )
 
 
+def places_up_to(atoms: DataFrame, reach: Sequence[int]) -> DataFrame:
+    """doc_id, at, and for each i the number of atoms that end within reach[i] characters of atom at's start (n_i), and the end of the last one (end_i).
+
+    Ends and limits of a document are put in one order, and each limit takes the running count of ends.
+    """
+    limits = F.array(*[F.struct(F.lit(i).alias("i"), (F.col("start_char") + r).alias("pos")) for i, r in enumerate(reach)])
+    asked = atoms.select("doc_id", "at", F.inline(limits)).select("doc_id", "pos", F.lit(1).alias("kind"), "at", "i")
+    ends = atoms.select("doc_id", F.col("end_char").alias("pos"), F.lit(0).alias("kind"), F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("i"))
+    order = Window.partitionBy("doc_id").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    counted = ends.unionByName(asked).select("doc_id", "at", "i", F.count_if(F.col("kind") == 0).over(order).cast("int").alias("n"), F.max(F.when(F.col("kind") == 0, F.col("pos"))).over(order).alias("end"))
+    return counted.where("i IS NOT NULL").groupBy("doc_id", "at").agg(*[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}_{i}") for i in range(len(reach)) for c in ("n", "end")])
+
+
+def pack_successors(atoms: DataFrame, target: int, least: int) -> DataFrame:
+    """doc_id, at, to: where the chunk that begins with atom `at` ends and the next one begins; null after the last.
+
+    atoms: at (place in the document), start_char, end_char, is_weak, wall (a strong section begins or ended before it).
+    """
+    order = Window.partitionBy("doc_id").orderBy("at")
+    after, on = order.rowsBetween(1, Window.unboundedFollowing), order.rowsBetween(0, Window.unboundedFollowing)
+    firm = F.when(~(F.col("is_weak") & (F.col("end_char") - F.col("start_char") < least)), F.col("at"))
+    told = atoms.withColumns({"_wall": F.min(F.when(F.col("wall"), F.col("at"))).over(after), "_firm": F.min(firm).over(on), "_firm_after": F.min(firm).over(after)})
+    near = told.join(places_up_to(atoms, (target, int(target * 1.5))), ["doc_id", "at"])
+    over = F.greatest("n_0", F.col("at") + 1)
+    have = F.when(F.col("n_0") > F.col("at"), F.col("end_0")).otherwise(F.col("end_char")) - F.col("start_char")
+    near = near.select("doc_id", "at", "_wall", F.greatest("n_1", F.col("at") + 1).alias("_most"), over.alias("_over"), (have < least).alias("_small"))
+    # beyond the target only small weak atoms join; the first of all may, if the chunk is small
+    rest = told.select("doc_id", F.col("at").alias("_over"), "_firm", "_firm_after")
+    met = near.join(rest, ["doc_id", "_over"], "left")
+    last = atoms.groupBy("doc_id").agg(F.max("at").alias("_last"))
+    to = F.least("_wall", "_most", F.when(F.col("_small"), F.col("_firm_after")).otherwise(F.col("_firm")))
+    return met.join(last, "doc_id").select("doc_id", "at", F.when(to <= F.col("_last"), to).alias("to"))
+
+
 def pack_atoms(atoms: DataFrame, target: int = 14000, least: int = 3000) -> DataFrame:
     """atoms with pack, the number of the chunk that takes each.
 
     Atoms join while they fit the target, or, to avoid small chunks, 1.5 times it; never over the edge of
-    a strong section. Then a small chunk may take the next one, once. One document's atoms at a time.
+    a strong section. Where a chunk ends depends on its first atom only, so each atom gets a successor, and the
+    chunks of a document are what the chain from its first atom comes by (pointer doubling). Then a small chunk may take the next one,
+    once: in a run of chunks that may, every second does.
     """
-    most = int(target * 1.5)
-
-    def pack(atoms: Rows) -> Rows:
-        atoms.sort(key=lambda r: (r["start_char"], r["end_char"]))
-        rows = [[r[c] for c in ("section_id", "section_type", "start_char", "end_char", "is_weak")] for r in atoms]
-        strong = lambda a, b: a[0] != b[0] and (a[1] in STRONG or b[1] in STRONG)
-        packs: list[list[int]] = []
-        for i, atom in enumerate(rows):
-            if packs and not strong(rows[i - 1], atom):
-                first = rows[packs[-1][0]][2]
-                size, have = atom[3] - first, rows[i - 1][3] - first
-                if size <= target or (size <= most and (have < least or (atom[4] and atom[3] - atom[2] < least))):
-                    packs[-1].append(i)
-                    continue
-            packs.append([i])
-        joined: list[list[int]] = []
-        i = 0
-        while i < len(packs):
-            now, after = packs[i], packs[i + 1] if i + 1 < len(packs) else None
-            small = rows[now[-1]][3] - rows[now[0]][2] < least
-            if small and after and not strong(rows[now[-1]], rows[after[0]]) and rows[after[-1]][3] - rows[now[0]][2] <= most:
-                joined.append(now + after)
-                i += 2
-            else:
-                joined.append(now)
-                i += 1
-        number = {a: k for k, members in enumerate(joined) for a in members}
-        return [r | {"pack": number[i]} for i, r in enumerate(atoms)]
-
-    return scan_groups(atoms, ["doc_id"], pack, StructType([*atoms.schema, StructField("pack", IntegerType())]))
+    if least > target:
+        raise ValueError("least must not be over target")
+    doc = Window.partitionBy("doc_id")
+    place = doc.orderBy("start_char", "end_char")
+    is_strong = lambda a, kind_a, b, kind_b: (a != b) & (kind_a.isin(*STRONG) | kind_b.isin(*STRONG))
+    wall = is_strong(F.lag("section_id").over(place), F.lag("section_type").over(place), F.col("section_id"), F.col("section_type"))
+    placed = cut(atoms.withColumns({"at": F.row_number().over(place) - 1, "wall": F.coalesce(wall, F.lit(False))}))
+    edges = pack_successors(placed.select("doc_id", "at", "start_char", "end_char", "is_weak", "wall"), target, least)
+    firsts = on_chain(edges, placed.where("at = 0").select("doc_id", "at"), ["doc_id"]).withColumn("_first", F.lit(1))
+    numbered = cut(placed.join(firsts, ["doc_id", "at"], "left").withColumn("_pack", F.sum(F.coalesce("_first", F.lit(0))).over(doc.orderBy("at")).cast("int") - 1).drop("_first"))
+
+    packs = numbered.groupBy("doc_id", "_pack").agg(F.min("start_char").alias("_a"), F.max("end_char").alias("_b"), F.min_by("wall", "at").alias("_edge"))
+    order = doc.orderBy("_pack")
+    may = (F.col("_b") - F.col("_a") < least) & ~F.lead("_edge").over(order) & (F.lead("_b").over(order) - F.col("_a") <= int(target * 1.5))
+    packs = packs.withColumn("_may", F.coalesce(may, F.lit(False)))
+    run = F.coalesce(F.max(F.when(~F.col("_may"), F.col("_pack"))).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(-1))
+    packs = packs.withColumn("_takes", F.col("_may") & ((F.col("_pack") - run) % 2 == 1))
+    own = ~F.coalesce(F.lag("_takes").over(order), F.lit(False))
+    final = packs.withColumn("_own", own.cast("int")).select("doc_id", "_pack", (F.sum("_own").over(order) - 1).cast("int").alias("pack"))
+    return numbered.join(final, ["doc_id", "_pack"]).select(*atoms.columns, "pack")
 
 
 def chunk_records(packed: DataFrame, docs: DataFrame) -> DataFrame:

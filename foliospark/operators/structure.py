@@ -10,10 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from foliospark.functions.lineage import cut
-from foliospark.functions.scans import Rows, scan_groups
 from foliospark.functions.textnorm import any_of, is_title_case, squeeze, strip
 
 MIN_SCORE = 0.55
@@ -159,29 +157,54 @@ def apply_classifications(headings: DataFrame, responses: DataFrame, k: int = 20
     return both.withColumn("type", F.coalesce("_said.t", "type")).withColumn("confidence", F.coalesce("_said.c", "confidence")).drop("_said")
 
 
+#: Headings of a block of a document, whose steps are composed to one.
+BLOCK = 256
+
+
+def step_of(state: Column, row: Column) -> Column:
+    """The state after a heading, from the one before: twice whether the heading before supports its neighbours, and whether this one does."""
+    before, two_before = state.bitwiseAND(1), F.shiftright(state, 1)
+    promoted = ((before * row["near_1"] + two_before * row["near_2"] + row["ahead"]) > 0).cast("int")
+    return before * 2 + F.when(row["free"], promoted).otherwise(row["supports"])
+
+
+def composed(rows: Column) -> Column:
+    """The steps of all rows as one map of four states to four, two bits each."""
+    at = lambda map_, s: F.shiftright(map_, 2 * s).bitwiseAND(3)
+    every = F.lit(0b11100100)  # each state to itself
+    return F.aggregate(rows, every, lambda map_, r: sum((F.shiftleft(step_of(at(map_, s), r), 2 * s) for s in range(4)), F.lit(0)))
+
+
 def promote_by_context(headings: DataFrame) -> DataFrame:
     """Classified headings, with titles that aren't classified promoted to sections beside classified ones.
 
     In order of place: each heading looks at two on both sides (on pages at most two away, or unknown);
-    those promoted before it count. One neighbour gives 0.52, more 0.6. The scan goes over one document's
-    headings at a time. headings needs page, which may be null.
+    those promoted before it count. One neighbour gives 0.52, more 0.6. headings needs page, which may be null.
+
+    What a heading becomes depends on the two before it only, so its step is a map of four states. The steps of a block of
+    headings are composed to one map; a document's short list of these gives the state that each block begins in; then
+    each block is gone through alone.
     """
-    names = ["doc_id", "index", "text", "start_char", "end_char", "page", "score", "pattern", "type", "confidence", "_ok"]
+    names = ["doc_id", "index", "text", "start_char", "end_char", "page", "score", "pattern", "type", "confidence"]
     text = F.lower(strip(F.col("text")))
     fit = (F.col("pattern") == "title_case_short") & ~text.isin("unknown", "section", "") & ~F.col("text").rlike(r"^\p{Lu}$") & ~is_reference_like(F.col("text"))
-    ready = headings.withColumn("_ok", F.coalesce(fit, F.lit(False))).select(*names)
-
-    def scan(rows: Rows) -> Rows:
-        rows.sort(key=lambda r: (r["start_char"], r["end_char"]))
-        for i, r in enumerate(rows):
-            if r.pop("_ok") and r["type"] is None:
-                near = [rows[j] for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < len(rows) and rows[j]["type"] in SUPPORTING]
-                near = [o for o in near if r["page"] is None or o["page"] is None or abs(r["page"] - o["page"]) <= 2]
-                if near:
-                    r["type"], r["confidence"] = "section", 0.52 if len(near) == 1 else 0.6
-        return rows
-
-    return scan_groups(ready, ["doc_id"], scan, StructType([f for f in ready.schema if f.name != "_ok"]))
+    order = Window.partitionBy("doc_id").orderBy("start_char", "end_char", "index")
+    near = lambda page: F.coalesce(F.abs(F.col("page") - page) <= 2, F.lit(True)).cast("int")
+    ahead = sum((F.coalesce(F.lead(F.col("type").isin(*SUPPORTING), n).over(order).cast("int"), F.lit(0)) * near(F.lead("page", n).over(order)) for n in (1, 2)), F.lit(0))
+    flags = {"free": F.coalesce(fit, F.lit(False)) & F.col("type").isNull(), "supports": F.coalesce(F.col("type").isin(*SUPPORTING), F.lit(False)).cast("int"), "ahead": ahead, **{f"near_{n}": near(F.lag("page", n).over(order)) for n in (1, 2)}}
+    ready = headings.select(*names).withColumns({"at": F.row_number().over(order) - 1, **flags}).withColumn("blk", F.floor(F.col("at") / BLOCK).cast("int"))
+    blocks = cut(ready.groupBy("doc_id", "blk").agg(F.sort_array(F.collect_list(F.struct("at", *flags, *[c for c in names if c != "doc_id"]))).alias("rows")))
+
+    maps = blocks.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("blk", composed(F.col("rows")).alias("map")))).alias("m"))
+    begun = F.aggregate("m", F.array(F.lit(0)), lambda states, x: F.concat(states, F.array(F.call_function("shiftright", x["map"], F.element_at(states, -1) * 2).bitwiseAND(3))))
+    starts = maps.select("doc_id", F.posexplode(begun).alias("blk", "state"))
+    gone = F.aggregate("rows", F.array("state"), lambda states, r: F.concat(states, F.array(step_of(F.element_at(states, -1), r))))
+    done = blocks.join(starts, ["doc_id", "blk"]).withColumn("states", gone)
+    # the state before a row says what its neighbours before it are
+    out = done.select("doc_id", F.inline(F.arrays_zip("rows", F.slice("states", F.lit(1), F.size("rows")).alias("before")))).select("doc_id", "rows.*", "before")
+    found = F.col("before").bitwiseAND(1) * F.col("near_1") + F.shiftright("before", 1) * F.col("near_2") + F.col("ahead")
+    won = F.col("free") & (found > 0)
+    return out.withColumns({"type": F.when(won, "section").otherwise(F.col("type")), "confidence": F.when(won, F.when(found == 1, 0.52).otherwise(0.6)).otherwise(F.col("confidence"))}).select(*names)
 
 
 def normalize_sections(segments: DataFrame, docs: DataFrame, max_size: int = 200_000) -> DataFrame:
@@ -239,39 +262,29 @@ def clean_sections(sections: DataFrame) -> DataFrame:
     """Sections with squeezed labels, lone letters of an index put to their neighbours, and missing pages filled from these.
 
     A lone capital of unknown type joins an unknown section before it, or an index entry after it. Pages
-    are filled in order, so that one filled before counts; the scan goes over one document at a time.
+    are filled in order, so that one filled before counts. A section's first page is its own, else the last page before it, else the first one
+    after it; its last page is its own, else the first one after it, else its first. So a last page without a first page beside it is the largest
+    since the last first page that is given.
     """
     label = F.coalesce(F.nullif(squeeze(F.col("label")), F.lit("")), F.lit("unknown"))
-    names = ["doc_id", "section_index", "id", "label", "type", "start_char", "end_char", "confidence", "start_page", "end_page", "_lone", "_entry"]
-    marked = sections.withColumn("label", label).withColumns({"_lone": F.col("label").rlike("^[A-Z]$") & (F.col("type") == "unknown"), "_entry": (F.length("label") > 2) & F.col("label").rlike("^.+" + PAGE_REFS) & (F.col("type") == "unknown")}).select(*names)
-
-    def scan(rows: Rows) -> Rows:
-        rows.sort(key=lambda r: r["start_char"])
-        joined: list[dict] = []
-        for r in rows:
-            if r["_lone"] and joined and joined[-1]["type"] == "unknown":
-                joined[-1]["end_char"], joined[-1]["end_page"] = r["end_char"], r["end_page"]
-            else:
-                joined.append(r)
-        kept: list[dict] = []
-        for r in joined:
-            if kept and kept[-1]["_lone"] and not kept[-1].get("_took") and r["_entry"]:
-                lone = kept.pop()
-                r["start_char"] = lone["start_char"]
-                r["start_page"] = r["start_page"] if lone["start_page"] is None else lone["start_page"]
-                r["_took"] = True
-            kept.append(r)
-        first = lambda *xs: next((x for x in xs if x is not None), None)
-        for i, r in enumerate(kept):
-            before, after = (kept[i - 1]["end_page"] if i else None), (kept[i + 1]["start_page"] if i + 1 < len(kept) else None)
-            r["start_page"] = first(r["start_page"], before, after)
-            r["end_page"] = first(r["end_page"], after, r["start_page"], before)
-            if r["start_page"] is not None and r["end_page"] is not None:
-                r["end_page"] = max(r["end_page"], r["start_page"])
-            r["section_index"], r["id"] = i, f"section_{r['start_char']}"
-        return kept
-
-    return scan_groups(marked, ["doc_id"], scan, StructType([f for f in marked.schema if not f.name.startswith("_")]))
+    order = Window.partitionBy("doc_id").orderBy("start_char")
+    so_far, before = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
+    unknown = F.col("type") == "unknown"
+    marked = sections.withColumn("label", label).withColumns({"_lone": F.coalesce(F.col("label").rlike("^[A-Z]$") & unknown, F.lit(False)), "_entry": F.coalesce((F.length("label") > 2) & F.col("label").rlike("^.+" + PAGE_REFS) & unknown, F.lit(False))})
+    joins = F.coalesce(F.col("_lone") & (F.lag("type").over(order) == "unknown"), F.lit(False))
+    islands = marked.withColumn("_joins", joins).withColumn("_island", F.count_if(~F.col("_joins")).over(so_far))
+    island = Window.partitionBy("doc_id", "_island").orderBy("start_char").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    joined = islands.withColumns({"end_char": F.last("end_char").over(island), "end_page": F.last("end_page").over(island)}).where("NOT _joins")
+    taken = joined.withColumns({"_takes": F.col("_entry") & F.coalesce(F.lag("_lone").over(order), F.lit(False)), "_from": F.lag("start_char").over(order), "_page": F.lag("start_page").over(order)}).withColumn("_gone", F.col("_lone") & F.coalesce(F.lead("_takes").over(order), F.lit(False)))
+    kept = taken.where("NOT _gone").withColumns({"start_char": F.when(F.col("_takes"), F.col("_from")).otherwise(F.col("start_char")), "start_page": F.when(F.col("_takes"), F.coalesce("_page", "start_page")).otherwise(F.col("start_page"))})
+
+    after = F.lead("start_page").over(order)
+    known = kept.withColumn("_after", after).withColumns({"_x": F.coalesce("end_page", "_after", "start_page"), "_given": F.count("start_page").over(so_far)})
+    last = F.when(F.col("start_page").isNotNull(), F.greatest("_x", "start_page")).when(F.max("_x").over(before).isNull(), F.greatest("_x", "_after")).otherwise(F.col("_x"))
+    ended = known.withColumn("_last", last).withColumn("_end", F.max("_last").over(Window.partitionBy("doc_id", "_given").orderBy("start_char").rowsBetween(Window.unboundedPreceding, 0)))
+    first = F.coalesce("start_page", F.lag("_end").over(order), "_after")
+    out = ended.withColumns({"start_page": first, "end_page": F.col("_end"), "section_index": F.row_number().over(order) - 1})
+    return out.select("doc_id", "section_index", F.concat(F.lit("section_"), F.col("start_char").cast("string")).alias("id"), "label", "type", "start_char", "end_char", "confidence", "start_page", "end_page")
 
 
 def validate_document_map(headings: DataFrame, sections: DataFrame, docs: DataFrame, max_size: int = 200_000, maps: DataFrame | None = None) -> DataFrame:

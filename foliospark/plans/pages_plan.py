@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.functions.lineage import cut
 from foliospark.operators import chunking as K
 from foliospark.operators import pages as P
 from foliospark.operators import structure as S
@@ -79,9 +80,26 @@ def normalized_sections(spark: SparkSession, d: str) -> DataFrame:
     return S.normalize_sections(spans, docs, 700).withColumns({c: F.col(c).cast("long") for c in ("section_index", "start_char", "end_char")})
 
 
+def longs(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("long") for c in columns})
+
+
+def page_spans(docs: DataFrame) -> DataFrame:
+    """Pages of 800 characters, 200 apart, from character 100 on."""
+    n = F.length("text")
+    pages = docs.where(n > 100).select("doc_id", n.alias("n"), F.explode(F.sequence(F.lit(0), F.floor((n - 101) / 1000).cast("int"))).alias("k"))
+    return pages.select("doc_id", (F.col("k") + 1).alias("page"), (F.col("k") * 1000 + 100).alias("start_char"), F.least(F.col("k") * 1000 + 900, F.col("n")).alias("end_char"))
+
+
+def mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Texts, their headings and sections, with pages."""
+    docs = books(spark, d)
+    return docs, *S.build_document_map(docs, page_spans(docs))
+
+
 def document_map(spark: SparkSession, d: str) -> DataFrame:
-    """Sections of every document after promotion; rows only (promotion is a sequential scan)."""
-    return S.build_document_map(books(spark, d))[1]
+    """Sections of every document after promotion, with their pages."""
+    return longs(mapped(spark, d)[2], "section_index", "start_char", "end_char")
 
 
 def document_map_problems(spark: SparkSession, d: str) -> DataFrame:
@@ -115,7 +133,12 @@ def usable_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cleaned_sections(spark: SparkSession, d: str) -> DataFrame:
-    return S.clean_sections(S.build_document_map(books(spark, d))[1])
+    """Sections of which some are lone letters and index entries, and some lack a page."""
+    i = F.col("section_index")
+    letter = (i % 5 == 4) & (F.col("doc_id") % 2 == 0)
+    odd = {"label": F.when(i % 5 == 2, "Q").when(i % 5 == 3, " moon,  12").when(letter, "R").otherwise(F.col("label")), "type": F.when((i % 5).isin(2, 3) | letter, "unknown").otherwise(F.col("type"))}
+    holes = {"start_page": F.when(i % 3 == 1, F.col("start_page")), "end_page": F.when(i % 4 == 1, F.col("end_page"))}
+    return longs(S.clean_sections(mapped(spark, d)[2].withColumns(odd | holes)), "section_index", "start_char", "end_char")
 
 
 def overlap_chunks(spark: SparkSession, d: str) -> DataFrame:
@@ -124,25 +147,37 @@ def overlap_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def structural(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
-    docs = books(spark, d)
-    headings, sections = S.build_document_map(docs)
-    packed = K.pack_atoms(K.section_atoms(docs, sections, 1400, 300, 200, ("index",)), 1400, 300)
+    docs, headings, sections = mapped(spark, d)
+    sections = cut(sections)
+    packed = cut(K.pack_atoms(K.section_atoms(docs, sections, 1400, 300, 200, ("index",)), 1400, 300))
     return docs, headings, sections, packed, K.chunk_records(packed, docs)
 
 
 def structural_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return structural(spark, d)[4]
+    return longs(structural(spark, d)[4], "chunk_index", "section_index", "start_char", "end_char")
 
 
 def structural_chunk_stats(spark: SparkSession, d: str) -> DataFrame:
     _, _, _, packed, chunks = structural(spark, d)
-    return K.chunk_stats(chunks, packed, 1400)
+    return longs(K.chunk_stats(chunks, packed, 1400), "hard_max_chunk_size")
 
 
-def chosen_chunking(spark: SparkSession, d: str) -> DataFrame:
+def chosen(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(choice, structural chunks, windows); every eleventh document's map was made from another text."""
     docs, headings, sections, _, chunks = structural(spark, d)
     quality = K.structure_quality(sections, S.document_map_stats(headings, sections), docs)
-    return K.choose_chunking(quality, chunks, K.chunk_overlap(docs), 300)
+    maps = docs.select("doc_id", F.when(F.col("doc_id") % 11 == 0, "0").otherwise(S.text_hash(F.col("text"))).alias("text_hash"))
+    windows = K.chunk_overlap(docs)
+    return K.choose_chunking(quality, chunks, windows, 300, S.validate_document_map(headings, sections, docs, maps=maps)), chunks, windows
+
+
+def chosen_chunking(spark: SparkSession, d: str) -> DataFrame:
+    return chosen(spark, d)[0]
+
+
+def chosen_chunks(spark: SparkSession, d: str) -> DataFrame:
+    choice, chunks, windows = chosen(spark, d)
+    return longs(K.chosen_chunks(cut(choice), chunks, windows), "chunk_index", "start_char", "end_char")
 
 
 def section_refs(spark: SparkSession, d: str) -> DataFrame:
@@ -225,6 +260,68 @@ ENDS = f"(CASE WHEN whole IS NOT NULL THEN n WHEN s + 1800 >= n AND {_CUT} < n A
 WINDOWS = WINDOW_SQL.replace("ENDS", ENDS).replace("LOW", LOW)
 SPANS = f"SELECT doc_id, chunk_index, s AS start_char, {ENDS} AS end_char, txt FROM (SELECT *, {LOW} AS low FROM w)"
 
+#: Promotion: row by row, with whether the two headings before support their neighbours.
+DOC_SQL = BOOK_SQL.replace("WITH docs", "WITH RECURSIVE docs", 1) + r""", len AS (SELECT doc_id, length(text) AS n FROM docs WHERE text IS NOT NULL),
+pg AS (SELECT *, CASE WHEN start_char >= 100 AND (start_char - 100) % 1000 < 800 THEN (start_char - 100) // 1000 + 1 END AS page, type IS NULL AND pattern = 'title_case_short' AND y NOT IN ('unknown', 'section', '') AND NOT regexp_matches(text, '^\p{Lu}$')
+    AND NOT (regexp_matches(text, '\(\s*(18|19|20)[0-9]{2}\s*\)') OR regexp_matches(text, '[0-9]+\.[0-9]+') OR (len(regexp_extract_all(text, '[0-9]+(\.[0-9]+)*([-–][0-9]+)?')) >= 2 AND contains(text, ','))
+      OR ((digits + len(regexp_extract_all(text, '[.,;:\-–()]'))) / length(text) >= 0.22 AND digits >= 3)) AS free FROM t),
+g AS (SELECT *, coalesce(type IN SUPPORTING, false) AS sup, coalesce(abs(page - lag(page) OVER w) <= 2, true) AS n1, coalesce(abs(page - lag(page, 2) OVER w) <= 2, true) AS n2,
+    CAST(coalesce(lead(type) OVER w IN SUPPORTING, false) AND coalesce(abs(page - lead(page) OVER w) <= 2, true) AS INTEGER) + CAST(coalesce(lead(type, 2) OVER w IN SUPPORTING, false) AND coalesce(abs(page - lead(page, 2) OVER w) <= 2, true) AS INTEGER) AS ahead FROM pg WINDOW w AS (PARTITION BY doc_id ORDER BY index)),
+pr AS (SELECT doc_id, CAST(-1 AS BIGINT) AS index, false AS a, false AS b, 0 AS near FROM len
+  UNION ALL SELECT g.doc_id, g.index, pr.b, CASE WHEN g.free THEN CAST(pr.b AND g.n1 AS INTEGER) + CAST(pr.a AND g.n2 AS INTEGER) + g.ahead > 0 ELSE g.sup END, CAST(pr.b AND g.n1 AS INTEGER) + CAST(pr.a AND g.n2 AS INTEGER) + g.ahead FROM pr JOIN g ON g.doc_id = pr.doc_id AND g.index = pr.index + 1),
+ht AS (SELECT g.doc_id, g.index, text, CASE WHEN free AND near > 0 THEN 'section' ELSE type END AS type, CASE WHEN free AND near > 0 THEN CASE near WHEN 1 THEN 0.52 ELSE 0.6 END ELSE confidence END AS confidence FROM g JOIN pr ON pr.doc_id = g.doc_id AND pr.index = g.index),
+s0 AS (SELECT seg.doc_id, coalesce(ht.text, 'unknown') AS label, coalesce(type, 'unknown') AS type, unnest(generate_series(CAST(start_char AS BIGINT), CAST(end_char AS BIGINT) - 1, 200000)) AS start_char, CAST(end_char AS BIGINT) AS e, CAST(coalesce(confidence, 0) AS DOUBLE) AS confidence FROM seg LEFT JOIN ht ON ht.doc_id = seg.doc_id AND ht.index = seg.heading_index WHERE end_char > start_char),
+s1 AS (SELECT *, least(start_char + 200000, e) AS end_char FROM s0),
+sec AS (SELECT s1.doc_id, row_number() OVER (PARTITION BY s1.doc_id ORDER BY start_char) - 1 AS section_index, 'section_' || CAST(start_char AS VARCHAR) AS id, label, type, start_char, end_char, confidence,
+  CASE WHEN n <= 100 THEN NULL ELSE greatest(start_char - 100, 0) // 1000 + 1 END AS start_page, CASE WHEN n <= 100 THEN NULL ELSE greatest(end_char - 101, 0) // 1000 + 1 END AS end_page FROM s1 JOIN len USING (doc_id))
+""".replace("SUPPORTING", "('chapter', 'section', 'appendix', 'front_matter')")
+CLEAN_SQL = DOC_SQL + r""", c0 AS (SELECT doc_id, regexp_replace(trim(CASE WHEN section_index % 5 = 2 THEN 'Q' WHEN section_index % 5 = 3 THEN ' moon,  12' WHEN section_index % 5 = 4 AND doc_id % 2 = 0 THEN 'R' ELSE label END, ' '), '\s+', ' ', 'g') AS label,
+    CASE WHEN section_index % 5 IN (2, 3) OR (section_index % 5 = 4 AND doc_id % 2 = 0) THEN 'unknown' ELSE type END AS type, start_char, end_char, confidence, CASE WHEN section_index % 3 = 1 THEN start_page END AS start_page, CASE WHEN section_index % 4 = 1 THEN end_page END AS end_page FROM sec),
+c1 AS (SELECT *, regexp_matches(label, '^[A-Z]$') AND type = 'unknown' AS lone, length(label) > 2 AND type = 'unknown' AND regexp_matches(label, '^.+(\s|,)[0-9]+([-–][0-9]+)?(\s*,\s*[0-9]+([-–][0-9]+)?)*\.?$') AS entry FROM c0),
+c2 AS (SELECT *, lone AND coalesce(lag(type) OVER (PARTITION BY doc_id ORDER BY start_char) = 'unknown', false) AS joins FROM c1),
+c3 AS (SELECT *, count(*) FILTER (NOT joins) OVER (PARTITION BY doc_id ORDER BY start_char) AS island FROM c2),
+c4 AS (SELECT doc_id, first(label ORDER BY start_char) AS label, first(type ORDER BY start_char) AS type, min(start_char) AS start_char, max(end_char) AS end_char, first(confidence ORDER BY start_char) AS confidence, first(start_page ORDER BY start_char) AS start_page, last(end_page ORDER BY start_char) AS end_page, first(lone ORDER BY start_char) AS lone, first(entry ORDER BY start_char) AS entry FROM c3 GROUP BY doc_id, island),
+c5 AS (SELECT *, entry AND coalesce(lag(lone) OVER w, false) AS takes, lag(start_char) OVER w AS s_before, lag(start_page) OVER w AS p_before FROM c4 WINDOW w AS (PARTITION BY doc_id ORDER BY start_char)),
+c6 AS (SELECT *, lone AND coalesce(lead(takes) OVER (PARTITION BY doc_id ORDER BY start_char), false) AS gone FROM c5),
+c7 AS (SELECT doc_id, label, type, CASE WHEN takes THEN s_before ELSE start_char END AS start_char, end_char, confidence, CASE WHEN takes THEN coalesce(p_before, start_page) ELSE start_page END AS start_page, end_page FROM c6 WHERE NOT gone),
+c8 AS (SELECT *, row_number() OVER w - 1 AS i, lead(start_page) OVER w AS after FROM c7 WINDOW w AS (PARTITION BY doc_id ORDER BY start_char)),
+f AS (SELECT doc_id, CAST(-1 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS a, CAST(NULL AS BIGINT) AS z FROM len UNION ALL SELECT c8.doc_id, c8.i, coalesce(c8.start_page, f.z, c8.after),
+  greatest(coalesce(c8.end_page, c8.after, c8.start_page, f.z), coalesce(c8.start_page, f.z, c8.after)) FROM f JOIN c8 ON c8.doc_id = f.doc_id AND c8.i = f.i + 1)
+SELECT c8.doc_id, c8.i AS section_index, 'section_' || CAST(start_char AS VARCHAR) AS id, label, type, start_char, end_char, confidence, f.a AS start_page, f.z AS end_page FROM c8 JOIN f ON f.doc_id = c8.doc_id AND f.i = c8.i"""
+_RFIND = lambda m: f"(CASE WHEN contains(tail, {m}) THEN length(tail) - strpos(reverse(tail), reverse({m})) - length({m}) + 1 ELSE -1 END)"
+_PART = f"""CASE WHEN n - s <= 1400 THEN n WHEN {_RFIND("chr(10) || chr(10)")} >= 0 THEN s + 1202 + {_RFIND("chr(10) || chr(10)")} WHEN greatest({_RFIND("'. '")}, {_RFIND("'? '")}, {_RFIND("'! '")}) >= 0 THEN s + 1202 + greatest({_RFIND("'. '")}, {_RFIND("'? '")}, {_RFIND("'! '")})
+  WHEN {_RFIND("' '")} >= 0 THEN s + 1201 + {_RFIND("' '")} ELSE s + 1400 END"""
+#: Sections cut one part after another, pieces packed one after another, small chunks taken one after another.
+CHUNK_SQL = DOC_SQL + rf""", x0 AS (SELECT sec.*, substr(text, start_char + 1, end_char - start_char) AS txt FROM sec JOIN docs USING (doc_id) WHERE type <> 'index'),
+x1 AS (SELECT *, CASE WHEN type IN ('chapter', 'appendix', 'bibliography', 'index') THEN false WHEN type = 'unknown' THEN end_char - start_char <= 300 AND coalesce(lag(type) OVER (PARTITION BY doc_id ORDER BY start_char) <> 'chapter', true) ELSE true END AS weak FROM x0 WHERE trim(txt, ' ' || chr(10)) <> ''),
+sp AS (SELECT doc_id, section_index, txt, length(txt) AS n, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS a, CAST(0 AS BIGINT) AS s FROM x1 UNION ALL SELECT doc_id, section_index, txt, n, k + 1, s, {_PART} FROM (SELECT *, substr(txt, s + 1201, 200) AS tail FROM sp) WHERE s < n),
+q0 AS (SELECT doc_id, section_index, txt, k, a, s AS b, count(*) OVER w AS cnt, lag(a) OVER (PARTITION BY doc_id, section_index ORDER BY k) AS a0, lead(s) OVER (PARTITION BY doc_id, section_index ORDER BY k) AS b1 FROM sp WHERE k > 0 WINDOW w AS (PARTITION BY doc_id, section_index)),
+q1 AS (SELECT *, max(CASE WHEN k = cnt AND cnt > 1 AND b - a < 300 AND b - a0 <= 1400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, section_index) AS m FROM q0),
+q2 AS (SELECT doc_id, section_index, cnt - m AS n_parts, a, CASE WHEN m = 1 AND k = cnt - 1 THEN b1 ELSE b END AS b, txt FROM q1 WHERE NOT (m = 1 AND k = cnt)),
+atm AS (SELECT x1.doc_id, x1.id, x1.section_index, type, start_page, end_page, weak, n_parts, start_char + q2.a AS a, start_char + q2.b AS b, row_number() OVER (PARTITION BY x1.doc_id ORDER BY start_char + q2.a) AS i FROM x1 JOIN q2 USING (doc_id, section_index) WHERE trim(substr(q2.txt, q2.a + 1, q2.b - q2.a), ' ' || chr(10)) <> ''),
+pk AS (SELECT doc_id, i, 0 AS p, a AS fs, b AS pe, id, type FROM atm WHERE i = 1 UNION ALL SELECT doc_id, i, CASE WHEN j THEN p ELSE p + 1 END, CASE WHEN j THEN fs ELSE a END, b, id, type FROM (SELECT atm.*, pk.p, pk.fs,
+    NOT (atm.id <> pk.id AND (atm.type IN ('chapter', 'appendix', 'bibliography', 'index') OR pk.type IN ('chapter', 'appendix', 'bibliography', 'index'))) AND (atm.b - pk.fs <= 1400 OR (atm.b - pk.fs <= 2100 AND (pk.pe - pk.fs < 300 OR (atm.weak AND atm.b - atm.a < 300)))) AS j FROM pk JOIN atm ON atm.doc_id = pk.doc_id AND atm.i = pk.i + 1)),
+k0 AS (SELECT pk.doc_id, p, min(a) AS a, max(b) AS b, arg_min(atm.id, atm.i) AS id0, arg_min(atm.type, atm.i) AS t0, arg_max(atm.id, atm.i) AS id1, arg_max(atm.type, atm.i) AS t1 FROM pk JOIN atm ON atm.doc_id = pk.doc_id AND atm.i = pk.i GROUP BY pk.doc_id, p),
+k1 AS (SELECT *, b - a < 300 AND coalesce(NOT (lead(id0) OVER w <> id1 AND (lead(t0) OVER w IN ('chapter', 'appendix', 'bibliography', 'index') OR t1 IN ('chapter', 'appendix', 'bibliography', 'index'))) AND lead(b) OVER w - a <= 2100, false) AS may FROM k0 WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+k2 AS (SELECT doc_id, p, 0 AS f, may AS takes FROM k1 WHERE p = 0 UNION ALL SELECT k1.doc_id, k1.p, k2.f + CASE WHEN k2.takes THEN 0 ELSE 1 END, may AND NOT k2.takes FROM k2 JOIN k1 ON k1.doc_id = k2.doc_id AND k1.p = k2.p + 1),
+pa AS (SELECT atm.*, f FROM atm JOIN pk ON pk.doc_id = atm.doc_id AND pk.i = atm.i JOIN k2 ON k2.doc_id = pk.doc_id AND k2.p = pk.p),
+r0 AS (SELECT doc_id, f, min(a) AS a, max(b) AS b, arg_min(id, i) AS id0, arg_max(id, i) AS id1, arg_min(section_index, i) AS section_index, first(start_page ORDER BY i) AS start_page, last(end_page ORDER BY i) AS end_page FROM pa GROUP BY doc_id, f),
+r1 AS (SELECT r0.*, trim(substr(text, a + 1, b - a), ' ' || chr(10)) AS body FROM r0 JOIN docs USING (doc_id)),
+ch AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY a, b) - 1 AS chunk_index, CASE WHEN id0 = id1 THEN id0 ELSE id0 || '__' || id1 END AS section_id, section_index, a AS start_char, b AS end_char, start_page, end_page, body AS text FROM r1 WHERE body <> ''),
+chunks AS (SELECT *, 'chunk_' || chunk_index || '_' || start_char || '_' || end_char AS chunk_id FROM ch)
+"""
+_LABEL = "trim(label, ' ')"
+CHOICE_SQL = CHUNK_SQL + ", " + WINDOWS.replace("SOURCE", "docs") + rf""", ws AS ({SPANS}), wn AS (SELECT doc_id, chunk_index, start_char, end_char, trim(substr(txt, start_char + 1, end_char - start_char), ' ' || chr(10)) AS text FROM ws),
+il AS (SELECT doc_id, count(*) AS secs, avg(CAST(type = 'unknown' AS DOUBLE)) AS unk, avg(CAST(type IN ('chapter', 'section', 'appendix', 'front_matter') AS DOUBLE)) AS useful, avg(CAST(regexp_matches({_LABEL}, '^[A-Z]$') OR regexp_matches({_LABEL}, '\.{{3,}}\s*[0-9]+\s*$') OR contains(lower({_LABEL}), 'contents')
+  OR (regexp_matches({_LABEL}, '(\s|,)[0-9]+([-–][0-9]+)?(\s*,\s*[0-9]+([-–][0-9]+)?)*\.?$') AND (contains({_LABEL}, ',') OR len(regexp_split_to_array({_LABEL}, '\s+')) <= 6)) AS DOUBLE)) AS idx FROM sec GROUP BY 1),
+hd AS (SELECT doc_id, count(*) AS heads, count(type) AS classed FROM ht GROUP BY 1),
+qu AS (SELECT il.*, n, CAST(secs / greatest(1.0, n / 10000) > 12 AS INTEGER) + CAST(useful < 0.2 AS INTEGER) + CAST(coalesce(classed, 0) / greatest(1, coalesce(heads, 0)) < 0.1 AS INTEGER) AS soft FROM il JOIN len USING (doc_id) LEFT JOIN hd USING (doc_id)),
+cs AS (SELECT doc_id, count(*) AS s, avg(CAST(length(text) < 400 AS DOUBLE)) AS small FROM chunks GROUP BY 1), cw AS (SELECT doc_id, count(*) AS w FROM wn WHERE text <> '' GROUP BY 1),
+re AS (SELECT qu.doc_id, CASE WHEN qu.doc_id % 11 = 0 THEN 'structural_map_invalid' WHEN secs <= 1 THEN 'structural_map_insufficient_sections' WHEN unk > 0.85 THEN 'semantic_gate_unknown_ratio' WHEN idx > 0.2 THEN 'semantic_gate_index_like_ratio' WHEN soft >= 2 THEN 'semantic_gate_secondary_metrics'
+  WHEN coalesce(s, 0) > 1.75 * greatest(coalesce(w, 0), 1) THEN 'postcheck_chunk_count' WHEN coalesce(small, 0) > 0.35 THEN 'postcheck_small_chunk_ratio' END AS reason FROM qu LEFT JOIN cs USING (doc_id) LEFT JOIN cw USING (doc_id)),
+choice AS (SELECT doc_id, CASE WHEN reason IS NULL THEN 'structural' ELSE 'legacy' END AS mode, reason FROM re)
+"""
+
 MAP_SQL = """WITH k AS (SELECT doc_id, text, length(text) AS n, length(text) // 2 AS half FROM documents WHERE length(text) > 20), s AS (SELECT *, half + CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS a, n - CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS b FROM k WHERE doc_id % 37 > 0)
 SELECT doc_id, 'heading_offsets' AS rule, unnest(CASE WHEN doc_id % 41 = 0 THEN ['0', '0'] ELSE ['0'] END) AS detail FROM k WHERE doc_id % 13 = 0 UNION ALL SELECT doc_id, 'heading_score', unnest(CASE WHEN doc_id % 41 = 0 THEN ['0', '0'] ELSE ['0'] END) FROM k WHERE doc_id % 17 = 0
 UNION ALL SELECT doc_id, 'heading_repeated', '0' FROM k WHERE doc_id % 41 = 0 UNION ALL SELECT doc_id, 'section_index', '2' FROM s WHERE doc_id % 29 = 0 UNION ALL SELECT doc_id, 'section_coverage', CASE WHEN doc_id % 29 = 0 THEN '2' ELSE '1' END FROM s WHERE doc_id % 3 = 0
@@ -233,6 +330,18 @@ UNION ALL SELECT doc_id, 'section_id', CASE WHEN doc_id % 29 = 0 THEN '2' ELSE '
 UNION ALL SELECT doc_id, 'section_end', CAST(b AS VARCHAR) FROM s WHERE b <> n UNION ALL SELECT doc_id, 'section_missing', CAST(n AS VARCHAR) FROM k WHERE doc_id % 37 = 0 UNION ALL SELECT doc_id, 'text_hash', '0' FROM k WHERE doc_id % 19 = 0"""
 SQL = {
     "document_map_problems": MAP_SQL,
+    "document_map": DOC_SQL + "SELECT * FROM sec",
+    "cleaned_sections": CLEAN_SQL,
+    "structural_chunks": CHUNK_SQL + "SELECT * FROM chunks",
+    "structural_chunk_stats": CHUNK_SQL
+    + """, st AS (SELECT doc_id, f, count(DISTINCT id) AS n, count(DISTINCT CASE WHEN weak THEN id END) AS w FROM pa GROUP BY 1, 2), tk AS (SELECT doc_id, CAST(sum(CASE WHEN n > 1 THEN w ELSE 0 END) AS BIGINT) AS weak_sections_absorbed FROM st GROUP BY 1),
+sa AS (SELECT doc_id, count(*) AS atoms, count(DISTINCT id) AS sections_consumed, count(DISTINCT CASE WHEN n_parts > 1 THEN id END) AS sections_split, count(DISTINCT CASE WHEN weak THEN id END) AS weak_sections_total FROM pa GROUP BY 1),
+sz AS (SELECT doc_id, count(*) AS total_chunks, avg(end_char - start_char) AS avg_chunk_size FROM chunks GROUP BY 1)
+SELECT doc_id, total_chunks, avg_chunk_size, sections_consumed, sections_split, weak_sections_total, weak_sections_absorbed, atoms / total_chunks AS avg_sections_per_chunk, CASE WHEN weak_sections_total > 0 THEN weak_sections_absorbed / weak_sections_total ELSE 0.0 END AS weak_sections_absorbed_ratio, CAST(2100 AS BIGINT) AS hard_max_chunk_size FROM sz JOIN sa USING (doc_id) JOIN tk USING (doc_id)""",
+    "chosen_chunking": CHOICE_SQL + "SELECT * FROM choice",
+    "chosen_chunks": CHOICE_SQL
+    + """SELECT doc_id, mode, chunk_index + 1 AS chunk_index, chunk_id, section_id, start_char, end_char, text FROM chunks JOIN choice USING (doc_id) WHERE mode = 'structural'
+UNION ALL SELECT doc_id, 'legacy', chunk_index, 'legacy_chunk_' || chunk_index, NULL, start_char, end_char, text FROM wn LEFT JOIN choice USING (doc_id) WHERE coalesce(mode, 'legacy') = 'legacy' AND text <> ''""",
     "text_lines": "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents), p AS (SELECT *, CAST(coalesce(sum(length(raw) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_char FROM l) SELECT doc_id, line_no, start_char, start_char + length(raw) AS end_char, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS line FROM p WHERE regexp_replace(raw, '^\\s+|\\s+$', '', 'g') <> ''",
     "usable_texts": "WITH t AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN regexp_replace(text, '[^ .,]', '-', 'g') WHEN doc_id % 10 = 0 THEN substr(text, 1, 19) ELSE text END AS text FROM documents) SELECT doc_id, CASE WHEN length(text) < 20 OR len(regexp_extract_all(text, '[LETTERS]')) / length(text) < 0.05 THEN '' ELSE text END AS text FROM t".replace("LETTERS", L),
     "page_text": RAW_SQL + "SELECT doc_id, page_index, clean_text, dehyphenation_count, line_merge_count FROM pages",
@@ -270,5 +379,5 @@ WHERE NOT (type = 'index' OR regexp_matches(label, '^[^\\p{{L}}\\p{{N}}]{{1,8}}$
 
 QUERIES = {f.__name__: f for f in (
     page_text, running_lines, clean_pages, assembled_books, page_units, extraction_diagnostics, heading_candidates, heading_segments, heading_classes, top_headings, normalized_sections,
-    text_lines, usable_texts, document_map, document_map_problems, cleaned_sections, overlap_chunks, structural_chunks, structural_chunk_stats, chosen_chunking, section_refs,
+    text_lines, usable_texts, document_map, document_map_problems, cleaned_sections, overlap_chunks, structural_chunks, structural_chunk_stats, chosen_chunking, chosen_chunks, section_refs,
 )}
