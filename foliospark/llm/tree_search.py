@@ -8,8 +8,9 @@ Search: a query goes through the tree with a priority queue: the node whose cent
 is taken next; a leaf is visited, an inner node opens its children. All queries visit the same number of leaves. That number
 is calibrated: the k nearest rows of CALIBRATION queries (by hash) are found by comparing them with every row,
 each such neighbour's leaf has a place in its query's order, and visits widen until TARGET of all neighbours are in the leaves visited.
-(A query's own row is no neighbour of it.) In each leaf visited all rows are compared, by an equality join of queries and blocks on the leaf,
-in blocks of queries; a meeting leaves k rows a query.
+(A query's own row is no neighbour of it.) Leaves are visited in rounds, each WIDER times as wide as all before it together: the first FIRST leaves of
+each query, then the next. In each leaf all rows are compared, by an equality join of queries and blocks on the leaf, in blocks of queries; a meeting leaves at
+most k rows a query, and from the second round on only those that reach the query's kth score so far, so the rows left don't grow with the leaves visited.
 
 Scores are cosines of the original vectors in double precision, each summed over one row in one way, so equal vectors have equal scores.
 Of equal vectors only the k + 1 first by id can be among the k nearest of any query; these stand in the blocks for all.
@@ -29,12 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from .common import cut, short_batches, table
 
-SAMPLE, BRANCHES, LEAF, MIN_SAMPLE, ROUNDS = 32768, 8, 256, 24, 8
+SAMPLE, BRANCHES, LEAF, MIN_SAMPLE, ROUNDS = 32768, 8, 1024, 24, 8
 CALIBRATION, TARGET = 256, 0.95
 BLOCK, QUERIES = 8192, 512
+FIRST, WIDER = 4, 3
 
 
 @dataclass
@@ -42,6 +45,7 @@ class Tree:
     """centres[n] lists the rows of `points` that are node n's children: an inner node's number, or a leaf's as -1 - leaf."""
 
     width: int
+    kind: str = "f8"
     centres: list[np.ndarray] = field(default_factory=list)
     children: list[list[int]] = field(default_factory=list)
     n_leaves: int = 0
@@ -142,29 +146,36 @@ def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.clip(out, -1, 1)
 
 
+def numbers(column: pa.Array, tree: Tree) -> np.ndarray:
+    """Stored vectors as doubles."""
+    return np.frombuffer(b"".join(column.to_pylist()), tree.kind).reshape(-1, tree.width).astype("f8")
+
+
 def indexed(rows: DataFrame, tree: Tree) -> DataFrame:
-    """row, vec_id, leaf, v (bytes)."""
+    """row, vec_id, leaf, v (bytes, in the precision of the table's vectors)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = padded(b.column("v").to_pylist(), tree.width)
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("vec_id"), pa.array(leaves_of(tree, unit_rows(x))), pa.array([v.tobytes() for v in x], pa.binary())], ["row", "vec_id", "leaf", "v"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("vec_id"), pa.array(leaves_of(tree, unit_rows(x))), pa.array([v.tobytes() for v in x.astype(tree.kind)], pa.binary())], ["row", "vec_id", "leaf", "v"])
 
     return short_batches(rows.select("row", "vec_id", "v")).mapInArrow(each, "row long, vec_id long, leaf int, v binary")
 
 
-def nearest(q_rows: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[int, int, int, float]]:
-    """(query's row, row, id, score): for each query its k nearest rows of a block."""
+def nearest(q_rows: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, floor: np.ndarray | None = None) -> Iterator[tuple[int, int, int, float]]:
+    """(query's row, row, id, score): for each query its k nearest rows of a block, of those whose scores reach its floor."""
+    floor = np.full(len(q), -np.inf) if floor is None else floor
     u = unit_rows(x)
     for at in range(0, len(q), 256):
         near = unit_rows(q[at : at + 256]) @ u.T
         near[q_rows[at : at + 256, None] == rows] = -np.inf
         kth = np.partition(near, -k, axis=1)[:, -k] if near.shape[1] > k else np.full(len(near), -np.inf)
         for i, (line, least) in enumerate(zip(near, kth), at):
-            j = np.flatnonzero((line >= least - 1e-9) & (line > -np.inf))
+            j = np.flatnonzero((line >= max(least, floor[i]) - 1e-9) & (line > -np.inf))
             score = cosines(q[i], x[j])
             for n in np.lexsort((rows[j], ids[j], -score))[:k]:
-                yield q_rows[i], rows[j[n]], ids[j[n]], score[n]
+                if score[n] >= floor[i]:
+                    yield q_rows[i], rows[j[n]], ids[j[n]], score[n]
 
 
 FOUND = "query long, row long, vec_id long, score double"
@@ -175,8 +186,8 @@ def found_batch(found: Iterator[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(pa.array(np.array(c, "i8")) for c in (query, row, vec_id)), pa.array(np.array(score, "f8"))], ["query", "row", "vec_id", "score"])
 
 
-def arrays(block: pa.StructArray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return block.field("row").to_numpy(False), block.field("vec_id").to_numpy(False), np.frombuffer(b"".join(block.field("v").to_pylist()), "f8").reshape(-1, width)
+def arrays(block: pa.StructArray, tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return block.field("row").to_numpy(False), block.field("vec_id").to_numpy(False), numbers(block.field("v"), tree)
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
@@ -186,13 +197,12 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
 
 def visits_needed(file: DataFrame, asked: list, tree: Tree, k: int, target: float) -> int:
     """How many leaves a query has to visit so that the leaves hold `target` of the k nearest rows of the queries asked (row, v bytes), found by comparing them with all rows of file."""
-    q_rows, q = np.array([r["row"] for r in asked], "i8"), np.frombuffer(b"".join(bytes(r["v"]) for r in asked), "f8").reshape(-1, tree.width)
+    q_rows, q = np.array([r["row"] for r in asked], "i8"), numbers(pa.array([bytes(r["v"]) for r in asked], pa.binary()), tree)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, ids = b.column("row").to_numpy(), b.column("vec_id").to_numpy()
-            x = np.frombuffer(b"".join(b.column("v").to_pylist()), "f8").reshape(-1, tree.width)
-            yield found_batch(nearest(q_rows, q, rows, ids, x, k))
+            yield found_batch(nearest(q_rows, q, rows, ids, numbers(b.column("v"), tree), k))
 
     true = ranked(file.select("row", "vec_id", "v").mapInArrow(each, FOUND), k).join(file.select("row", "leaf"), "row").select("query", "leaf").collect()
     place = {row: {leaf: n for n, leaf in enumerate(best_bins(tree, u, tree.n_leaves), 1)} for row, u in zip(q_rows.tolist(), unit_rows(q))}
@@ -206,6 +216,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     n, width = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     drawn = padded([r["v"] for r in rows.select("v").orderBy(F.xxhash64("vec_id", "row"), "row").limit(sample).collect()], width)
     tree = grow(unit_rows(drawn), n / max(1, len(drawn)), leaf=leaf)
+    tree.kind = "f4" if vectors.schema[vec_col].dataType.elementType == FloatType() else "f8"
     equal = Window.partitionBy("v").orderBy("vec_id", "row")
     offered = rows.withColumn("_n", F.row_number().over(equal)).where(F.col("_n") <= k + 1).drop("_n")
     file = cut(indexed(offered, tree))
@@ -214,28 +225,37 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            u = unit_rows(np.frombuffer(b"".join(b.column("v").to_pylist()), "f8").reshape(-1, width))
-            own = [best_bins(tree, x, visits) for x in u]
+            own = [best_bins(tree, x, visits) for x in unit_rows(numbers(b.column("v"), tree))]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(own, pa.list_(pa.int32()))], ["row", "leaves"])
 
     # at most one row a leaf
     n_blocks = F.create_map(*[F.lit(x) for r in file.groupBy("leaf").count().collect() for x in (r["leaf"], -(-r["count"] // block))] or [F.lit(-1), F.lit(1)])
-    blocks = file.withColumn("blk", F.pmod(F.xxhash64("row"), n_blocks[F.col("leaf")]).cast("int")).groupBy("leaf", "blk").agg(F.collect_list(F.struct("row", "vec_id", "v")).alias("file"))
-    visited = cut(short_batches(asked.select("row", "v")).mapInArrow(bins, "row long, leaves array<int>")).select("row", F.explode("leaves").alias("leaf"))
-    per = visited.groupBy("leaf").count().select("leaf", F.ceil(F.col("count") / QUERIES).cast("int").alias("parts"))
-    split = visited.join(F.broadcast(per), "leaf").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
-    groups = split.join(asked.select("row", "vec_id", "v"), "row").groupBy("leaf", "part").agg(F.collect_list(F.struct("row", "vec_id", "v")).alias("asked"))
-    to_meet = groups.withColumn("blk", F.explode(F.sequence(F.lit(0), n_blocks[F.col("leaf")] - 1)))
+    blocks = cut(file.withColumn("blk", F.pmod(F.xxhash64("row"), n_blocks[F.col("leaf")]).cast("int")).groupBy("leaf", "blk").agg(F.collect_list(F.struct("row", "vec_id", "v")).alias("file")))
+    visited = cut(short_batches(asked.select("row", "v")).mapInArrow(bins, "row long, leaves array<int>"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                (q_rows, _, q), (r, ids, x) = (arrays(b.column(c)[i].values, width) for c in (0, 1))
-                yield found_batch(nearest(q_rows, q, r, ids, x, k))
-
-    met = short_batches(to_meet.join(blocks, ["leaf", "blk"]).select("asked", "file")).mapInArrow(each, FOUND)
+                given = b.column(0)[i].values
+                (q_rows, _, q), (r, ids, x) = arrays(given, tree), arrays(b.column(1)[i].values, tree)
+                yield found_batch(nearest(q_rows, q, r, ids, x, k, given.field("floor").to_numpy(False)))
+
+    found, begun = None, 0
+    while begun < visits:
+        wide = min(FIRST if not begun else begun * WIDER, visits - begun)
+        now = visited.select("row", F.explode(F.slice("leaves", begun + 1, wide)).alias("leaf"))
+        per = now.groupBy("leaf").count().select("leaf", F.ceil(F.col("count") / QUERIES).cast("int").alias("parts"))
+        split = now.join(F.broadcast(per), "leaf").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+        told = asked.select("row", "vec_id", "v")
+        kth = found.where(F.col("rank") == k).select(F.col("query").alias("row"), F.col("score").alias("floor")) if found else None
+        told = told.join(kth, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0))) if found else told.withColumn("floor", F.lit(-2.0))
+        groups = split.join(told, "row").groupBy("leaf", "part").agg(F.collect_list(F.struct("row", "vec_id", "v", "floor")).alias("asked"))
+        to_meet = groups.withColumn("blk", F.explode(F.sequence(F.lit(0), n_blocks[F.col("leaf")] - 1)))
+        met = short_batches(to_meet.join(blocks, ["leaf", "blk"]).select("asked", "file")).mapInArrow(each, FOUND)
+        found = cut(ranked(found.drop("rank").unionByName(met) if found else met, k))
+        begun += wide
     query = asked.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
-    out = ranked(met, k).join(query, "query")
+    out = found.join(query, "query")
     return out.select(F.col("query").alias("query_row"), "query_id", "rank", "vec_id", "score"), visits, tree.n_leaves
 
 
