@@ -6,10 +6,10 @@ automaton's output links give the pieces that end there, and each relaxes the be
 - A unigram model's scores are log probabilities: of all ways to cut the text the ids are those with the
   highest sum; of equal ones, at each position, that with the longest last piece.
 - A model made by merging has ranks for scores: pairs of pieces are merged, the best rank first, so a sum of
-  ranks isn't what it maximises. A cut is the merged one exactly if each two neighbours would also be left
-  as they are if merged alone: merges within a stretch don't depend on what follows it. So a piece relaxes a
-  position only if it agrees with the last piece before it, which is one at most, and the ids are the
-  library's. Whether two pieces agree is found from the order in which their characters merge, and remembered.
+  ranks alone isn't what it maximises. A cut is the merged one exactly if each two neighbours would also be left
+  as they are if merged alone: merges within a stretch don't depend on what follows it. So the same pass takes agreement
+  as its test of what may be relaxed: a piece relaxes the best score of a position if its sum is higher and it agrees with the last piece
+  before it. The ids are the library's. Whether two pieces agree is found from the order in which their characters merge, and remembered.
 
 A character without a piece becomes the byte pieces of its UTF-8 form, at a score below any piece's.
 
@@ -114,22 +114,23 @@ class Codec:
             self.agreeing[one, two] = found
         return found
 
-    def best_merged(self, stretch: str) -> list[int]:
-        """The ids that merging gives: at each position the one piece that agrees with the last one before it."""
-        n, agreeing = len(stretch), self.agreeing
-        # the last piece of each position's cut: -1 for none, or for a character without a piece
-        last, unset = [-1] + [None] * n, None
-        size_of = [1] * (n + 1)
+    def best(self, stretch: str, merged: bool = False) -> tuple[float, list[int]]:
+        """The highest sum of scores and its ids; with merged, of the cuts whose pieces agree, each with the one before it."""
+        n, agreeing, agree = len(stretch), self.agreeing, self.agree
+        score = [0.0] + [float("-inf")] * n
+        # the last piece of each position's best cut, and its length: -1 for none, or for a character without a piece
+        last, size_of = [-1] * (n + 1), [1] * (n + 1)
         known = self.single.issuperset(stretch)
         upto = 0
-        for at, (size, _, i) in self.automaton.iter(stretch):
+        for at, (size, value, i) in self.automaton.iter(stretch):
             end = at + 1
             if not known:
-                upto = self.pass_unknown(stretch, last, upto, end)
-            if last[end] is unset and (before := last[end - size]) is not unset and ((ok := agreeing.get((before, i))) or (ok is None and self.agree(before, i))):
-                last[end], size_of[end] = i, size
+                upto = self.relax_unknown(stretch, score, last, size_of, upto, at)
+            begin = end - size
+            if (s := score[begin] + value) > score[end] and (not merged or (ok := agreeing.get((last[begin], i))) or (ok is None and agree(last[begin], i))):
+                score[end], last[end], size_of[end] = s, i, size
         if not known:
-            self.pass_unknown(stretch, last, upto, n + 1)
+            self.relax_unknown(stretch, score, last, size_of, upto, n)
         ids: list[int] = []
         at = n
         while at:
@@ -138,46 +139,17 @@ class Codec:
             else:
                 ids.extend(self.byte_ids.get(b, self.unknown) for b in reversed(stretch[at - 1].encode("utf-8", "replace")))
             at -= size_of[at]
-        return ids[::-1]
-
-    def pass_unknown(self, stretch: str, last: list, upto: int, end: int) -> int:
-        """Characters without a piece that end before `end`, and that no piece has taken, stand alone."""
-        for at in range(upto + 1, end):
-            if last[at] is None and stretch[at - 1] not in self.single:
-                last[at] = -1
-        return end - 1
-
-    def best(self, stretch: str) -> tuple[float, list[int]]:
-        """The highest sum of scores and its ids."""
-        n = len(stretch)
-        score, back = [0.0] + [float("-inf")] * n, [None] * (n + 1)
-        if self.single.issuperset(stretch):
-            for last, (size, value, i) in self.automaton.iter(stretch):
-                if (s := score[last + 1 - size] + value) > score[last + 1]:
-                    score[last + 1], back[last + 1] = s, (size, i)
-        else:
-            ends: list[list] = [[] for _ in range(n + 1)]
-            for last, hit in self.automaton.iter(stretch):
-                ends[last + 1].append(hit)
-            for end in range(1, n + 1):
-                for size, value, i in ends[end]:
-                    if (s := score[end - size] + value) > score[end]:
-                        score[end], back[end] = s, (size, i)
-                if stretch[end - 1] not in self.single and (s := score[end - 1] + self.lost) > score[end]:
-                    score[end], back[end] = s, (1, -1)
-        ids: list[int] = []
-        at = n
-        while at:
-            size, i = back[at]
-            if i >= 0:
-                ids.append(i)
-            else:
-                ids.extend(self.byte_ids.get(b, self.unknown) for b in reversed(stretch[at - 1].encode("utf-8", "replace")))
-            at -= size
         return score[n], ids[::-1]
 
+    def relax_unknown(self, stretch: str, score: list, last: list, size_of: list, upto: int, end: int) -> int:
+        """Characters without a piece that end up to `end` relax their positions by the lost score."""
+        for at in range(upto + 1, end + 1):
+            if stretch[at - 1] not in self.single and (s := score[at - 1] + self.lost) > score[at]:
+                score[at], last[at], size_of[at] = s, -1, 1
+        return max(upto, end)
+
     def ids_of(self, stretch: str) -> bytes:
-        return np.array(self.best_merged(stretch) if self.merging else self.best(stretch)[1], "<i4").tobytes()
+        return np.array(self.best(stretch, self.merging)[1], "<i4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
