@@ -46,17 +46,25 @@ def family_list(members: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataF
 
 
 def breadcrumbs(edges: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """scope, concept, path: from each child up by its first parent in order of name, until none or a cycle, however far."""
-    first = edges.groupBy(*scope, F.col("child").alias("_c")).agg(F.min("parent").alias("_p"))
-    now = edges.select(*scope, F.col("child").alias("concept")).distinct().withColumns({"path": F.array("concept"), "_top": F.col("concept"), "_go": F.lit(True)})
-    going = True
-    while going:
-        up = now.join(first.withColumnRenamed("_c", "_top"), [*scope, "_top"], "left")
-        go = F.col("_go") & F.col("_p").isNotNull() & ~F.array_contains("path", F.col("_p"))
-        now = up.select(*scope, "concept", F.when(go, F.concat(F.array("_p"), "path")).otherwise(F.col("path")).alias("path"), F.when(go, F.col("_p")).otherwise(F.col("_top")).alias("_top"), go.alias("_go"))
-        now = cut(now)
-        going = not now.where("_go").isEmpty()
-    return now.select(*scope, "concept", "path")
+    """scope, concept, path: from each child up by its first parent in order of name, until none or a cycle, however far.
+
+    Pointer jumping: each round puts the way up from the top of a concept's way behind it, so ways double, and rounds are as many as the logarithm of the
+    longest one. In a cycle all that follows the first repeat is a repeat.
+    """
+    first = edges.groupBy(*scope, F.col("child").alias("concept")).agg(F.min("parent").alias("_next"))
+    now = cut(first.withColumn("_up", F.array("concept")))
+    done = []
+    while not now.isEmpty():
+        tops = now.unionByName(reduce(DataFrame.unionByName, done)) if done else now
+        rest = tops.select(*scope, F.col("concept").alias("_next"), F.col("_up").alias("_more"), F.col("_next").alias("_then"))
+        whole = F.concat("_up", F.coalesce("_more", F.array("_next")))
+        met = now.join(rest, [*scope, "_next"], "left").withColumns({"_whole": whole, "_way": F.array_distinct(whole)})
+        # a way ends at a concept that has no parent, or where it repeats itself
+        met = cut(met.withColumn("_next", F.when(F.size("_way") == F.size("_whole"), F.col("_then"))).select(*scope, "concept", "_next", F.col("_way").alias("_up")))
+        done.append(met.where("_next IS NULL"))
+        now = met.where("_next IS NOT NULL")
+    every = reduce(DataFrame.unionByName, done) if done else now
+    return every.select(*scope, "concept", F.reverse("_up").alias("path"))
 
 
 def signal_terms(concepts: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -247,18 +255,55 @@ def frame_index(frames: DataFrame, concepts: DataFrame, scope: Sequence[str] = (
     return rows.groupBy(*scope, "concept").agg(F.max_by("frame_id", "ord").alias("frame_id"))
 
 
-def family_tree_paths(edges: DataFrame, members: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """scope, family_id, path, depth: every way down from the roots of a family, level by level.
-
-    Roots have no parent in the family (all are, if none is one); a concept that is on its path already ends
-    it as a leaf. edges: parent, child; members: family_id, concept.
-    """
+def family_links(edges: DataFrame, members: DataFrame, scope: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(parent, child links inside each family; its roots: concepts without a parent in it, or all if none is)."""
     fam = [*scope, "family_id"]
     inside = members.select(*fam, F.col("concept").alias("parent")).join(edges, [*scope, "parent"]).join(members.select(*fam, F.col("concept").alias("child")), [*fam, "child"], "left_semi").where("parent <> child").select(*fam, "parent", "child").distinct()
     below = inside.select(*fam, F.col("child").alias("concept")).distinct()
-    roots = members.join(below, [*fam, "concept"], "left_anti")
-    rootless = members.join(roots.select(*fam).distinct(), fam, "left_anti")
-    now = cut(roots.unionByName(rootless.select(roots.columns)).distinct().select(*fam, F.array("concept").alias("path"), F.lit(1).alias("depth"), F.lit(True).alias("_open")))
+    roots = members.select(*fam, "concept").distinct().join(below, [*fam, "concept"], "left_anti")
+    rootless = members.select(*fam, "concept").distinct().join(roots.select(*fam).distinct(), fam, "left_anti")
+    return inside, roots.unionByName(rootless)
+
+
+def family_tree(edges: DataFrame, members: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """scope, family_id, concept, is_root, n_children, depth, ways: the tree as a table, one row a concept of a family.
+
+    ways counts the ways down from the roots, depth is the longest one; both are null on or behind a cycle. Counts go down a level
+    at a time, and a concept hands them on once all its parents have, so the work grows with the links, not with the ways. family_tree_paths spells out the
+    ways that are asked for.
+    """
+    fam = [*scope, "family_id"]
+    node = [*fam, "concept"]
+    inside, roots = (cut(x) for x in family_links(edges, members, scope))
+    waits = inside.groupBy(*fam, F.col("child").alias("concept")).agg(F.count(F.lit(1)).alias("_waits"))
+    # a root of a family without any lies on or behind a cycle
+    now = cut(roots.join(waits, node, "left_anti").select(*node, F.lit(1).cast("decimal(38,0)").alias("ways"), F.lit(1).alias("depth")))
+    counted, part = [], None
+    while not now.isEmpty():
+        counted.append(now)
+        given = now.withColumnRenamed("concept", "parent").join(inside, [*fam, "parent"]).select(*fam, F.col("child").alias("concept"), "ways", (F.col("depth") + 1).alias("depth"), F.lit(1).cast("long").alias("_got"))
+        every = part.unionByName(given) if part is not None else given
+        summed = every.groupBy(*node).agg(F.sum("ways").cast("decimal(38,0)").alias("ways"), F.max("depth").alias("depth"), F.sum("_got").alias("_got"))
+        met = cut(summed.join(waits, node))
+        now, part = met.where("_got = _waits").select(*node, "ways", "depth"), met.where("_got < _waits").select(*node, "ways", "depth", "_got")
+    one = members.select(*node).distinct().join(roots.withColumn("is_root", F.lit(True)), node, "left")
+    kids = inside.groupBy(*fam, F.col("parent").alias("concept")).agg(F.count(F.lit(1)).alias("n_children"))
+    none = inside.select(*fam, F.col("child").alias("concept"), F.lit(None).cast("decimal(38,0)").alias("ways"), F.lit(None).cast("int").alias("depth")).limit(0)
+    known = reduce(DataFrame.unionByName, counted, none)
+    return one.join(kids, node, "left").join(known, node, "left").select(*node, F.coalesce("is_root", F.lit(False)).alias("is_root"), F.coalesce("n_children", F.lit(0).cast("long")).alias("n_children"), "depth", "ways")
+
+
+def family_tree_paths(edges: DataFrame, members: DataFrame, scope: Sequence[str] = ("doc_id",), starts: DataFrame | None = None) -> DataFrame:
+    """scope, family_id, path, depth: every way down from the roots of a family, or from given concepts (starts: scope, family_id, concept), level by level.
+
+    A concept that is on its path already ends it as a leaf. Ways can be very many where lines join (family_tree counts them).
+    edges: parent, child; members: family_id, concept.
+    """
+    fam = [*scope, "family_id"]
+    inside, roots = family_links(edges, members, scope)
+    inside = cut(inside)
+    begin = roots if starts is None else starts.select(*fam, "concept").distinct()
+    now = cut(begin.select(*fam, F.array("concept").alias("path"), F.lit(1).alias("depth"), F.lit(True).alias("_open")))
     levels = [now]
     for depth in count(2):  # a path holds a concept once, so it ends
         down = now.where("_open").withColumn("parent", F.element_at("path", -1)).join(inside, [*fam, "parent"])
@@ -266,10 +311,7 @@ def family_tree_paths(edges: DataFrame, members: DataFrame, scope: Sequence[str]
         if now.isEmpty():
             break
         levels.append(now)
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out.drop("_open")
+    return reduce(DataFrame.unionByName, levels).drop("_open")
 
 
 def evidence_chunks(concepts: DataFrame, chunks: DataFrame, scope: Sequence[str] = ("doc_id",), missing: str = "Chunk summary unavailable.") -> DataFrame:

@@ -70,6 +70,16 @@ def merged_concepts(spark: SparkSession, d: str) -> DataFrame:
     return merged.select("doc_id", "concept", "field", joined("items"), F.array_join(F.transform("evidence", lambda e: F.concat(e["chunk_index"].cast("string"), F.lit("="), e["value"])), "|").alias("evidence"))
 
 
+def evidence_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Evidence over the whole corpus: 64 very common parts, in pages of 100."""
+    made = C.evidence_pages(C.project_items(named(spark, d), scope=()), (), 100)
+    return made.select("concept", "field", "page", "first", F.array_join(F.transform("rows", lambda e: F.concat(e["chunk_index"].cast("string"), F.lit("="), e["value"])), "|").alias("evidence"))
+
+
+def mention_pages(spark: SparkSession, d: str) -> DataFrame:
+    return C.mention_pages(named(spark, d), (), 100).select("concept", "page", "first", joined("rows"))
+
+
 def concept_table(spark: SparkSession, d: str) -> DataFrame:
     """Chunks to concepts, canonical names, evidence and all."""
     made = B.build_concepts(chunks(spark, d))
@@ -286,6 +296,8 @@ SQL = {
     "concept_index": OCC + "SELECT doc_id, p_name AS concept, string_agg(CAST(chunk_index AS VARCHAR), '|' ORDER BY chunk_index) AS chunks FROM (SELECT DISTINCT doc_id, chunk_index, p_name FROM occ) GROUP BY ALL",
     "concept_mentions": OCC + "SELECT 'The ' || p_name AS concept, count(*) AS mentions, count(DISTINCT chunk_index) AS n_chunks, min(chunk_index) AS first_chunk FROM occ GROUP BY 1",
     "merged_concepts": ITEMS + "SELECT doc_id, concept, field, i.items, e.evidence FROM (SELECT doc_id, concept, field, string_agg(value, '|' ORDER BY fst) AS items FROM firsts GROUP BY ALL) i JOIN (SELECT doc_id, concept, field, string_agg(CAST(chunk_index AS VARCHAR) || '=' || value, '|' ORDER BY chunk_index, pos) AS evidence FROM items GROUP BY ALL) e USING (doc_id, concept, field)",
+    "evidence_pages": ITEMS + ", n AS (SELECT *, row_number() OVER (PARTITION BY concept, field ORDER BY chunk_index, pos, value) - 1 AS n FROM items) SELECT concept, field, n // 100 AS page, n // 100 * 100 AS first, string_agg(CAST(chunk_index AS VARCHAR) || '=' || value, '|' ORDER BY n) AS evidence FROM n GROUP BY ALL",
+    "mention_pages": OCC + ", n AS (SELECT 'The ' || p_name AS concept, chunk_index, row_number() OVER (PARTITION BY p_name ORDER BY chunk_index) - 1 AS n FROM (SELECT DISTINCT p_name, chunk_index FROM occ)) SELECT concept, n // 100 AS page, n // 100 * 100 AS first, string_agg(CAST(chunk_index AS VARCHAR), '|' ORDER BY n) AS rows FROM n GROUP BY ALL",
     "concept_table": ITEMS + "SELECT doc_id, concept, string_agg(value, '|' ORDER BY fst) FILTER (field = 'definitions') AS definitions, string_agg(value, '|' ORDER BY fst) FILTER (field = 'terminology') AS terminology, e.x AS evidence, s.x AS source_chunks FROM firsts JOIN (SELECT doc_id, concept, string_agg(field || '=' || CAST(chunk_index AS VARCHAR) || '=' || value, '|' ORDER BY field, chunk_index, value) AS x FROM items GROUP BY ALL) e USING (doc_id, concept) JOIN (SELECT doc_id, p_name AS concept, array_to_string(list_sort(list(DISTINCT chunk_index)), '|') AS x FROM occ GROUP BY ALL) s USING (doc_id, concept) GROUP BY ALL",
     "promoted_concepts": OCC + """, c AS (SELECT doc_id, p_name AS concept, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS h, list_sort(list(DISTINCT chunk_index)) AS chunks FROM occ GROUP BY ALL),
 r AS (SELECT doc_id, concept, h || ' kind: as ' || concept AS definitions, a || ' sort (' || concept || ')' AS terminology, 'the ' || h || ' kind near ' || concept AS relationships, chunks, false AS promoted, NULL AS promotion_reason FROM c
@@ -308,6 +320,6 @@ SELECT doc_id, concept, definitions, terminology, relationships, array_to_string
     "concept_search": "WITH q AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS query FROM part UNION SELECT unnest(['OL', 'in', 'arm'])), n AS (SELECT DISTINCT 0 AS k, p_name AS name FROM part UNION SELECT 1, split_part(p_name, ' ', 2) FROM part UNION SELECT 1, 'Warmth'), r AS (SELECT query, k, name, CAST(row_number() OVER (PARTITION BY query ORDER BY k, name) AS INTEGER) AS rank FROM q JOIN n ON contains(lower(name), lower(query))) SELECT query, CASE k WHEN 0 THEN 'concept' ELSE 'family' END AS kind, name, rank FROM r WHERE rank <= 25",
 }
 QUERIES = {f.__name__: f for f in (
-    concept_names, concept_index, concept_mentions, merged_concepts, concept_table, promoted_concepts, family_assignments, families_with_members, concepts_without_family,
+    concept_names, concept_index, concept_mentions, merged_concepts, evidence_pages, mention_pages, concept_table, promoted_concepts, family_assignments, families_with_members, concepts_without_family,
     taxonomy_decisions, structural_children, ontology_edges, ontology_nodes, related_concepts, chunk_concepts, signal_terms, concept_search,
 )}

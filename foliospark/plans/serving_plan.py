@@ -34,6 +34,12 @@ def family_tree(spark: SparkSession, d: str) -> DataFrame:
     return t.select("doc_id", "family_id", F.array_join("path", ">").alias("path"), "depth")
 
 
+def family_tree_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """The same trees as tables, with counts instead of ways."""
+    t = E.family_tree(tree_edges(spark, d), names(spark, d))
+    return t.withColumns({"ways": F.col("ways").cast("long"), "depth": F.col("depth").cast("long")})
+
+
 def breadcrumb_paths(spark: SparkSession, d: str) -> DataFrame:
     return E.breadcrumbs(tree_edges(spark, d).where("parent <> child")).select("doc_id", "concept", F.array_join("path", ">").alias("path"))
 
@@ -200,6 +206,13 @@ SQL = {
     "frame_of_concepts": N.replace(" RECURSIVE", "") + " SELECT doc_id, concept, CASE concept WHEN 'hot ring' THEN 'first' ELSE 'second' END AS frame_id FROM n WHERE concept IN ('red ring', 'hot ring', 'old gear')",
     "relation_lists": N.replace(" RECURSIVE", "") + ", x AS (SELECT doc_id, concept, unnest([{'b': 'related_to', 'c': 'red ' || f || CASE WHEN concept = 'new ' || f THEN '|to: ' || concept || '; type: Requires' ELSE '' END || '|as told of old|type: contrast'}, {'b': 'contrasts_with', 'c': 'old ' || f}, {'b': 'depends_on', 'c': CASE WHEN concept <> 'new ' || f THEN 'new ' || f END}, {'b': 'used_in', 'c': 'hot ' || f}]) AS u FROM n) SELECT doc_id, concept, u.b AS bucket, u.c AS counterparts FROM x WHERE u.c IS NOT NULL",
     "family_tree": N + ", i AS (SELECT e.* FROM e WHERE (doc_id, child) IN (SELECT doc_id, concept FROM n)), roots AS (SELECT n.* FROM n WHERE (doc_id, concept) NOT IN (SELECT doc_id, child FROM i)), t AS (SELECT doc_id, f, [concept] AS path, 1 AS depth, true AS o FROM (SELECT * FROM roots UNION ALL SELECT * FROM n WHERE (doc_id, f) NOT IN (SELECT doc_id, f FROM roots)) UNION ALL SELECT t.doc_id, t.f, list_append(path, child), depth + 1, NOT list_contains(path, child) FROM t JOIN i ON i.doc_id = t.doc_id AND i.parent = path[len(path)] AND i.f = t.f WHERE o) SELECT doc_id, f AS family_id, array_to_string(path, '>') AS path, depth FROM t",
+    "family_tree_nodes": N
+    + """, i AS (SELECT DISTINCT doc_id, f, parent, child FROM e WHERE parent <> child AND (doc_id, child) IN (SELECT doc_id, concept FROM n)), reach AS (SELECT doc_id, parent AS a, child AS b FROM i UNION SELECT reach.doc_id, a, child FROM reach JOIN i ON i.doc_id = reach.doc_id AND i.parent = b),
+cyc AS (SELECT doc_id, a AS c FROM reach WHERE a = b), bad AS (SELECT doc_id, c FROM cyc UNION SELECT reach.doc_id, b FROM reach JOIN cyc ON cyc.doc_id = reach.doc_id AND c = a),
+t AS (SELECT doc_id, concept, 1 AS depth FROM n WHERE (doc_id, concept) NOT IN (SELECT doc_id, child FROM i) UNION ALL SELECT t.doc_id, child, depth + 1 FROM t JOIN i ON i.doc_id = t.doc_id AND i.parent = concept WHERE (t.doc_id, child) NOT IN (SELECT doc_id, c FROM bad)),
+roots AS (SELECT doc_id, f, concept FROM n WHERE (doc_id, concept) NOT IN (SELECT doc_id, child FROM i))
+SELECT n.doc_id, n.f AS family_id, n.concept, (n.doc_id, n.concept) IN (SELECT doc_id, concept FROM roots) OR (n.doc_id, n.f) NOT IN (SELECT doc_id, f FROM roots) AS is_root, coalesce(k.n, 0) AS n_children, CAST(w.depth AS BIGINT) AS depth, w.ways
+FROM n LEFT JOIN (SELECT doc_id, parent, count(*) AS n FROM i GROUP BY ALL) AS k ON k.doc_id = n.doc_id AND k.parent = n.concept LEFT JOIN (SELECT doc_id, concept, count(*) AS ways, max(depth) AS depth FROM t GROUP BY ALL) AS w ON w.doc_id = n.doc_id AND w.concept = n.concept""",
     "breadcrumb_paths": N + ", up AS (SELECT doc_id, child, min(parent) AS p FROM e GROUP BY ALL), t AS (SELECT DISTINCT doc_id, child AS concept, [child] AS path, child AS top FROM e UNION ALL SELECT t.doc_id, concept, list_prepend(p, path), p FROM t JOIN up ON up.doc_id = t.doc_id AND up.child = top WHERE NOT list_contains(path, p)) SELECT doc_id, concept, array_to_string(max_by(path, len(path)), '>') AS path FROM t GROUP BY ALL",
     "evidence_texts": O + "SELECT DISTINCT doc_id, p_name AS concept, chunk_index AS chunk, CASE WHEN chunk_index % 2 = 0 THEN min(p_type) OVER (PARTITION BY doc_id, chunk_index) ELSE 'Chunk summary unavailable.' END AS text FROM occ",
     "structural_parents": O + "SELECT doc_id, 'red ring' AS parent, chunk_index AS chunk, string_agg(p_name, '|' ORDER BY p_name) AS children FROM (SELECT DISTINCT doc_id, chunk_index, p_name FROM occ WHERE p_name IN ('red ring', 'hot ring', 'old ring')) WHERE doc_id IN (SELECT doc_id FROM occ WHERE p_name = 'red ring') GROUP BY ALL HAVING count(*) >= 2",
@@ -223,4 +236,4 @@ SELECT doc_id, 'auto_' || replace(p_name, ' ', '_') AS frame_id, kind AS frame_t
   CASE WHEN a = 'new' THEN 'note the ' || p_name || '.' ELSE '' END AS outputs FROM k""",
     "discovered_families": O + ", h AS (SELECT doc_id, list(DISTINCT replace(p_name, ' ring', '')) AS w FROM occ WHERE p_name LIKE '% ring' GROUP BY 1), a AS (SELECT *, [x FOR x IN ['red', 'blue', 'old', 'odd'] IF list_contains(w, x)] AS one FROM h), b AS (SELECT *, CASE WHEN len(one) >= 3 THEN one ELSE [] END AS t1, [x FOR x IN ['hot', 'red', 'blue', 'cold'] IF list_contains(w, x)] AS two FROM a), c AS (SELECT *, [x FOR x IN two IF NOT list_contains(t1, x)] AS two2 FROM b), e AS (SELECT *, CASE WHEN len(two2) >= 3 THEN t1 || two2 ELSE t1 END AS t2 FROM c), g AS (SELECT *, [x FOR x IN ['small', 'large', 'red', 'new'] IF list_contains(w, x) AND NOT list_contains(t2, x)] AS three FROM e) SELECT doc_id, family_label, array_to_string([x || ' ring' FOR x IN m], '|') AS members FROM (SELECT doc_id, 'plain' AS family_label, one AS m FROM g UNION ALL SELECT doc_id, 'warm', two2 FROM g UNION ALL SELECT doc_id, 'size', three FROM g) WHERE len(m) >= 3",
 }
-QUERIES = {f.__name__: f for f in (localized_frames, families_of_concepts, frame_of_concepts, relation_lists, family_tree, breadcrumb_paths, evidence_texts, structural_parents, procedural_items, final_procedures, audited_procedures, procedure_frames, automatic_frames, discovered_families, checked_families)}
+QUERIES = {f.__name__: f for f in (localized_frames, families_of_concepts, frame_of_concepts, relation_lists, family_tree, family_tree_nodes, breadcrumb_paths, evidence_texts, structural_parents, procedural_items, final_procedures, audited_procedures, procedure_frames, automatic_frames, discovered_families, checked_families)}

@@ -60,3 +60,51 @@ def test_a_term_in_all_concepts_makes_few_pairs(spark, monkeypatch):
     scored, more = E.related_candidates(lists, none.select("doc_id", F.col("parent").alias("concept"), F.col("child").alias("other"), F.lit(5).alias("direct")), 10, ["doc_id"])
     # 33 of the first names of three lists, a term's 6 and a block's 30 concepts; all pairs would be 3000 a concept
     assert scored.count() + more.count() < 80 * n
+
+
+def test_breadcrumbs_go_up_any_way(spark):
+    rng = random.Random(1)
+    edges = [(rng.choice("abcdefgh"), rng.choice("abcdefgh")) for _ in range(12)] + [(f"c{i:03}", f"c{i + 1:03}") for i in range(100)]
+    edges = [(p, c) for p, c in edges if p != c]
+    up = {}
+    for p, c in edges:
+        up[c] = min(up.get(c, p), p)
+    want = {}
+    for c in up:
+        way = [c]
+        while way[0] in up and up[way[0]] not in way:
+            way.insert(0, up[way[0]])
+        want[c] = way
+    got = {r["concept"]: r["path"] for r in E.breadcrumbs(spark.createDataFrame([(1, *e) for e in edges], "doc_id int, parent string, child string")).collect()}
+    assert got == want
+
+
+def test_a_ladder_of_joined_levels_is_counted(spark):
+    rungs = 12
+    edges = [(1, f"{a}{i:02}", f"{b}{i + 1:02}") for i in range(rungs) for a in "lr" for b in "lr"] + [(1, "x", "y"), (1, "y", "x"), (1, "y", "z")]
+    members = [(1, "f", n) for n in sorted({n for _, *e in edges for n in e})]
+    tables = spark.createDataFrame(edges, "doc_id int, parent string, child string"), spark.createDataFrame(members, "doc_id int, family_id string, concept string")
+    got = {r["concept"]: (r["is_root"], r["n_children"], r["depth"], r["ways"] and int(r["ways"])) for r in E.family_tree(*tables).collect()}
+    assert got["l12"] == (False, 0, 13, 2**12) and got["r00"] == (True, 2, 1, 1) and got["x"] == (False, 1, None, None) and got["z"] == (False, 0, None, None)
+    below = E.family_tree_paths(*tables, starts=spark.createDataFrame([(1, "f", "l10")], "doc_id int, family_id string, concept string"))
+    assert sorted(r["path"] for r in below.collect()) == sorted([["l10"], *[["l10", f"{a}11"] for a in "lr"], *[["l10", f"{a}11", f"{b}12"] for a in "lr" for b in "lr"]])
+
+
+def test_pages_of_a_hot_key_are_its_list(spark):
+    from foliospark.functions.pages import numbered, pages
+
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 11).cast("string"))).alias("k"), (F.col("id") * 7919 % 3001).alias("o"), F.col("id"))
+    made = pages(rows, ["k"], ["o"], F.col("id"), 64).collect()
+    got, want = {}, {}
+    for r in sorted(made, key=lambda r: r["page"]):
+        assert len(r["rows"]) <= 64 and r["first"] == 64 * r["page"] == len(got.get(r["k"], []))
+        got.setdefault(r["k"], []).extend(r["rows"])
+    for r in sorted(rows.collect(), key=lambda r: r["o"]):
+        want.setdefault(r["k"], []).append(r["id"])
+    assert got == want
+    # two thirds of the rows are numbered in more than one task
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert numbered(rows, ["k"], ["o"]).where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
