@@ -59,3 +59,24 @@ def first_of_each(items: Column, kind: str, key: Callable[[Column], Column]) ->
     keyed = F.transform(items, lambda x: F.struct(key(x).alias("k"), x.alias("x")))
     fold = lambda kept, s: F.when(F.exists(kept, lambda o: o["k"] == s["k"]), kept).otherwise(F.array_append(kept, s))
     return F.aggregate(keyed, F.array().cast(f"array<struct<k:string,x:{kind}>>"), fold, lambda kept: F.transform(kept, lambda s: s["x"]))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value made once however often the body reads it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def sums_in_row(sizes: Column, block: int = 64) -> Column:
+    """For each element of an array of whole numbers the sum of those before it: inside blocks, then over the blocks' totals."""
+    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+    blocks = lambda xs: F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / block).cast("int")), lambda b: total(F.slice(xs, b * block + 1, F.lit(block))))
+    begun = lambda xs: F.aggregate(blocks(xs), F.array(F.lit(0).cast("long")), lambda a, t: F.array_append(a, F.element_at(a, -1) + t))
+    block_of = lambda i: F.floor(i / block).cast("int")
+    return let(sizes, lambda xs: let(begun(xs), lambda b: F.transform(xs, lambda x, i: F.get(b, block_of(i)) + total(F.slice(xs, block_of(i) * block + 1, i % block)))))
+
+
+def lines_of(text: Column, kept: Callable[[Column], Column]) -> Column:
+    """The lines of a text where kept(line) holds: line_no and start_char (from 0), raw; offsets count code points and are found in the row."""
+    lines = F.split(text, "\n")
+    rows = lambda xs, starts: F.transform(xs, lambda x, i: F.struct(i.alias("line_no"), F.get(starts, i).cast("int").alias("start_char"), x.alias("raw")))
+    return F.filter(let(lines, lambda xs: let(sums_in_row(F.transform(xs, lambda x: (F.length(x) + 1).cast("long"))), lambda starts: rows(xs, starts))), lambda r: kept(r["raw"]))

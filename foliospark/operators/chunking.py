@@ -199,15 +199,28 @@ def is_noisy_ref(label: Column, kind: Column) -> Column:
     return (text == "") | (kind == "index") | text.rlike(r"^[^\p{L}\p{N}]{1,8}$") | short | back
 
 
+#: Characters of a bin of offsets.
+BIN = 8192
+
+
 def chunk_section_refs(chunks: DataFrame, sections: DataFrame) -> DataFrame:
-    """doc_id, chunk_index, section_refs: the sections that overlap each chunk and aren't noise, else its own one."""
+    """doc_id, chunk_index, section_refs: the sections that overlap each chunk and aren't noise, else its own one.
+
+    Chunks and sections meet in bins of offsets, by equality; of the bins that two share only the first counts, so no document's chunks are all compared
+    with all its sections.
+    """
+    key = ["doc_id", "chunk_index"]
+    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / BIN), F.floor((F.col(b) - 1) / BIN)))
     told = sections.where(~is_noisy_ref(F.col("label"), F.col("type"))).select("doc_id", F.struct("start_char", "end_char", "label", "type").alias("_r"), F.col("section_index").alias("_i"))
-    keys = chunks.select("doc_id", "chunk_index", "section_index", F.col("start_char").alias("_a"), F.col("end_char").alias("_b"))
-    meets = (F.greatest("_r.start_char", "_a") < F.least("_r.end_char", "_b"))
-    both = keys.join(told, "doc_id", "left").where(F.col("_r").isNull() | meets | (F.col("_i") == F.col("section_index")))
-    found = both.groupBy("doc_id", "chunk_index").agg(F.sort_array(F.collect_list(F.when(meets, F.col("_r")))).alias("_m"), F.collect_list(F.when(F.col("_i") == F.col("section_index"), F.col("_r"))).alias("_o"))
+    spans = told.select("doc_id", "_r", F.col("_r.start_char").alias("_x"), F.col("_r.end_char").alias("_y")).where("_y > _x").withColumn("_bin", bins("_x", "_y"))
+    keys = chunks.select(*key, "section_index", F.col("start_char").alias("_a"), F.col("end_char").alias("_b"))
+    met = keys.where("_b > _a").withColumn("_bin", bins("_a", "_b")).join(spans, ["doc_id", "_bin"])
+    met = met.where((F.greatest("_x", "_a") < F.least("_y", "_b")) & (F.col("_bin") == F.floor(F.greatest("_x", "_a") / BIN)))
+    own = keys.join(told, (keys["doc_id"] == told["doc_id"]) & (keys["section_index"] == told["_i"])).select(keys["doc_id"], "chunk_index", F.lit(True).alias("_own"), "_r")
+    found = met.select(*key, F.lit(False).alias("_own"), "_r").unionByName(own).groupBy(*key).agg(*[F.sort_array(F.collect_list(F.when(F.col("_own") == o, F.col("_r")))).alias(c) for c, o in (("_m", False), ("_o", True))])
     refs = F.when(F.size("_m") > 0, F.col("_m")).otherwise(F.col("_o"))
-    return keys.select("doc_id", "chunk_index").join(found.select("doc_id", "chunk_index", refs.alias("section_refs")), ["doc_id", "chunk_index"], "left")
+    out = keys.select(*key).join(found.select(*key, refs.alias("section_refs")), key, "left")
+    return out.withColumn("section_refs", F.coalesce("section_refs", F.array().cast(out.schema["section_refs"].dataType)))
 
 
 def index_like(label: Column) -> Column:

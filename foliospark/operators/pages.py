@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions.lineage import cut
+from foliospark.functions.pages import sums_before
 from foliospark.functions.textnorm import LETTERS, strip
 
 SPACE_RUN = r"[ \t\f\x0B]+"
@@ -101,11 +102,9 @@ def assemble_documents(pages: DataFrame) -> DataFrame:
 
 
 def page_units(pages: DataFrame) -> DataFrame:
-    """doc_id, page, start_char, end_char of each page in the assembled text."""
-    before = Window.partitionBy("doc_id").orderBy("page_index").rowsBetween(Window.unboundedPreceding, -1)
-    size = F.length("clean_text")
-    start = F.coalesce(F.sum(size + 2).over(before), F.lit(0))
-    return pages.where("clean_text <> ''").select("doc_id", F.col("page_index").alias("page"), start.alias("start_char"), (start + size).alias("end_char"))
+    """doc_id, page, start_char, end_char of each page in the assembled text; a book's pages are summed over in ranges, by their sizes alone."""
+    sizes = pages.where("clean_text <> ''").select("doc_id", F.col("page_index").alias("page"), F.length("clean_text").alias("_n"), (F.length("clean_text") + 2).cast("long").alias("_step"))
+    return sums_before(sizes, ["doc_id"], ["page"], "_step").select("doc_id", "page", F.col("before").alias("start_char"), (F.col("before") + F.col("_n")).alias("end_char"))
 
 
 def extraction_diagnostics(pages: DataFrame) -> DataFrame:

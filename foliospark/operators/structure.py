@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions.lineage import cut
-from foliospark.functions.textnorm import any_of, is_title_case, squeeze, strip
+from foliospark.functions.textnorm import any_of, is_title_case, let, lines_of, squeeze, strip
 
 MIN_SCORE = 0.55
 #: The patterns of headings, with their scores.
@@ -69,25 +69,21 @@ def heading_score(line: Column) -> Column:
 
 
 def explode_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, start_char, end_char, line (stripped): the lines that aren't blank."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "_raw"))
-    before = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length("_raw") + 1).over(before), F.lit(0))
-    return lines.select("doc_id", "line_no", start.alias("start_char"), (start + F.length("_raw")).alias("end_char"), strip(F.col("_raw")).alias("line")).where("line <> ''")
+    """doc_id, line_no, start_char, end_char, line (stripped): the lines that aren't blank. Places are found in the text's own row."""
+    lines = docs.select("doc_id", F.inline(lines_of(F.col("text"), lambda raw: strip(raw) != "")))
+    return lines.select("doc_id", "line_no", "start_char", (F.col("start_char") + F.length("raw")).alias("end_char"), strip(F.col("raw")).alias("line"))
 
 
 def detect_headings(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """doc_id, index, text, start_char, end_char, score, pattern: the lines that score min_score or more, in order.
 
-    Lines are scored before anything is shuffled. A line's offset is the length of the text before it, found
-    for the few lines that are headings.
+    Places are found in the text's own row, where long and blank lines are left out; lines are scored before anything is shuffled.
     """
-    raw = docs.select("doc_id", F.col("text").alias("_all"), F.posexplode(F.split("text", "\n")).alias("_no", "_raw"))
-    short = raw.where((F.length(strip(F.col("_raw"))) <= 120) & (strip(F.col("_raw")) != "")).withColumn("text", strip(F.col("_raw")))
+    fit = lambda raw: let(strip(raw), lambda x: (x != "") & (F.length(x) <= 120))
+    short = docs.select("doc_id", F.inline(lines_of(F.col("text"), fit))).withColumn("text", strip(F.col("raw")))
     scored = short.withColumn("_s", heading_score(F.col("text"))).where(F.col("_s.score") >= min_score)
-    start = F.when(F.col("_no") == 0, 0).otherwise(F.length(F.call_function("substring_index", F.col("_all"), F.lit("\n"), F.col("_no"))) + 1)
     order = Window.partitionBy("doc_id").orderBy("start_char")
-    found = scored.select("doc_id", "text", start.alias("start_char"), (start + F.length("_raw")).alias("end_char"), F.bround("_s.score", 4).alias("score"), F.col("_s.pattern").alias("pattern"))
+    found = scored.select("doc_id", "text", "start_char", (F.col("start_char") + F.length("raw")).alias("end_char"), F.bround("_s.score", 4).alias("score"), F.col("_s.pattern").alias("pattern"))
     return found.withColumn("index", F.row_number().over(order) - 1).select("doc_id", "index", "text", "start_char", "end_char", "score", "pattern")
 
 

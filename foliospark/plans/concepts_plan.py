@@ -56,7 +56,10 @@ def concept_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def concept_index(spark: SparkSession, d: str) -> DataFrame:
-    return C.concept_index(chunks(spark, d)).select("doc_id", "concept", joined("chunks"))
+    """The parts of each order, as `The <part>`; the part table holds all names."""
+    name = F.concat(F.lit("The "), "p_name").alias("name")
+    rows = occurrences(spark, d).select("doc_id", F.col("chunk_index").alias("ordinal"), "chunk_index", name)
+    return C.index_of_names(rows, names=read_table(spark, d, "part").select(name)).select("doc_id", "concept", joined("chunks"))
 
 
 def concept_mentions(spark: SparkSession, d: str) -> DataFrame:
