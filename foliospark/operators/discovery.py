@@ -80,29 +80,3 @@ def validate_family_candidates(candidates: DataFrame, unassigned: DataFrame, cat
         return rows
 
     return scan_groups(ready, ["doc_id"], scan, ready.schema).drop("small")
-
-
-def absorb_chunks(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """doc_id, node, source_chunks, node_kind after taxonomy edges (doc_id, parent, child) are applied in order.
-
-    A parent takes the chunks that its child has at that moment, so a chain passes on only what came before;
-    the last of classification and subconcept written to a node is its kind. A document's edges are few.
-    """
-    order = edges.select("doc_id", F.struct("parent", "child").alias("e")).groupBy("doc_id").agg(F.sort_array(F.collect_set("e")).alias("edges"))
-    own = nodes.groupBy("doc_id").agg(F.collect_list(F.struct("node", "source_chunks")).alias("nodes"))
-    both = own.join(order, "doc_id", "left").select("doc_id", "nodes", "edges")
-
-    def scan(rows: Rows) -> Rows:
-        out = []
-        for r in rows:
-            chunks = {n["node"]: set(n["source_chunks"] or ()) for n in r["nodes"]}
-            kinds = dict.fromkeys(chunks, "concept")
-            for e in r["edges"] or ():
-                if e["parent"] in chunks and e["child"] in chunks:
-                    chunks[e["parent"]] |= chunks[e["child"]]
-                    kinds[e["child"]], kinds[e["parent"]] = "subconcept", "classification"
-            out += [{"doc_id": r["doc_id"], "node": n, "source_chunks": sorted(c), "node_kind": kinds[n]} for n, c in chunks.items()]
-        return out
-
-    kind = dict(nodes.dtypes)
-    return scan_groups(both, ["doc_id"], scan, f"doc_id {kind['doc_id']}, node string, source_chunks {kind['source_chunks']}, node_kind string")

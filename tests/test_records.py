@@ -64,11 +64,26 @@ def test_clamp_by_confidence(spark):
     assert got[0]["clamp_actions"] == [] and "cap_concepts_8" in got[1]["clamp_actions"] and "clear_terminology" in got[3]["clamp_actions"]
 
 
+def replayed(nodes, edges):
+    """{(doc, node): (chunks, kind)} after the edges, applied one by one."""
+    chunks, kinds = {(d, n): set(c) for d, n, c in nodes}, {(d, n): "topic" for d, n, _ in nodes}
+    for d, parent, child in sorted(set(edges)):
+        if (d, parent) in chunks and (d, child) in chunks:
+            chunks[d, parent] |= chunks[d, child]
+            kinds[d, child], kinds[d, parent] = "subconcept", "classification"
+    return {k: (sorted(c), kinds[k]) for k, c in chunks.items()}
+
+
+def applied(spark, nodes, edges):
+    made = T.apply_taxonomy_links(spark.createDataFrame(nodes, "doc_id long, node string, source_chunks array<int>"), spark.createDataFrame(edges, "doc_id long, parent string, child string"))
+    return {(r["doc_id"], r["node"]): (r["source_chunks"], r["node_kind"]) for r in made.collect()}
+
+
 def test_chunks_are_absorbed_in_order_of_links(spark):
-    nodes = spark.createDataFrame([(1, n, [i]) for i, n in enumerate("abcd")], "doc_id long, node string, source_chunks array<int>")
-    edges = spark.createDataFrame([(1, "a", "b"), (1, "b", "c"), (1, "b", "c"), (1, "x", "d")], "doc_id long, parent string, child string")
-    got = {r["node"]: (r["source_chunks"], r["node_kind"]) for r in D.absorb_chunks(edges, nodes).collect()}
-    assert got == {"a": ([0, 1], "classification"), "b": ([1, 2], "classification"), "c": ([2], "subconcept"), "d": ([3], "concept")}
+    nodes = [(1, n, [i]) for i, n in enumerate("abcd")]
+    edges = [(1, "a", "b"), (1, "b", "c"), (1, "b", "c")]
+    got = applied(spark, nodes, edges)
+    assert got == replayed(nodes, edges) and got[1, "a"] == ([0, 1], "classification") and got[1, "b"] == ([1, 2], "classification") and got[1, "d"] == ([3], "topic")
 
 
 def test_front_matter_budget(spark):
@@ -117,11 +132,10 @@ def test_relations_by_bucket(spark):
 def test_absorbed_chunks_equal_a_replay(spark):
     rng = random.Random(4)
     names = "abcdefgh"
-    edges = spark.createDataFrame([(doc, *rng.sample(names, 2)) for doc in range(40) for _ in range(rng.randrange(1, 9))], "doc_id long, parent string, child string").distinct()
-    nodes = spark.createDataFrame([(doc, n, [ord(n)]) for doc in range(40) for n in names], "doc_id long, node string, source_chunks array<int>")
-    want = {(r["doc_id"], r["node"]): (r["source_chunks"], {"concept": "topic"}.get(r["node_kind"], r["node_kind"])) for r in D.absorb_chunks(edges, nodes).collect()}
-    got = {(r["doc_id"], r["node"]): (r["source_chunks"], r["node_kind"]) for r in T.apply_taxonomy_links(nodes, edges).collect()}
-    assert got == want
+    edges = [(doc, *rng.sample(names, 2)) for doc in range(40) for _ in range(rng.randrange(1, 9))]
+    nodes = [(doc, n, rng.sample(range(200), rng.choice([0, 1, 40]))) for doc in range(40) for n in names]
+    want = {k: (sorted(c), kind) for k, (c, kind) in replayed(nodes, edges).items()}
+    assert {k: (sorted(c), kind) for k, (c, kind) in applied(spark, nodes, edges).items()} == want
 
 
 def test_legacy_children(spark):
