@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.lineage import cut
 from foliospark.functions.textnorm import squeeze
+from foliospark.functions.trigrams import rarest_piece, with_pieces
 
 
 def symmetric_hierarchy(edges: DataFrame, concepts: DataFrame, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -213,22 +214,16 @@ def relation_buckets(concepts: DataFrame, scope: Sequence[str] = ("doc_id",)) ->
     return own.select(*key, F.transform("c", lambda x: x["counterpart"]).alias("counterparts"))
 
 
-def pieces(text: Column, n: int) -> Column:
-    """The stretches of n characters of a text."""
-    return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-
-
 def search(concepts: DataFrame, families: DataFrame, queries: DataFrame, limit: int = 25) -> DataFrame:
     """query, kind, name, rank: concepts, then families, whose names hold the query, in order of name.
 
-    Any number of queries: names meet those that begin with one of their stretches of up to three characters
+    Any number of queries: names meet those whose rarest trigram (or whole query, if it is shorter) they have,
     by equality, and the whole query is looked for in what meets.
     """
-    asked = queries.select("query", squeeze(F.lower("query")).alias("_q")).where("_q <> ''").distinct().withColumn("_p", F.substring("_q", 1, 3))
+    asked = queries.select("query", squeeze(F.lower("query")).alias("_q")).where("_q <> ''").distinct()
     names = concepts.select(F.lit(0).alias("_k"), F.col("concept").alias("name")).unionByName(families.select(F.lit(1).alias("_k"), F.col("label").alias("name"))).distinct()
-    low = F.lower("name")
-    parts = names.withColumn("_p", F.explode(F.array_distinct(F.concat(pieces(low, 1), pieces(low, 2), pieces(low, 3)))))
-    hits = parts.join(asked, "_p").where(F.contains(F.lower("name"), F.col("_q")))
+    parts = cut(with_pieces(names.withColumn("_low", F.lower("name")), "_low", (1, 2, 3)))
+    hits = parts.join(rarest_piece(asked, "_q", parts), "_p").where(F.contains("_low", F.col("_q")))
     ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("_k", "name"))).where(F.col("rank") <= limit)
     return ranked.select("query", F.when(F.col("_k") == 0, "concept").otherwise("family").alias("kind"), "name", "rank")
 

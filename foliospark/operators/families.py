@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliospark.functions.lineage import cut
 from foliospark.functions.textnorm import surface
+from foliospark.functions.trigrams import rarest_piece, required_literals, with_pieces
 
 #: Catalogs up to so many aliases are broadcast.
 SMALL_CATALOG = 100_000
+#: Groups of names that rules without a literal meet.
+SALTS = 64
 
 
 def maybe_broadcast(df: DataFrame, most: int = SMALL_CATALOG) -> DataFrame:
@@ -30,6 +33,23 @@ def ngrams(text: Column, low: int, high: int) -> Column:
     return F.array_distinct(F.flatten(F.array(*map(runs, range(low, high + 1)))))
 
 
+def rule_hits(names: DataFrame, rules: DataFrame, key: Sequence[str]) -> DataFrame:
+    """key, family_id: the names (key, _s) that a rule's pattern finds. rules: pattern, family_id; any number of them.
+
+    A rule meets the names that have the rarest trigram of a literal that its pattern requires, and the pattern is a column of the row that they make.
+    Rules that require none meet all names, which are dealt to SALTS groups for that.
+    """
+    texts = cut(names.distinct())
+    held = cut(with_pieces(texts.select("_s").distinct(), "_s"))
+    told = rules.select("pattern", "family_id").distinct().withColumn("_l", required_literals(F.col("pattern")))
+    indexed = rarest_piece(told.where("_l IS NOT NULL").select("pattern", "family_id", F.explode("_l").alias("_l")), "_l", held).select("pattern", "family_id", "_p").distinct()
+    met = held.join(indexed, "_p").where(F.expr("_s RLIKE pattern")).select("_s", "family_id")
+    dealt = texts.select("_s").distinct().withColumn("_salt", F.pmod(F.xxhash64("_s"), F.lit(SALTS)).cast("int"))
+    free = told.where("_l IS NULL").select("pattern", "family_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    every = met.unionByName(dealt.join(free, "_salt").where(F.expr("_s RLIKE pattern")).select("_s", "family_id")).distinct()
+    return texts.join(every, "_s").select(*key, "family_id").distinct()
+
+
 def assign_families(concepts: DataFrame, catalog: DataFrame, rules: DataFrame | None = None, scope: Sequence[str] = ("doc_id",), keep: int = 2) -> DataFrame:
     """scope, concept, family_id, source, confidence, rank: up to `keep` families of each concept.
 
@@ -54,11 +74,7 @@ def assign_families(concepts: DataFrame, catalog: DataFrame, rules: DataFrame |
     partial = ranked(ranked(phrase.unionByName(controlled).withColumn("_first", F.lit(0)), ["family_id"], 1), [], 2)
     found = exact.withColumn("_first", F.lit(0)).unionByName(partial)
     if rules is not None:
-        # a rule table is a short list of patterns; each batch of them is tested inside the row, so no join is needed
-        given = [(r["pattern"], r["family_id"]) for r in rules.select("pattern", "family_id").distinct().orderBy("family_id", "pattern").toLocalIterator()]
-        tests = [F.array(*[F.when(F.col("_s").rlike(p), F.lit(f)) for p, f in given[at : at + 200]]) for at in range(0, len(given), 200)]
-        parts = [names.select(*key, F.explode(F.array_distinct(F.array_compact(t))).alias("family_id")) for t in tests]
-        hits = reduce(DataFrame.unionByName, parts) if parts else names.select(*key, F.lit("").alias("family_id")).limit(0)
+        hits = rule_hits(names.select(*key, "_s"), rules, key)
         found = found.unionByName(hits.select(*key, "family_id", F.lit("hybrid_rule").alias("source"), F.lit(0.95).alias("confidence"), F.lit(1).alias("_first")))
     once = found.withColumn("_n", F.row_number().over(Window.partitionBy(*key, "family_id").orderBy("_first", F.desc("confidence")))).where("_n = 1").drop("_n")
     out = once.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("confidence"), "family_id")))

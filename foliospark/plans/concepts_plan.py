@@ -129,6 +129,16 @@ def family_assignments(spark: SparkSession, d: str) -> DataFrame:
     return J.assign_families(corpus_concepts(spark, d), catalog(spark, d), rules(spark))
 
 
+def hybrid_rules(spark: SparkSession, d: str) -> DataFrame:
+    """A rule for each part and brand, some without a literal, over the parts' names and types."""
+    p = read_table(spark, d, "part").select("p_name", "p_type", "p_brand").distinct()
+    names = p.select(F.concat_ws(" ", "p_name", F.lower("p_type"), F.lower(F.replace("p_brand", F.lit("#"), F.lit(" ")))).alias("concept")).distinct()
+    forms = F.array(F.concat(F.lit("^"), "p_name", F.lit(" e?co")), F.concat(F.substring("p_name", 1, 3), F.lit(".*"), F.substring("p_type", 1, 1), F.lit("|"), "p_name", F.lit(" s")), F.concat(F.lit("("), "p_name", F.lit("|"), F.lower("p_type"), F.lit(").*[0-4]$")), F.concat(F.lit("^\\w+ "), F.substring("p_name", -2, 2)))
+    rules_ = p.select(F.posexplode(forms).alias("k", "pattern"), "p_name").select("pattern", F.concat_ws("_", F.lit("f"), "k", F.split("p_name", " ")[0]).alias("family_id"))
+    named = names.select("concept", F.col("concept").alias("_s"))
+    return J.rule_hits(named, rules_, ["concept"])
+
+
 def families_with_members(spark: SparkSession, d: str) -> DataFrame:
     found = J.family_members(family_assignments(spark, d), catalog(spark, d))
     return found.select("doc_id", "family_id", "label", joined("members"))
@@ -297,6 +307,9 @@ SELECT p_partkey, name, array_to_string([CASE WHEN length(w) <= 3 OR w NOT LIKE
 SQL = {
     "concept_names": NAMES,
     "concept_index": OCC + "SELECT doc_id, p_name AS concept, string_agg(CAST(chunk_index AS VARCHAR), '|' ORDER BY chunk_index) AS chunks FROM (SELECT DISTINCT doc_id, chunk_index, p_name FROM occ) GROUP BY ALL",
+    "hybrid_rules": r"""WITH p AS (SELECT DISTINCT p_name, p_type, p_brand FROM part), n AS (SELECT DISTINCT p_name || ' ' || lower(p_type) || ' ' || lower(replace(p_brand, '#', ' ')) AS concept FROM p),
+r AS (SELECT DISTINCT unnest(['^' || p_name || ' e?co', substr(p_name, 1, 3) || '.*' || substr(p_type, 1, 1) || '|' || p_name || ' s', '(' || p_name || '|' || lower(p_type) || ').*[0-4]$', '^\w+ ' || right(p_name, 2)]) AS pattern, unnest([0, 1, 2, 3]) AS k, split_part(p_name, ' ', 1) AS a FROM p)
+SELECT DISTINCT concept, 'f_' || k || '_' || a AS family_id FROM n JOIN r ON regexp_matches(concept, pattern)""",
     "concept_mentions": OCC + "SELECT 'The ' || p_name AS concept, count(*) AS mentions, count(DISTINCT chunk_index) AS n_chunks, min(chunk_index) AS first_chunk FROM occ GROUP BY 1",
     "merged_concepts": ITEMS + "SELECT doc_id, concept, field, i.items, e.evidence FROM (SELECT doc_id, concept, field, string_agg(value, '|' ORDER BY fst) AS items FROM firsts GROUP BY ALL) i JOIN (SELECT doc_id, concept, field, string_agg(CAST(chunk_index AS VARCHAR) || '=' || value, '|' ORDER BY chunk_index, pos) AS evidence FROM items GROUP BY ALL) e USING (doc_id, concept, field)",
     "evidence_pages": ITEMS + ", n AS (SELECT *, row_number() OVER (PARTITION BY concept, field ORDER BY chunk_index, pos, value) - 1 AS n FROM items) SELECT concept, field, n // 100 AS page, n // 100 * 100 AS first, string_agg(CAST(chunk_index AS VARCHAR) || '=' || value, '|' ORDER BY n) AS evidence FROM n GROUP BY ALL",
@@ -323,6 +336,6 @@ SELECT doc_id, concept, definitions, terminology, relationships, array_to_string
     "concept_search": "WITH q AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS query FROM part UNION SELECT unnest(['OL', 'in', 'arm'])), n AS (SELECT DISTINCT 0 AS k, p_name AS name FROM part UNION SELECT 1, split_part(p_name, ' ', 2) FROM part UNION SELECT 1, 'Warmth'), r AS (SELECT query, k, name, CAST(row_number() OVER (PARTITION BY query ORDER BY k, name) AS INTEGER) AS rank FROM q JOIN n ON contains(lower(name), lower(query))) SELECT query, CASE k WHEN 0 THEN 'concept' ELSE 'family' END AS kind, name, rank FROM r WHERE rank <= 25",
 }
 QUERIES = {f.__name__: f for f in (
-    concept_names, concept_index, concept_mentions, merged_concepts, evidence_pages, mention_pages, concept_table, promoted_concepts, family_assignments, families_with_members, concepts_without_family,
+    concept_names, concept_index, concept_mentions, merged_concepts, evidence_pages, mention_pages, concept_table, promoted_concepts, family_assignments, hybrid_rules, families_with_members, concepts_without_family,
     taxonomy_decisions, structural_children, ontology_edges, ontology_nodes, related_concepts, chunk_concepts, signal_terms, concept_search,
 )}

@@ -108,3 +108,21 @@ def test_pages_of_a_hot_key_are_its_list(spark):
         assert numbered(rows, ["k"], ["o"]).where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_required_literals_are_in_what_a_pattern_finds(spark):
+    import re
+
+    from foliospark.functions.trigrams import required_literals
+    from foliospark.operators.families import rule_hits
+
+    patterns = ["^red ring$", "(hot|cold) rod", "^(new|large) ", "rin+g", "ab?c red", "red (ring|rod)?", "a|ring", "(?i)RED", "[a-z]ed", r"\bgear\b", "((hot|old) )?ring", "x{0,2}red", "r.d", "", r"ring\s?rod", "old ring|rod", "(red ring)*", "(ring){1,2}", "gear(s|ing)?$"]
+    names = [f"{a} {b}" for a in ("red", "hot", "old", "new", "large", "xred") for b in ("ring", "rod", "gear", "gears", "rinng", "ringrod")]
+    told = {r["pattern"]: r["l"] for r in spark.createDataFrame([(p,) for p in patterns], "pattern string").select("pattern", required_literals(F.col("pattern")).alias("l")).collect()}
+    for p in patterns:
+        for n in names:
+            assert told[p] is None or not re.search(p, n) or any(x in n for x in told[p]), (p, n, told[p])
+    assert told["^red ring$"] == ["red ring"] and told["^(new|large) "] == ["new", "large"] and told["a|ring"] is None and told["((hot|old) )?ring"] == ["ring"]
+    table = spark.createDataFrame([(n, n) for n in names], "concept string, _s string")
+    rules = spark.createDataFrame([(p, f"f{i}") for i, p in enumerate(patterns)], "pattern string, family_id string")
+    assert sorted(tuple(r) for r in rule_hits(table, rules, ["concept"]).collect()) == sorted((n, f"f{i}") for i, p in enumerate(patterns) for n in names if re.search(p, n))
