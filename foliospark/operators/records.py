@@ -6,6 +6,8 @@ A record is a row with eight arrays of text and six of structs. All rules are co
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,17 +23,41 @@ STRUCTS = {
     "author_variants": "array<struct<author:string,kind:string,text:string,related_steps:array<string>>>",
     "procedure_outputs": "array<struct<text:string>>",
 }
-#: Word lists of the filters and decisions.
-EDITORIAL = r"(?i)\b(copyright|all rights reserved|permission|reproduc|license|isbn|publisher|quoted|citation style)\b"
-MODERN = r"(?i)\b(modern|contemporary|psycholog|reinterpret|today|current|twentieth century|siglo xx|moderno|moderna)\b"
-TRADITIONAL = r"(?i)\b(house|houses|planet|ascendant|midheaven|dignity|sect|triplicity|horoskopos|domicile|angular|cadent|succedent|casa|casas|ascendente|mediocielo|secta)\b"
-OPERATIONAL = r"(?i)\b(if|when|si|cuando|then|therefore|indicates|indica|applies|aplica|depends|depende|strength|fuerza|weak|debil|manifest|manifiesta|effect|efecto)\b"
-OPERATIONAL_DEFINITION = OPERATIONAL.replace("|therefore", "")
-GENERIC = ("is a", "is an", "means", "refers to", "es un", "es una", "significa")
+class Vocabulary(NamedTuple):
+    """The words and patterns of a domain's records, as a rule table; patterns are regular expressions."""
+
+    #: Items of a book's own matters, of modern writers, and of the tradition; what makes a definition operational.
+    editorial: str
+    modern: str
+    traditional: str
+    operational: str
+    operational_definition: str
+    #: Phrases of definitions that tell little.
+    generic: Sequence[str]
+    #: A text reads as a procedure by its beginning or a phrase; its head is taken off, it is split, and parts that begin with an action are steps.
+    linear_lead: str
+    linear_phrases: str
+    linear_heads: Sequence[str]
+    linear_split: str
+    actions: str
+
+
+#: The vocabulary that applies where none is given.
+VOCABULARY = Vocabulary(
+    editorial=r"(?i)\b(copyright|all rights reserved|permission|reproduc|license|isbn|publisher|quoted|citation style)\b",
+    modern=r"(?i)\b(modern|contemporary|psycholog|reinterpret|today|current|twentieth century|siglo xx|moderno|moderna)\b",
+    traditional=r"(?i)\b(house|houses|planet|ascendant|midheaven|dignity|sect|triplicity|horoskopos|domicile|angular|cadent|succedent|casa|casas|ascendente|mediocielo|secta)\b",
+    operational=r"(?i)\b(if|when|si|cuando|then|therefore|indicates|indica|applies|aplica|depends|depende|strength|fuerza|weak|debil|manifest|manifiesta|effect|efecto)\b",
+    operational_definition=r"(?i)\b(if|when|si|cuando|then|indicates|indica|applies|aplica|depends|depende|strength|fuerza|weak|debil|manifest|manifiesta|effect|efecto)\b",
+    generic=("is a", "is an", "means", "refers to", "es un", "es una", "significa"),
+    linear_lead=r"(?i)^(?:to use|to calculate|to determine|to assign|profections?\s*:|assigning\s+the|using\s+the)\s+",
+    linear_phrases="identify the time lord|interpret the matters|activate each zodiac|profected sign",
+    linear_heads=(r"(?i)^(?:to use|to calculate|to determine|to assign)\s+[^:]+:\s*", r"(?i)^(?:profections?|progressions?|primary directions?)\s*:\s*"),
+    linear_split=r"(?i);|\.\s+|,\s+(?=(?:and\s+)?(?:identify|determine|interpret|activate|assign|emphasize|advance|move|evaluate|apply)\b)",
+    actions=r"(?i)^(activate|identify|determine|interpret|assign|emphasize|move|advance|evaluate|apply) ",
+)
+#: The form of a decision in a text, and words of doubt.
 RULE = r"(?i)^(?:if|si)\s+(.+?)(?:,\s*)?(?:then|entonces)\s+(.+)$"
-LINEAR_LEAD = r"(?i)^(?:to use|to calculate|to determine|to assign|profections?\s*:|assigning\s+the|using\s+the)\s+"
-LINEAR_SPLIT = r"(?i);|\.\s+|,\s+(?=(?:and\s+)?(?:identify|determine|interpret|activate|assign|emphasize|advance|move|evaluate|apply)\b)"
-ACTIONS = r"(?i)^(activate|identify|determine|interpret|assign|emphasize|move|advance|evaluate|apply) "
 AMBIGUITY = "debate|dispute|uncertain|ambigu|variant|however|conflict|some authors|others"
 
 
@@ -87,11 +113,11 @@ def derive_decision_rules(records: DataFrame) -> DataFrame:
     return out.withColumns({"decision_rules": once, "technical_rules": F.filter("_rules", lambda t: rule_of(t).isNull())}).drop("_rules", "_new")
 
 
-def promote_linear_steps(records: DataFrame) -> DataFrame:
+def promote_linear_steps(records: DataFrame, words: Vocabulary = VOCABULARY) -> DataFrame:
     """Where there are no steps, texts that read as a procedure give theirs: two actions or more in a text."""
-    head = lambda t: F.regexp_replace(F.regexp_replace(F.rtrim(squeeze(t), F.lit(".")), r"(?i)^(?:to use|to calculate|to determine|to assign)\s+[^:]+:\s*", ""), r"(?i)^(?:profections?|progressions?|primary directions?)\s*:\s*", "")
-    parts = lambda t: F.filter(F.transform(F.split(head(t), LINEAR_SPLIT), lambda p: F.regexp_replace(step_text(p), r"(?i)^and\s+", "")), lambda p: p.rlike(ACTIONS))
-    linear = lambda t: squeeze(t).rlike(LINEAR_LEAD) | F.lower(squeeze(t)).rlike("identify the time lord|interpret the matters|activate each zodiac|profected sign")
+    head = lambda t: reduce(lambda x, pattern: F.regexp_replace(x, pattern, ""), words.linear_heads, F.rtrim(squeeze(t), F.lit(".")))
+    parts = lambda t: F.filter(F.transform(F.split(head(t), words.linear_split), lambda p: F.regexp_replace(step_text(p), r"(?i)^and\s+", "")), lambda p: p.rlike(words.actions))
+    linear = lambda t: squeeze(t).rlike(words.linear_lead) | F.lower(squeeze(t)).rlike(words.linear_phrases)
     found = F.flatten(F.transform(F.filter(F.concat(texts("procedures"), texts("technical_rules")), lambda t: linear(t) & (F.size(parts(t)) > 1)), parts))
     steps = F.transform(found, lambda t, i: F.struct(step_id(i + 1, t).alias("id"), (i + 1).alias("order"), t.alias("text")))
     return records.withColumn("procedure_steps", F.when(F.size(structs("procedure_steps")) == 0, steps).otherwise(structs("procedure_steps")))
@@ -132,30 +158,30 @@ def derive_procedures(records: DataFrame) -> DataFrame:
     return records.withColumn("procedures", dedupe_conservative(lines))
 
 
-def normalize_records(records: DataFrame, authors: dict[str, str] | None = None) -> DataFrame:
+def normalize_records(records: DataFrame, authors: dict[str, str] | None = None, words: Vocabulary = VOCABULARY) -> DataFrame:
     """All of the above, in order."""
     clean = records.withColumns({c: dedupe_conservative(texts(c)) for c in ("terminology", "concepts")})
-    return derive_procedures(dedupe_struct_fields(promote_linear_steps(derive_decision_rules(clean)), authors))
+    return derive_procedures(dedupe_struct_fields(promote_linear_steps(derive_decision_rules(clean), words), authors))
 
 
-def is_generic_definition(text: Column) -> Column:
+def is_generic_definition(text: Column, words: Vocabulary = VOCABULARY) -> Column:
     t = squeeze(text)
-    words = lambda x: F.size(F.filter(F.split(x, " "), lambda w: w != ""))
-    means = F.exists(F.array(*map(F.lit, GENERIC)), lambda g: F.contains(F.lower(t), g))
-    short = F.contains(t, F.lit(":")) & (words(F.trim(F.regexp_extract(t, r"^[^:]*:(.*)$", 1))) <= 5)
-    return (t == "") | (~t.rlike(OPERATIONAL) & ((words(t) <= 5) | short | means))
+    count = lambda x: F.size(F.filter(F.split(x, " "), lambda w: w != ""))
+    means = F.exists(F.array(*map(F.lit, words.generic)), lambda g: F.contains(F.lower(t), g))
+    short = F.contains(t, F.lit(":")) & (count(F.trim(F.regexp_extract(t, r"^[^:]*:(.*)$", 1))) <= 5)
+    return (t == "") | (~t.rlike(words.operational) & ((count(t) <= 5) | short | means))
 
 
-def semantic_filter(records: DataFrame, editorial: bool = True, generic: bool = True, modern: bool = True) -> DataFrame:
+def semantic_filter(records: DataFrame, editorial: bool = True, generic: bool = True, modern: bool = True, words: Vocabulary = VOCABULARY) -> DataFrame:
     """records without editorial items, generic definitions and modern items, with actions; modern items go to ambiguities, and stay too if traditional."""
     out, actions = records, []
     if editorial:
         for c in ("technical_rules", "procedures"):
-            actions.append(F.when(F.exists(texts(c), lambda t: t.rlike(EDITORIAL)), f"clear_editorial_{c}"))
-            out = out.withColumn(f"_{c}", F.filter(texts(c), lambda t: ~t.rlike(EDITORIAL)))
+            actions.append(F.when(F.exists(texts(c), lambda t: t.rlike(words.editorial)), f"clear_editorial_{c}"))
+            out = out.withColumn(f"_{c}", F.filter(texts(c), lambda t: ~t.rlike(words.editorial)))
     if generic:
-        actions.append(F.when(F.exists(texts("definitions"), is_generic_definition), "drop_generic_definitions"))
-        out = out.withColumn("_definitions", F.filter(texts("definitions"), lambda t: ~is_generic_definition(t)))
+        actions.append(F.when(F.exists(texts("definitions"), lambda t: is_generic_definition(t, words)), "drop_generic_definitions"))
+        out = out.withColumn("_definitions", F.filter(texts("definitions"), lambda t: ~is_generic_definition(t, words)))
     marked = out.withColumn("actions", F.array_compact(F.array(*actions)) if actions else F.array().cast("array<string>"))
     for c in ("technical_rules", "procedures", "definitions"):
         if f"_{c}" in marked.columns:
@@ -163,7 +189,7 @@ def semantic_filter(records: DataFrame, editorial: bool = True, generic: bool =
     moved = F.array().cast("array<string>")
     if modern:
         fields = ("concepts", "definitions", "technical_rules", "procedures", "relationships")
-        is_modern, both = (lambda t: t.rlike(MODERN)), (lambda t: t.rlike(MODERN) & t.rlike(TRADITIONAL))
+        is_modern, both = (lambda t: t.rlike(words.modern)), (lambda t: t.rlike(words.modern) & t.rlike(words.traditional))
         moved = F.flatten(F.array(*[F.filter(texts(c), is_modern) for c in fields]))
         more = F.flatten(F.array(*[F.transform(F.filter(texts(c), is_modern), both_or(c, both)) for c in fields]))
         tail = F.when(F.size(moved) > 0, F.array(F.lit("relocate_modern_to_ambiguities"))).otherwise(F.array().cast("array<string>"))
@@ -176,15 +202,15 @@ def both_or(field: str, both: Callable[[Column], Column]) -> Callable[[Column],
     return lambda t: F.when(both(t), "mark_modern_embedded_preserved_core").otherwise(f"relocate_modern_{field}")
 
 
-def is_operational_definition(text: Column) -> Column:
-    return squeeze(text).rlike(OPERATIONAL_DEFINITION)
+def is_operational_definition(text: Column, words: Vocabulary = VOCABULARY) -> Column:
+    return squeeze(text).rlike(words.operational_definition)
 
 
-def support_signals(records: DataFrame, min_definitions: int = 2, near_empty: int = 2, dominant_terms: int = 6, dominant_ratio: float = 2.0) -> DataFrame:
+def support_signals(records: DataFrame, min_definitions: int = 2, near_empty: int = 2, dominant_terms: int = 6, dominant_ratio: float = 2.0, words: Vocabulary = VOCABULARY) -> DataFrame:
     """records with counts and flags: support (strong, minimal, none), near_empty, terminology_dominant."""
     n = {c: F.size(texts(c)) for c in TEXTS}
     operations = (n["technical_rules"] + n["procedures"] + F.size(structs("procedure_steps")) + F.size(structs("decision_rules"))) > 0
-    definitions = F.size(F.filter(texts("definitions"), is_operational_definition))
+    definitions = F.size(F.filter(texts("definitions"), lambda t: is_operational_definition(t, words)))
     items = sum(n.values(), F.lit(0)) + sum((F.size(structs(c)) for c in STRUCTS), F.lit(0))
     small = (items == 0) | ((items <= near_empty) & ~operations & (definitions == 0) & (n["concepts"] <= 1) & (n["terminology"] <= 1))
     dominant = (n["terminology"] >= dominant_terms) & ~operations & (definitions == 0) & (n["terminology"] / F.greatest(F.lit(1), n["concepts"] + n["definitions"]) >= dominant_ratio)

@@ -126,7 +126,7 @@ def text_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def usable_texts(spark: SparkSession, d: str) -> DataFrame:
     """Every document as a book of one page: those of few letters have an empty text."""
-    docs = read_table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 9 == 0, F.regexp_replace("text", "[^ .,]", "-")).when(F.col("doc_id") % 10 == 0, F.substring("text", 1, 19)).otherwise(F.col("text")).alias("text"))
+    docs = read_table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 9 == 0, F.regexp_replace("text", "[^ .,]", "-")).when(F.col("doc_id") % 10 == 0, F.regexp_replace("text", r"[^\n]{20,}", "1234")).otherwise(F.col("text")).alias("text"))
     zero = {c: F.lit(0) for c in ("dehyphenation_count", "line_merge_count", "removed_header_lines", "removed_footer_lines", "removed_page_numbers")}
     pages = docs.select("doc_id", F.col("text").alias("raw_text"), F.col("text").alias("clean_text")).withColumns(zero)
     return P.filter_usable(docs, P.extraction_diagnostics(pages))
@@ -343,7 +343,7 @@ SELECT doc_id, total_chunks, avg_chunk_size, sections_consumed, sections_split,
     + """SELECT doc_id, mode, chunk_index + 1 AS chunk_index, chunk_id, section_id, start_char, end_char, text FROM chunks JOIN choice USING (doc_id) WHERE mode = 'structural'
 UNION ALL SELECT doc_id, 'legacy', chunk_index, 'legacy_chunk_' || chunk_index, NULL, start_char, end_char, text FROM wn LEFT JOIN choice USING (doc_id) WHERE coalesce(mode, 'legacy') = 'legacy' AND text <> ''""",
     "text_lines": "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents), p AS (SELECT *, CAST(coalesce(sum(length(raw) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_char FROM l) SELECT doc_id, line_no, start_char, start_char + length(raw) AS end_char, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS line FROM p WHERE regexp_replace(raw, '^\\s+|\\s+$', '', 'g') <> ''",
-    "usable_texts": "WITH t AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN regexp_replace(text, '[^ .,]', '-', 'g') WHEN doc_id % 10 = 0 THEN substr(text, 1, 19) ELSE text END AS text FROM documents) SELECT doc_id, CASE WHEN length(text) < 20 OR len(regexp_extract_all(text, '[LETTERS]')) / length(text) < 0.05 THEN '' ELSE text END AS text FROM t".replace("LETTERS", L),
+    "usable_texts": "WITH t AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN regexp_replace(text, '[^ .,]', '-', 'g') WHEN doc_id % 10 = 0 THEN regexp_replace(text, '[^\\n]{20,}', '1234', 'g') ELSE text END AS text FROM documents) SELECT doc_id, CASE WHEN length(text) < 20 OR len(regexp_extract_all(text, '[LETTERS]')) / length(text) < 0.05 THEN '' ELSE text END AS text FROM t".replace("LETTERS", L),
     "page_text": RAW_SQL + "SELECT doc_id, page_index, clean_text, dehyphenation_count, line_merge_count FROM pages",
     "running_lines": RAW_SQL + "SELECT doc_id, key, place, pages FROM keys",
     "clean_pages": RAW_SQL + "SELECT doc_id, page_index, clean_text, removed_header_lines, removed_footer_lines, removed_page_numbers FROM clean",

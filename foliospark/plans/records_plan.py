@@ -60,10 +60,19 @@ def rendered_records(spark: SparkSession, d: str) -> DataFrame:
     return H.render_knowledge_text(records(spark, d)).select("chunk_id", "rendered")
 
 
+#: A vocabulary with a phrase and a head of its own, given as data.
+TOLD = H.VOCABULARY._replace(linear_phrases="as told of old", linear_heads=(*H.VOCABULARY.linear_heads, r"(?i)^as told of old:\s*"))
+
+
 def normalized_records(spark: SparkSession, d: str) -> DataFrame:
-    """The whole normalisation; its steps are tested one by one."""
-    r = H.normalize_records(records(spark, d))
-    return r.select("chunk_id", joined("concepts"), joined("terminology"), joined("procedures"), joined("technical_rules"))
+    """The whole normalisation, of records with procedures in their rules."""
+    k = F.col("chunk_id")
+    calculated = F.format_string("To calculate %s: Identify the %s; 2. apply the  %s. Move on with it.", "p_name", "p_type", "p_brand")
+    told = F.array_compact(F.array(F.when(k % 3 == 0, calculated), F.when(k % 5 == 2, F.format_string("As told of old: move the %s, and assign it, or wait", "p_name"))))
+    p = read_table(spark, d, "part").select(F.col("p_partkey").alias("chunk_id"), "p_name", "p_type", "p_brand")
+    given = records(spark, d).join(p, "chunk_id").withColumn("technical_rules", F.concat("technical_rules", told))
+    r = H.normalize_records(given, words=TOLD)
+    return r.select("chunk_id", joined("concepts"), joined("terminology"), joined("procedures"), joined("technical_rules"), F.array_join(F.transform("procedure_steps", lambda s: s["id"]), "|").alias("steps"))
 
 
 def replies(spark: SparkSession, d: str) -> DataFrame:
@@ -95,6 +104,11 @@ SELECT chunk_id, CASE WHEN sk THEN 'skip' WHEN small AND chunk_type = 'doctrinal
   concat_ws('|', CASE support WHEN 'strong' THEN 'strong_doctrinal_support' WHEN 'minimal' THEN 'minimal_doctrinal_support' END, CASE WHEN sk OR small THEN 'semantic_payload_empty_or_near_empty' END, CASE WHEN NOT sk AND NOT small AND heavy THEN 'concept_heavy_no_operations' END, CASE WHEN NOT sk AND NOT small AND gloss THEN 'glossary_like_semantics' END,
     CASE WHEN NOT sk AND NOT small AND dominant THEN 'terminology_dominant_no_operations' END, CASE WHEN NOT sk AND ((small AND chunk_type = 'doctrinal_text') OR (NOT small AND (few OR CASE WHEN precheck_decision = 'extract_degraded' THEN support = 'none' ELSE support = 'none' OR bad END))) THEN 'insufficient_operational_support' END) AS decision_reasons FROM b"""
 SQL = {
+    "normalized_records": R + r""", x AS (SELECT *, CASE WHEN k % 3 = 0 THEN ['To calculate ' || p_name || ': Identify the ' || p_type || '; 2. apply the ' || p_brand || '. Move on with it.'] ELSE [] END || CASE WHEN k % 5 = 2 THEN ['As told of old: move the ' || p_name || ', and assign it, or wait'] ELSE [] END AS told,
+  CASE WHEN k % 3 = 0 THEN ['Identify the ' || p_type, 'apply the ' || p_brand, 'Move on with it'] ELSE [] END || CASE WHEN k % 5 = 2 THEN ['move the ' || p_name, 'assign it, or wait'] ELSE [] END AS steps FROM r)
+SELECT chunk_id, CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN p_name ELSE p_name || '|modern ' || p_name END AS concepts, CASE WHEN n_terms = 0 THEN '' ELSE array_to_string([p_name || ' ' || i FOR i IN generate_series(0, n_terms // 2)], '|') END AS terminology,
+  array_to_string([i || '. ' || steps[i] FOR i IN generate_series(1, len(steps))] || CASE WHEN k % 7 >= 1 THEN ['If ' || p_type || ', then ' || p_name || '.'] ELSE [] END || CASE WHEN k % 7 >= 2 THEN ['If ' || p_brand || ', then ' || trim(ltrim(ltrim('the hen ' || p_name, 'then '), 'entonces ')) || '.'] ELSE [] END, '|') AS procedures,
+  array_to_string(technical_rules[4:6] || told, '|') AS technical_rules, array_to_string(['step-' || lpad(CAST(i AS VARCHAR), 3, '0') || '-' || trim(left(trim(regexp_replace(lower(steps[i]), '[^a-z0-9]+', '-', 'g'), '-'), 48), '') FOR i IN generate_series(1, len(steps))], '|') AS steps FROM x""",
     "derived_rules": R + """SELECT chunk_id, concat_ws('|', CASE WHEN k % 7 >= 1 THEN p_type || '=>' || p_name END, CASE WHEN k % 7 >= 2 THEN p_brand || '=>' || trim(ltrim(ltrim('the hen ' || p_name, 'then '), 'entonces ')) END, CASE WHEN k % 7 >= 3 AND false THEN '' END) AS decision_rules,
   concat_ws('|', CASE WHEN k % 7 >= 4 THEN technical_rules[4] END, CASE WHEN k % 7 >= 5 THEN technical_rules[5] END, CASE WHEN k % 7 >= 6 THEN technical_rules[6] END) AS technical_rules FROM r""",
     "filtered_records": R + r""", f AS (SELECT *, [t FOR t IN technical_rules IF NOT contains(t, 'license')] AS tr, [t FOR t IN definitions IF regexp_matches(t, '(?i)\b(applies|indicates)\b')] AS df FROM r),

@@ -165,8 +165,8 @@ def automatic_frames(spark: SparkSession, d: str) -> DataFrame:
 
 
 def localized_frames(spark: SparkSession, d: str) -> DataFrame:
-    """The frames of rods in other words."""
-    f = L.build_procedure_frames(frame_concepts(spark, d), frame_specs(spark).where("frame_id = 'rods'"), FRAME_RULES)
+    """The frames in other words; of all but rods only the texts that the tables name change."""
+    f = L.build_procedure_frames(frame_concepts(spark, d), frame_specs(spark), FRAME_RULES)
     f = L.localize_frames(f, {"note the new rod.": "señala la barra nueva"}, [("leave", "deja"), ("cold rod", "barra fría")], [(r"^Assigns\b", "Asigna")], {"rods": "Barras"}, {"rods": "Elegir"})
     text = lambda c: F.array_join(F.transform(c, lambda r: r["text"]), "|").alias(c)
     return f.select("doc_id", "label", "goal", text("author_methods"), text("author_overrides"), joined("outputs"))
@@ -201,7 +201,7 @@ PR = OCC + """, v AS (SELECT doc_id, p_name AS concept, p_name || ': of ' || p_b
 r AS (SELECT doc_id, concept, v, min(place) AS fst FROM v GROUP BY ALL), q AS (SELECT doc_id, concept, o, min(place) AS fst FROM v GROUP BY ALL),
 t AS (SELECT doc_id, concept, string_agg(o, '|' ORDER BY fst) AS x, string_agg('Output: ' || o, '|' ORDER BY fst) AS o, count(*) AS n FROM q GROUP BY ALL)"""
 SQL = {
-    "localized_frames": FR + " SELECT doc_id, 'Barras' AS label, 'Elegir' AS goal, CASE WHEN crc IS NOT NULL THEN 'Asigna the barra fría' ELSE '' END AS author_methods, CASE WHEN crc IS NOT NULL THEN 'deja barra fría' ELSE '' END AS author_overrides, CASE WHEN nrc IS NOT NULL THEN 'señala la barra nueva' ELSE '' END AS outputs FROM g WHERE crc IS NOT NULL OR nrc IS NOT NULL",
+    "localized_frames": FR + " SELECT doc_id, 'Barras' AS label, 'Elegir' AS goal, CASE WHEN crc IS NOT NULL THEN 'Asigna the barra fría' ELSE '' END AS author_methods, CASE WHEN crc IS NOT NULL THEN 'deja barra fría' ELSE '' END AS author_overrides, CASE WHEN nrc IS NOT NULL THEN 'señala la barra nueva' ELSE '' END AS outputs FROM g WHERE crc IS NOT NULL OR nrc IS NOT NULL UNION ALL SELECT doc_id, 'Rings', 'Pick', '', '', '' FROM g WHERE len(rings) > 0 OR orr IS NOT NULL UNION ALL SELECT doc_id, 'Gears', 'Pick', '', '', '' FROM g WHERE bg IS NOT NULL",
     "families_of_concepts": N.replace(" RECURSIVE", "") + " SELECT doc_id, f AS family_id, string_agg(concept, '|' ORDER BY concept) AS members FROM (SELECT doc_id, f, concept FROM n WHERE split_part(concept, ' ', 1) IN ('red', 'hot', 'old') UNION ALL SELECT doc_id, 'aged', concept FROM n WHERE concept LIKE 'old %') GROUP BY ALL",
     "frame_of_concepts": N.replace(" RECURSIVE", "") + " SELECT doc_id, concept, CASE concept WHEN 'hot ring' THEN 'first' ELSE 'second' END AS frame_id FROM n WHERE concept IN ('red ring', 'hot ring', 'old gear')",
     "relation_lists": N.replace(" RECURSIVE", "") + ", x AS (SELECT doc_id, concept, unnest([{'b': 'related_to', 'c': 'red ' || f || CASE WHEN concept = 'new ' || f THEN '|to: ' || concept || '; type: Requires' ELSE '' END || '|as told of old|type: contrast'}, {'b': 'contrasts_with', 'c': 'old ' || f}, {'b': 'depends_on', 'c': CASE WHEN concept <> 'new ' || f THEN 'new ' || f END}, {'b': 'used_in', 'c': 'hot ' || f}]) AS u FROM n) SELECT doc_id, concept, u.b AS bucket, u.c AS counterparts FROM x WHERE u.c IS NOT NULL",

@@ -63,6 +63,12 @@ def resolve_chunk_index(loaded: DataFrame) -> DataFrame:
     return loaded.withColumn("chunk_index", F.coalesce(first, F.when(number != "", number.cast("int") + 1), F.col("ordinal").cast("int")))
 
 
+def read_family_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """load_family_catalog of JSON files that hold a list of families (id, label, aliases, controlled_patterns); items that aren't objects are left out."""
+    kind = "id string, label string, aliases array<string>, controlled_patterns array<string>"
+    return load_family_catalog(spark.read.schema(kind).option("multiLine", True).json(path))
+
+
 def load_family_catalog(catalog: DataFrame) -> DataFrame:
     """family_id, label, aliases, controlled_patterns: trimmed, without blank ids, labels and entries."""
     full = lambda c: F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")

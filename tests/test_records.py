@@ -200,3 +200,30 @@ def test_merged_concept_maps(spark):
     a = spark.createDataFrame([(1, " A ", "", "concept", ["x", "y"])], schema)
     b = spark.createDataFrame([(1, "a", "Alpha", "classification", ["y", "z"]), (1, "", "n", "concept", [])], schema)
     assert [tuple(r) for r in E.merge_concept_maps(a, b, ["terms"]).collect()] == [(1, "a", "Alpha", "classification", ["x", "y", "z"])]
+
+
+def test_names_of_a_domain_are_told_by_its_patterns(spark):
+    from foliospark.operators import concepts as C
+
+    names = ["relationship between first and fifth house", "template for planetary and house delineation", "planet in house 8 12 interpretation", "fifth house signification in traditional astrology", "whole sign house system", "porphyry house system", "interpret house strength", "rules of the market"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    valid = lambda **rules: [r["name"] for r in df.where(C.is_valid_name(F.col("name"), **rules)).collect()]
+    assert valid() == ["whole sign house system", "porphyry house system", "rules of the market"]
+    assert valid(narrative=[r"\bof the market\b"]) == [n for n in names if n != "rules of the market" and not n.startswith("interpret")]
+
+
+def test_vocabulary_of_records_is_a_table(spark):
+    none = {c: F.array().cast("array<string>") for c in H.TEXTS} | {c: F.array().cast(t) for c, t in H.STRUCTS.items()}
+    record = spark.range(1).select(*[v.alias(c) for c, v in none.items()]).withColumns({"procedures": F.array(F.lit("Brewing: heat the water, then pour; stir it"), F.lit("not for resale")), "concepts": F.array(F.lit("new wave"), F.lit("old way"))})
+    plain = H.normalize_records(record).first()
+    assert plain["procedure_steps"] == [] and H.semantic_filter(record).first()["procedures"] == ["Brewing: heat the water, then pour; stir it", "not for resale"]
+    words = H.VOCABULARY._replace(linear_lead="(?i)^brewing:", linear_heads=("(?i)^brewing: ",), linear_split=r"(?i);|,\s+(?=then )", actions="(?i)^(heat|stir) ", editorial="resale", modern=r"\bnew\b")
+    assert [x["text"] for x in H.normalize_records(record, words=words).first()["procedure_steps"]] == ["heat the water", "stir it"]
+    kept = H.semantic_filter(record, words=words).first()
+    assert kept["procedures"] == ["Brewing: heat the water, then pour; stir it"] and kept["concepts"] == ["old way"] and kept["ambiguities"] == ["new wave"]
+
+
+def test_family_catalog_of_a_file(spark, tmp_path):
+    (tmp_path / "f.json").write_text(json.dumps([{"id": " f1 ", "label": "One", "aliases": [" a ", ""], "controlled_patterns": ["p"]}, {"id": "", "label": "x"}, {"id": "f2", "label": "Two"}], indent=1))
+    got = {r["family_id"]: (r["label"], r["aliases"], r["controlled_patterns"]) for r in A.read_family_catalog(spark, str(tmp_path / "f.json")).collect()}
+    assert got == {"f1": ("One", ["a"], ["p"]), "f2": ("Two", [], [])}
