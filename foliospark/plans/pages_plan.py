@@ -104,10 +104,10 @@ def document_map(spark: SparkSession, d: str) -> DataFrame:
 
 def document_map_problems(spark: SparkSession, d: str) -> DataFrame:
     """Maps of two sections and a heading for each document, of which many break a rule by their document's number."""
-    docs = read_table(spark, d, "documents").select("doc_id", "text").where("length(text) > 20")
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
     k, n = F.col("doc_id"), F.length("text")
     odd = lambda m, bad, good: F.when(k % m == 0, bad).otherwise(good)
-    half = F.floor(n / 2).cast("int")
+    half = F.greatest(F.lit(1), F.floor(n / 2)).cast("int")
     first = F.struct(F.lit(0).alias("section_index"), F.lit("section_0").alias("id"), odd(7, F.lit(""), F.lit("a")).alias("label"), F.lit("section").alias("type"), F.lit(0).alias("start_char"), half.alias("end_char"), odd(11, F.lit(2.0), F.lit(1.0)).alias("confidence"), odd(23, F.lit(3), F.lit(1)).alias("start_page"), F.lit(2).alias("end_page"))
     start = (half + odd(3, F.lit(1), F.lit(0))).cast("int")
     second = F.struct(odd(29, F.lit(2), F.lit(1)).alias("section_index"), F.concat(F.lit("section_"), start + odd(31, F.lit(1), F.lit(0))).alias("id"), F.lit("b").alias("label"), F.lit("section").alias("type"), start.alias("start_char"), (n - odd(5, F.lit(1), F.lit(0))).cast("int").alias("end_char"), F.lit(1.0).alias("confidence"), F.lit(None).cast("int").alias("start_page"), F.lit(None).cast("int").alias("end_page"))
@@ -322,12 +322,13 @@ re AS (SELECT qu.doc_id, CASE WHEN qu.doc_id % 11 = 0 THEN 'structural_map_inval
 choice AS (SELECT doc_id, CASE WHEN reason IS NULL THEN 'structural' ELSE 'legacy' END AS mode, reason FROM re)
 """
 
-MAP_SQL = """WITH k AS (SELECT doc_id, text, length(text) AS n, length(text) // 2 AS half FROM documents WHERE length(text) > 20), s AS (SELECT *, half + CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS a, n - CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS b FROM k WHERE doc_id % 37 > 0)
-SELECT doc_id, 'heading_offsets' AS rule, unnest(CASE WHEN doc_id % 41 = 0 THEN ['0', '0'] ELSE ['0'] END) AS detail FROM k WHERE doc_id % 13 = 0 UNION ALL SELECT doc_id, 'heading_score', unnest(CASE WHEN doc_id % 41 = 0 THEN ['0', '0'] ELSE ['0'] END) FROM k WHERE doc_id % 17 = 0
+MAP_SQL = """WITH k AS (SELECT doc_id, text, length(text) AS n, greatest(1, length(text) // 2) AS half FROM documents WHERE text IS NOT NULL), s AS (SELECT *, half + CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS a, n - CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS b FROM k WHERE doc_id % 37 > 0)
+SELECT doc_id, 'heading_offsets' AS rule, unnest(CASE WHEN doc_id % 41 = 0 THEN ['0', '0'] ELSE ['0'] END) AS detail FROM k WHERE doc_id % 13 = 0 OR n < 9 UNION ALL SELECT doc_id, 'heading_score', unnest(CASE WHEN doc_id % 41 = 0 THEN ['0', '0'] ELSE ['0'] END) FROM k WHERE doc_id % 17 = 0
 UNION ALL SELECT doc_id, 'heading_repeated', '0' FROM k WHERE doc_id % 41 = 0 UNION ALL SELECT doc_id, 'section_index', '2' FROM s WHERE doc_id % 29 = 0 UNION ALL SELECT doc_id, 'section_coverage', CASE WHEN doc_id % 29 = 0 THEN '2' ELSE '1' END FROM s WHERE doc_id % 3 = 0
+UNION ALL SELECT doc_id, 'section_offsets', '0' FROM s WHERE half > n UNION ALL SELECT doc_id, 'section_offsets', CASE WHEN doc_id % 29 = 0 THEN '2' ELSE '1' END FROM s WHERE b <= a
 UNION ALL SELECT doc_id, 'section_size', '0' FROM s WHERE half > 20000 UNION ALL SELECT doc_id, 'section_size', CASE WHEN doc_id % 29 = 0 THEN '2' ELSE '1' END FROM s WHERE b - a > 20000 UNION ALL SELECT doc_id, 'section_confidence', '0' FROM s WHERE doc_id % 11 = 0
 UNION ALL SELECT doc_id, 'section_id', CASE WHEN doc_id % 29 = 0 THEN '2' ELSE '1' END FROM s WHERE doc_id % 31 = 0 UNION ALL SELECT doc_id, 'section_label', '0' FROM s WHERE doc_id % 7 = 0 UNION ALL SELECT doc_id, 'section_pages', '0' FROM s WHERE doc_id % 23 = 0
-UNION ALL SELECT doc_id, 'section_end', CAST(b AS VARCHAR) FROM s WHERE b <> n UNION ALL SELECT doc_id, 'section_missing', CAST(n AS VARCHAR) FROM k WHERE doc_id % 37 = 0 UNION ALL SELECT doc_id, 'text_hash', '0' FROM k WHERE doc_id % 19 = 0"""
+UNION ALL SELECT doc_id, 'section_end', CAST(b AS VARCHAR) FROM s WHERE b <> n UNION ALL SELECT doc_id, 'section_missing', CAST(n AS VARCHAR) FROM k WHERE doc_id % 37 = 0 AND n > 0 UNION ALL SELECT doc_id, 'text_hash', '0' FROM k WHERE doc_id % 19 = 0"""
 SQL = {
     "document_map_problems": MAP_SQL,
     "document_map": DOC_SQL + "SELECT * FROM sec",

@@ -181,12 +181,15 @@ def discovered_families(spark: SparkSession, d: str) -> DataFrame:
 
 
 def checked_families(spark: SparkSession, d: str) -> DataFrame:
-    c = corpus_concepts(spark, d)
-    word = lambda *ws: F.array(*map(F.lit, ws))
-    given = (("Ring", word("red ring", "hot ring", "old ring")), ("fine", word("red rod", "hot rod", "old rod", " old rod ")), ("late", word("red rod", "new rod", "odd rod")), ("general terms", word("red gear", "hot gear", "new gear")), ("", word("x")))
-    cands = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(0).cast("long").alias("doc_id"), F.lit(i).alias("ord"), F.lit(n).alias("family_label"), m.alias("members")) for i, (n, m) in enumerate(given)])))
-    f = D.validate_family_candidates(cands, c, catalog(spark, d), ("new gear",))
-    return f.select("ord", "family_label", joined("members"), joined("reasons"), "accepted")
+    """Five candidates of each customer's rings, rods, gears and plates: in the catalog, sound or with a member that may be unknown, over the one before, generic, without a label."""
+    n = names(spark, d)
+    own = n.groupBy("doc_id").agg(*[F.sort_array(F.collect_list(F.when(F.col("family_id") == h, F.col("concept")))).alias(h) for h in ("ring", "rod", "gear", "plate")])
+    some = lambda h, ord_, name, members: F.when(F.size(h) > 0, F.struct(F.lit(ord_).alias("ord"), F.lit(name).alias("family_label"), members.alias("members")))
+    given = F.array_compact(F.array(
+        some("ring", 0, "Ring", F.col("ring")), some("rod", 1, "fine", F.concat("rod", F.array(F.lit(" old rod ")))), some("rod", 2, "late", F.concat("rod", "gear")), some("gear", 3, "general terms", F.col("gear")), some("plate", 4, "", F.col("plate")),
+    ))
+    f = D.validate_family_candidates(own.select("doc_id", F.inline(given)), n, catalog(spark, d), ("new gear",))
+    return f.select("doc_id", "ord", "family_label", joined("members"), joined("reasons"), "accepted")
 
 
 O = "WITH occ AS (SELECT o_custkey AS doc_id, l_orderkey AS chunk_index, p_name, p_type FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"  # noqa: E741
@@ -201,6 +204,14 @@ PR = OCC + """, v AS (SELECT doc_id, p_name AS concept, p_name || ': of ' || p_b
 r AS (SELECT doc_id, concept, v, min(place) AS fst FROM v GROUP BY ALL), q AS (SELECT doc_id, concept, o, min(place) AS fst FROM v GROUP BY ALL),
 t AS (SELECT doc_id, concept, string_agg(o, '|' ORDER BY fst) AS x, string_agg('Output: ' || o, '|' ORDER BY fst) AS o, count(*) AS n FROM q GROUP BY ALL)"""
 SQL = {
+    "checked_families": N.replace(" RECURSIVE", "")
+    + """, m AS (SELECT doc_id, coalesce(list(concept ORDER BY concept) FILTER (f = 'ring'), []) AS ring, coalesce(list(concept ORDER BY concept) FILTER (f = 'rod'), []) AS rod, coalesce(list(concept ORDER BY concept) FILTER (f = 'gear'), []) AS gear, coalesce(list(concept ORDER BY concept) FILTER (f = 'plate'), []) AS plate FROM n GROUP BY 1),
+a AS (SELECT *, list_contains(rod, 'old rod') AND len(rod) >= 3 AS fine, CASE WHEN list_contains(gear, 'new gear') THEN 'contains_protected_base_concepts' END AS guard FROM m), b AS (SELECT *, CASE WHEN fine THEN gear ELSE rod || gear END AS late FROM a), c AS (SELECT *, NOT fine AND guard IS NULL AND len(late) >= 3 AND len(rod) > 0 AS took FROM b)
+SELECT doc_id, 0 AS ord, 'Ring' AS family_label, array_to_string(ring, '|') AS members, concat_ws('|', 'possible_merge_with_existing_family', CASE WHEN len(ring) < 3 THEN 'family_too_small' END) AS reasons, false AS accepted FROM c WHERE len(ring) > 0
+UNION ALL SELECT doc_id, 1, 'fine', array_to_string(rod, '|'), concat_ws('|', CASE WHEN NOT list_contains(rod, 'old rod') THEN 'contains_unknown_members' END, CASE WHEN len(rod) < 3 THEN 'family_too_small' END), fine FROM c WHERE len(rod) > 0
+UNION ALL SELECT doc_id, 2, 'late', array_to_string(late, '|'), concat_ws('|', guard, CASE WHEN fine THEN 'member_collision_across_candidates' END, CASE WHEN len(late) < 3 THEN 'family_too_small' END, CASE WHEN len(late) = 0 THEN 'no_coverage_gain' END), took FROM c WHERE len(rod) > 0
+UNION ALL SELECT doc_id, 3, 'general terms', array_to_string(CASE WHEN took THEN [] ELSE gear END, '|'), concat_ws('|', 'label_too_generic', guard, CASE WHEN took THEN 'member_collision_across_candidates' END, CASE WHEN took OR len(gear) < 3 THEN 'family_too_small' END, CASE WHEN took THEN 'no_coverage_gain' END), false FROM c WHERE len(gear) > 0
+UNION ALL SELECT doc_id, 4, '', '', 'missing_family_label', false FROM c WHERE len(plate) > 0""",
     "localized_frames": FR + " SELECT doc_id, 'Barras' AS label, 'Elegir' AS goal, CASE WHEN crc IS NOT NULL THEN 'Asigna the barra fría' ELSE '' END AS author_methods, CASE WHEN crc IS NOT NULL THEN 'deja barra fría' ELSE '' END AS author_overrides, CASE WHEN nrc IS NOT NULL THEN 'señala la barra nueva' ELSE '' END AS outputs FROM g WHERE crc IS NOT NULL OR nrc IS NOT NULL UNION ALL SELECT doc_id, 'Rings', 'Pick', '', '', '' FROM g WHERE len(rings) > 0 OR orr IS NOT NULL UNION ALL SELECT doc_id, 'Gears', 'Pick', '', '', '' FROM g WHERE bg IS NOT NULL",
     "families_of_concepts": N.replace(" RECURSIVE", "") + " SELECT doc_id, f AS family_id, string_agg(concept, '|' ORDER BY concept) AS members FROM (SELECT doc_id, f, concept FROM n WHERE split_part(concept, ' ', 1) IN ('red', 'hot', 'old') UNION ALL SELECT doc_id, 'aged', concept FROM n WHERE concept LIKE 'old %') GROUP BY ALL",
     "frame_of_concepts": N.replace(" RECURSIVE", "") + " SELECT doc_id, concept, CASE concept WHEN 'hot ring' THEN 'first' ELSE 'second' END AS frame_id FROM n WHERE concept IN ('red ring', 'hot ring', 'old gear')",
