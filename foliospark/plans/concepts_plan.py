@@ -90,6 +90,20 @@ def concept_table(spark: SparkSession, d: str) -> DataFrame:
     return made.select("doc_id", "concept", joined("definitions"), joined("terminology"), evidence, joined("source_chunks"))
 
 
+#: A parent that parts named anvil support if their texts show two of the rings, given as data.
+WHOLE = B.ConceptRules(authors={"brand": "Brand"}, parents=(B.Parent("all rings", ("group of rings",), ("anvil",), ("red ring", "hot ring", "old ring", "new ring"), 2),))
+
+
+def whole_concepts(spark: SparkSession, d: str) -> DataFrame:
+    """The whole job: names, texts, procedures with evidence, promotion, filter, canonical names."""
+    none = F.array().cast("array<string>")
+    rules = F.transform("definitions", lambda t: F.struct(F.concat(F.lit("If "), t).alias("condition"), F.lit(" keep  it.").alias("outcome"), none.alias("related_steps")))
+    given = chunks(spark, d).withColumns({"decision_rules": rules, "procedure_outputs": F.transform("terminology", lambda t: F.struct(t.alias("text")))})
+    made = B.build_concepts(given, rules=WHOLE)
+    sizes = [F.size(c).cast("long").alias(f"n_{c}") for c in ("concept_evidence", "procedure_evidence")]
+    return made.select("doc_id", "concept", joined("definitions"), joined("terminology"), joined("procedures"), *sizes, joined("source_chunks"), "promoted", "promotion_reason")
+
+
 #: Sub-concepts and a parent for the parts' texts below, given as data.
 PROMOTION = B.ConceptRules(allowed=("ring kind", "hot sort"), aliases={"gear kind": "ring kind", "ring kind": "ring kind"}, parents=(B.Parent("all of it", ("all of it",), ("anvil",), ("ring kind", "hot sort"), 1),))
 
@@ -315,6 +329,17 @@ SELECT DISTINCT concept, 'f_' || k || '_' || a AS family_id FROM n JOIN r ON reg
     "evidence_pages": ITEMS + ", n AS (SELECT *, row_number() OVER (PARTITION BY concept, field ORDER BY chunk_index, pos, value) - 1 AS n FROM items) SELECT concept, field, n // 100 AS page, n // 100 * 100 AS first, string_agg(CAST(chunk_index AS VARCHAR) || '=' || value, '|' ORDER BY n) AS evidence FROM n GROUP BY ALL",
     "mention_pages": OCC + ", n AS (SELECT 'The ' || p_name AS concept, chunk_index, row_number() OVER (PARTITION BY p_name ORDER BY chunk_index) - 1 AS n FROM (SELECT DISTINCT p_name, chunk_index FROM occ)) SELECT concept, n // 100 AS page, n // 100 * 100 AS first, string_agg(CAST(chunk_index AS VARCHAR), '|' ORDER BY n) AS rows FROM n GROUP BY ALL",
     "concept_table": ITEMS + "SELECT doc_id, concept, string_agg(value, '|' ORDER BY fst) FILTER (field = 'definitions') AS definitions, string_agg(value, '|' ORDER BY fst) FILTER (field = 'terminology') AS terminology, e.x AS evidence, s.x AS source_chunks FROM firsts JOIN (SELECT doc_id, concept, string_agg(field || '=' || CAST(chunk_index AS VARCHAR) || '=' || value, '|' ORDER BY field, chunk_index, value) AS x FROM items GROUP BY ALL) e USING (doc_id, concept) JOIN (SELECT doc_id, p_name AS concept, array_to_string(list_sort(list(DISTINCT chunk_index)), '|') AS x FROM occ GROUP BY ALL) s USING (doc_id, concept) GROUP BY ALL",
+    "whole_concepts": ITEMS + """, v2 AS (SELECT doc_id, p_name AS concept, p_name || ': of ' || p_brand AS v, p_type || ' ' || p_name AS o, (chunk_index, pos) AS place FROM occ), r AS (SELECT doc_id, concept, v, min(place) AS fst FROM v2 GROUP BY ALL), q AS (SELECT doc_id, concept, o, min(place) AS fst FROM v2 GROUP BY ALL),
+t AS (SELECT doc_id, concept, string_agg('Output: ' || o, '|' ORDER BY fst) AS o, count(*) AS n FROM q GROUP BY ALL),
+pr AS (SELECT doc_id, concept, CASE WHEN count(*) > 1 THEN string_agg(CAST(k AS VARCHAR) || '. If ' || v || ', then keep it', '|' ORDER BY k) || '|' ELSE '' END || string_agg('If ' || v || ', then keep it.', '|' ORDER BY k) || '|' || t.o AS procedures, count(*) + t.n AS n
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, concept ORDER BY fst) AS k FROM r) AS y JOIN t USING (doc_id, concept) GROUP BY doc_id, concept, t.o, t.n),
+ch AS (SELECT doc_id, p_name AS concept, list_sort(list(DISTINCT chunk_index)) AS c FROM occ GROUP BY ALL),
+hd AS (SELECT doc_id, concept, value, split_part(value, ':', 1) AS h, row_number() OVER (PARTITION BY doc_id, concept ORDER BY fst) AS nr FROM firsts WHERE field = 'definitions'),
+su AS (SELECT doc_id, concept FROM hd WHERE contains(concept, 'anvil') AND h IN ('red ring', 'hot ring', 'old ring', 'new ring') GROUP BY ALL HAVING count(DISTINCT h) >= 2), sd AS (SELECT hd.* FROM hd JOIN su USING (doc_id, concept) WHERE h IN ('red ring', 'hot ring', 'old ring', 'new ring'))
+SELECT doc_id, concept, string_agg(value, '|' ORDER BY fst) FILTER (field = 'definitions') AS definitions, string_agg(value, '|' ORDER BY fst) FILTER (field = 'terminology') AS terminology, pr.procedures, e.n AS n_concept_evidence, pr.n AS n_procedure_evidence, array_to_string(ch.c, '|') AS source_chunks, false AS promoted, NULL AS promotion_reason
+FROM firsts JOIN pr USING (doc_id, concept) JOIN ch USING (doc_id, concept) JOIN (SELECT doc_id, concept, count(*) AS n FROM items GROUP BY ALL) AS e USING (doc_id, concept) GROUP BY doc_id, concept, pr.procedures, pr.n, e.n, ch.c
+UNION ALL SELECT doc_id, 'all rings', ds.x, ts.x, '', 0, 0, array_to_string(list_sort(list_distinct(flatten(list(ch.c)))), '|'), true, 'family_child_support_parent' FROM su JOIN ch USING (doc_id, concept)
+  JOIN (SELECT doc_id, string_agg(value, '|' ORDER BY p) AS x FROM (SELECT doc_id, value, min((concept, nr)) AS p FROM sd GROUP BY ALL) GROUP BY 1) AS ds USING (doc_id) JOIN (SELECT doc_id, string_agg(upper(h[1]) || h[2:], '|' ORDER BY p) AS x FROM (SELECT doc_id, h, min((concept, nr)) AS p FROM sd GROUP BY ALL) GROUP BY 1) AS ts USING (doc_id) GROUP BY doc_id, ds.x, ts.x""",
     "promoted_concepts": OCC + """, c AS (SELECT doc_id, p_name AS concept, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS h, list_sort(list(DISTINCT chunk_index)) AS chunks FROM occ GROUP BY ALL),
 r AS (SELECT doc_id, concept, h || ' kind: as ' || concept AS definitions, a || ' sort (' || concept || ')' AS terminology, 'the ' || h || ' kind near ' || concept AS relationships, chunks, false AS promoted, NULL AS promotion_reason FROM c
 UNION ALL SELECT doc_id, 'ring kind', string_agg(h || ' kind: as ' || concept, '|' ORDER BY concept), '', string_agg('the ' || h || ' kind near ' || concept, '|' ORDER BY concept), list_sort(list_distinct(flatten(list(chunks)))), true, NULL FROM c WHERE h IN ('ring', 'gear') GROUP BY doc_id
@@ -336,6 +361,6 @@ SELECT doc_id, concept, definitions, terminology, relationships, array_to_string
     "concept_search": "WITH q AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS query FROM part UNION SELECT unnest(['OL', 'in', 'arm'])), n AS (SELECT DISTINCT 0 AS k, p_name AS name FROM part UNION SELECT 1, split_part(p_name, ' ', 2) FROM part UNION SELECT 1, 'Warmth'), r AS (SELECT query, k, name, CAST(row_number() OVER (PARTITION BY query ORDER BY k, name) AS INTEGER) AS rank FROM q JOIN n ON contains(lower(name), lower(query))) SELECT query, CASE k WHEN 0 THEN 'concept' ELSE 'family' END AS kind, name, rank FROM r WHERE rank <= 25",
 }
 QUERIES = {f.__name__: f for f in (
-    concept_names, concept_index, concept_mentions, merged_concepts, evidence_pages, mention_pages, concept_table, promoted_concepts, family_assignments, hybrid_rules, families_with_members, concepts_without_family,
+    concept_names, concept_index, concept_mentions, merged_concepts, evidence_pages, mention_pages, concept_table, whole_concepts, promoted_concepts, family_assignments, hybrid_rules, families_with_members, concepts_without_family,
     taxonomy_decisions, structural_children, ontology_edges, ontology_nodes, related_concepts, chunk_concepts, signal_terms, concept_search,
 )}
