@@ -124,27 +124,30 @@ class Matcher:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, pass_chars: int = PASS_CHARS) -> DataFrame:
-    """doc_id, item_id, edits, end_char (in the document's text): each item in each document.
+    """doc_id, item_id, edits, end_char (in the document's text): each item in each document; an item given several times counts as often.
 
     The items are split by hash into passes of about pass_chars characters, so that no task holds more,
     whatever the benchmark's size; each pass reads the documents once.
     """
-    tests = benchmark.where(F.length("text") > 0).select("item_id", "text")
+    items = benchmark.where(F.length("text") > 0).select("item_id", F.xxhash64("text").alias("item"), "text")
+    # a text that several items have is looked for once
+    tests = items.select("item", "text").distinct()
     total = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = -(-total // pass_chars) or 1
-    kind = dict(benchmark.dtypes)["item_id"]
     texts = short_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     if passes == 1:
-        return found_by(texts, tests, kind, error_rate, min_chars)
-    # one pass at a time: its items leave the driver before the next ones come
-    parts = (tests.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == n) for n in range(passes))
-    return reduce(DataFrame.unionByName, [cut(found_by(texts, part, kind, error_rate, min_chars)) for part in parts])
-
-
-def found_by(texts: DataFrame, tests: DataFrame, kind: str, error_rate: float, min_chars: int) -> DataFrame:
-    """doc_id, item_id, edits, end_char of the items of one pass."""
-    rows = [(r["item_id"], t) for r in tests.collect() if (t := plain(r["text"]))]
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.string() if kind == "string" else pa.int64()), ("edits", pa.int32()), ("end_char", pa.int64())])
+        found = found_by(texts, tests, error_rate, min_chars)
+    else:
+        # one pass at a time: its items leave the driver before the next ones come
+        parts = (tests.where(F.pmod("item", F.lit(passes)) == n) for n in range(passes))
+        found = reduce(DataFrame.unionByName, [cut(found_by(texts, part, error_rate, min_chars)) for part in parts])
+    return found.join(items.select("item_id", "item"), "item").select("doc_id", "item_id", "edits", "end_char")
+
+
+def found_by(texts: DataFrame, tests: DataFrame, error_rate: float, min_chars: int) -> DataFrame:
+    """doc_id, item, edits, end_char of the texts (item, text) of one pass."""
+    rows = [(r["item"], t) for r in tests.collect() if (t := plain(r["text"]))]
+    schema = pa.schema([("doc_id", pa.int64()), ("item", pa.int64()), ("edits", pa.int32()), ("end_char", pa.int64())])
     shared = texts.sparkSession.sparkContext.broadcast(rows)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +161,7 @@ def found_by(texts: DataFrame, tests: DataFrame, kind: str, error_rate: float, m
                 got += [(doc, items[i][0], e, ends[end]) for i, (e, end) in hits.items()]
             yield pa.RecordBatch.from_pydict({c: [g[j] for g in got] for j, c in enumerate(schema.names)}, schema)
 
-    return texts.mapInArrow(each, f"doc_id long, item_id {'string' if kind == 'string' else 'long'}, edits int, end_char long")
+    return texts.mapInArrow(each, "doc_id long, item long, edits int, end_char long")
 
 
 def places_in(text: str, ends: list[int]) -> dict[int, int]:

@@ -12,7 +12,7 @@ the parts with the same name are one interval of the suffix array, whose common
 
 Cases: null text gives null, text that loses all its lines an empty text; null doc_ids come first; rows
 with the same id and text are one document, so none is the other's copy; an empty table gives no rows.
-Columns of docs are kept, and may have any name that doesn't begin with an underscore.
+Columns of docs are kept, and may have any name; doc_id must be a number, or a text of one.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ MIN_WORDS = 30
 NO_ID = -(1 << 63)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_copy": F.xxhash64("text")})
+def keys_of(doc: str, text: str) -> dict[str, Column]:
+    """What a row is known by."""
+    return {"_doc": F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID)), "_copy": F.xxhash64(text)}
 
 
 def shortest(words: str, at: Column, least: int, forward: bool) -> Column:
@@ -44,7 +45,7 @@ def shortest(words: str, at: Column, least: int, forward: bool) -> Column:
 def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
     """_doc, _copy, j (index among lines that aren't blank), no (index among all lines), two hashes of the line, fore and back (lines of the shortest parts)."""
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("no"), F.trim(x).alias("line"))), lambda s: s["line"] != "")
-    one = keyed(docs.select("doc_id", "text")).select("_doc", "_copy", lines.alias("lines"))
+    one = docs.select("doc_id", "text").withColumns(keys_of("doc_id", "text")).select("_doc", "_copy", lines.alias("lines"))
     counted = one.withColumn("w", F.transform("lines", lambda s: F.length(s["line"]) - F.length(F.replace(s["line"], F.lit(" "), F.lit(""))) + 1))
     parts = F.transform(
         "lines",
@@ -89,16 +90,19 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, deleted: str | None = "deleted") -> DataFrame:
-    """docs without later copies, and in a column named by `deleted` (instead of one of that name) the runs deleted from each text, as (first, last) line indices."""
+    """docs without later copies, and in a column named by `deleted` (instead of one of that name) the runs deleted from each text, as (first, last) line indices. Columns may have any name."""
     where = ["_doc", "_copy"]
+    inner = [f"_c{i}" for i in range(len(docs.columns))]
+    doc, body = (inner[docs.columns.index(c)] for c in ("doc_id", "text"))
     order = Window.partitionBy(*where).orderBy("no")
     runs = later_copies(docs, min_words).withColumn("_run", F.col("no") - F.row_number().over(order)).groupBy(*where, "_run").agg(F.min("no").alias("first"), F.max("no").alias("last"))
     gone = runs.groupBy(*where).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("_deleted"))
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("_deleted", lambda r: i.between(r["first"], r["last"])))
-    text = F.when(F.col("_deleted").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = keyed(docs).join(gone, where, "left")
-    report = [F.coalesce("_deleted", F.array().cast("array<struct<first:int,last:int>>")).alias(deleted)] if deleted else []
-    return out.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != deleted], *report)
+    kept = F.filter(F.split(body, "\n"), lambda x, i: ~F.exists("_deleted", lambda r: i.between(r["first"], r["last"])))
+    text = F.when(F.col("_deleted").isNull(), F.col(body)).otherwise(F.array_join(kept, "\n"))
+    out = docs.toDF(*inner).withColumns(keys_of(doc, body)).join(gone, where, "left")
+    told = out.withColumns({body: text, "_runs": F.coalesce("_deleted", F.array().cast("array<struct<first:int,last:int>>"))})
+    names = {i: c for c, i in zip(docs.columns, inner) if c != deleted} | ({"_runs": deleted} if deleted else {})
+    return told.select(*names).toDF(*names.values())
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

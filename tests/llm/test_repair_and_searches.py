@@ -219,3 +219,16 @@ def test_best_bins_visit_every_leaf_nearest_first():
         order = T.best_bins(tree, q, tree.n_leaves)
         assert sorted(order) == list(range(tree.n_leaves)) and T.best_bins(tree, q, 3) == order[:3]
         assert leaf in order[:1]
+
+
+def test_columns_of_any_name_stay_and_repeated_items_count(spark):
+    from foliospark.llm import decontaminate, line_dedup
+
+    run = "\n".join(f"line number {i} of a run that is long enough to count" for i in range(5))
+    rows = [(1, "keep1", 7, run), (2, "keep2", 8, f"other\n{run}")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, _doc string, _deleted int, text string")).orderBy("doc_id").collect()
+    assert [(r["_doc"], r["_deleted"]) for r in got] == [("keep1", 7), ("keep2", 8)] and got[0]["text"] == run and got[1]["text"] == "other"
+    item = "an item of the benchmark that is long enough to be looked for"
+    tests = spark.createDataFrame([(k, item) for k in (1, 2, 2)] + [(3, "no one has this sentence in any text at all")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {item} y"), (2, "z")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, tests).collect()) == [(1, 1), (1, 2), (1, 2)]
