@@ -42,3 +42,20 @@ def test_a_crash_while_handling_loses_nothing(spark, tmp_path):
         except Exception as e:
             assert "lost" in str(e)
     assert sorted(seen) == [(0, 1), (0, 2)]
+
+
+def test_keys_are_known_by_state_and_left_ones_come_again(spark, tmp_path):
+    def put(folder, name, indices):
+        folder.mkdir(exist_ok=True)
+        (folder / name).write_text("\n".join(json.dumps({"doc_id": 1, "text_hash": "h", "mode": "m", "fingerprint": "f", "chunk_index": i}) for i in indices))
+
+    for most, want in ((None, [[1, 2, 3], [4]]), (2, [[1, 2], [3, 4]])):
+        folder, got = tmp_path / f"in{most}", []
+        for n, indices in enumerate(([1, 2, 3], [3, 1, 4])):
+            put(folder, f"{n}.json", indices)
+            seen = []
+            cache = tmp_path / f"cache{most}-{n if most is None else 0}"  # without a limit the second run doesn't see the first one's cache
+            query = plan_stream(read_chunk_stream(spark, str(folder), SCHEMA, 1), str(cache), str(tmp_path / f"check{most}"), lambda df, _: seen.extend(r["chunk_index"] for r in df.collect()), most)
+            assert query.awaitTermination(120)
+            got.append(sorted(seen))
+        assert got == want
