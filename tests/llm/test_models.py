@@ -165,3 +165,28 @@ def test_pipeline_equals_its_stages(spark):
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+@pytest.mark.skipif(importlib.util.find_spec("corpus_pipeline") is None, reason="no pipeline here")
+def test_stages_on_odd_rows(spark):
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = docs.orderBy("doc_id").first()
+    odd = [first, first, first.asDict() | {"doc_id": None}, first.asDict() | {"doc_id": 10**9}, first.asDict() | {"doc_id": 10**9 + 1, "text": None}, first.asDict() | {"doc_id": 10**9 + 2, "text": ""}, first.asDict() | {"doc_id": 10**9 + 3, "text": None, "lang": None}]
+    rows = [tuple(r[c] for c in docs.columns) for r in odd]
+    names = ("_doc", "_hash", "_copy", "node", "component", "rejected", "lang_pred", "score", "ids", "item_id")
+    every = docs.unionByName(spark.createDataFrame(rows, docs.schema)).withColumns({n: docs["doc_id"] for n in names})
+    kept = {}
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, every, SF)
+        assert out.columns == every.columns, name
+        assert out.where("NOT (doc_id <=> _doc)").count() == 0, name
+        kept[name] = [r["doc_id"] for r in out.collect()]
+    odd_ids = {name: sorted((-1 if i is None else i) for i in ids if i is None or i >= 10**9 or i == first["doc_id"]) for name, ids in kept.items()}
+    same, nulls = first["doc_id"], [10**9 + 1, 10**9 + 2, 10**9 + 3]
+    assert odd_ids["language_id"] == sorted([-1, same, same, same, 10**9]), odd_ids
+    assert odd_ids["line_dedup"] == sorted([-1, same, same, same, 10**9, *nulls])
+    assert {-1, same} <= set(odd_ids["near_dedup"]) and odd_ids["near_dedup"].count(same) == 1 and 10**9 not in odd_ids["near_dedup"]
+    assert set(nulls) <= set(odd_ids["decontaminate"])
+    assert P.STAGES[-1][1](spark, every, SF).count() == every.count()
