@@ -6,6 +6,8 @@ expressions on one row: no shuffle, no Python.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,17 @@ NON_DOCTRINAL = KINDS[1:]
 WORD = r"[\p{L}\p{N}_]+"
 OCR = r"[\^£®§¤¢¥©°¬¶]+"
 REFS = "array<struct<label:string,type:string>>"
+#: What speaks for each kind, in order. (text or labels, weight, words that one of is held), (find, weight, pattern in the text), (find_low, the same in small letters),
+#: (share, most, signal, factor), (at_least or at_most, weight, signal, limit).
+EVIDENCE = {
+    "doctrinal_text": (("at_least", 0.35, "word_count", 100), ("at_most", 0.25, "line_short_ratio", 0.45), ("at_most", 0.15, "citation_locator_density", 0.06), ("at_most", 0.10, "section_ref_noise_ratio", 0.40), ("at_most", 0.15, "ocr_noise_ratio", 0.003)),
+    "glossary": (("text", 0.40, ("glossary", "definitions", "terms")), ("share", 0.45, "glossary_line_density", 2.5), ("find", 0.20, r"(^|[^\p{L}\p{N}_])[A-Za-z][A-Za-z\s]{1,30}\s*:\s+.{8,}")),
+    "bibliography": (("text", 0.45, ("bibliography", "sources", "references", "works cited", "index")), ("share", 0.35, "citation_locator_density", 4.0), ("share", 0.20, "footnote_density", 2.0), ("labels", 0.25, ("bibliography", "references", "sources"))),
+    "exercises": (("text", 0.45, ("exercise", "step", "practice", "assignment")), ("share", 0.35, "list_line_density", 2.0), ("find_low", 0.20, r"(^|[^\p{L}\p{N}_])step\s+[\p{L}\p{N}_]+")),
+    "captions_tables_charts": (("share", 0.35, "line_short_ratio", 0.8), ("share", 0.25, "symbol_ratio", 1.8), ("share", 0.20, "digit_ratio", 1.6), ("text", 0.30, ("chart", "figure", "table"))),
+    "front_matter": (("text", 0.55, ("copyright", "isbn", "contents", "preface", "by ")), ("labels", 0.30, ("front_matter", "contents", "preface"))),
+    "back_matter": (("text", 0.45, ("appendix", "glossary", "bibliography", "index", "sources")), ("labels", 0.35, ("bibliography", "index", "back_matter", "glossary"))),
+}
 #: Defaults of the decision's limits.
 HARD_OCR, HARD_FOOTNOTE, HARD_SHORT, REF_NOISE, CONFLICT = 0.008, 0.30, 0.75, 0.55, 0.72
 
@@ -52,20 +65,16 @@ def chunk_signals(chunks: DataFrame) -> DataFrame:
 
 def type_scores(checked: DataFrame) -> DataFrame:
     """checked with a struct column scores, a number from 0 to 1 for each kind."""
-    low = F.lower(F.coalesce("text", F.lit("")))
-    labels = F.lower(F.array_join(F.transform(F.coalesce(F.col("section_refs").cast(REFS), F.array().cast(REFS)), lambda r: r["label"]), " "))
+    text = F.coalesce("text", F.lit(""))
+    labels = F.array_join(F.transform(F.coalesce(F.col("section_refs").cast(REFS), F.array().cast(REFS)), lambda r: r["label"]), " ")
     s = F.col("signals")
     if_ = lambda when, x: F.when(when, F.lit(x)).otherwise(F.lit(0.0))
-    cap = lambda most, name, by: F.least(F.lit(most), s[name] * by)
-    made = {
-        "doctrinal_text": if_(s["word_count"] >= 100, 0.35) + if_(s["line_short_ratio"] <= 0.45, 0.25) + if_(s["citation_locator_density"] <= 0.06, 0.15) + if_(s["section_ref_noise_ratio"] <= 0.40, 0.10) + if_(s["ocr_noise_ratio"] <= 0.003, 0.15),
-        "glossary": if_(any_of(low, ("glossary", "definitions", "terms")), 0.40) + cap(0.45, "glossary_line_density", 2.5) + if_(F.coalesce("text", F.lit("")).rlike(r"(?<![\p{L}\p{N}_])[A-Za-z][A-Za-z\s]{1,30}\s*:\s+.{8,}"), 0.20),
-        "bibliography": if_(any_of(low, ("bibliography", "sources", "references", "works cited", "index")), 0.45) + cap(0.35, "citation_locator_density", 4.0) + cap(0.20, "footnote_density", 2.0) + if_(any_of(labels, ("bibliography", "references", "sources")), 0.25),
-        "exercises": if_(any_of(low, ("exercise", "step", "practice", "assignment")), 0.45) + cap(0.35, "list_line_density", 2.0) + if_(low.rlike(r"(?<![\p{L}\p{N}_])step\s+[\p{L}\p{N}_]+"), 0.20),
-        "captions_tables_charts": cap(0.35, "line_short_ratio", 0.8) + cap(0.25, "symbol_ratio", 1.8) + cap(0.20, "digit_ratio", 1.6) + if_(any_of(low, ("chart", "figure", "table")), 0.30),
-        "front_matter": if_(any_of(low, ("copyright", "isbn", "contents", "preface", "by ")), 0.55) + if_(any_of(labels, ("front_matter", "contents", "preface")), 0.30),
-        "back_matter": if_(any_of(low, ("appendix", "glossary", "bibliography", "index", "sources")), 0.45) + if_(any_of(labels, ("bibliography", "index", "back_matter", "glossary")), 0.35),
-    }
+    says = {
+        "text": lambda w, words: if_(any_of(F.lower(text), words), w), "labels": lambda w, words: if_(any_of(F.lower(labels), words), w),
+        "find": lambda w, pattern: if_(text.rlike(pattern), w), "find_low": lambda w, pattern: if_(F.lower(text).rlike(pattern), w),
+        "share": lambda most, name, by: F.least(F.lit(most), s[name] * by), "at_least": lambda w, name, limit: if_(s[name] >= limit, w), "at_most": lambda w, name, limit: if_(s[name] <= limit, w),
+    }
+    made = {kind: reduce(lambda a, b: a + b, [says[how](*rest) for how, *rest in EVIDENCE[kind]]) for kind in KINDS}
     return checked.withColumn("scores", F.struct(*[F.least(F.lit(1.0), made[k]).alias(k) for k in KINDS]))
 
 

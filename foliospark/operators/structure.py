@@ -31,12 +31,15 @@ TYPE_OF = {"chapter_pattern": "chapter", "part_pattern": "chapter", "appendix_pa
 SOFT_WORDS = ("abstract", "conclusion", "example", "examples", "exercise", "exercises", "glossary", "introduction", "overview", "preface", "prologue", "review", "summary")
 TYPES = ("front_matter", "chapter", "section", "appendix", "bibliography", "index", "unknown")
 SUPPORTING = ("chapter", "section", "appendix", "front_matter")
+#: Words that keep a line from being an index entry, and words of a table of contents.
+HEADING_WORDS = ("chapter", "part", "appendix", "bibliography", "references", "index", "section")
+CONTENTS_WORDS = ("chapter", "part", "appendix", "contents")
 PAGE_REFS = r"(?:\s|,)[0-9]+(?:[-–][0-9]+)?(?:\s*,\s*[0-9]+(?:[-–][0-9]+)?)*\.?$"
 
 
 def looks_like_index_entry(line: Column) -> Column:
     """A line of a back-of-book index: a lone capital, or words with page references at the end."""
-    keyword = F.lower(line).rlike(r"(^|[^\p{L}\p{N}_])(chapter|part|appendix|bibliography|references|index|section)($|[^\p{L}\p{N}_])")
+    keyword = F.lower(line).rlike(rf"(^|[^\p{{L}}\p{{N}}_])({'|'.join(HEADING_WORDS)})($|[^\p{{L}}\p{{N}}_])")
     lone = line.rlike(r"^\p{L}{1,2}$") & (F.upper(line) == line)
     refs = line.rlike(PAGE_REFS) & (F.contains(line, F.lit(",")) | line.rlike(r"^[A-Z][A-Za-zÀ-ÖØ-öø-ÿ'’\-]+\s+[0-9]+(?:[-–][0-9]+)?$") | (F.size(F.split(squeeze(line), " ")) <= 6))
     return ~keyword & (lone | refs)
@@ -45,8 +48,8 @@ def looks_like_index_entry(line: Column) -> Column:
 def looks_like_toc_entry(line: Column) -> Column:
     """A line of a table of contents: leaders before a number, several numbers with a keyword, or a number and capitals."""
     low, numbers = F.lower(line), F.regexp_count(line, F.lit("[0-9]+"))
-    word = low.rlike(r"(^|[^\p{L}\p{N}_])(chapter|part|appendix|contents)($|[^\p{L}\p{N}_])")
-    ends = line.rlike(r"\s+[0-9]+\s*$") & any_of(low, ("chapter", "appendix", "part", "contents"))
+    word = low.rlike(rf"(^|[^\p{{L}}\p{{N}}_])({'|'.join(CONTENTS_WORDS)})($|[^\p{{L}}\p{{N}}_])")
+    ends = line.rlike(r"\s+[0-9]+\s*$") & any_of(low, CONTENTS_WORDS)
     return ((word | ends) & (numbers >= 2)) | line.rlike(r"\.{3,}\s*[0-9]+\s*$") | line.rlike(r"^[0-9]{3,}\s+[A-Z][A-Z\s\-/,:;()]{6,}$")
 
 

@@ -47,15 +47,11 @@ RATIOS = ("line_short_ratio", "digit_ratio", "symbol_ratio", "letter_ratio", "fo
 _has = lambda col, *words: f"regexp_matches({col}, '{'|'.join(words)}')"
 _add = lambda when, x: f"CASE WHEN {when} THEN CAST({x} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
 _cap = lambda most, name, by: f"least(CAST({most} AS DOUBLE), {name} * CAST({by} AS DOUBLE))"
-SCORES = {
-    "doctrinal_text": [_add("word_count >= 100", 0.35), _add("line_short_ratio <= CAST(0.45 AS DOUBLE)", 0.25), _add("citation_locator_density <= CAST(0.06 AS DOUBLE)", 0.15), _add("section_ref_noise_ratio <= CAST(0.4 AS DOUBLE)", 0.10), _add("ocr_noise_ratio <= CAST(0.003 AS DOUBLE)", 0.15)],
-    "glossary": [_add(_has("y", "glossary", "definitions", "terms"), 0.40), _cap(0.45, "glossary_line_density", 2.5), _add(r"regexp_matches(t, '(^|[^\p{L}\p{N}_])[A-Za-z][A-Za-z\s]{1,30}\s*:\s+.{8,}')", 0.20)],
-    "bibliography": [_add(_has("y", "bibliography", "sources", "references", "works cited", "index"), 0.45), _cap(0.35, "citation_locator_density", 4.0), _cap(0.20, "footnote_density", 2.0), _add(_has("lb", "bibliography", "references", "sources"), 0.25)],
-    "exercises": [_add(_has("y", "exercise", "step", "practice", "assignment"), 0.45), _cap(0.35, "list_line_density", 2.0), _add(r"regexp_matches(y, '(^|[^\p{L}\p{N}_])step\s+[\p{L}\p{N}_]+')", 0.20)],
-    "captions_tables_charts": [_cap(0.35, "line_short_ratio", 0.8), _cap(0.25, "symbol_ratio", 1.8), _cap(0.20, "digit_ratio", 1.6), _add(_has("y", "chart", "figure", "table"), 0.30)],
-    "front_matter": [_add(_has("y", "copyright", "isbn", "contents", "preface", "by "), 0.55), _add(_has("lb", "front_matter", "contents", "preface"), 0.30)],
-    "back_matter": [_add(_has("y", "appendix", "glossary", "bibliography", "index", "sources"), 0.45), _add(_has("lb", "bibliography", "index", "back_matter", "glossary"), 0.35)],
-}
+_SAYS = {
+    "text": lambda w, words: _add(_has("y", *words), w), "labels": lambda w, words: _add(_has("lb", *words), w), "find": lambda w, pattern: _add(f"regexp_matches(t, '{pattern}')", w), "find_low": lambda w, pattern: _add(f"regexp_matches(y, '{pattern}')", w),
+    "share": _cap, "at_least": lambda w, name, limit: _add(f"{name} >= CAST({limit} AS DOUBLE)", w), "at_most": lambda w, name, limit: _add(f"{name} <= CAST({limit} AS DOUBLE)", w),
+}
+SCORES = {kind: [_SAYS[how](*rest) for how, *rest in P.EVIDENCE[kind]] for kind in P.KINDS}
 DECISIONS_SQL = (
     SIGNALS_SQL
     + ", v AS (SELECT *, lower(t) AS y, lower(label || CASE WHEN k = 7 THEN '' ELSE ' contents, 12' END) AS lb FROM s), sc AS (SELECT *, ["
