@@ -41,6 +41,8 @@ from .topk import EXACT, LONGEST, integers, padded
 REFERENCES, SAMPLE, ROUNDS = 16, 4096, 5
 #: Rows of a block of the file and of a tile in it; anchors of a block; label groups.
 BLOCK, TILE, ANCHORS, GROUPS = 16384, 512, 2048, 64
+#: Anchors whose bounds are made together.
+TOGETHER = 32
 #: Angles are stored in single precision, and found by an arc cosine: together they err by less than this (radians).
 SLACK = 2e-6
 
@@ -172,25 +174,32 @@ def in_windows(asked: Rows, positives: list, file: Rows, share: int, k: int) ->
     ends = np.array([(max(s for _, s in ps), min(s for _, s in ps) * share / 100 * (1 - 1e-12)) if ps else (-np.inf, np.inf) for ps in own]).reshape(-1, 2)
     fits = lambda low, high: (low <= ends[:, :1]) & (high >= ends[:, 1:])
     open_ = np.column_stack([fits(*score_bounds(asked.angles, asked.norm, *box))[:, 0] for _, box in wide])
-    for i in np.flatnonzero(open_.any(1)):
-        found = []
-        for t in np.flatnonzero(open_[i]):
-            s = wide[t][0]
-            low, high = score_bounds(asked.angles[i : i + 1], asked.norm[i : i + 1], file.angles[s], file.angles[s], file.norm[s], file.norm[s])
+    for at in range(0, len(asked.row), TOGETHER):
+        part = at + np.flatnonzero(open_[at : at + TOGETHER].any(1))
+        if not len(part):
+            continue
+        rows = np.concatenate([np.arange(s.start, min(s.stop, len(file.row))) for (s, _), some in zip(wide, open_[part].any(0)) if some])
+        low, high = score_bounds(asked.angles[part], asked.norm[part], file.angles[rows], file.angles[rows], file.norm[rows], file.norm[rows])
+        for i, least, most in zip(part, low, high):
             # a bound may overlap the ends of all windows and yet none of them
-            some = np.zeros(low.shape[1], bool)
+            some = np.zeros(len(rows), bool)
             for _, score in own[i]:
-                some |= (low[0] <= score) & (high[0] >= score * share / 100 * (1 - 1e-12))
-            found.append(np.flatnonzero(some & (file.label[s] != asked.label[i])) + s.start)
-        j = np.concatenate(found)
-        score = exact(asked.v[i], file.v[j], small)
-        order = best(score, file.vec_id[j], file.row[j], len(j))
-        j, score = j[order], score[order]
-        for row, top in own[i]:
-            # whole numbers: share * top <= 100 * score
-            fit = np.flatnonzero((score <= top) & (score >= -(-share * top // 100)))[:k]
-            for n in fit:
-                yield asked.row[i], row, file.row[j[n]], file.vec_id[j[n]], score[n]
+                some |= (least <= score) & (most >= score * share / 100 * (1 - 1e-12))
+            yield from window_rows(asked, i, own[i], file, rows[some & (file.label[rows] != asked.label[i])], share, k, small)
+
+
+def window_rows(asked: Rows, i: int, positives: list[tuple[int, int]], file: Rows, j: np.ndarray, share: int, k: int, small: bool) -> Iterator[tuple]:
+    """Rows j of a block, scored in integers against anchor i: for each positive the k best in its window."""
+    score = exact(asked.v[i], file.v[j], small)
+    # whole numbers: share * top <= 100 * score
+    windows = [(row, -(-share * top // 100), top) for row, top in positives]
+    inside = np.flatnonzero((score >= min((a for _, a, _ in windows), default=0)) & (score <= max((b for _, _, b in windows), default=-1)))
+    j, score = j[inside], score[inside]
+    order = best(score, file.vec_id[j], file.row[j], len(j))
+    j, score = j[order], score[order]
+    for row, least, most in windows:
+        for n in np.flatnonzero((score >= least) & (score <= most))[:k]:
+            yield asked.row[i], row, file.row[j[n]], file.vec_id[j[n]], score[n]
 
 
 def struct_array(column: pa.ListArray, i: int) -> pa.StructArray:
