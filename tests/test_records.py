@@ -227,3 +227,20 @@ def test_family_catalog_of_a_file(spark, tmp_path):
     (tmp_path / "f.json").write_text(json.dumps([{"id": " f1 ", "label": "One", "aliases": [" a ", ""], "controlled_patterns": ["p"]}, {"id": "", "label": "x"}, {"id": "f2", "label": "Two"}], indent=1))
     got = {r["family_id"]: (r["label"], r["aliases"], r["controlled_patterns"]) for r in A.read_family_catalog(spark, str(tmp_path / "f.json")).collect()}
     assert got == {"f1": ("One", ["a"], ["p"]), "f2": ("Two", [], [])}
+
+
+def test_promotion_takes_any_number_of_names_in_one_plan(spark):
+    from foliospark.operators import concepts as C
+    from foliospark.operators import consolidation as B
+
+    empty = {f: F.array().cast("array<string>") for f in C.TEXT_FIELDS}
+    given = {"definitions": F.array(F.lit("name 7: seven"), F.lit("kid 3a: first"), F.lit("kid 3b: second")), "relationships": F.array(F.lit("the name 7 is near")), "terminology": F.array(F.lit("x"))}
+    concepts = spark.range(2).select(F.col("id").alias("doc_id"), F.lit("mark 3 of all").alias("concept"), *[given.get(f, v).alias(f) for f, v in empty.items()], F.array("id").alias("source_chunks"))
+    lines = []
+    for n in (10, 2000):
+        rules = B.ConceptRules(allowed=tuple(f"name {i}" for i in range(n)), parents=tuple(B.Parent(f"parent {i}", (f"other {i}",), (f"mark {i} ",), (f"kid {i}a", f"kid {i}b")) for i in range(n // 5 + 2)))
+        made = B.with_promoted(concepts, rules)
+        lines.append(made._jdf.queryExecution().optimizedPlan().toString().count("\n"))
+        got = {r["concept"]: (r["definitions"], r["terminology"], r["promoted"]) for r in made.where("doc_id = 1").collect()}
+        assert got == {"mark 3 of all": (["name 7: seven", "kid 3a: first", "kid 3b: second"], ["x"], False), "name 7": (["name 7: seven"], [], True), "parent 3": (["kid 3a: first", "kid 3b: second"], ["Kid 3a", "Kid 3b"], True)}
+    assert lines[0] == lines[1]
