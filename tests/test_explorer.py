@@ -126,3 +126,20 @@ def test_required_literals_are_in_what_a_pattern_finds(spark):
     table = spark.createDataFrame([(n, n) for n in names], "concept string, _s string")
     rules = spark.createDataFrame([(p, f"f{i}") for i, p in enumerate(patterns)], "pattern string, family_id string")
     assert sorted(tuple(r) for r in rule_hits(table, rules, ["concept"]).collect()) == sorted((n, f"f{i}") for i, p in enumerate(patterns) for n in names if re.search(p, n))
+
+
+def test_blocks_in_bins(spark):
+    rng = random.Random(5)
+    blocks = [(d, i, a, a + rng.choice((0, 3, 16, 70))) for d in (1, 2) for i, a in enumerate(rng.choices(range(-40, 200), k=30))] + [(1, 90, 50, 40), (2, 91, None, 7)]
+    concepts = [(d, f"c{i} x", sorted(set(rng.choices(range(-40, 260), k=rng.choice((1, 5, 40)))))) for d in (1, 2) for i in range(12)]
+    b = spark.createDataFrame([(*r, f"of the C{r[1]} X" if r[1] < 12 else "") for r in blocks], "doc_id int, block_index int, start_chunk long, end_chunk long, text string")
+    c = spark.createDataFrame(concepts, "doc_id int, concept string, source_chunks array<long>")
+    want = {(d, n, i) for d, i, lo, hi in blocks if lo is not None for e, n, cs in concepts if d == e and any(min(lo, hi) <= x <= max(lo, hi) for x in cs)}
+    got = E.blocks_for_concepts(b, c)
+    named = {(d, n, i) for d, i, _, _ in blocks for e, n, _ in concepts if d == e and i < 12 and n == f"c{i} x"}
+    assert {tuple(r) for r in got.collect()} == want | named
+    rows = E.enrich_blocks(b, c).collect()
+    assert len(rows) == len(blocks) and {(r["doc_id"], x, r["block_index"]) for r in rows for x in r["concepts"]} == want
+    # a side that has grown since it was read isn't broadcast by the size of its file
+    for df in (got, E.enrich_blocks(b, c)):
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
