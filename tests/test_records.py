@@ -244,3 +244,19 @@ def test_promotion_takes_any_number_of_names_in_one_plan(spark):
         got = {r["concept"]: (r["definitions"], r["terminology"], r["promoted"]) for r in made.where("doc_id = 1").collect()}
         assert got == {"mark 3 of all": (["name 7: seven", "kid 3a: first", "kid 3b: second"], ["x"], False), "name 7": (["name 7: seven"], [], True), "parent 3": (["kid 3a: first", "kid 3b: second"], ["Kid 3a", "Kid 3b"], True)}
     assert lines[0] == lines[1]
+
+
+def test_words_and_items_are_made_once(spark):
+    from foliospark.functions.textnorm import surface
+    from foliospark.operators import concepts, families, procedural
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    texts = spark.createDataFrame([(1, "a b c")], "doc_id int, t string").repartition(1)
+    assert plan(texts.select(families.ngrams(surface(F.col("t")), 1, 3).alias("x"))).count("split(") == 1
+    assert sorted(texts.select(families.ngrams(surface(F.col("t")), 1, 3)).first()[0]) == ["a", "a b", "a b c", "b", "b c", "c"]
+    assert plan(texts.select(concepts.normalize_concept_name(F.col("t")).alias("x"))).count("lower(") == 1
+    rows = [(1, "x", "procedure_outputs", 3, 0, '{"text":" so  be it "}'), (1, "x", "procedure_steps", 2, 0, '{"order":2,"text":"step 1: go."}'), (1, "x", "procedure_steps", 2, 1, '{"order":3,"text":"2."}'), (1, "x", "other", 2, 1, "{}")]
+    items = spark.createDataFrame(rows, "doc_id int, concept string, field string, chunk_index int, pos int, item string").repartition(2)
+    merged = procedural.merge_procedural_fields(items)
+    assert "Union" not in plan(merged)
+    assert sorted((r["field"], r["value"], tuple(r["at"])) for r in merged.collect()) == [("procedure_outputs", '{"text":"so be it"}', (3, 0)), ("procedure_steps", '{"order":2,"text":"go"}', (2, 0))]
