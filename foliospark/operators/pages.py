@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.lineage import cut
 from foliospark.functions.pages import sums_before
-from foliospark.functions.textnorm import LETTERS, strip
+from foliospark.functions.textnorm import LETTERS, let, strip
 
 SPACE_RUN = r"[ \t\f\x0B]+"
 HYPHEN = rf"([{LETTERS}])-\s*\n\s*([{LETTERS}])"
@@ -72,21 +72,22 @@ def detect_running_lines(pages: DataFrame, zone_depth: int = ZONE_DEPTH, min_rep
 def remove_running_lines(pages: DataFrame, keys: DataFrame, zone_depth: int = ZONE_DEPTH) -> DataFrame:
     """pages without running lines in their zones and without page numbers, with the counts of each."""
     sets = keys.groupBy("doc_id").agg(*[F.collect_set(F.when(F.col("place") == p, F.col("key"))).alias(f"_{p}") for p in ("top", "bottom")])
-    full = full_lines("clean_text")
-    one = pages.join(sets, "doc_id", "left").withColumns({"_full": full, "_ls": F.split("clean_text", "\n")})
+    one = pages.join(sets, "doc_id", "left")
     none = F.array().cast("array<string>")
 
-    def mark(x: Column, i: Column) -> Column:
-        inside = {p: F.array_contains(zone(F.col("_full"), zone_depth, p == "top"), i) & F.array_contains(F.coalesce(F.col(f"_{p}"), none), line_key(x)) for p in ("top", "bottom")}
+    def mark(z: Column, x: Column, i: Column) -> Column:
+        inside = {p: F.array_contains(z[p], i) & F.array_contains(F.coalesce(F.col(f"_{p}"), none), line_key(x)) for p in ("top", "bottom")}
         number = F.trim(x).rlike(r"^[0-9]{1,4}$")
         return F.struct(x.alias("line"), F.when(inside["top"], "header").when(inside["bottom"], "footer").when(number, "number").alias("gone"))
 
-    marked = one.withColumn("_m", F.transform("_ls", mark))
+    # the zones are a part of the expression: as a column of their own, a filter on clean_text would put their making into each line's test
+    zones = let(full_lines("clean_text"), lambda at: F.struct(*[zone(at, zone_depth, p == "top").alias(p) for p in ("top", "bottom")]))
+    marked = one.withColumn("_m", let(zones, lambda z: F.transform(F.split("clean_text", "\n"), lambda x, i: mark(z, x, i))))
     count = lambda kind: F.size(F.filter("_m", lambda m: m["gone"] == kind))
     kept = F.array_join(F.transform(F.filter("_m", lambda m: m["gone"].isNull()), lambda m: m["line"]), "\n")
     return marked.withColumns(
         {"removed_header_lines": count("header"), "removed_footer_lines": count("footer"), "removed_page_numbers": count("number"), "clean_text": strip(F.regexp_replace(kept, r"\n{3,}", "\n\n"))}
-    ).drop("_top", "_bottom", "_full", "_ls", "_m")
+    ).drop("_top", "_bottom", "_m")
 
 
 def clean_pages(pages: DataFrame) -> DataFrame:
@@ -103,7 +104,7 @@ def assemble_documents(pages: DataFrame) -> DataFrame:
 
 def page_units(pages: DataFrame) -> DataFrame:
     """doc_id, page, start_char, end_char of each page in the assembled text; a book's pages are summed over in ranges, by their sizes alone."""
-    sizes = pages.where("clean_text <> ''").select("doc_id", F.col("page_index").alias("page"), F.length("clean_text").alias("_n"), (F.length("clean_text") + 2).cast("long").alias("_step"))
+    sizes = pages.select("doc_id", F.col("page_index").alias("page"), F.length("clean_text").alias("_n")).where("_n > 0").withColumn("_step", (F.col("_n") + 2).cast("long"))
     return sums_before(sizes, ["doc_id"], ["page"], "_step").select("doc_id", "page", F.col("before").alias("start_char"), (F.col("before") + F.col("_n")).alias("end_char"))
 
 

@@ -125,3 +125,16 @@ def test_chains(spark):
     edges = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").alias("at"), F.when(F.col("id") < 900, F.col("id") + 6).alias("to"))
     starts = spark.createDataFrame([(0, 4), (1, 999)], "k long, at long")
     assert sorted(tuple(r) for r in on_chain(edges, starts, ["k"]).collect()) == [(0, x) for x in range(4, 905, 6)] + [(1, 999)]
+
+
+def test_zones_are_made_once_a_page(spark):
+    from foliospark.operators import pages as P
+
+    rows = [(1, i, f"Book\nline {i}\nmore\n{i}\nlast words") for i in range(8)] + [(2, 0, "")]
+    raw = spark.createDataFrame(rows, "doc_id int, page_index int, raw_text string")
+    units = P.page_units(P.remove_running_lines(P.clean_page_text(raw).repartition(2), spark.createDataFrame([(1, "book", "top", 8)], "doc_id int, key string, place string, pages int")))
+    # the lines of a page are found outside the test of a line
+    text = P.remove_running_lines(spark.createDataFrame([(1, "a")], "doc_id int, clean_text string").repartition(2), spark.createDataFrame([(1, "book", "top", 8)], "doc_id int, key string, place string, pages int"))
+    assert text.where("clean_text <> ''").select("doc_id")._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
+    got = sorted(tuple(r) for r in units.collect())
+    assert [r[:3] for r in got][:2] == [(1, 0, 0), (1, 1, got[0][3] + 2)] and len(got) == 8
