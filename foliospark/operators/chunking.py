@@ -81,7 +81,7 @@ def section_atoms(docs: DataFrame, sections: DataFrame, target: int = 14000, lea
     Blank sections and excluded types are left out; a section is weak if its neighbours may take it.
     """
     kept = sections.where(~F.coalesce(F.col("type").isin(*excluded), F.lit(False))) if excluded else sections
-    texts = kept.join(docs.select("doc_id", "text"), "doc_id").withColumn("_t", F.substring(F.col("text"), F.col("start_char") + 1, F.col("end_char") - F.col("start_char")))
+    texts = kept.hint("merge").join(docs.select("doc_id", "text"), "doc_id").withColumn("_t", F.substring(F.col("text"), F.col("start_char") + 1, F.col("end_char") - F.col("start_char")))
     texts = texts.where(strip(F.col("_t")) != "").drop("text")
     order = Window.partitionBy("doc_id").orderBy("start_char", "end_char")
     unknown = (F.col("end_char") - F.col("start_char") <= least) & F.coalesce(F.lag("type").over(order) != "chapter", F.lit(True))
@@ -121,16 +121,16 @@ def pack_successors(atoms: DataFrame, target: int, least: int) -> DataFrame:
     after, on = order.rowsBetween(1, Window.unboundedFollowing), order.rowsBetween(0, Window.unboundedFollowing)
     firm = F.when(~(F.col("is_weak") & (F.col("end_char") - F.col("start_char") < least)), F.col("at"))
     told = atoms.withColumns({"_wall": F.min(F.when(F.col("wall"), F.col("at"))).over(after), "_firm": F.min(firm).over(on), "_firm_after": F.min(firm).over(after)})
-    near = told.join(places_up_to(atoms, (target, int(target * 1.5))), ["doc_id", "at"])
+    near = told.join(places_up_to(atoms, (target, int(target * 1.5))).hint("merge"), ["doc_id", "at"])
     over = F.greatest("n_0", F.col("at") + 1)
     have = F.when(F.col("n_0") > F.col("at"), F.col("end_0")).otherwise(F.col("end_char")) - F.col("start_char")
     near = near.select("doc_id", "at", "_wall", F.greatest("n_1", F.col("at") + 1).alias("_most"), over.alias("_over"), (have < least).alias("_small"))
     # beyond the target only small weak atoms join; the first of all may, if the chunk is small
     rest = told.select("doc_id", F.col("at").alias("_over"), "_firm", "_firm_after")
-    met = near.join(rest, ["doc_id", "_over"], "left")
+    met = near.join(rest.hint("merge"), ["doc_id", "_over"], "left")
     last = atoms.groupBy("doc_id").agg(F.max("at").alias("_last"))
     to = F.least("_wall", "_most", F.when(F.col("_small"), F.col("_firm_after")).otherwise(F.col("_firm")))
-    return met.join(last, "doc_id").select("doc_id", "at", F.when(to <= F.col("_last"), to).alias("to"))
+    return met.join(last.hint("merge"), "doc_id").select("doc_id", "at", F.when(to <= F.col("_last"), to).alias("to"))
 
 
 def pack_atoms(atoms: DataFrame, target: int = 14000, least: int = 3000) -> DataFrame:
@@ -150,7 +150,7 @@ def pack_atoms(atoms: DataFrame, target: int = 14000, least: int = 3000) -> Data
     placed = cut(atoms.withColumns({"at": F.row_number().over(place) - 1, "wall": F.coalesce(wall, F.lit(False))}))
     edges = pack_successors(placed.select("doc_id", "at", "start_char", "end_char", "is_weak", "wall"), target, least)
     firsts = on_chain(edges, placed.where("at = 0").select("doc_id", "at"), ["doc_id"]).withColumn("_first", F.lit(1))
-    numbered = cut(placed.join(firsts, ["doc_id", "at"], "left").withColumn("_pack", F.sum(F.coalesce("_first", F.lit(0))).over(doc.orderBy("at")).cast("int") - 1).drop("_first"))
+    numbered = cut(placed.join(firsts.hint("merge"), ["doc_id", "at"], "left").withColumn("_pack", F.sum(F.coalesce("_first", F.lit(0))).over(doc.orderBy("at")).cast("int") - 1).drop("_first"))
 
     packs = numbered.groupBy("doc_id", "_pack").agg(F.min("start_char").alias("_a"), F.max("end_char").alias("_b"), F.min_by("wall", "at").alias("_edge"))
     order = doc.orderBy("_pack")
@@ -160,7 +160,7 @@ def pack_atoms(atoms: DataFrame, target: int = 14000, least: int = 3000) -> Data
     packs = packs.withColumn("_takes", F.col("_may") & ((F.col("_pack") - run) % 2 == 1))
     own = ~F.coalesce(F.lag("_takes").over(order), F.lit(False))
     final = packs.withColumn("_own", own.cast("int")).select("doc_id", "_pack", (F.sum("_own").over(order) - 1).cast("int").alias("pack"))
-    return numbered.join(final, ["doc_id", "_pack"]).select(*atoms.columns, "pack")
+    return numbered.join(final.hint("merge"), ["doc_id", "_pack"]).select(*atoms.columns, "pack")
 
 
 def chunk_records(packed: DataFrame, docs: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def chunk_records(packed: DataFrame, docs: DataFrame) -> DataFrame:
         F.min("start_char").alias("start_char"), F.max("end_char").alias("end_char"), F.min_by("start_page", at).alias("start_page"), F.max_by("end_page", at).alias("end_page"),
     )
     text = strip(F.substring(F.col("text"), F.col("start_char") + 1, F.col("end_char") - F.col("start_char")))
-    full = ends.join(docs.select("doc_id", "text"), "doc_id").withColumn("text", text).where("text <> ''")
+    full = ends.hint("merge").join(docs.select("doc_id", "text"), "doc_id").withColumn("text", text).where("text <> ''")
     number = F.row_number().over(Window.partitionBy("doc_id").orderBy("start_char", "end_char")) - 1
     named = full.withColumn("chunk_index", number).withColumn("section_id", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.concat_ws("__", "_a", "_b")))
     return named.withColumn("chunk_id", F.concat_ws("_", F.lit("chunk"), "chunk_index", "start_char", "end_char")).select("doc_id", "chunk_index", "chunk_id", "section_id", "section_index", "start_char", "end_char", "start_page", "end_page", "text")
@@ -187,7 +187,7 @@ def chunk_stats(chunks: DataFrame, packed: DataFrame, target: int = 14000) -> Da
     )
     sizes = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("total_chunks"), F.avg(F.col("end_char") - F.col("start_char")).alias("avg_chunk_size"))
     ratio = F.when(F.col("weak_sections_total") > 0, F.col("weak_sections_absorbed") / F.col("weak_sections_total")).otherwise(0.0)
-    both = sizes.join(atoms, "doc_id").join(taken, "doc_id").withColumns({"avg_sections_per_chunk": F.col("_atoms") / F.col("total_chunks"), "weak_sections_absorbed_ratio": ratio, "hard_max_chunk_size": F.lit(int(target * 1.5))})
+    both = sizes.join(atoms.hint("merge"), "doc_id").join(taken.hint("merge"), "doc_id").withColumns({"avg_sections_per_chunk": F.col("_atoms") / F.col("total_chunks"), "weak_sections_absorbed_ratio": ratio, "hard_max_chunk_size": F.lit(int(target * 1.5))})
     return both.drop("_atoms")
 
 
@@ -236,7 +236,7 @@ def structure_quality(sections: DataFrame, stats: DataFrame, docs: DataFrame) ->
     one = sections.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("sections_generated"), share(kind == "unknown").alias("unknown_ratio"), share(kind.isin("chapter", "section", "appendix", "front_matter")).alias("chunk_useful_type_ratio"), share(index_like(F.col("label"))).alias("index_like_ratio")
     )
-    both = one.join(stats.select("doc_id", "heading_candidates", "classified_headings"), "doc_id").join(docs.select("doc_id", F.length("text").alias("_n")), "doc_id")
+    both = one.join(stats.select("doc_id", "heading_candidates", "classified_headings").hint("merge"), "doc_id").join(docs.select("doc_id", F.length("text").alias("_n")).hint("merge"), "doc_id")
     density = F.col("sections_generated") / F.greatest(F.lit(1.0), F.col("_n") / 10000.0)
     classified = F.col("classified_headings") / F.greatest(F.lit(1), F.col("heading_candidates"))
     soft = (density > 12.0).cast("int") + (F.col("chunk_useful_type_ratio") < 0.20).cast("int") + (classified < 0.10).cast("int")
@@ -252,9 +252,9 @@ def choose_chunking(quality: DataFrame, structural: DataFrame, windows: DataFram
     small = F.greatest(F.lit(400), F.lit(least // 2))
     s = structural.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_s"), F.avg((F.length("text") < small).cast("double")).alias("_small"))
     w = windows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_w"))
-    both = quality.join(s, "doc_id", "left").join(w, "doc_id", "left").na.fill(0, ["_s", "_w", "_small"]).withColumn("_bad", F.lit(False))
+    both = quality.join(s.hint("merge"), "doc_id", "left").join(w.hint("merge"), "doc_id", "left").na.fill(0, ["_s", "_w", "_small"]).withColumn("_bad", F.lit(False))
     if problems is not None:
-        both = both.drop("_bad").join(problems.select("doc_id").distinct().withColumn("_bad", F.lit(True)), "doc_id", "left")
+        both = both.drop("_bad").join(problems.select("doc_id").distinct().withColumn("_bad", F.lit(True)).hint("merge"), "doc_id", "left")
     reason = (
         F.when(F.col("_bad"), "structural_map_invalid").when(F.col("sections_generated") <= 1, "structural_map_insufficient_sections").when(F.col("reason").isNotNull(), F.col("reason"))
         .when(F.col("_s") > 1.75 * F.greatest("_w", F.lit(1)), "postcheck_chunk_count").when(F.col("_small") > 0.35, "postcheck_small_chunk_ratio")
@@ -268,9 +268,9 @@ def chosen_chunks(choice: DataFrame, structural: DataFrame, windows: DataFrame)
     Structural chunks keep their ids, windows are `legacy_chunk_<n>`.
     """
     mode = F.coalesce("mode", F.lit("legacy"))
-    first = structural.join(choice.where("mode = 'structural'").select("doc_id"), "doc_id", "left_semi")
+    first = structural.join(choice.where("mode = 'structural'").select("doc_id").hint("merge"), "doc_id", "left_semi")
     first = first.select("doc_id", F.lit("structural").alias("mode"), (F.col("chunk_index") + 1).alias("chunk_index"), "chunk_id", "section_id", "start_char", "end_char", "text")
-    other = windows.join(choice.select("doc_id", "mode"), "doc_id", "left").where(mode == "legacy")
+    other = windows.join(choice.select("doc_id", "mode").hint("merge"), "doc_id", "left").where(mode == "legacy")
     other = other.select("doc_id", F.lit("legacy").alias("mode"), "chunk_index", F.concat(F.lit("legacy_chunk_"), F.col("chunk_index").cast("string")).alias("chunk_id"), F.lit(None).cast("string").alias("section_id"), "start_char", "end_char", "text")
     return first.unionByName(other)
 

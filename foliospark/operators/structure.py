@@ -109,9 +109,9 @@ def segment_by_heading(headings: DataFrame, docs: DataFrame) -> DataFrame:
     """doc_id, heading_index (null before the first heading), start_char, end_char: gapless segments of texts that aren't empty."""
     length = docs.where("text <> ''").select("doc_id", F.length("text").alias("_n"))
     after = Window.partitionBy("doc_id").orderBy("start_char")
-    own = headings.join(length, "doc_id").select("doc_id", F.col("index").alias("heading_index"), "start_char", F.coalesce(F.lead("start_char").over(after), "_n").alias("end_char"))
+    own = headings.join(length.hint("merge"), "doc_id").select("doc_id", F.col("index").alias("heading_index"), "start_char", F.coalesce(F.lead("start_char").over(after), "_n").alias("end_char"))
     firsts = headings.groupBy("doc_id").agg(F.min("start_char").alias("_first"))
-    lead = length.join(firsts, "doc_id", "left").select("doc_id", F.lit(None).cast("int").alias("heading_index"), F.lit(0).alias("start_char"), F.coalesce("_first", "_n").alias("end_char"))
+    lead = length.join(firsts.hint("merge"), "doc_id", "left").select("doc_id", F.lit(None).cast("int").alias("heading_index"), F.lit(0).alias("start_char"), F.coalesce("_first", "_n").alias("end_char"))
     return own.unionByName(lead).where("end_char > start_char")
 
 
@@ -198,7 +198,7 @@ def promote_by_context(headings: DataFrame) -> DataFrame:
     begun = F.aggregate("m", F.array(F.lit(0)), lambda states, x: F.concat(states, F.array(F.call_function("shiftright", x["map"], F.element_at(states, -1) * 2).bitwiseAND(3))))
     starts = maps.select("doc_id", F.posexplode(begun).alias("blk", "state"))
     gone = F.aggregate("rows", F.array("state"), lambda states, r: F.concat(states, F.array(step_of(F.element_at(states, -1), r))))
-    done = blocks.join(starts, ["doc_id", "blk"]).withColumn("states", gone)
+    done = blocks.join(starts.hint("merge"), ["doc_id", "blk"]).withColumn("states", gone)
     # the state before a row says what its neighbours before it are
     out = done.select("doc_id", F.inline(F.arrays_zip("rows", F.slice("states", F.lit(1), F.size("rows")).alias("before")))).select("doc_id", "rows.*", "before")
     found = F.col("before").bitwiseAND(1) * F.col("near_1") + F.shiftright("before", 1) * F.col("near_2") + F.col("ahead")
@@ -214,14 +214,14 @@ def normalize_sections(segments: DataFrame, docs: DataFrame, max_size: int = 200
     length = docs.where("text <> ''").select("doc_id", F.length("text").alias("_n"))
     before = Window.partitionBy("doc_id").orderBy("start_char", "end_char").rowsBetween(Window.unboundedPreceding, -1)
     order = Window.partitionBy("doc_id").orderBy("start_char", "end_char")
-    cut = segments.join(length, "doc_id").withColumn("end_char", F.least("end_char", "_n"))
+    cut = segments.join(length.hint("merge"), "doc_id").withColumn("end_char", F.least("end_char", "_n"))
     cut = cut.withColumn("_cursor", F.coalesce(F.max("end_char").over(before), F.lit(0))).withColumn("start_char", F.greatest("start_char", "_cursor")).where("end_char > start_char")
     cut = cut.withColumn("_cursor", F.coalesce(F.max("end_char").over(before), F.lit(0)))
     own = cut.select("doc_id", "label", "type", "start_char", "end_char", "confidence")
     unknown = [F.lit("unknown").alias("label"), F.lit("unknown").alias("type")]
     gaps = cut.where("start_char > _cursor").select("doc_id", *unknown, F.col("_cursor").alias("start_char"), F.col("start_char").alias("end_char"), F.lit(0.0).alias("confidence"))
     ends = cut.groupBy("doc_id").agg(F.max("end_char").alias("_end"))
-    tails = length.join(ends, "doc_id", "left").select("doc_id", *unknown, F.coalesce("_end", F.lit(0)).alias("start_char"), F.col("_n").alias("end_char"), F.lit(0.0).alias("confidence")).where("end_char > start_char")
+    tails = length.join(ends.hint("merge"), "doc_id", "left").select("doc_id", *unknown, F.coalesce("_end", F.lit(0)).alias("start_char"), F.col("_n").alias("end_char"), F.lit(0.0).alias("confidence")).where("end_char > start_char")
     all_ = own.unionByName(gaps).unionByName(tails).withColumn("label", F.when(F.coalesce("label", F.lit("")) == "", "unknown").otherwise(F.col("label")))
     parts = all_.withColumn("_s", F.explode(F.sequence("start_char", F.col("end_char") - 1, F.lit(max_size))))
     parts = parts.withColumn("end_char", F.least(F.col("_s") + max_size, "end_char")).withColumn("start_char", F.col("_s")).drop("_s")
@@ -237,7 +237,7 @@ def build_document_map(docs: DataFrame, units: DataFrame | None = None, response
     paged = assign_pages(found, units) if units is not None else found.withColumn("page", F.lit(None).cast("long"))
     headings = cut(promote_by_context(paged))
     named = headings.select("doc_id", F.col("index").alias("heading_index"), F.col("text").alias("label"), "type", "confidence")
-    segments = segment_by_heading(headings, docs).join(named, ["doc_id", "heading_index"], "left")
+    segments = segment_by_heading(headings, docs).join(named.hint("merge"), ["doc_id", "heading_index"], "left")
     sections = normalize_sections(segments.drop("heading_index"), docs, max_size)
     if units is None:
         none = F.lit(None).cast("long")
@@ -250,7 +250,7 @@ def document_map_stats(headings: DataFrame, sections: DataFrame) -> DataFrame:
     """doc_id, heading_candidates, classified_headings, sections_generated, unknown_sections."""
     h = headings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("heading_candidates"), F.count("type").alias("classified_headings"))
     s = sections.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sections_generated"), F.count(F.when(F.col("type") == "unknown", 1)).alias("unknown_sections"))
-    return s.join(h, "doc_id", "left").na.fill(0, ["heading_candidates", "classified_headings"]).select("doc_id", "heading_candidates", "classified_headings", "sections_generated", "unknown_sections")
+    return s.join(h.hint("merge"), "doc_id", "left").na.fill(0, ["heading_candidates", "classified_headings"]).select("doc_id", "heading_candidates", "classified_headings", "sections_generated", "unknown_sections")
 
 
 def text_hash(text: Column) -> Column:
@@ -289,7 +289,7 @@ def clean_sections(sections: DataFrame) -> DataFrame:
 def validate_document_map(headings: DataFrame, sections: DataFrame, docs: DataFrame, max_size: int = 200_000, maps: DataFrame | None = None) -> DataFrame:
     """doc_id, rule, detail: what breaks the map's rules; no rows if it is sound. maps (doc_id, text_hash): the hashes that the maps were made with."""
     n = docs.select("doc_id", F.length("text").alias("_n"))
-    s, h = sections.join(n, "doc_id"), headings.join(n, "doc_id")
+    s, h = sections.join(n.hint("merge"), "doc_id"), headings.join(n.hint("merge"), "doc_id")
     order = Window.partitionBy("doc_id").orderBy("start_char", "section_index")
     seq = s.withColumns({"_no": F.row_number().over(order) - 1, "_before": F.lag("end_char", 1, 0).over(order)})
     last = s.groupBy("doc_id").agg(F.max_by("end_char", "start_char").alias("_end"), F.first("_n").alias("_n"))
@@ -307,10 +307,10 @@ def validate_document_map(headings: DataFrame, sections: DataFrame, docs: DataFr
         broken(seq, "section_label", "coalesce(label, '') = ''", "section_index"),
         broken(seq, "section_pages", "start_page > end_page", "section_index"),
         broken(last, "section_end", "_end <> _n", "_end"),
-        broken(n.join(sections.select("doc_id").distinct(), "doc_id", "left_anti"), "section_missing", "_n > 0", "_n"),
+        broken(n.join(sections.select("doc_id").distinct().hint("merge"), "doc_id", "left_anti"), "section_missing", "_n > 0", "_n"),
     ]
     if maps is not None:
-        hashed = docs.select("doc_id", text_hash(F.col("text")).alias("_own")).join(maps.select("doc_id", "text_hash"), "doc_id", "left")
+        hashed = docs.select("doc_id", text_hash(F.col("text")).alias("_own")).join(maps.select("doc_id", "text_hash").hint("merge"), "doc_id", "left")
         parts.append(broken(hashed, "text_hash", "text_hash IS NULL OR text_hash <> _own", "text_hash"))
     return reduce(DataFrame.unionByName, parts)
 

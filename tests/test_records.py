@@ -260,3 +260,18 @@ def test_words_and_items_are_made_once(spark):
     merged = procedural.merge_procedural_fields(items)
     assert "Union" not in plan(merged)
     assert sorted((r["field"], r["value"], tuple(r["at"])) for r in merged.collect()) == [("procedure_outputs", '{"text":"so be it"}', (3, 0)), ("procedure_steps", '{"order":2,"text":"go"}', (2, 0))]
+
+
+def test_chunk_places_are_not_broadcast(spark):
+    """Tables of a few short columns a piece look small in their files; joins of the packing shuffle them, and choosing does too."""
+    from foliospark.functions.pointers import on_chain
+
+    atoms = spark.createDataFrame([(d, i, i * 100, i * 100 + 100, False, False) for d in (1, 2) for i in range(9)], "doc_id int, at int, start_char int, end_char int, is_weak boolean, wall boolean")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    edges = K.pack_successors(atoms, 300, 100)
+    assert "BroadcastExchange" not in plan(edges)
+    assert sorted(tuple(r) for r in on_chain(edges, atoms.where("at = 0").select("doc_id", "at"), ["doc_id"]).collect()) == [(d, i) for d in (1, 2) for i in (0, 3, 6)]
+    quality = spark.createDataFrame([(1, 5, None)], "doc_id int, sections_generated int, reason string")
+    chunks = spark.createDataFrame([(1, "t" * 900)], "doc_id int, text string")
+    choice = K.choose_chunking(quality, chunks, chunks, 300, spark.createDataFrame([(2,)], "doc_id int"))
+    assert "BroadcastExchange" not in plan(choice) and [tuple(r) for r in choice.collect()] == [(1, "structural", None)]
