@@ -1,8 +1,12 @@
 """Steps whose work may not grow with copies of a text, with pairs or with hot keys."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from foliospark.operators import consolidation as B
+from foliospark.operators import explorer as E
 
 
 def counted(spark, monkeypatch, module, name):
@@ -20,3 +24,32 @@ def test_names_are_looked_for_once_in_each_text(spark, monkeypatch):
     found = B.naming(texts, spellings)
     assert {(r["name"], r["n"]) for r in found.groupBy("name").agg(F.count_distinct("doc_id").alias("n")).collect()} == {("ring kind", 300), ("kind", 300)}
     assert seen.value < 20
+
+
+def related_tables(spark, n_scopes, n_names, seed=0):
+    rng = random.Random(seed)
+    names = [f"n{i:02} é" if i % 5 else f"N{i:02}" for i in range(n_names)]
+    table = lambda rows, schema: spark.createDataFrame(rows, schema)
+    concepts = table([(d, n, [rng.choice("tuvwxyz") * 2 for _ in range(2)]) for d in range(n_scopes) for n in names[: n_names if d else n_names // 2]], "doc_id long, concept string, terminology array<string>")
+    up = table([(d, rng.choice(names[:5]), rng.choice(names)) for d in range(n_scopes) for _ in range(8)], "doc_id long, parent string, child string")
+    families = table([(d, rng.choice(names), rng.choice("fg")) for d in range(n_scopes) for _ in range(10)] + [(0, "n01 é", None), (None, "n02 é", "f")], "doc_id long, concept string, family_id string")
+    blocks = table([(d, rng.randrange(6), rng.choice(names)) for d in range(n_scopes) for _ in range(40)] + [(1, None, "n03 é"), (1, 2, None)], "doc_id long, block_index int, concept string")
+    return concepts, up, families, blocks
+
+
+@pytest.mark.parametrize("bound", [0, 120])
+def test_small_and_large_scopes_give_the_same_related_concepts(spark, monkeypatch, bound):
+    given = related_tables(spark, 4, 40)
+    rows = lambda: sorted(map(tuple, E.related_concepts(*given, limit=4).collect()))
+    want = rows()
+    monkeypatch.setattr(E, "SMALL_SCOPE", bound)
+    assert rows() == want and len(want) > 400
+
+
+def test_related_concepts_of_small_scopes_shuffle_no_pairs(spark, monkeypatch):
+    given = related_tables(spark, 3, 30)
+    written, own = [], E.cut
+    monkeypatch.setattr(E, "cut", lambda df: written.append(df) or own(df))
+    found = E.related_concepts(*given).collect()
+    lists = 3 * 30 * 4 + 3 * 100
+    assert len(found) > 600 and sum(df.count() for df in written) < lists
