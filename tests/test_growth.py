@@ -5,8 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from foliospark.functions.textnorm import surface
 from foliospark.operators import consolidation as B
 from foliospark.operators import explorer as E
+from foliospark.operators import frames as L
 
 
 def counted(spark, monkeypatch, module, name):
@@ -53,3 +55,20 @@ def test_related_concepts_of_small_scopes_shuffle_no_pairs(spark, monkeypatch):
     found = E.related_concepts(*given).collect()
     lists = 3 * 30 * 4 + 3 * 100
     assert len(found) > 600 and sum(df.count() for df in written) < lists
+
+
+def made(column, function):
+    return str(column).count(f"{function}(")
+
+
+def test_surfaces_of_a_frame_are_made_once(spark):
+    rule = F.col("r")
+    assert made(L.is_whole(rule), "lower") == 2
+    assert made(surface(F.col("t")), "regexp_replace") == 1
+
+
+def test_surfaces_are_the_same(spark):
+    odd = ["A-b  C", "--", "é x Y\x1f z-", "", None, "tab\tand\nline", " 9’s ÄÖ-ring . "]
+    plain = F.trim(F.regexp_replace(F.regexp_replace(F.replace(F.lower("t"), F.lit("-"), F.lit(" ")), r"[^a-z0-9\s]", " "), r"\s+", " "))
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").select(surface(F.col("t")).alias("a"), plain.alias("b")).collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows] and rows[0]["a"] == "a b c"
