@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.functions.textnorm import squeeze
+from foliospark.functions.textnorm import let, squeeze
 
 TEXTS = ("concepts", "definitions", "technical_rules", "procedures", "terminology", "relationships", "examples", "ambiguities")
 STRUCTS = {
@@ -70,8 +70,9 @@ def structs(name: str) -> Column:
 
 
 def first_by(items: Column, key: Callable[[Column], Column]) -> Column:
-    """The items whose key wasn't seen before."""
-    return F.filter(items, lambda x, i: F.array_position(F.transform(items, key), key(x)) == i + 1)
+    """The items whose key wasn't seen before; items and keys are made once."""
+    first = lambda xs, keys: F.filter(xs, lambda x, i: F.array_position(keys, F.get(keys, i)) == i + 1)
+    return let(items, lambda xs: let(F.transform(xs, key), lambda keys: first(xs, keys)))
 
 
 def dedupe_conservative(items: Column) -> Column:
@@ -86,7 +87,7 @@ def step_text(text: Column) -> Column:
 
 def step_id(order: Column, text: Column) -> Column:
     slug = F.substring(F.trim(F.regexp_replace(F.lower(step_text(text)), "[^a-z0-9]+", "-"), F.lit("-")), 1, 48)
-    return F.concat(F.lit("step-"), F.format_string("%03d", order), F.lit("-"), F.when(slug == "", "step").otherwise(slug))
+    return F.concat(F.lit("step-"), F.format_string("%03d", order), F.lit("-"), let(slug, lambda s: F.when(s == "", "step").otherwise(s)))
 
 
 def rule_of(item: Column) -> Column:
@@ -94,7 +95,10 @@ def rule_of(item: Column) -> Column:
 
     From the second form leading characters of `then ` and `entonces ` are taken off one by one.
     """
-    t = squeeze(item)
+    return let(squeeze(item), rule_of_squeezed)
+
+
+def rule_of_squeezed(t: Column) -> Column:
     none = F.array().cast("array<string>")
     full = F.regexp_extract(t, RULE, 2) != ""
     after = F.trim(F.ltrim(F.ltrim(F.trim(F.regexp_extract(t, r"^[^,]*,(.*)$", 1)), F.lit("then ")), F.lit("entonces ")))
@@ -117,8 +121,8 @@ def promote_linear_steps(records: DataFrame, words: Vocabulary = VOCABULARY) ->
     """Where there are no steps, texts that read as a procedure give theirs: two actions or more in a text."""
     head = lambda t: reduce(lambda x, pattern: F.regexp_replace(x, pattern, ""), words.linear_heads, F.rtrim(squeeze(t), F.lit(".")))
     parts = lambda t: F.filter(F.transform(F.split(head(t), words.linear_split), lambda p: F.regexp_replace(step_text(p), r"(?i)^and\s+", "")), lambda p: p.rlike(words.actions))
-    linear = lambda t: squeeze(t).rlike(words.linear_lead) | F.lower(squeeze(t)).rlike(words.linear_phrases)
-    found = F.flatten(F.transform(F.filter(F.concat(texts("procedures"), texts("technical_rules")), lambda t: linear(t) & (F.size(parts(t)) > 1)), parts))
+    linear = lambda t: let(squeeze(t), lambda s: s.rlike(words.linear_lead) | F.lower(s).rlike(words.linear_phrases))
+    found = F.flatten(F.filter(F.transform(F.filter(F.concat(texts("procedures"), texts("technical_rules")), linear), parts), lambda p: F.size(p) > 1))
     steps = F.transform(found, lambda t, i: F.struct(step_id(i + 1, t).alias("id"), (i + 1).alias("order"), t.alias("text")))
     return records.withColumn("procedure_steps", F.when(F.size(structs("procedure_steps")) == 0, steps).otherwise(structs("procedure_steps")))
 

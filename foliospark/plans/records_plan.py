@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliospark.operators import records as H
 from foliospark.operators import responses as G
-from foliospark.sources.tables import read_table
+from foliospark.sources.tables import read_table, spread
 
 
 def some(n: Column, items: Column) -> Column:
@@ -16,7 +16,7 @@ def some(n: Column, items: Column) -> Column:
 
 
 def records(spark: SparkSession, d: str) -> DataFrame:
-    p = read_table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    p = spread(read_table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size"))
     name, kind, brand = F.col("p_name"), F.col("p_type"), F.col("p_brand")
     line = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs])
     k = F.col("p_partkey")

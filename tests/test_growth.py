@@ -9,6 +9,8 @@ from foliospark.functions.textnorm import surface
 from foliospark.operators import consolidation as B
 from foliospark.operators import explorer as E
 from foliospark.operators import frames as L
+from foliospark.operators import records as H
+from foliospark.plans import records_plan as R
 
 
 def counted(spark, monkeypatch, module, name):
@@ -72,3 +74,14 @@ def test_surfaces_are_the_same(spark):
     plain = F.trim(F.regexp_replace(F.regexp_replace(F.replace(F.lower("t"), F.lit("-"), F.lit(" ")), r"[^a-z0-9\s]", " "), r"\s+", " "))
     rows = spark.createDataFrame([(t,) for t in odd], "t string").select(surface(F.col("t")).alias("a"), plain.alias("b")).collect()
     assert [r["a"] for r in rows] == [r["b"] for r in rows] and rows[0]["a"] == "a b c"
+
+
+def test_items_and_keys_of_records_are_made_once(spark):
+    assert made(H.first_by(F.col("x"), F.lower), "lower") == 1
+    assert made(H.dedupe_conservative(F.col("x")), "regexp_replace") == 1
+    row = spark.createDataFrame([(["b", " B ", None, "a", "", "A  c", "b", "a c"],)], "x array<string>")
+    assert row.select(H.dedupe_conservative(F.col("x"))).first()[0] == ["b", "a", "A c"]
+
+
+def test_records_are_spread_over_all_cores(spark):
+    assert R.records(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
