@@ -85,3 +85,16 @@ def test_items_and_keys_of_records_are_made_once(spark):
 
 def test_records_are_spread_over_all_cores(spark):
     assert R.records(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_buckets_of_concepts_of_one_row_are_made_in_it(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = ["to: a; type: contrast", "from: B ; to: c; type: Requires", "type: contrast", "told", "", None, "from: n1; to: a; type: opposite", "from: a; to: n1; type: use", "to: A;type: oppos"]
+    rows = [(d, f"n{i}" if i else None, [rng.choice(["a", "", "told", None]) for _ in range(2)] if i % 3 else None, rng.choices(texts, k=6) if i % 4 else None) for d in range(2) for i in range(8)]
+    concepts = spark.createDataFrame(rows, "doc_id long, concept string, related_concepts array<string>, relationships array<string>")
+    plain = lambda df: sorted((str(r["doc_id"]), str(r["concept"]), r["bucket"], str(r["counterparts"])) for r in df.collect())
+    want = plain(E.buckets_over_rows(concepts, ["doc_id"]))
+    twice = concepts.unionByName(concepts.where("concept = 'n2' OR concept IS NULL"))
+    assert plain(E.relation_buckets(twice)) == want and len(want) > 20
+    monkeypatch.setattr(E, "buckets_over_rows", None)
+    assert plain(E.relation_buckets(concepts)) == want
