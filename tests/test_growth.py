@@ -98,3 +98,12 @@ def test_buckets_of_concepts_of_one_row_are_made_in_it(spark, monkeypatch):
     assert plain(E.relation_buckets(twice)) == want and len(want) > 20
     monkeypatch.setattr(E, "buckets_over_rows", None)
     assert plain(E.relation_buckets(concepts)) == want
+
+
+def test_members_of_a_tree_are_made_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: seen.add(1) or x, "string").asNondeterministic()
+    members = spark.range(60).select(F.lit(1).alias("doc_id"), F.lit("f").alias("family_id"), count(F.col("id").cast("string")).alias("concept"))
+    edges = spark.range(59).select(F.lit(1).alias("doc_id"), F.col("id").cast("string").alias("parent"), (F.col("id") - F.col("id") % 10 + 10).cast("string").alias("child"))
+    found = E.family_tree(edges, members).collect()
+    assert len(found) == 60 and sum(r["ways"] for r in found) > 60 and seen.value == 60
