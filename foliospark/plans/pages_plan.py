@@ -183,7 +183,7 @@ def chosen_chunks(spark: SparkSession, d: str) -> DataFrame:
 def section_refs(spark: SparkSession, d: str) -> DataFrame:
     """Sections that overlap each window of the text, in long form."""
     docs = books(spark, d)
-    found = S.classify_headings(S.detect_headings(docs))
+    found = cut(S.classify_headings(S.detect_headings(docs)))
     named = found.select("doc_id", F.col("index").alias("heading_index"), F.col("text").alias("label"), F.coalesce("type", F.lit("unknown")).alias("type"))
     spans = S.segment_by_heading(found, docs).join(named, ["doc_id", "heading_index"]).withColumn("section_index", F.col("heading_index"))
     chunks = K.chunk_overlap(docs).select("doc_id", "chunk_index", "start_char", "end_char", F.lit(-1).alias("section_index"))

@@ -10,6 +10,7 @@ from foliospark.operators import consolidation as B
 from foliospark.operators import explorer as E
 from foliospark.operators import frames as L
 from foliospark.operators import records as H
+from foliospark.plans import pages_plan as G
 from foliospark.plans import records_plan as R
 
 
@@ -107,3 +108,10 @@ def test_members_of_a_tree_are_made_once(spark):
     edges = spark.range(59).select(F.lit(1).alias("doc_id"), F.col("id").cast("string").alias("parent"), (F.col("id") - F.col("id") % 10 + 10).cast("string").alias("child"))
     found = E.family_tree(edges, members).collect()
     assert len(found) == 60 and sum(r["ways"] for r in found) > 60 and seen.value == 60
+
+
+def test_headings_of_section_refs_are_found_once(spark, monkeypatch):
+    written, own = [], G.cut
+    monkeypatch.setattr(G, "cut", lambda df: written.append(df.columns) or own(df))
+    found = G.section_refs(spark, "/root/testdata/sf0.001")
+    assert ["pattern" in columns for columns in written] == [True] and "regexp_count" not in found._jdf.queryExecution().optimizedPlan().toString()
