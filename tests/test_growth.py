@@ -5,13 +5,17 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from foliospark.functions.pages import in_ranges, numbered
 from foliospark.functions.textnorm import surface
+from foliospark.operators import concepts as C
 from foliospark.operators import consolidation as B
 from foliospark.operators import explorer as E
 from foliospark.operators import frames as L
 from foliospark.operators import records as H
+from foliospark.plans import concepts_plan as Q
 from foliospark.plans import pages_plan as G
 from foliospark.plans import records_plan as R
+from foliospark.sources import tables as S
 
 
 def counted(spark, monkeypatch, module, name):
@@ -115,3 +119,22 @@ def test_headings_of_section_refs_are_found_once(spark, monkeypatch):
     monkeypatch.setattr(G, "cut", lambda df: written.append(df.columns) or own(df))
     found = G.section_refs(spark, "/root/testdata/sf0.001")
     assert ["pattern" in columns for columns in written] == [True] and "regexp_count" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_pages_are_made_once_and_dealt_by_their_number(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: seen.add(1) or x, "long").asNondeterministic()
+    rows = spark.range(100).select((F.col("id") % 3).alias("k"), count("id").alias("v"))
+    want = sorted(map(tuple, numbered(rows, ["k"], ["v"]).collect()))
+    assert seen.value == 100 and [r[2] for r in want if r[0] == 0] == list(range(34))
+    monkeypatch.setattr(S, "ROWS", 10)
+    assert in_ranges(rows, ["k"], ["v"]).select("_range").distinct().count() > 6
+    assert sorted(map(tuple, numbered(rows, ["k"], ["v"]).collect())) == want
+
+
+def test_pages_of_mentions_gather_no_chunks(spark):
+    plan = Q.mention_pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1 and "p_brand" not in plan
+    rows = [(1, ["b", "a", "b"]), (2, ["a", "", None]), (3, None)]
+    chunks = spark.createDataFrame(rows, "ordinal long, concepts array<string>")
+    assert sorted(map(tuple, C.mention_pages(chunks, (), 1).select("concept", "page", "rows").collect())) == [("a", 0, [1]), ("a", 1, [2]), ("b", 0, [1])]
