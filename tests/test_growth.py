@@ -138,3 +138,11 @@ def test_pages_of_mentions_gather_no_chunks(spark):
     rows = [(1, ["b", "a", "b"]), (2, ["a", "", None]), (3, None)]
     chunks = spark.createDataFrame(rows, "ordinal long, concepts array<string>")
     assert sorted(map(tuple, C.mention_pages(chunks, (), 1).select("concept", "page", "rows").collect())) == [("a", 0, [1]), ("a", 1, [2]), ("b", 0, [1])]
+
+
+def test_occurrences_are_dealt_by_their_number(spark, monkeypatch):
+    rows = lambda: sorted(map(tuple, Q.concept_index(spark, "/root/testdata/sf0.001").collect()))
+    want = rows()
+    monkeypatch.setattr(S, "ROWS", 500)
+    assert Q.occurrences(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 12
+    assert rows() == want
