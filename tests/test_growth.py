@@ -146,3 +146,10 @@ def test_occurrences_are_dealt_by_their_number(spark, monkeypatch):
     monkeypatch.setattr(S, "ROWS", 500)
     assert Q.occurrences(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 12
     assert rows() == want
+
+
+def test_structural_children_make_only_the_concepts_of_specs(spark):
+    plan = Q.structural_children(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan  # what the classes are made of is read from one table
+    made = [line for line in plan.splitlines() if "Aggregate [" in line]
+    assert made and plan.index("Aggregate [") < plan.index("LeftSemi")
