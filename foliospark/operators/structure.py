@@ -6,13 +6,18 @@ sections are ever shuffled, by doc_id. Offsets count code points from 0.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from foliospark.functions.lineage import cut
-from foliospark.functions.textnorm import any_of, is_title_case, let, lines_of, squeeze, strip
+from foliospark.functions.lineage import cut, small_batches
+from foliospark.functions.spans import taken
+from foliospark.functions.textnorm import any_of, is_title_case, lines_of, squeeze, strip
 
 MIN_SCORE = 0.55
 #: The patterns of headings, with their scores.
@@ -68,7 +73,8 @@ def heading_score(line: Column) -> Column:
     # a later rule has no higher score than an earlier one before the bonus, which is the same for all
     for name, pattern, base in reversed(RULES):
         found = F.when(line.rlike(pattern), F.struct(F.least(F.lit(1.0), base + bonus).alias("score"), F.lit(name).alias("pattern"))).otherwise(found)
-    return F.when((line == "") | (F.length(line) > 120) | looks_like_index_entry(line) | looks_like_toc_entry(line), best).otherwise(found)
+    fit = (line != "") & (F.length(line) <= 120) & (title | reduce(Column.__or__, [line.rlike(p) for _, p, _ in RULES]))
+    return F.when(~fit, best).when(looks_like_index_entry(line) | looks_like_toc_entry(line), best).otherwise(found)
 
 
 def explode_lines(docs: DataFrame) -> DataFrame:
@@ -77,16 +83,37 @@ def explode_lines(docs: DataFrame) -> DataFrame:
     return lines.select("doc_id", "line_no", "start_char", (F.col("start_char") + F.length("raw")).alias("end_char"), strip(F.col("raw")).alias("line"))
 
 
+def fit_lines(docs: DataFrame, most: int = 120) -> DataFrame:
+    """doc_id, start_char, end_char, text (stripped): the lines of 1 to `most` characters, found in one pass over a text's own row."""
+    kind = StructType([docs.schema["doc_id"], *[StructField(c, IntegerType()) for c in ("start_char", "end_char")], StructField("text", StringType())])
+
+    def lines(text: str) -> Iterator[tuple[int, int, str]]:
+        at = 0
+        while at <= len(text):
+            end = text.find("\n", at)
+            end = len(text) if end < 0 else end
+            line = text[at:end].strip()
+            if 0 < len(line) <= most:
+                yield at, end, line
+            at = end + 1
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = to_arrow_schema(kind)
+        for b in batches:
+            yield from taken([b.column(0)], ((i, *line) for i, text in enumerate(b.column(1)) for line in lines(text.as_py() or "")), target)
+
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(each, kind)
+
+
 def detect_headings(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """doc_id, index, text, start_char, end_char, score, pattern: the lines that score min_score or more, in order.
 
     Places are found in the text's own row, where long and blank lines are left out; lines are scored before anything is shuffled.
     """
-    fit = lambda raw: let(strip(raw), lambda x: (x != "") & (F.length(x) <= 120))
-    short = docs.select("doc_id", F.inline(lines_of(F.col("text"), fit))).withColumn("text", strip(F.col("raw")))
-    scored = short.withColumn("_s", heading_score(F.col("text"))).where(F.col("_s.score") >= min_score)
+    # the score is a generator's input: as a filter's test it becomes a method too long for the JVM to compile, and each line is scored by interpreted code
+    scored = fit_lines(docs).select("*", F.inline(F.transform(F.array("text"), heading_score))).where(F.col("score") >= min_score)
     order = Window.partitionBy("doc_id").orderBy("start_char")
-    found = scored.select("doc_id", "text", "start_char", (F.col("start_char") + F.length("raw")).alias("end_char"), F.bround("_s.score", 4).alias("score"), F.col("_s.pattern").alias("pattern"))
+    found = scored.select("doc_id", "text", "start_char", "end_char", F.bround("score", 4).alias("score"), "pattern")
     return found.withColumn("index", F.row_number().over(order) - 1).select("doc_id", "index", "text", "start_char", "end_char", "score", "pattern")
 
 
@@ -105,9 +132,15 @@ def assign_pages(spans: DataFrame, units: DataFrame, at: str = "start_char", nam
     return both.where("_kind = 1").select("_s.*", page.alias(name))
 
 
+def sizes_of(docs: DataFrame) -> DataFrame:
+    """doc_id, _n: the length of each text that isn't empty; docs may be such a table already."""
+    sizes = docs if "_n" in docs.columns else docs.select("doc_id", F.length("text").alias("_n"))
+    return sizes.where("_n > 0").select("doc_id", "_n")
+
+
 def segment_by_heading(headings: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id, heading_index (null before the first heading), start_char, end_char: gapless segments of texts that aren't empty."""
-    length = docs.where("text <> ''").select("doc_id", F.length("text").alias("_n"))
+    """doc_id, heading_index (null before the first heading), start_char, end_char: gapless segments of texts that aren't empty. docs: texts, or their sizes (sizes_of)."""
+    length = sizes_of(docs)
     after = Window.partitionBy("doc_id").orderBy("start_char")
     own = headings.join(length.hint("merge"), "doc_id").select("doc_id", F.col("index").alias("heading_index"), "start_char", F.coalesce(F.lead("start_char").over(after), "_n").alias("end_char"))
     firsts = headings.groupBy("doc_id").agg(F.min("start_char").alias("_first"))
@@ -209,9 +242,9 @@ def promote_by_context(headings: DataFrame) -> DataFrame:
 def normalize_sections(segments: DataFrame, docs: DataFrame, max_size: int = 200_000) -> DataFrame:
     """Sections that cover each text once: overlaps are cut at the furthest end before, gaps become unknown, large ones are divided.
 
-    segments: doc_id, label, type, start_char, end_char, confidence.
+    segments: doc_id, label, type, start_char, end_char, confidence. docs: texts, or their sizes (sizes_of).
     """
-    length = docs.where("text <> ''").select("doc_id", F.length("text").alias("_n"))
+    length = sizes_of(docs)
     before = Window.partitionBy("doc_id").orderBy("start_char", "end_char").rowsBetween(Window.unboundedPreceding, -1)
     order = Window.partitionBy("doc_id").orderBy("start_char", "end_char")
     cut = segments.join(length.hint("merge"), "doc_id").withColumn("end_char", F.least("end_char", "_n"))
@@ -237,8 +270,9 @@ def build_document_map(docs: DataFrame, units: DataFrame | None = None, response
     paged = assign_pages(found, units) if units is not None else found.withColumn("page", F.lit(None).cast("long"))
     headings = cut(promote_by_context(paged))
     named = headings.select("doc_id", F.col("index").alias("heading_index"), F.col("text").alias("label"), "type", "confidence")
-    segments = segment_by_heading(headings, docs).join(named.hint("merge"), ["doc_id", "heading_index"], "left")
-    sections = normalize_sections(segments.drop("heading_index"), docs, max_size)
+    sizes = cut(sizes_of(docs))  # read thrice, while texts are read for their lines and their sizes only
+    segments = segment_by_heading(headings, sizes).join(named.hint("merge"), ["doc_id", "heading_index"], "left")
+    sections = normalize_sections(segments.drop("heading_index"), sizes, max_size)
     if units is None:
         none = F.lit(None).cast("long")
         return headings, sections.withColumns({"start_page": none, "end_page": none})

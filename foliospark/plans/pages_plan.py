@@ -94,7 +94,7 @@ def page_spans(docs: DataFrame) -> DataFrame:
 def mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Texts, their headings and sections, with pages."""
     docs = books(spark, d)
-    return docs, *S.build_document_map(docs, page_spans(docs))
+    return docs, *S.build_document_map(docs, cut(page_spans(docs)))
 
 
 def document_map(spark: SparkSession, d: str) -> DataFrame:

@@ -12,6 +12,7 @@ from foliospark.operators import consolidation as B
 from foliospark.operators import explorer as E
 from foliospark.operators import frames as L
 from foliospark.operators import records as H
+from foliospark.operators import structure as T
 from foliospark.plans import concepts_plan as Q
 from foliospark.plans import pages_plan as G
 from foliospark.plans import records_plan as R
@@ -153,3 +154,15 @@ def test_structural_children_make_only_the_concepts_of_specs(spark):
     assert "l_orderkey" not in plan  # what the classes are made of is read from one table
     made = [line for line in plan.splitlines() if "Aggregate [" in line]
     assert made and plan.index("Aggregate [") < plan.index("LeftSemi")
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_scored_outside_of_filters(spark):
+    odd = ["", None, "CHAPTER 1 é\U0001f600\n\n\u2003 Two Words\x85\r\n" + "x" * 120 + "\n" + "y" * 121 + "\n \t\x1f\n" + " " * 200 + "Z 9\u3000\n", "\n"]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    own = T.explode_lines(docs).where(F.length("line") <= 120).select("doc_id", "start_char", "end_char", "line")
+    assert sorted(map(tuple, T.fit_lines(docs).collect())) == sorted(map(tuple, own.collect())) and own.count() == 4
+    assert not any("Filter" in line and "RLIKE" in line for line in optimized(T.detect_headings(docs)).splitlines())
