@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.lineage import cut
 from foliospark.functions.pointers import on_chain
+from foliospark.functions.spans import within_texts
 from foliospark.functions.textnorm import strip
 
 STRONG = ("chapter", "appendix", "bibliography", "index")
@@ -81,23 +82,22 @@ def section_atoms(docs: DataFrame, sections: DataFrame, target: int = 14000, lea
     Blank sections and excluded types are left out; a section is weak if its neighbours may take it.
     """
     kept = sections.where(~F.coalesce(F.col("type").isin(*excluded), F.lit(False))) if excluded else sections
-    texts = kept.hint("merge").join(docs.select("doc_id", "text"), "doc_id").withColumn("_t", F.substring(F.col("text"), F.col("start_char") + 1, F.col("end_char") - F.col("start_char")))
-    texts = texts.where(strip(F.col("_t")) != "").drop("text")
-    order = Window.partitionBy("doc_id").orderBy("start_char", "end_char")
-    unknown = (F.col("end_char") - F.col("start_char") <= least) & F.coalesce(F.lag("type").over(order) != "chapter", F.lit(True))
-    weak = F.when(F.col("type").isin(*STRONG), False).when(F.col("type") == "unknown", unknown).otherwise(True)
-
-    @F.pandas_udf("array<struct<a:int,b:int>>")
-    def parts(column: pd.Series) -> pd.Series:
-        return column.map(lambda t: [{"a": a, "b": b} for a, b in split_span(t, target, least, window)])
-
-    cut = texts.withColumn("is_weak", weak).withColumn("_p", parts("_t")).withColumn("n_parts", F.size("_p")).withColumn("_q", F.explode("_p"))
-    full = cut.where(strip(F.substring(F.col("_t"), F.col("_q.a") + 1, F.col("_q.b") - F.col("_q.a"))) != "")
-    return full.select(
-        "doc_id", F.col("id").alias("section_id"), "section_index", F.col("type").alias("section_type"), F.col("start_page").cast("long").alias("start_page"), F.col("end_page").cast("long").alias("end_page"),
-        "is_weak", "n_parts", (F.col("start_char") + F.col("_q.a")).alias("start_char"), (F.col("start_char") + F.col("_q.b")).alias("end_char"),
+    spans = kept.select(
+        "doc_id", "start_char", "end_char", F.col("id").alias("section_id"), "section_index", F.col("type").alias("section_type"), F.col("start_page").cast("long").alias("start_page"), F.col("end_page").cast("long").alias("end_page"),
     )
 
+    def atoms(text: str, rows: list[tuple]) -> Iterator[tuple]:
+        before = None
+        for k, (start, end, kind) in enumerate(rows):
+            piece = text[start:end]
+            if piece.strip():
+                weak = kind not in STRONG and (kind != "unknown" or (end - start <= least and before != "chapter"))
+                parts, before = split_span(piece, target, least, window), kind
+                yield from ((k, weak, len(parts), start + a, start + b) for a, b in parts if piece[a:b].strip())
+
+    full = within_texts(spans, docs, ("start_char", "end_char", "section_type"), atoms, "is_weak boolean, n_parts int, _a int, _b int")
+    return full.select("doc_id", "section_id", "section_index", "section_type", "start_page", "end_page", "is_weak", "n_parts", F.col("_a").alias("start_char"), F.col("_b").alias("end_char"))
+
 
 def places_up_to(atoms: DataFrame, reach: Sequence[int]) -> DataFrame:
     """doc_id, at, and for each i the number of atoms that end within reach[i] characters of atom at's start (n_i), and the end of the last one (end_i).
@@ -170,10 +170,13 @@ def chunk_records(packed: DataFrame, docs: DataFrame) -> DataFrame:
         F.min_by("section_id", at).alias("_a"), F.max_by("section_id", at).alias("_b"), F.min_by("section_index", at).alias("section_index"),
         F.min("start_char").alias("start_char"), F.max("end_char").alias("end_char"), F.min_by("start_page", at).alias("start_page"), F.max_by("end_page", at).alias("end_page"),
     )
-    text = strip(F.substring(F.col("text"), F.col("start_char") + 1, F.col("end_char") - F.col("start_char")))
-    full = ends.hint("merge").join(docs.select("doc_id", "text"), "doc_id").withColumn("text", text).where("text <> ''")
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("start_char", "end_char")) - 1
-    named = full.withColumn("chunk_index", number).withColumn("section_id", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.concat_ws("__", "_a", "_b")))
+
+    def texts(text: str, rows: list[tuple]) -> Iterator[tuple]:
+        full = ((k, piece) for k, (start, end) in enumerate(rows) if (piece := text[start:end].strip()))
+        return ((k, number, piece) for number, (k, piece) in enumerate(full))
+
+    full = within_texts(ends.drop("pack"), docs, ("start_char", "end_char"), texts, "chunk_index int, text string")
+    named = full.withColumn("section_id", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.concat_ws("__", "_a", "_b")))
     return named.withColumn("chunk_id", F.concat_ws("_", F.lit("chunk"), "chunk_index", "start_char", "end_char")).select("doc_id", "chunk_index", "chunk_id", "section_id", "section_index", "start_char", "end_char", "start_page", "end_page", "text")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.pages import in_ranges, numbered
 from foliospark.functions.textnorm import surface
+from foliospark.operators import chunking as K
 from foliospark.operators import concepts as C
 from foliospark.operators import consolidation as B
 from foliospark.operators import explorer as E
@@ -166,3 +167,15 @@ def test_lines_are_scored_outside_of_filters(spark):
     own = T.explode_lines(docs).where(F.length("line") <= 120).select("doc_id", "start_char", "end_char", "line")
     assert sorted(map(tuple, T.fit_lines(docs).collect())) == sorted(map(tuple, own.collect())) and own.count() == 4
     assert not any("Filter" in line and "RLIKE" in line for line in optimized(T.detect_headings(docs)).splitlines())
+
+
+def test_texts_of_chunks_are_cut_in_one_pass(spark):
+    docs = spark.createDataFrame([(0, "Ab é\U0001f600 cd. \n  \n ef"), (1, None), (2, "  "), (3, "x")], "doc_id long, text string")
+    packed = spark.createDataFrame([(0, 0, "a", 0, 0, 7, 1, 1), (0, 1, "b", 1, 10, 14, 1, 2), (0, 2, "b", 1, 14, 17, None, None), (1, 0, "a", 0, 0, 4, 1, 1), (2, 0, "a", 0, 0, 2, 1, 1)], "doc_id long, pack int, section_id string, section_index int, start_char int, end_char int, start_page long, end_page long")
+    chunks = K.chunk_records(packed, docs)
+    assert "substring(" not in optimized(chunks) and "Window" not in optimized(chunks)
+    assert sorted(map(tuple, chunks.select("doc_id", "chunk_index", "chunk_id", "section_id", "text").collect())) == [(0, 0, "chunk_0_0_7", "a", "Ab é\U0001f600 c"), (0, 1, "chunk_1_14_17", "b", "ef")]
+    sections = spark.createDataFrame([(0, i, f"section_{a}", k, a, b, 1, 1) for i, (k, a, b) in enumerate([("chapter", 0, 9), ("front_matter", 9, 14), ("unknown", 14, 17)])] + [(1, 0, "section_0", "unknown", 0, 3, 1, 1)], "doc_id long, section_index int, id string, type string, start_char int, end_char int, start_page long, end_page long")
+    atoms = K.section_atoms(docs, sections, 4, 3, 2)
+    assert "substring(" not in optimized(atoms)
+    assert sorted(map(tuple, atoms.select("doc_id", "section_index", "is_weak", "n_parts", "start_char", "end_char").collect())) == [(0, 0, False, 3, 0, 3), (0, 0, False, 3, 3, 6), (0, 0, False, 3, 6, 9), (0, 2, False, 1, 14, 17)]
