@@ -1,6 +1,7 @@
 """Steps whose work may not grow with copies of a text, with pairs or with hot keys."""
 
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from foliospark.operators import concepts as C
 from foliospark.operators import consolidation as B
 from foliospark.operators import explorer as E
 from foliospark.operators import frames as L
+from foliospark.operators import precheck as X
 from foliospark.operators import records as H
 from foliospark.operators import structure as T
 from foliospark.plans import concepts_plan as Q
@@ -179,3 +181,19 @@ def test_texts_of_chunks_are_cut_in_one_pass(spark):
     atoms = K.section_atoms(docs, sections, 4, 3, 2)
     assert "substring(" not in optimized(atoms)
     assert sorted(map(tuple, atoms.select("doc_id", "section_index", "is_weak", "n_parts", "start_char", "end_char").collect())) == [(0, 0, False, 3, 0, 3), (0, 0, False, 3, 3, 6), (0, 0, False, 3, 6, 9), (0, 2, False, 1, 14, 17)]
+
+
+def test_frequent_characters_are_counted_without_a_string_each(spark):
+    odd = [None, "", "Ab1 \u0663\U0001d7d9 \U0001d49cé\u3000\x85\x1c\u200b 9-9 §\n\tZ", "\U0001f600\U0001f600", "x:y: moon cat:  a long body here", "moon\u0130: short", "Step  one", "stepé two", "misstep one", "pp. 12-14, Kim, 1999 p3 \U0001d49c7 x7 7\U0001d49c ch. 5"]
+    chunks = spark.createDataFrame([(i, x, []) for i, x in enumerate(odd)], "doc_id long, text string, section_refs array<struct<label:string,type:string>>")
+    made = X.type_scores(X.chunk_signals(chunks))
+    assert made.columns == [*chunks.columns, "signals", "scores"]
+    assert not any(f", {p}, 0)" in optimized(made) for p in ("[A-Za-z]", r"\p{Nd}"))
+    assert X.HELD["find"] in optimized(made)
+    space = set(" \t\n\x0b\f\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") | set(map(chr, (*range(0x2000, 0x200B), *range(0x1C, 0x20))))
+    for i, s, scores in made.orderBy("doc_id").select("doc_id", "signals", "scores").collect():
+        x, n = odd[i] or "", max(1, len(odd[i] or ""))
+        letters, digits, spaces = sum(c.isascii() and c.isalpha() for c in x), sum(unicodedata.category(c) == "Nd" for c in x), sum(c in space for c in x)
+        assert (s.letter_ratio, s.digit_ratio, s.symbol_ratio) == (letters / n, digits / n, (len(x) - letters - digits - spaces) / n)
+        assert round(s.citation_locator_density * max(1, s.word_count)) == {2: 1, 9: 6}.get(i, 0)
+        assert (scores.glossary, scores.exercises) == ({4: 0.2}.get(i, 0.0), {6: 0.65, 7: 0.45, 8: 0.45}.get(i, 0.0))
