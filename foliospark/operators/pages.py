@@ -18,6 +18,8 @@ HYPHEN = rf"([{LETTERS}])-\s*\n\s*([{LETTERS}])"
 #: A newline inside a paragraph, after a line that doesn't end a sentence and before one that goes on.
 WRAP = r"([^.!?;:\n])\n(?=[a-zà-öø-ÿ0-9(\[{\"'“‘])"
 ZONE_DEPTH, MIN_REPEATS = 3, 5
+#: Groups that a book's pages are dealt to, each with a copy of the book's running lines.
+SHARES = 16
 
 
 def normalize_page_text(text: Column) -> Column:
@@ -70,9 +72,14 @@ def detect_running_lines(pages: DataFrame, zone_depth: int = ZONE_DEPTH, min_rep
 
 
 def remove_running_lines(pages: DataFrame, keys: DataFrame, zone_depth: int = ZONE_DEPTH) -> DataFrame:
-    """pages without running lines in their zones and without page numbers, with the counts of each."""
+    """pages without running lines in their zones and without page numbers, with the counts of each.
+
+    A book's pages, with their text, don't meet in one task: they are dealt to SHARES groups by their number and text.
+    """
     sets = keys.groupBy("doc_id").agg(*[F.collect_set(F.when(F.col("place") == p, F.col("key"))).alias(f"_{p}") for p in ("top", "bottom")])
-    one = pages.join(sets, "doc_id", "left")
+    dealt = F.pmod(F.xxhash64(*[c for c in ("page_index", "clean_text") if c in pages.columns]), F.lit(SHARES)).cast("int")
+    shares = sets.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    one = pages.withColumn("_share", dealt).join(shares, ["doc_id", "_share"], "left").drop("_share")
     none = F.array().cast("array<string>")
 
     def mark(z: Column, x: Column, i: Column) -> Column:
@@ -110,7 +117,8 @@ def page_units(pages: DataFrame) -> DataFrame:
 
 def extraction_diagnostics(pages: DataFrame) -> DataFrame:
     """One row a document: the sums of the page rules' counts, densities, and why it can't be used (the first reason)."""
-    size, alpha = F.length("clean_text"), F.regexp_count("clean_text", F.lit(f"[{LETTERS}]"))
+    size = F.length("clean_text")
+    alpha = size - F.length(F.regexp_replace("clean_text", f"[{LETTERS}]+", ""))  # runs are deleted: a match each would be a string each
     counts = ("dehyphenation_count", "line_merge_count", "removed_header_lines", "removed_footer_lines", "removed_page_numbers")
     sums = pages.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("page_count"), F.sum((F.col("clean_text") == "").cast("long")).alias("empty_page_count"), F.sum(F.length("raw_text")).alias("raw_char_count"), F.sum(size).alias("clean_char_count"),

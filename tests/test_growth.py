@@ -13,6 +13,7 @@ from foliospark.operators import concepts as C
 from foliospark.operators import consolidation as B
 from foliospark.operators import explorer as E
 from foliospark.operators import frames as L
+from foliospark.operators import pages as P
 from foliospark.operators import precheck as X
 from foliospark.operators import records as H
 from foliospark.operators import structure as T
@@ -197,3 +198,18 @@ def test_frequent_characters_are_counted_without_a_string_each(spark):
         assert (s.letter_ratio, s.digit_ratio, s.symbol_ratio) == (letters / n, digits / n, (len(x) - letters - digits - spaces) / n)
         assert round(s.citation_locator_density * max(1, s.word_count)) == {2: 1, 9: 6}.get(i, 0)
         assert (scores.glossary, scores.exercises) == ({4: 0.2}.get(i, 0.0), {6: 0.65, 7: 0.45, 8: 0.45}.get(i, 0.0))
+
+
+def test_pages_of_a_book_are_dealt_to_groups(spark):
+    line = "AÀÖ×Øö÷øÿ9 \U0001d49cé\u0100 z"
+    rows = [(1, i, f"Book\n{line}\n{i}") for i in range(40)] + [(1, 40, ""), (1, 41, "Book"), (2, 0, "Book\nb"), (None, 0, "Book\nc")]
+    pages = spark.createDataFrame([(*r, r[2], 0, 0) for r in rows], "doc_id int, page_index int, clean_text string, raw_text string, dehyphenation_count int, line_merge_count int")
+    done = P.remove_running_lines(pages, spark.createDataFrame([(1, "book", "top", 41)], "doc_id int, key string, place string, pages int"))
+    joins = [x for x in optimized(done).splitlines() if "Join LeftOuter" in x]
+    assert joins and "_share" in joins[0] and done.columns == [*pages.columns, "removed_header_lines", "removed_footer_lines", "removed_page_numbers"]
+    got = {(r.doc_id, r.page_index): (r.clean_text, r.removed_header_lines, r.removed_page_numbers) for r in done.collect()}
+    assert got == {(1, i): (line, 1, 1) for i in range(40)} | {(1, 40): ("", 0, 0), (1, 41): ("", 1, 0), (2, 0): ("Book\nb", 0, 0), (None, 0): ("Book\nc", 0, 0)}
+    sums = P.extraction_diagnostics(done)
+    assert "regexp_extract_all" not in optimized(sums)
+    r = sums.where("doc_id = 1").first()
+    assert (r.page_count, r.empty_page_count, r.removed_header_lines, r.clean_char_count, r.alpha_density) == (42, 2, 41, 40 * 16, 9 / 16)
