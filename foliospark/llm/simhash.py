@@ -114,7 +114,8 @@ def near_links(prints: DataFrame, segments: int = SEGMENTS, crowd: int = CROWD)
     balls = F.array(*[F.struct(F.lit(i).alias("segment"), half_ball(v, width, radius).alias("ball")) for i, (width, v) in enumerate(cuts)])
     probes = one.select("fp", F.inline(balls)).select("fp", "segment", F.explode("ball").alias("value"))
     near = F.col("other").isNull() | ((F.col("fp") != F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= DISTANCE))
-    met = cut(probes.join(buckets, ["segment", "value"]).where(near).select("fp", "other").distinct())
+    # the exploded sides are many times the fingerprints that Spark takes them for: they are shuffled, none comes to the driver
+    met = cut(probes.hint("merge").join(buckets.hint("merge"), ["segment", "value"]).where(near).select("fp", "other").distinct())
     crowded = met.where("other IS NULL").select("fp")
     return met.where("other IS NOT NULL").select(F.col("fp").alias("a"), F.col("other").alias("b")).unionByName(crowded_links(crowded)).distinct()
 
