@@ -60,7 +60,8 @@ def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
 def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
     """rows whose keys occur twice or more, with their rank r in the order of the keys, instead of the keys."""
     names = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n").orderBy(*keys)
-    return rows.join(cut(names.withColumn("r", F.monotonically_increasing_id())), keys).drop(*keys)
+    # ranks and places are far shorter in files than in memory: joins of them are shuffled, none comes to the driver
+    return rows.hint("merge").join(cut(names.withColumn("r", F.monotonically_increasing_id())), keys).drop(*keys)
 
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -73,20 +74,20 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     named = lines.where("fore = 1").select(*where, F.col("j").alias("s"), F.lit(1).alias("m"), F.col("r").alias("r1"), F.col("r").alias("r2"))
     while 2 * size <= min_words:
         after = level.select(*where, (F.col("j") - size).alias("j"), F.col("r").alias("r2"))
-        level = cut(ranked(level.withColumnRenamed("r", "r1").join(after, [*where, "j"]), ["r1", "r2"]))
+        level = cut(ranked(level.withColumnRenamed("r", "r1").hint("merge").join(after, [*where, "j"]), ["r1", "r2"]))
         if level.isEmpty():
             break
         size *= 2
         first = level.select(*where, F.col("j").alias("s"), F.col("r").alias("r1"))
         last = level.select(*where, F.col("j").alias("e"), F.col("r").alias("r2"))
         here = parts.where((F.col("m") >= size) & (F.col("m") < 2 * size)).distinct().withColumn("e", F.col("s") + F.col("m") - size)
-        named = named.unionByName(here.join(first, [*where, "s"]).join(last, [*where, "e"]).select(*where, "s", "m", "r1", "r2"))
+        named = named.unionByName(here.hint("merge").join(first, [*where, "s"]).hint("merge").join(last, [*where, "e"]).select(*where, "s", "m", "r1", "r2"))
     named = cut(named)
     place = F.struct(*where, "s")
     earliest = named.groupBy("m", "r1", "r2").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first")).where("_n > 1").drop("_n")
-    gone = named.join(earliest, ["m", "r1", "r2"]).where(place > F.col("_first"))
+    gone = named.hint("merge").join(earliest, ["m", "r1", "r2"]).where(place > F.col("_first"))
     covered = gone.select(*where, F.explode(F.sequence("s", F.col("s") + F.col("m") - 1)).alias("j")).distinct()
-    return covered.join(lines.select(*where, "j", "no"), [*where, "j"]).select(*where, "no").distinct()
+    return covered.hint("merge").join(lines.select(*where, "j", "no"), [*where, "j"]).select(*where, "no").distinct()
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, deleted: str | None = "deleted") -> DataFrame:

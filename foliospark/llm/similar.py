@@ -108,7 +108,7 @@ def links_of_blocks(members: DataFrame, texts: DataFrame, width: int, least: flo
     other = packed.select("band", "key", F.col("block").alias("other"), F.col("x").alias("y"))
     # by block, so that a large bucket's meetings are spread
     dealt_to = packed.withColumn("other", F.explode(F.sequence(F.col("block"), (F.ceil(F.col("n") / block) - 1).cast("int"))))
-    meet = dealt_to.join(other, ["band", "key", "other"]).select("x", F.when(F.col("block") != F.col("other"), F.col("y")).alias("y"))
+    meet = dealt_to.hint("merge").join(other, ["band", "key", "other"]).select("x", F.when(F.col("block") != F.col("other"), F.col("y")).alias("y"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +174,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, least: float = LEAST, ba
     simhashed = same.unionByName(close.select(F.col("na").alias("a"), F.col("nb").alias("b")))
     entries = single.select("node", F.posexplode("keys").alias("band", "key"))
     shared = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1").drop("n")
-    met = cut(entries.join(shared, ["band", "key"]))
+    met = cut(entries.hint("merge").join(shared, ["band", "key"]))
     simhashed = cut(simhashed.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     reached = met.select("node").unionByName(simhashed.select(F.col("a").alias("node"))).unionByName(simhashed.select(F.col("b").alias("node")))
     ids = reached.distinct().join(single.drop("keys", "fp"), "node")
@@ -189,7 +189,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, least: float = LEAST, ba
     open_ = cut(named.join(mixed, ["band", "key"]))
     # small buckets in pairs, of which many buckets share one; large ones in blocks
     one, two = (open_.where(F.col("n") <= PAIRED).select("band", "key", F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in ("a", "b"))
-    rest = one.join(two, ["band", "key"]).where("a > b AND ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    rest = one.hint("merge").join(two, ["band", "key"]).where("a > b AND ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
     more = cut(verified(rest, texts, width, least).unionByName(links_of_blocks(open_.where(F.col("n") > PAIRED), texts, width, least)).distinct())
     if not more.isEmpty():
         found = connected_components(links.unionByName(more))

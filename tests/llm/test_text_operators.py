@@ -142,7 +142,41 @@ def test_texts_that_share_an_id_stay(spark):
     assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(7, one), (7, two)])
 
 
+def plans_of(monkeypatch, module):
+    """The plans of what a module writes, as they come."""
+    seen, own = [], module.cut
+    monkeypatch.setattr(module, "cut", lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or own(df))
+    return seen
+
+
+def test_balls_of_fingerprints_never_meet_on_the_driver(spark, monkeypatch):
+    plans = plans_of(monkeypatch, simhash)
+    table = simhash.cut(spark.createDataFrame([(1 << k,) for k in range(60)], "fp long"))
+    simhash.near_links(table).count()
+    # the join of what is exploded on both sides
+    met = [p for p in plans if p.count("Generate") >= 2 and "bit_count" in p]
+    assert len(met) == 1 and met[0].index("SortMergeJoin") < met[0].index("Generate")
+
+
 # near copies by similarity
+def test_bands_of_texts_never_meet_on_the_driver(spark, monkeypatch):
+    rng = random.Random(9)
+    base = prose(rng, 80).split()
+    rows = [(i, " ".join(base[: 80 - i % 12])) for i in range(60)] + [(100 + i, prose(rng, 30)) for i in range(20)]
+    plans = plans_of(monkeypatch, similar)
+    assert similar.drop_similar(docs(spark, rows)).count() >= 21
+    met = [p for p in plans if "Generate posexplode" in p]
+    assert met and all("SortMergeJoin" in p[: p.index("Generate posexplode")] and "BroadcastExchange" not in p for p in met)
+
+
+def test_lines_and_ranks_never_meet_on_the_driver(spark, monkeypatch):
+    lines = [f"{w} one two three four five six" for w in WORDS]
+    plans = plans_of(monkeypatch, line_dedup)
+    left = line_dedup.dedup_lines(docs(spark, [(1, "\n".join(lines)), (2, "\n".join(["x", *lines])), (3, "y")])).orderBy("doc_id").collect()
+    assert [r["text"] for r in left] == ["\n".join(lines), "x", "y"]
+    assert sum("SortMergeJoin" in p for p in plans) >= 4 and not any("BroadcastExchange" in p for p in plans)
+
+
 def test_similar_texts_go(spark, tmp_path):
     rng = random.Random(12)
     rows = [r for r in ODD if r[1] and r[1].strip()] + [(20, "two words"), (21, "Two  WORDS"), (22, "other words")]
