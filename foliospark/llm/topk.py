@@ -105,8 +105,11 @@ def met_block(q_rows: np.ndarray, q: np.ndarray, rows: np.ndarray, cells: np.nda
 
 
 def scan(blocks: DataFrame, queries: DataFrame, n_blocks: int, step: np.ndarray, k: int) -> DataFrame:
-    """query, row, near, slack of the vectors that pass the scan."""
-    meet = blocks.join(queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))), "block").select("file", "asked")
+    """query, row, near, slack of the vectors that pass the scan.
+
+    Queries are copied to all blocks, but Spark takes them for one copy: both sides are shuffled, so that the copies never meet on the driver.
+    """
+    meet = blocks.hint("merge").join(queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))), "block").select("file", "asked")
     names = ["query", "row", "near", "slack"]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +160,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     left = cut(seen.join(kth, "query", "left").where(F.col("reach").isNull() | (F.col("near") >= F.col("reach"))).select("query", "row", "near", "slack", "nth"))
 
     query = rows.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("v").alias("one"))
-    with_vectors = lambda some: products(some.withColumnRenamed("query", "query_row").join(query, "query_row").join(offered.withColumnRenamed("v", "two"), "row").select("query_row", "query_id", "row", "vec_id", "one", "two"))
+    # whole numbers are far shorter in a file than in memory, so vectors are shuffled
+    with_vectors = lambda some: products(some.withColumnRenamed("query", "query_row").join(query.hint("merge"), "query_row").join(offered.withColumnRenamed("v", "two").hint("merge"), "row").select("query_row", "query_id", "row", "vec_id", "one", "two"))
     first = cut(with_vectors(left.where(F.col("nth") <= k)))
     # the kth exact score in the query's units: a vector read scores within its slack of near, the others within theirs
     exact = first.join(left.select(F.col("query").alias("query_row"), "row", "near", "slack"), ["query_row", "row"])
