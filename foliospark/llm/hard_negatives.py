@@ -53,9 +53,19 @@ def unit_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return scaled / np.maximum(length, 1e-300), (top * length)[:, 0]
 
 
+def sampled(rows: DataFrame, n: int) -> list[list[float]]:
+    """The vectors of the first n rows by hash of id. Each part's first n rows come to the driver as hashes and numbers only; of the vectors just those that are picked do."""
+    keyed = rows.select(F.xxhash64("vec_id", "row").alias("_h"), "row", "v")
+    last = keyed.select("_h", "row").orderBy("_h", "row").limit(n).agg(F.max(F.struct("_h", "row")).alias("k")).first()["k"]
+    if last is None:
+        return []
+    picked = keyed.where((F.col("_h") < last["_h"]) | ((F.col("_h") == last["_h"]) & (F.col("row") <= last["row"])))
+    return [r["v"] for r in sorted(picked.collect(), key=lambda r: (r["_h"], r["row"]))]
+
+
 def references(rows: DataFrame, width: int, n: int = REFERENCES) -> np.ndarray:
     """Unit directions, at most n: means of groups of a bounded sample by hash of id."""
-    sample = padded([r["v"] for r in rows.select("v").orderBy(F.xxhash64("vec_id", "row"), "row").limit(SAMPLE).collect()], width)
+    sample = padded(sampled(rows, SAMPLE), width)
     x = unit_rows(sample)[0] if len(sample) else np.zeros((1, width))
     means = x[:: max(1, len(x) // n)][:n]
     for _ in range(ROUNDS):
@@ -226,8 +236,9 @@ def mine(vectors: DataFrame, is_anchor: Column, n_positive: int = 5, n_negative:
                 a, f = (Rows(struct_array(b.column(c), i), width, n_angles) for c in (0, 1))
                 yield pairs(near_rows(a, f, n_positive), ["anchor", "anchor_id", "row", "vec_id", "score"])
 
+    # anchors are copied to blocks, but Spark takes them for one copy: the joins with the file are shuffled, so that the copies never meet on the driver
     by_group = asked.groupBy("grp", "part").agg(packed().alias("asked"))
-    met = by_group.withColumn("blk", F.explode(F.sequence(pick(first), pick(first) + pick(n_parts) - 1))).join(file, "blk").select("asked", "file")
+    met = by_group.withColumn("blk", F.explode(F.sequence(pick(first), pick(first) + pick(n_parts) - 1))).join(file.hint("merge"), "blk").select("asked", "file")
     ranked = short_batches(met).mapInArrow(positives_of, "anchor long, anchor_id long, row long, vec_id long, score long")
     positives = cut(ranked.withColumn("nth", F.row_number().over(Window.partitionBy("anchor").orderBy(F.desc("score"), "vec_id", "row"))).where(F.col("nth") <= n_positive))
 
@@ -240,7 +251,7 @@ def mine(vectors: DataFrame, is_anchor: Column, n_positive: int = 5, n_negative:
 
     own = positives.groupBy(F.col("anchor").alias("row")).agg(F.collect_list(F.struct("row", "score")).alias("positives"))
     whole = asked.join(own, "row").groupBy("part").agg(F.collect_list(F.struct("row", "vec_id", "label", "norm", "angles", "v", "positives")).alias("asked"))
-    every = whole.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(total - 1)))).join(file, "blk").select("asked", "file")
+    every = whole.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(total - 1)))).join(file.hint("merge"), "blk").select("asked", "file")
     hits = short_batches(every).mapInArrow(negatives_of, "anchor long, positive long, row long, vec_id long, score long")
     order = Window.partitionBy("anchor", "positive").orderBy(F.desc("score"), "vec_id", "row")
     top = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n_negative)

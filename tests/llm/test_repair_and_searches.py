@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foliospark.llm import conversation_repair as C
 from foliospark.llm import hard_negatives as H
+from foliospark.llm import topk as K
 from foliospark.llm import tree_search as T
 
 ROWS = "conv_id long, turn long, role string, text string"
@@ -154,6 +155,36 @@ def test_hard_negatives_equal_plain_search(spark, monkeypatch, block, anchors, s
     assert got == want and (want or scale > 1)
 
 
+def plans_of(monkeypatch, module, name):
+    """The plans of the rows that module.name gets, as they come."""
+    seen, own = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or own(df))
+    return seen
+
+
+def test_copies_of_queries_never_meet_on_the_driver(spark, monkeypatch):
+    rows = [r for r in vectors(spark) if r[0] is not None]
+    plans = plans_of(monkeypatch, K, "short_batches")
+    found = K.top_k(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 5 == 0, 3)
+    copied = [p for p in plans if "Generate explode(" in p]
+    assert found.count() > 100 and len(copied) == 1 and "BroadcastExchange" not in copied[0]
+
+
+def test_copies_of_anchors_never_meet_on_the_driver(spark, monkeypatch):
+    rows = vectors(spark)
+    plans = plans_of(monkeypatch, H, "short_batches")
+    found = H.mine(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 5 == 0)
+    # the copies are made last, above joins of one copy
+    copied = [p for p in plans if "Generate explode(" in p]
+    assert found.count() > 100 and len(copied) == 2 and all(p.index("SortMergeJoin") < p.index("Generate explode(") and "BroadcastExchange" not in p[: p.index("Generate explode(")] for p in copied)
+
+
+def test_the_sample_is_the_first_rows_by_hash(spark):
+    rows = spark.range(0, 500, 1, 7).select((F.col("id") % 90).alias("vec_id"), F.col("id").alias("row"), F.array(F.col("id").cast("double")).alias("v"))
+    want = [r["v"] for r in rows.orderBy(F.xxhash64("vec_id", "row"), "row").limit(40).collect()]
+    assert H.sampled(rows, 40) == want and len(H.sampled(rows, 600)) == 500 and H.sampled(rows.limit(0), 40) == []
+
+
 def test_score_bounds_hold():
     rng = np.random.default_rng(1)
     a, b = np.floor(rng.normal(size=(20, 5)) * 256), np.floor(rng.normal(size=(60, 5)) * 256)
