@@ -17,7 +17,9 @@ from foliospark.operators import pages as P
 from foliospark.operators import precheck as X
 from foliospark.operators import records as H
 from foliospark.operators import structure as T
+from foliospark.operators import taxonomy as Y
 from foliospark.plans import concepts_plan as Q
+from foliospark.plans import pages_of_concepts_plan as O
 from foliospark.plans import pages_plan as G
 from foliospark.plans import records_plan as R
 from foliospark.sources import tables as S
@@ -213,3 +215,38 @@ def test_pages_of_a_book_are_dealt_to_groups(spark):
     assert "regexp_extract_all" not in optimized(sums)
     r = sums.where("doc_id = 1").first()
     assert (r.page_count, r.empty_page_count, r.removed_header_lines, r.clean_char_count, r.alpha_density) == (42, 2, 41, 40 * 16, 9 / 16)
+
+
+def test_runs_that_no_concept_has_are_not_shuffled(spark, monkeypatch):
+    kind = "doc_id long, concept string, definitions array<string>, relationships array<string>, terminology array<string>, source_chunks array<long>"
+    rows = [(1, "types of ring", [], ["types of ring include red ring and more words of no concept", "no marker red ring"], [], [1]), (1, "red ring", [], [], [], [1]), (2, "types of ring", [], ["Types of ring include Red-Ring, RED RING"], [], [2]), (2, "red ring", [], [], [], [2]), (None, "red ring", [], [], [], [3])]
+    concepts = spark.createDataFrame(rows, kind)
+    want = [(1, "types of ring", "red ring", 0, [1]), (2, "types of ring", "red ring", 0, [2])]
+    of = lambda df: sorted(map(tuple, df.select("doc_id", "parent", "child", "at", "source_chunks").collect()))
+    few = Y.relationship_candidates(concepts)
+    assert of(few) == want
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    # the runs meet the names that are there before they are dealt out
+    assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning(doc_id") < plan.index("LeftSemi") < plan.index("Generate explode(")
+    monkeypatch.setattr(Y, "SMALL_CATALOG", 0)
+    assert of(Y.relationship_candidates(concepts)) == want
+
+
+@pytest.mark.parametrize("query", [Q.ontology_edges, Q.ontology_nodes, O.compared_taxonomies])
+def test_classes_are_written_once(spark, monkeypatch, query):
+    written = []
+    for module in (Q, O, Y):
+        own = module.cut
+        monkeypatch.setattr(module, "cut", lambda df, own=own: written.append(df.columns) or own(df))
+    found = query(spark, "/root/testdata/sf0.001")
+    assert sum({"concept", "definitions", "relationships", "source_chunks"} <= set(c) for c in written) == 1
+    assert found.count() > 0 and "l_orderkey" not in optimized(found)
+
+
+def test_occurrences_of_related_concepts_are_joined_once(spark, monkeypatch):
+    seen, own = [], Q.occurrences
+    monkeypatch.setattr(Q, "occurrences", lambda *a: seen.append(1) or own(*a))
+    written, cut = [], Q.cut
+    monkeypatch.setattr(Q, "cut", lambda df: written.append(df.columns) or cut(df))
+    found = Q.related_concepts(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 1 and written == [["doc_id", "chunk_index", "p_name", "p_type"], ["doc_id", "concept", "terminology"]] and found.count() > 0
